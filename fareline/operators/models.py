@@ -16,7 +16,7 @@ from fareline.functions.calendar import calendar_parts, is_weekend, pickup_date
 from fareline.functions.labels import payment_method, time_of_day_segment
 from fareline.functions.measures import trip_surrogate_key
 from fareline.operators.dedup import keep_first
-from fareline.operators.lookups import MAX_BROADCAST_ROWS, maybe_broadcast
+from fareline.operators.lookups import MAX_BROADCAST_ROWS, fits_broadcast
 from fareline.schemas import CALENDAR_END, CALENDAR_START, FCT_TRIPS_COLUMNS, STAGING_DEDUP_KEYS
 from fareline.sources.calendar import date_spine
 
@@ -87,8 +87,10 @@ def int_trips_enriched(stg: DataFrame, zones: DataFrame, max_broadcast_rows: int
     Unresolved zones give NULL names and keep the trip. The zone frame is
     broadcast only after its size check; roles are aliased before joining.
     """
-    pu = maybe_broadcast(_zone_role(zones, "pickup"), max_broadcast_rows)
-    do = maybe_broadcast(_zone_role(zones, "dropoff"), max_broadcast_rows)
+    small = fits_broadcast(zones, max_broadcast_rows)  # one size check serves both roles
+    pu, do = _zone_role(zones, "pickup"), _zone_role(zones, "dropoff")
+    if small:
+        pu, do = F.broadcast(pu), F.broadcast(do)
     j = stg.join(pu, stg["pickup_location_id"] == pu["__pickup_location_id"], "left").join(
         do, stg["dropoff_location_id"] == do["__dropoff_location_id"], "left"
     )

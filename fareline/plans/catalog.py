@@ -31,6 +31,7 @@ from fareline.operators import cleanse as C
 from fareline.operators import models as M
 from fareline.operators import quality as Q
 from fareline.operators import reports as R
+from fareline.plans.materialize import persist_models
 from fareline.session import scratch_path
 from fareline.sources import MonthSource, read_month, read_trips, read_zones_csv
 from fareline.sources.testdata import raw_trips, raw_zones
@@ -288,7 +289,9 @@ def report_weekend(spark, d):
 
 
 def dq_summary(spark, d):
-    return Q.summary(_models(spark, d))
+    """O-87: the 40 rules over model layers persisted once in the shared folder."""
+    frames = persist_models(spark, _clean(spark, d), raw_zones(spark, d), scratch_path(spark, "models"))
+    return Q.summary(frames)
 
 
 def _dq_not_null(model: str) -> Query:

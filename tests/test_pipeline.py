@@ -1,0 +1,104 @@
+"""The month job: end to end, resume, backfill modes, parameters (O-90..O-94, O-10..O-17)."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from fareline import sinks
+from fareline.operators import quality as Q
+from fareline.plans.pipeline import MonthJob, backfill, build_month
+from fareline.sources.files import table_name
+from fareline.sources.testdata import raw_trips, raw_zones
+
+SF0001 = "/root/testdata/sf0.001"
+SF001 = "/root/testdata/sf0.01"
+
+
+def _drop_layers(spark):
+    for db in ("raw", "staging", "intermediate", "marts"):
+        spark.sql(f"DROP DATABASE IF EXISTS `{db}` CASCADE")
+
+
+def test_month_job_end_to_end(spark, tmp_path):
+    _drop_layers(spark)
+    job = MonthJob(warehouse=str(tmp_path / "wh"))
+    out = build_month(spark, job, raw=raw_trips(spark, SF0001), zones=raw_zones(spark, SF0001))
+    assert out["audit"] == {
+        "initial_rows": 1030, "clean_rows": 962, "dropped_rows": 68,
+        "dropped_percentage": pytest.approx(68 / 1030 * 100), "duplicates_removed": 20,
+    }
+    assert out["load"]["trips_loaded"] == 962 and out["load"]["zones_loaded"] == 25
+    assert len(out["tests"]) == 40 and all(t["failing_rows"] == 0 for t in out["tests"])
+    assert spark.table(table_name("marts", "fct_trips")).count() == 953
+    assert set(sinks.list_tables(spark, "marts")) >= {"fct_trips", "dim_zones", "dim_date"}
+    assert spark.table(table_name("marts", "dim_date")).count() == 366
+
+    # resume from the persisted clean layer: same models and tests, no cleansing
+    again = build_month(spark, MonthJob(warehouse=str(tmp_path / "wh"), from_layer="clean"))
+    assert again["audit"] is None and again["load"]["zones_loaded"] == 0
+    assert all(t["failing_rows"] == 0 for t in again["tests"])
+    assert spark.table(table_name("raw", "zones")).count() == 25  # old zones kept (no file given)
+
+
+def test_failing_tests_stop_the_job(spark, tmp_path):
+    _drop_layers(spark)
+    job = MonthJob(warehouse=str(tmp_path / "wh"))
+    with pytest.raises(Q.DataTestFailure, match="relationships_fct_trips_pickup_location_id.*=418"):
+        build_month(spark, job, raw=raw_trips(spark, SF001), zones=raw_zones(spark, SF001))
+    soft = MonthJob(warehouse=str(tmp_path / "wh2"), fail_on_test_error=False)
+    _drop_layers(spark)
+    out = build_month(spark, soft, raw=raw_trips(spark, SF001), zones=raw_zones(spark, SF001))
+    assert out["audit"]["clean_rows"] == 6200 and out["load"]["trips_loaded"] == 6200
+
+
+@pytest.mark.parametrize("mode,months", [("month", {(2023, 12), (2024, 1)}), ("replace_all", {(2024, 1)})])
+def test_backfill_modes(spark, tmp_path, mode, months):
+    _drop_layers(spark)
+    job = MonthJob(warehouse=str(tmp_path / "wh"), mode=mode, fail_on_test_error=False)
+    raw = raw_trips(spark, SF0001)
+    backfill(spark, job, [(2023, 12), (2024, 1)], raw_for=lambda y, m: raw, zones=raw_zones(spark, SF0001))
+    got = {(r["year"], r["month"]) for r in spark.table(table_name("raw", "trips")).select("year", "month").distinct().collect()}
+    assert got == months
+    fct_months = {(r[0], r[1]) for r in spark.table(table_name("marts", "fct_trips")).select("year", "month").distinct().collect()}
+    assert fct_months == months
+
+
+def test_rerun_month_is_idempotent(spark, tmp_path):
+    path = str(tmp_path / "clean")
+    raw = raw_trips(spark, SF0001)
+    from fareline.operators.cleanse import cleanse
+
+    for _ in range(2):
+        sinks.write_month(cleanse(raw, 2024, 1), path, 2024, 1)
+    sinks.write_month(cleanse(raw, 2023, 12), path, 2023, 12)
+    df = spark.read.parquet(path)
+    counts = {(r["year"], r["month"]): r["count"] for r in df.groupBy("year", "month").count().collect()}
+    assert counts[(2024, 1)] == 962 and (2023, 12) in counts
+
+
+def test_job_arguments():
+    j = MonthJob.from_args(["--warehouse", "/w", "--year", "2023", "--month", "12", "--mode", "replace_all",
+                            "--from-layer", "clean", "--no-fail-on-test-error"])
+    assert (j.year, j.month, j.mode, j.from_layer, j.fail_on_test_error) == (2023, 12, "replace_all", "clean", False)
+    assert j.path("marts", "fct_trips") == "/w/marts/fct_trips"
+
+
+def test_month_source_naming():
+    from fareline.sources import MonthSource
+
+    s = MonthSource("/landing", 2024, 3, "green")
+    assert s.path == "/landing/green_tripdata_2024-03.parquet"
+    with pytest.raises(ValueError):
+        MonthSource("/landing", 2024, 13)
+
+
+def test_write_is_partitioned_not_single_file(spark, tmp_path):
+    from fareline.operators.cleanse import cleanse
+    from fareline.plans.explain import plan_text
+
+    raw = raw_trips(spark, SF001)
+    path = str(tmp_path / "clean")
+    sinks.write_month(cleanse(raw).repartition(4), path, 2024, 1)
+    files = list((tmp_path / "clean" / "year=2024" / "month=1").glob("*.parquet"))
+    assert len(files) > 1
+    pruned = spark.read.parquet(path).where((F.col("year") == 2024) & (F.col("month") == 1))
+    assert "PartitionFilters: [isnotnull(year" in plan_text(pruned)
