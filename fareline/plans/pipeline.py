@@ -24,6 +24,7 @@ from fareline.operators import cleanse as C
 from fareline.operators import models as M
 from fareline.operators import quality as Q
 from fareline.operators import reports as R
+from fareline.schemas import DIM_DATE, DIM_ZONES, FCT_TRIPS, INT_TRIPS_ENRICHED, STG_TRIPS, STG_ZONES, check_schema
 from fareline.sources.files import read_trips, read_zones_optional, table_name
 
 LAYER_ORDER = ("raw", "clean")
@@ -122,7 +123,7 @@ def build_models(spark: SparkSession, job: MonthJob) -> dict[str, DataFrame]:
     sinks.replace_table(
         M.dim_date(spark, *job.calendar), table_name("marts", "dim_date"), job.path("marts", "dim_date")
     )
-    return {
+    frames = {
         "stg_trips": stg,
         "stg_zones": stg_z,
         "int_trips_enriched": enriched_t,
@@ -130,6 +131,19 @@ def build_models(spark: SparkSession, job: MonthJob) -> dict[str, DataFrame]:
         "dim_zones": spark.table(table_name("marts", "dim_zones")),
         "dim_date": spark.table(table_name("marts", "dim_date")),
     }
+    for name, contract in CONTRACTS.items():  # O-88: names and types at every layer boundary
+        check_schema(frames[name], contract, layer=name)
+    return frames
+
+
+CONTRACTS = {
+    "stg_trips": STG_TRIPS,
+    "stg_zones": STG_ZONES,
+    "int_trips_enriched": INT_TRIPS_ENRICHED,
+    "fct_trips": FCT_TRIPS,
+    "dim_zones": DIM_ZONES,
+    "dim_date": DIM_DATE,
+}
 
 
 def build_month(
@@ -163,6 +177,13 @@ def build_month(
     return {"audit": audit, "load": load, "tests": tests}
 
 
+def rebuild_warehouse(spark: SparkSession, job: MonthJob) -> dict:
+    """O-94: drop every model layer and rebuild the month from the persisted clean layer."""
+    for layer in ("staging", "intermediate", "marts"):
+        spark.sql(f"DROP DATABASE IF EXISTS `{layer}` CASCADE")
+    return build_month(spark, MonthJob(**{**job.__dict__, "from_layer": "clean"}))
+
+
 def backfill(spark: SparkSession, job: MonthJob, months: list[tuple[int, int]], raw_for=None, zones=None) -> list[dict]:
     """O-16: run consecutive months; ``raw_for(year, month)`` supplies each month's raw frame."""
     out = []
@@ -170,3 +191,16 @@ def backfill(spark: SparkSession, job: MonthJob, months: list[tuple[int, int]],
         j = MonthJob(**{**job.__dict__, "year": y, "month": m})
         out.append(build_month(spark, j, raw_for(y, m) if raw_for else None, zones))
     return out
+
+
+def main(argv: list[str] | None = None) -> dict:
+    """spark-submit entry: ``python -m fareline.plans.pipeline --warehouse ... --raw-path ...``."""
+    job = MonthJob.from_args(argv)
+    spark = SparkSession.builder.appName(f"fareline-{job.year:04d}-{job.month:02d}").getOrCreate()
+    out = build_month(spark, job)
+    print({"audit": out["audit"], "load": out["load"], "failed_tests": [t for t in out["tests"] if t["failing_rows"]]})
+    return out
+
+
+if __name__ == "__main__":
+    main()
