@@ -65,7 +65,7 @@ RAW_COLS = [
     "extra", "mta_tax", "tip_amount", "tolls_amount", "improvement_surcharge", "total_amount",
     "congestion_surcharge", "Airport_fee",
 ]
-DEDUP1_KEYS = ["VendorID", "tpep_pickup_datetime", "tpep_dropoff_datetime", "PULocationID", "DOLocationID", "fare_amount"]
+DEDUP1_KEYS = ["VendorID", "tpep_pickup_datetime", "tpep_dropoff_datetime", "PULocationID", "DOLocationID", "fare_amount"]  # noqa: E501
 DEDUP2_KEYS = ["VendorID", "tpep_pickup_datetime", "PULocationID", "DOLocationID", "total_amount", "passenger_count"]
 CLEAN_COLS = RAW_COLS + ["trip_duration_minutes", "avg_speed_mph", "tip_percentage"]
 
