@@ -1,59 +1,62 @@
-"""Date parts, weekday names and the weekend flag (O-36, O-38..O-40)."""
+"""Date parts, weekday names and the weekend flag (O-36, O-38..O-40). Arguments are column names."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
-from pyspark.sql import functions as F
 
+from fareline.functions.sql import expr, quote
 
-def _c(x):
-    return F.col(x) if isinstance(x, str) else x
 
+def is_weekend_sql(ts_or_date: str) -> str:
+    # dayofweek: 1 = Sunday .. 7 = Saturday, locale free. (The short dayname gives 'Sat',
+    # so testing a lower-cased name against 'saturday' would never match.) NULL in, NULL out.
+    return f"(dayofweek({quote(ts_or_date)}) IN (1, 7))"
 
-def is_weekend(ts_or_date) -> Column:
-    """Saturday or Sunday; NULL in, NULL out.
 
-    ``dayofweek`` is 1 = Sunday .. 7 = Saturday and is locale free. ``dayname``
-    would give 'Sat', so a lower-cased name test against 'saturday' never matches.
-    """
-    return F.dayofweek(_c(ts_or_date)).isin(1, 7)
+def is_weekend(ts_or_date: str) -> Column:
+    """Saturday or Sunday."""
+    return expr(is_weekend_sql(ts_or_date))
 
 
-def pickup_date(ts) -> Column:
+def pickup_date(ts: str) -> Column:
     """Calendar day of a timestamp as DATE (zone free on TIMESTAMP_NTZ)."""
-    return F.to_date(_c(ts))
+    return expr(f"to_date({quote(ts)})")
 
 
-def weekday_name(d) -> Column:
+def weekday_name(d: str) -> Column:
     """Full English weekday name, e.g. 'Saturday'."""
-    return F.date_format(_c(d), "EEEE")
+    return expr(f"date_format({quote(d)}, 'EEEE')")
 
 
-def year_of(d) -> Column:
-    return F.year(_c(d)).cast("int")
+def _int_part(fn: str, d: str) -> Column:
+    return expr(f"CAST({fn}({quote(d)}) AS INT)")
 
 
-def month_of(d) -> Column:
-    return F.month(_c(d)).cast("int")
+def year_of(d: str) -> Column:
+    return _int_part("year", d)
 
 
-def day_of_month(d) -> Column:
-    return F.dayofmonth(_c(d)).cast("int")
+def month_of(d: str) -> Column:
+    return _int_part("month", d)
 
 
-def quarter_of(d) -> Column:
-    return F.quarter(_c(d)).cast("int")
+def day_of_month(d: str) -> Column:
+    return _int_part("dayofmonth", d)
 
 
-def iso_week(d) -> Column:
+def quarter_of(d: str) -> Column:
+    return _int_part("quarter", d)
+
+
+def iso_week(d: str) -> Column:
     """ISO-8601 week number (2024-12-30 is week 1)."""
-    return F.weekofyear(_c(d)).cast("int")
+    return _int_part("weekofyear", d)
 
 
-def calendar_parts(d) -> list[Column]:
+def calendar_parts(d: str) -> list[Column]:
     """The eight dim_date attributes of a DATE column, in dimension order."""
     return [
-        _c(d).alias("date_day"),
+        expr(f"{quote(d)} AS date_day"),
         year_of(d).alias("year"),
         month_of(d).alias("month"),
         day_of_month(d).alias("day_of_month"),

@@ -1,54 +1,62 @@
-"""Trip measures derived during cleansing (O-30..O-33) and the surrogate key (O-37)."""
+"""Trip measures derived during cleansing (O-30..O-33) and the surrogate key (O-37).
+
+Arguments are column names; each function returns one SQL expression.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
-from pyspark.sql import functions as F
 
-ColumnOrName = Column | str
+from fareline.functions.sql import expr, quote
+
+
+def duration_minutes_sql(pickup: str, dropoff: str) -> str:
+    # unix_timestamp truncates each side to the second; on TIMESTAMP_NTZ it is zone-free.
+    # 60.0D is a DOUBLE literal (plain 60.0 would be DECIMAL in SQL text).
+    return f"round((unix_timestamp({quote(dropoff)}) - unix_timestamp({quote(pickup)})) / 60.0D, 2)"
+
+
+def avg_speed_mph_sql(distance: str, duration_min: str) -> str:
+    d = quote(duration_min)
+    return f"CASE WHEN {d} > 0 THEN round({quote(distance)} / ({d} / 60.0D), 2) ELSE 0.0D END"
 
 
-def _c(x: ColumnOrName) -> Column:
-    return F.col(x) if isinstance(x, str) else x
+def tip_percentage_sql(tip: str, fare: str) -> str:
+    f = quote(fare)
+    return f"CASE WHEN {f} > 0 THEN round({quote(tip)} / {f} * 100.0D, 2) ELSE 0.0D END"
 
 
-def duration_minutes(pickup: ColumnOrName, dropoff: ColumnOrName) -> Column:
-    """Whole-second epoch difference in minutes, rounded to 2 places (double).
+def default_passengers_sql(count: str) -> str:
+    c = quote(count)
+    return f"CASE WHEN {c} IS NULL OR {c} <= 0 THEN 1 ELSE try_cast({c} AS INT) END"
 
-    ``unix_timestamp`` truncates each side to the second first, so fractional
-    seconds never leak into the duration. On TIMESTAMP_NTZ it is zone-free.
-    """
-    seconds = F.unix_timestamp(_c(dropoff)) - F.unix_timestamp(_c(pickup))
-    return F.round(seconds / F.lit(60.0), 2)
 
+def trip_surrogate_key_sql(*parts: str) -> str:
+    # concat (not concat_ws): any NULL part gives a NULL key, which not_null then reports
+    pieces = ", '|', ".join(f"CAST({quote(p)} AS STRING)" for p in parts)
+    return f"md5(concat({pieces}))"
 
-def avg_speed_mph(distance: ColumnOrName, duration_min: ColumnOrName) -> Column:
+
+def duration_minutes(pickup: str, dropoff: str) -> Column:
+    """Whole-second epoch difference in minutes, rounded to 2 places (double)."""
+    return expr(duration_minutes_sql(pickup, dropoff))
+
+
+def avg_speed_mph(distance: str, duration_min: str) -> Column:
     """distance / hours on the *rounded* duration; 0.0 when the duration is not positive."""
-    d = _c(duration_min)
-    return F.when(d > 0, F.round(_c(distance) / (d / F.lit(60.0)), 2)).otherwise(F.lit(0.0))
+    return expr(avg_speed_mph_sql(distance, duration_min))
 
 
-def tip_percentage(tip: ColumnOrName, fare: ColumnOrName) -> Column:
+def tip_percentage(tip: str, fare: str) -> Column:
     """tip / fare * 100 rounded to 2; 0.0 when fare is not positive; NULL tip stays NULL."""
-    f = _c(fare)
-    return F.when(f > 0, F.round(_c(tip) / f * F.lit(100.0), 2)).otherwise(F.lit(0.0))
+    return expr(tip_percentage_sql(tip, fare))
 
 
-def default_passengers(count: ColumnOrName) -> Column:
+def default_passengers(count: str) -> Column:
     """Missing or non-positive passenger counts become 1; others are cast to INT."""
-    c = _c(count)
-    return F.when(c.isNull() | (c <= 0), F.lit(1)).otherwise(c.cast("int"))
-
-
-def trip_surrogate_key(*parts: ColumnOrName) -> Column:
-    """md5 over the parts cast to text and joined by '|'.
-
-    Uses ``concat`` (NULL-propagating) on purpose: any NULL part gives a NULL key,
-    which the not_null data test then reports. ``concat_ws`` would skip NULLs.
-    """
-    pieces: list[Column] = []
-    for i, p in enumerate(parts):
-        if i:
-            pieces.append(F.lit("|"))
-        pieces.append(_c(p).cast("string"))
-    return F.md5(F.concat(*pieces))
+    return expr(default_passengers_sql(count))
+
+
+def trip_surrogate_key(*parts: str) -> Column:
+    """md5 over the parts cast to text and joined by '|'."""
+    return expr(trip_surrogate_key_sql(*parts))

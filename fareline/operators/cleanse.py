@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fareline.functions.measures import avg_speed_mph, duration_minutes, tip_percentage
+from fareline.functions.measures import avg_speed_mph, default_passengers, duration_minutes, tip_percentage
 from fareline.operators.dedup import keep_first
 from fareline.schemas import CLEANSE_DEDUP_KEYS
 
@@ -44,38 +44,38 @@ def month_window(year: int, month: int) -> tuple[str, str]:
     return start.strftime(fmt), end.strftime(fmt)
 
 
-def _ts_literal(df: DataFrame, column: str, text: str) -> Column:
-    """Typed literal matching the column's timestamp flavour (NTZ or session-zone)."""
-    return F.lit(text).cast(df.schema[column].dataType)
-
-
 @dataclass(frozen=True)
 class Rule:
     name: str
-    build: Callable[[DataFrame, int, int], Column]  # predicate that KEEPS the row
+    sql: Callable[[str, int, int], str]  # (pickup column type, year, month) -> predicate that KEEPS the row
+
+    def build(self, df: DataFrame, year: int, month: int) -> Column:
+        return F.expr(self.sql(_pickup_type(df), year, month))
+
 
+def _pickup_type(df: DataFrame) -> str:
+    """SQL type of the pickup column, so the window literals match it (NTZ or session-zone)."""
+    return df.schema[PICKUP].dataType.simpleString()
 
-def _in_month(df, year, month):
+
+def _in_month(ts_type: str, year: int, month: int) -> str:
     s, e = month_window(year, month)
-    p = F.col(PICKUP)
-    return (p >= _ts_literal(df, PICKUP, s)) & (p <= _ts_literal(df, PICKUP, e))
+    return (
+        f"{PICKUP} >= CAST('{s}' AS {ts_type}) AND {PICKUP} <= CAST('{e}' AS {ts_type})"
+    )
 
 
 RULES: list[Rule] = [
     Rule("month_window", _in_month),
-    Rule("temporal_order", lambda df, y, m: F.col(DROPOFF) > F.col(PICKUP)),
-    Rule(
-        "distance",
-        lambda df, y, m: (F.col("trip_distance") > 0.0) & (F.col("trip_distance") <= MAX_DISTANCE_MILES),
-    ),
-    Rule("fares", lambda df, y, m: (F.col("fare_amount") > 0.0) & (F.col("total_amount") > 0.0)),
-    Rule("locations", lambda df, y, m: F.col("PULocationID").isNotNull() & F.col("DOLocationID").isNotNull()),
+    Rule("temporal_order", lambda t, y, m: f"{DROPOFF} > {PICKUP}"),
+    Rule("distance", lambda t, y, m: f"trip_distance > 0.0D AND trip_distance <= {MAX_DISTANCE_MILES}D"),
+    Rule("fares", lambda t, y, m: "fare_amount > 0.0D AND total_amount > 0.0D"),
+    Rule("locations", lambda t, y, m: "PULocationID IS NOT NULL AND DOLocationID IS NOT NULL"),
     Rule(
         "duration_range",
-        lambda df, y, m: (F.col("trip_duration_minutes") >= MIN_DURATION_MIN)
-        & (F.col("trip_duration_minutes") <= MAX_DURATION_MIN),
+        lambda t, y, m: f"trip_duration_minutes >= {MIN_DURATION_MIN}D AND trip_duration_minutes <= {MAX_DURATION_MIN}D",
     ),
-    Rule("speed_cap", lambda df, y, m: F.col("avg_speed_mph") <= MAX_SPEED_MPH),
+    Rule("speed_cap", lambda t, y, m: f"avg_speed_mph <= {MAX_SPEED_MPH}D"),
 ]
 RULE_NAMES = [r.name for r in RULES]
 DUPLICATE = "duplicate"
@@ -95,20 +95,16 @@ def with_measures(df: DataFrame) -> DataFrame:
 
 def finish(df: DataFrame) -> DataFrame:
     """O-32, O-33: tip percentage and passenger default (column keeps its position)."""
-    pc = F.col("passenger_count")
     return df.withColumn("tip_percentage", tip_percentage("tip_amount", "fare_amount")).withColumn(
-        "passenger_count", F.when(pc.isNull() | (pc <= 0), F.lit(1)).otherwise(pc.try_cast("int"))
+        "passenger_count", default_passengers("passenger_count")
     )
 
 
 def rule_filter(df: DataFrame, names: list[str], year: int, month: int) -> DataFrame:
     """Apply the named rules in catalogue order (used by the single-rule queries)."""
+    t = _pickup_type(df)
     by_name = {r.name: r for r in RULES}
-    cond = None
-    for n in names:
-        c = by_name[n].build(df, year, month)
-        cond = c if cond is None else cond & c
-    return df.where(cond)
+    return df.where(" AND ".join(f"({by_name[n].sql(t, year, month)})" for n in names))
 
 
 def cleanse(raw: DataFrame, year: int = 2024, month: int = 1) -> DataFrame:
@@ -119,11 +115,9 @@ def cleanse(raw: DataFrame, year: int = 2024, month: int = 1) -> DataFrame:
 
 def rejection_reason(df: DataFrame, year: int, month: int) -> Column:
     """First failing rule of a deduplicated row with measures; NULL when the row is kept."""
-    expr = None
-    for r in RULES:
-        failed = ~F.coalesce(r.build(df, year, month), F.lit(False))
-        expr = F.when(failed, F.lit(r.name)) if expr is None else expr.when(failed, F.lit(r.name))
-    return expr
+    t = _pickup_type(df)
+    arms = " ".join(f"WHEN NOT coalesce(({r.sql(t, year, month)}), false) THEN '{r.name}'" for r in RULES)
+    return F.expr(f"CASE {arms} END")
 
 
 def rejects_by_rule(raw: DataFrame, year: int = 2024, month: int = 1) -> DataFrame:
@@ -163,10 +157,8 @@ def merge_one_row(*frames: DataFrame) -> DataFrame:
 
 def clean_condition(df: DataFrame, year: int, month: int) -> Column:
     """All rules at once; NULL comparisons count as failures."""
-    cond = F.lit(True)
-    for r in RULES:
-        cond = cond & F.coalesce(r.build(df, year, month), F.lit(False))
-    return cond
+    t = _pickup_type(df)
+    return F.expr(" AND ".join(f"coalesce(({r.sql(t, year, month)}), false)" for r in RULES))
 
 
 def audit_metrics(raw: DataFrame, year: int = 2024, month: int = 1) -> DataFrame:

@@ -17,9 +17,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fareline.functions.sql import quote
+
 _RN = "__dedup_rn"
 
 
@@ -29,7 +31,14 @@ def survivor_order(df: DataFrame, keys: Sequence[str]) -> list[str]:
 
 
 def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] | None = None) -> DataFrame:
-    """One row per ``keys``: the first by ``order_by`` (default: all other columns) asc, NULLs last."""
+    """One row per ``keys``: the first by ``order_by`` (default: all other columns) asc, NULLs last.
+
+    The window is written as one SQL expression: the same logical plan as
+    ``Window.partitionBy(...).orderBy(...)``, built with one JVM call instead of
+    several per column.
+    """
     order = list(order_by) if order_by is not None else survivor_order(df, keys)
-    w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last() for c in order])
-    return df.withColumn(_RN, F.row_number().over(w)).where(F.col(_RN) == 1).drop(_RN)
+    spec = "PARTITION BY {} ORDER BY {}".format(
+        ", ".join(quote(k) for k in keys), ", ".join(f"{quote(c)} ASC NULLS LAST" for c in order)
+    )
+    return df.withColumn(_RN, F.expr(f"row_number() OVER ({spec})")).where(F.col(_RN) == 1).drop(_RN)

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from fareline.functions.calendar import calendar_parts, is_weekend, pickup_date
 from fareline.functions.labels import payment_method, time_of_day_segment
 from fareline.functions.measures import trip_surrogate_key
+from fareline.functions.sql import quote
 from fareline.operators.dedup import keep_first
 from fareline.operators.lookups import MAX_BROADCAST_ROWS, fits_broadcast
 from fareline.schemas import CALENDAR_END, CALENDAR_START, FCT_TRIPS_COLUMNS, STAGING_DEDUP_KEYS
@@ -59,7 +60,7 @@ def stg_trips(clean: DataFrame) -> DataFrame:
     d = staging_dedup(clean)
     return d.select(
         trip_surrogate_key(*TRIP_KEY_PARTS).alias("trip_id"),
-        *[F.col(src).cast(t).alias(dst) for src, t, dst in _STG_TRIP_COLUMNS],
+        *[F.expr(f"CAST({quote(src)} AS {t}) AS {dst}") for src, t, dst in _STG_TRIP_COLUMNS],
     )
 
 
@@ -125,7 +126,7 @@ def int_trips_enriched(stg: DataFrame, zones: DataFrame, max_broadcast_rows: int
 
 def fct_trips(enriched: DataFrame) -> DataFrame:
     """O-53: the fact columns in mart order."""
-    return enriched.select(*FCT_TRIPS_COLUMNS)
+    return enriched.selectExpr(*FCT_TRIPS_COLUMNS)
 
 
 def dim_zones(zones: DataFrame) -> DataFrame:
@@ -135,7 +136,7 @@ def dim_zones(zones: DataFrame) -> DataFrame:
 
 def dim_date_from(days: DataFrame, column: str = "date_day") -> DataFrame:
     """O-55 over any frame of DATE values."""
-    return days.select(*calendar_parts(F.col(column)))
+    return days.select(*calendar_parts(column))
 
 
 def dim_date(spark: SparkSession, start: str = CALENDAR_START, end: str = CALENDAR_END) -> DataFrame:

@@ -13,8 +13,9 @@ numbers (a narrow Generate), not a union of four scans.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # --- Fixed values of the fixture mapping -----------------------------------
 # Copy number -> event_id modulus that selects the extra copy.
@@ -32,54 +33,45 @@ AIRPORT_FEE_VALUE = 1.75
 # ---------------------------------------------------------------------------
 
 
-def _copies(event_id: Column) -> Column:
-    arr = F.array(
-        F.lit(0),
-        *[F.when(event_id % m == 0, F.lit(k)) for k, m in sorted(COPY_MODULI.items())],
-    )
-    return F.filter(arr, lambda x: x.isNotNull())
-
-
 def raw_trips_from_events(events: DataFrame) -> DataFrame:
-    """Raw yellow-trip records (19 columns, file order) derived from ``events``."""
-    ev = events.select("event_id", "ts", "user_id", "value").select(
-        "*", F.explode(_copies(F.col("event_id"))).alias("k")
+    """Raw yellow-trip records (19 columns, file order) derived from ``events``.
+
+    Written as one projection of SQL expressions (one JVM call per column).
+    """
+    copies = ", ".join(f"CASE WHEN event_id % {m} = 0 THEN {k} END" for k, m in sorted(COPY_MODULI.items()))
+    ev = events.selectExpr(
+        "event_id AS i", "ts", "user_id", "value",
+        f"explode(filter(array(0, {copies}), x -> x IS NOT NULL)) AS k",
+    ).selectExpr(
+        "*",
+        f"""CASE WHEN i % {PICKUP_SHIFT_MOD} = 0
+                 THEN CAST(date_trunc('second', ts) AS TIMESTAMP_NTZ) - INTERVAL {PICKUP_SHIFT_DAYS} DAYS
+                 ELSE CAST(date_trunc('second', ts) AS TIMESTAMP_NTZ) END AS pickup""",
+        "CAST(i % 17 AS DOUBLE) / 4.0D AS quarter_of_17",
     )
-    i = F.col("event_id")
-    k = F.col("k")
-    second = F.date_trunc("second", F.col("ts")).cast("timestamp_ntz")
-    pickup = F.when(
-        i % PICKUP_SHIFT_MOD == 0, second - F.make_dt_interval(F.lit(PICKUP_SHIFT_DAYS))
-    ).otherwise(second)
-    offset_s = (i * 37) % 60000 - 300 + F.when(k == 2, F.lit(60)).otherwise(F.lit(0))
-    dropoff = pickup + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), offset_s.cast("int"))
-    quarter_of_17 = (i % 17).cast("double") / 4.0
-    return ev.select(
-        (1 + i % 2).cast("int").alias("VendorID"),
-        pickup.alias("tpep_pickup_datetime"),
-        dropoff.alias("tpep_dropoff_datetime"),
-        F.when(i % NULL_PASSENGERS_MOD == 0, F.lit(None).cast("double"))
-        .otherwise((i % 6).cast("double"))
-        .alias("passenger_count"),
-        (((i * 13) % 16000).cast("double") / 100.0 + F.when(k == 3, F.lit(200.0)).otherwise(F.lit(0.0))).alias(
-            "trip_distance"
-        ),
-        (1 + i % 6).cast("int").alias("RatecodeID"),
-        F.when(i % STORE_FWD_MOD == 0, F.lit("Y")).otherwise(F.lit("N")).alias("store_and_fwd_flag"),
-        F.when(i % NULL_PICKUP_ZONE_MOD == 0, F.lit(None).cast("int"))
-        .otherwise((F.col("user_id") % 27).cast("int"))
-        .alias("PULocationID"),
-        ((F.col("user_id") * 7 + i) % 25).cast("int").alias("DOLocationID"),
-        (i % 8).cast("int").alias("payment_type"),
-        (F.col("value") - 1.0).alias("fare_amount"),
-        ((i % 3).cast("double") / 2.0).alias("extra"),
-        F.lit(0.5).alias("mta_tax"),
-        F.when(i % NULL_TIP_MOD == 0, F.lit(None).cast("double")).otherwise(quarter_of_17).alias("tip_amount"),
-        F.when(i % TOLLS_MOD == 0, F.lit(TOLLS_VALUE)).otherwise(F.lit(0.0)).alias("tolls_amount"),
-        F.lit(1.0).alias("improvement_surcharge"),
-        (F.col("value") + quarter_of_17).alias("total_amount"),
-        F.lit(2.5).alias("congestion_surcharge"),
-        F.when(i % AIRPORT_FEE_MOD == 0, F.lit(AIRPORT_FEE_VALUE)).otherwise(F.lit(0.0)).alias("Airport_fee"),
+    return ev.selectExpr(
+        "CAST(1 + i % 2 AS INT) AS VendorID",
+        "pickup AS tpep_pickup_datetime",
+        "pickup + make_dt_interval(0, 0, 0, CAST((i * 37) % 60000 - 300 + CASE WHEN k = 2 THEN 60 ELSE 0 END AS INT))"
+        " AS tpep_dropoff_datetime",
+        f"CASE WHEN i % {NULL_PASSENGERS_MOD} = 0 THEN CAST(NULL AS DOUBLE) ELSE CAST(i % 6 AS DOUBLE) END"
+        " AS passenger_count",
+        "CAST((i * 13) % 16000 AS DOUBLE) / 100.0D + CASE WHEN k = 3 THEN 200.0D ELSE 0.0D END AS trip_distance",
+        "CAST(1 + i % 6 AS INT) AS RatecodeID",
+        f"CASE WHEN i % {STORE_FWD_MOD} = 0 THEN 'Y' ELSE 'N' END AS store_and_fwd_flag",
+        f"CASE WHEN i % {NULL_PICKUP_ZONE_MOD} = 0 THEN CAST(NULL AS INT) ELSE CAST(user_id % 27 AS INT) END"
+        " AS PULocationID",
+        "CAST((user_id * 7 + i) % 25 AS INT) AS DOLocationID",
+        "CAST(i % 8 AS INT) AS payment_type",
+        "value - 1.0D AS fare_amount",
+        "CAST(i % 3 AS DOUBLE) / 2.0D AS extra",
+        "0.5D AS mta_tax",
+        f"CASE WHEN i % {NULL_TIP_MOD} = 0 THEN CAST(NULL AS DOUBLE) ELSE quarter_of_17 END AS tip_amount",
+        f"CASE WHEN i % {TOLLS_MOD} = 0 THEN {TOLLS_VALUE}D ELSE 0.0D END AS tolls_amount",
+        "1.0D AS improvement_surcharge",
+        "value + quarter_of_17 AS total_amount",
+        "2.5D AS congestion_surcharge",
+        f"CASE WHEN i % {AIRPORT_FEE_MOD} = 0 THEN {AIRPORT_FEE_VALUE}D ELSE 0.0D END AS Airport_fee",
     )
 
 
@@ -93,8 +85,37 @@ def raw_zones_from_nations(nation: DataFrame, region: DataFrame) -> DataFrame:
     )
 
 
+# Declared schemas of the input tables used here: no inference job, no footer reads
+# on the driver (at scale inference touches every file footer).
+INPUT_SCHEMAS = {
+    "events": T.StructType(
+        [
+            T.StructField("event_id", T.LongType()),
+            T.StructField("ts", T.TimestampNTZType()),
+            T.StructField("user_id", T.LongType()),
+            T.StructField("event_type", T.StringType()),
+            T.StructField("value", T.DoubleType()),
+            T.StructField("props", T.StringType()),
+        ]
+    ),
+    "nation": T.StructType(
+        [
+            T.StructField("n_nationkey", T.IntegerType()),
+            T.StructField("n_name", T.StringType()),
+            T.StructField("n_regionkey", T.IntegerType()),
+        ]
+    ),
+    "region": T.StructType(
+        [T.StructField("r_regionkey", T.IntegerType()), T.StructField("r_name", T.StringType())]
+    ),
+}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    reader = spark.read
+    if name in INPUT_SCHEMAS:
+        reader = reader.schema(INPUT_SCHEMAS[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
