@@ -1,15 +1,18 @@
-"""Persist the model layers once, then read them back (lineage cut, column pruning kept).
+"""Persist the shuffle-heavy model layer once, then read it back (lineage cut, pruning kept).
 
-Several consumers of the same model (the 40 data tests, several reports) would
+Several consumers of the same models (the 40 data tests, several reports) would
 otherwise each re-run the two dedup shuffles: column pruning makes every branch's
-plan different, so Spark cannot reuse the exchanges. Writing each layer as
-Parquet under the shared folder computes it once; readers then scan only the
-columns they need. Each write is an ordinary job commit, so a lost executor
-only costs task retries.
+plan different, so Spark cannot reuse the exchanges. Writing ``stg_trips`` (the
+output of both dedups) as Parquet under the shared folder computes it once;
+everything after it is narrow (two broadcast lookups, projections) or tiny
+(dimensions), so those layers are derived from the persisted table on read.
+A write is an ordinary job commit, so a lost executor only costs task retries.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
 from fareline.operators import models as M
@@ -27,17 +30,22 @@ def persist_models(
     zones_raw: DataFrame,
     base: str,
     calendar: tuple[str, str] = (CALENDAR_START, CALENDAR_END),
+    persist: Sequence[str] = ("stg_trips",),
 ) -> dict[str, DataFrame]:
-    """stg_trips, stg_zones, int_trips_enriched, fct_trips, dim_zones, dim_date under ``base``."""
+    """All six models; the layers named in ``persist`` are written under ``base`` and read back."""
     base = base.rstrip("/")
-    stg = put(M.stg_trips(clean), f"{base}/stg_trips")
-    zones = put(M.stg_zones(zones_raw), f"{base}/stg_zones")
-    enriched = put(M.int_trips_enriched(stg, zones), f"{base}/int_trips_enriched")
+
+    def layer(name: str, df: DataFrame) -> DataFrame:
+        return put(df, f"{base}/{name}") if name in persist else df
+
+    stg = layer("stg_trips", M.stg_trips(clean))
+    zones = layer("stg_zones", M.stg_zones(zones_raw))
+    enriched = layer("int_trips_enriched", M.int_trips_enriched(stg, zones))
     return {
         "stg_trips": stg,
         "stg_zones": zones,
         "int_trips_enriched": enriched,
-        "fct_trips": put(M.fct_trips(enriched), f"{base}/fct_trips"),
-        "dim_zones": put(M.dim_zones(zones), f"{base}/dim_zones"),
-        "dim_date": put(M.dim_date(spark, *calendar), f"{base}/dim_date"),
+        "fct_trips": layer("fct_trips", M.fct_trips(enriched)),
+        "dim_zones": layer("dim_zones", M.dim_zones(zones)),
+        "dim_date": layer("dim_date", M.dim_date(spark, *calendar)),
     }
