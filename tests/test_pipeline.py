@@ -102,3 +102,20 @@ def test_write_is_partitioned_not_single_file(spark, tmp_path):
     assert len(files) > 1
     pruned = spark.read.parquet(path).where((F.col("year") == 2024) & (F.col("month") == 1))
     assert "PartitionFilters: [isnotnull(year" in plan_text(pruned)
+
+
+def test_rebuild_and_layer_reads(spark, tmp_path):
+    """O-94 rebuild from the clean layer; O-08 layer reads; O-14 views exist."""
+    from fareline.plans.pipeline import rebuild_warehouse
+    from fareline.sources import read_layer_table
+
+    _drop_layers(spark)
+    job = MonthJob(warehouse=str(tmp_path / "wh"))
+    first = build_month(spark, job, raw=raw_trips(spark, SF0001), zones=raw_zones(spark, SF0001))
+    assert spark.catalog.tableExists("stg_zones") and spark.catalog.tableExists("int_trips_enriched")
+    again = rebuild_warehouse(spark, job)
+    assert again["audit"] is None
+    assert [t["failing_rows"] for t in again["tests"]] == [t["failing_rows"] for t in first["tests"]]
+    fct = read_layer_table(spark, "marts", "fct_trips")
+    assert fct.where("year = 2024 AND month = 1").count() == 953
+    assert read_layer_table(spark, "raw", "trips").count() == 962
