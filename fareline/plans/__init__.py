@@ -1,5 +1,5 @@
-"""Job plans: the month pipeline and the query catalogue."""
+"""Job plans: the month job and the query catalogue."""
 
-from fareline.plans.pipeline import MonthJob, backfill, build_month, build_models, cleanse_and_load
+from fareline.plans.month_job import MonthJob, backfill, build_month, build_models, cleanse_and_load
 
 __all__ = ["MonthJob", "backfill", "build_month", "build_models", "cleanse_and_load"]

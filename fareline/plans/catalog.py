@@ -8,6 +8,7 @@ folder and read the result back.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -106,7 +107,7 @@ def load_replace(spark, d):
     sinks.create_layer_schemas(spark, ["raw"])
     path = scratch_path(spark, "raw_trips")
     raw = raw_trips(spark, d)
-    table = "raw.trips_replace_check"
+    table = f"raw.trips_replace_{uuid.uuid4().hex[:10]}"
     sinks.replace_table(C.cleanse(raw, 2023, 12), table, path)
     sinks.replace_table(C.cleanse(raw, YEAR, MONTH), table, path)
     return spark.table(table)
@@ -116,7 +117,7 @@ def mart_roundtrip(spark, d):
     """O-15: the fact table materialised as a table and read back."""
     sinks.create_layer_schemas(spark, ["marts"])
     path = scratch_path(spark, "fct_trips")
-    table = "marts.fct_trips_roundtrip_check"
+    table = f"marts.fct_trips_roundtrip_{uuid.uuid4().hex[:10]}"
     sinks.replace_table(_models(spark, d)["fct_trips"], table, path)
     return spark.table(table)
 

@@ -50,7 +50,7 @@ class MonthJob:
 
     @classmethod
     def from_args(cls, argv: list[str] | None = None) -> MonthJob:
-        p = argparse.ArgumentParser(description="Monthly trip pipeline on Spark")
+        p = argparse.ArgumentParser(description="Monthly trip job on Spark")
         p.add_argument("--warehouse", required=True)
         p.add_argument("--year", type=int, default=2024)
         p.add_argument("--month", type=int, default=1)
@@ -192,7 +192,7 @@ def backfill(spark: SparkSession, job: MonthJob, months: list[tuple[int, int]],
 
 
 def main(argv: list[str] | None = None) -> dict:
-    """spark-submit entry: ``python -m fareline.plans.pipeline --warehouse ... --raw-path ...``."""
+    """spark-submit entry: ``python -m fareline.plans.month_job --warehouse ... --raw-path ...``."""
     job = MonthJob.from_args(argv)
     spark = SparkSession.builder.appName(f"fareline-{job.year:04d}-{job.month:02d}").getOrCreate()
     out = build_month(spark, job)

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from fareline.plans.pipeline import MonthJob, build_month
+from fareline.plans.month_job import MonthJob, build_month
 
 FILE_PATTERN = r"([a-z]+)_tripdata_(\d{4})-(\d{2})\.parquet"
 

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from fareline import sinks
 from fareline.operators import quality as Q
-from fareline.plans.pipeline import MonthJob, backfill, build_month
+from fareline.plans.month_job import MonthJob, backfill, build_month
 from fareline.sources.files import table_name
 from fareline.sources.testdata import raw_trips, raw_zones
 
@@ -106,7 +106,7 @@ def test_write_is_partitioned_not_single_file(spark, tmp_path):
 
 def test_rebuild_and_layer_reads(spark, tmp_path):
     """O-94 rebuild from the clean layer; O-08 layer reads; O-14 views exist."""
-    from fareline.plans.pipeline import rebuild_warehouse
+    from fareline.plans.month_job import rebuild_warehouse
     from fareline.sources import read_layer_table
 
     _drop_layers(spark)

@@ -1,6 +1,6 @@
 """File-arrival trigger: each landed month file runs the month job once."""
 
-from fareline.plans.pipeline import MonthJob
+from fareline.plans.month_job import MonthJob
 from fareline.schemas import TRIPS_RAW
 from fareline.sources.files import table_name
 from fareline.sources.testdata import raw_trips, raw_zones

@@ -18,7 +18,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from pyspark.sql import functions as F  # noqa: E402
 
 from fareline.operators import reports as R  # noqa: E402
-from fareline.plans.pipeline import MonthJob, build_month  # noqa: E402
+from fareline.plans.month_job import MonthJob, build_month  # noqa: E402
 from fareline.session import build_session  # noqa: E402
 from fareline.sources.testdata import raw_trips_from_events, raw_zones  # noqa: E402
 
