@@ -278,6 +278,7 @@ ORACLE_SQL: dict[str, str] = {}
 # sources
 ORACLE_SQL["scan_trips"] = over_raw("SELECT * FROM raw_trips")
 ORACLE_SQL["scan_month"] = over_raw("SELECT * FROM raw_trips")
+ORACLE_SQL["scan_zones"] = over_raw("SELECT * FROM zones_raw")
 ORACLE_SQL["scan_zones_csv"] = over_raw("SELECT * FROM zones_raw")
 ORACLE_SQL["scan_clean"] = over_clean("SELECT * FROM clean_trips")
 
@@ -387,6 +388,11 @@ ORACLE_SQL["dim_zones"] = over_models("SELECT * FROM dim_zones")
 ORACLE_SQL["dim_date_used"] = over_models(
     "SELECT * FROM dim_date WHERE date_day IN (SELECT pickup_date FROM fct_trips)"
 )
+ORACLE_SQL["date_spine_trips"] = over_models(
+    """SELECT CAST(d AS DATE) AS date_day
+FROM (SELECT min(pickup_date) AS lo, max(pickup_date) AS hi FROM fct_trips) b,
+     generate_series(CAST(b.lo AS TIMESTAMP), CAST(b.hi AS TIMESTAMP), INTERVAL 1 DAY) AS g(d)"""
+)
 ORACLE_SQL["enrich_pickup_zone"] = over_models(
     """SELECT t.trip_id, t.pickup_location_id, z.borough AS pickup_borough, z.zone_name AS pickup_zone
 FROM stg_trips t LEFT JOIN stg_zones z ON t.pickup_location_id = z.location_id"""

@@ -34,7 +34,7 @@ from fareline.operators import quality as Q
 from fareline.operators import reports as R
 from fareline.plans.materialize import persist_models
 from fareline.session import scratch_path
-from fareline.sources import MonthSource, read_month, read_trips, read_zones_csv
+from fareline.sources import MonthSource, date_spine_between, read_month, read_trips, read_zones_csv
 from fareline.sources.testdata import raw_trips, raw_zones
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,6 +73,10 @@ def scan_month(spark, d):
     return read_month(spark, src)
 
 
+def scan_zones(spark, d):
+    return raw_zones(spark, d)
+
+
 def scan_zones_csv(spark, d):
     """O-03: zones written as a headed CSV and read back through the CSV source."""
     path = scratch_path(spark, "zones_csv")
@@ -231,6 +235,14 @@ def dim_date_used(spark, d):
     return cal.join(days, cal["date_day"] == days["pickup_date"], "left_semi")
 
 
+def date_spine_trips(spark, d):
+    """O-06 driven by the data: one row per day from the first to the last pickup day of the fact."""
+    bounds = _models(spark, d)["fct_trips"].agg(
+        F.min("pickup_date").alias("start"), F.max("pickup_date").alias("end")
+    )
+    return date_spine_between(bounds)
+
+
 def enrich_pickup_zone(spark, d):
     m = _models(spark, d)
     zones = m["stg_zones"].select(
@@ -339,6 +351,7 @@ def _singular(rule_id: str, on_raw: bool) -> Query:
 QUERIES: dict[str, Query] = {
     "scan_trips": scan_trips,
     "scan_month": scan_month,
+    "scan_zones": scan_zones,
     "scan_zones_csv": scan_zones_csv,
     "scan_clean": scan_clean,
     "clean_dedup": clean_dedup,
@@ -373,6 +386,7 @@ QUERIES: dict[str, Query] = {
     "fct_trips": _model("fct_trips"),
     "dim_zones": _model("dim_zones"),
     "dim_date_used": dim_date_used,
+    "date_spine_trips": date_spine_trips,
     "enrich_pickup_zone": enrich_pickup_zone,
     "enrich_both_zones": enrich_both_zones,
     "roundtrip_clean": roundtrip_clean,

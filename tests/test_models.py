@@ -156,3 +156,15 @@ def test_optional_zone_file(spark, tmp_path):
 def test_kpi_on_empty_input_has_null_sums(spark):
     k = R.kpi_load(seed_trips(spark).where("false"), None).first().asDict()
     assert k["trips_loaded"] == 0 and k["total_revenue"] is None and k["avg_distance"] is None
+
+
+def test_segments_partition_the_fact(spark):
+    from fareline.operators.cleanse import cleanse
+    from fareline.sources.testdata import raw_trips, raw_zones
+
+    d = "/root/testdata/sf0.01"
+    fct = M.star_schema(cleanse(raw_trips(spark, d)), raw_zones(spark, d), spark)["fct_trips"]
+    seg = {r["time_of_day_segment"]: r["trip_count"] for r in R.report_time_of_day(fct).collect()}
+    assert sum(seg.values()) == fct.count() == 6137
+    assert seg == {"Morning Rush": 735, "Midday": 1505, "Evening Rush": 1075, "Night": 1082,
+                   "Late Night / Early Morning": 1740}
