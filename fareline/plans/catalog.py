@@ -33,7 +33,7 @@ from fareline.operators import models as M
 from fareline.operators import quality as Q
 from fareline.operators import reports as R
 from fareline.plans.materialize import persist_models
-from fareline.session import scratch_path
+from fareline.session import scratch_path, shared_dir
 from fareline.sources import MonthSource, date_spine_between, read_month, read_trips, read_zones_csv
 from fareline.sources.testdata import raw_trips, raw_zones
 
@@ -108,8 +108,8 @@ def roundtrip_clean(spark, d):
 
 def load_replace(spark, d):
     """O-11/O-12: replace a catalogue table twice; only the last load remains."""
-    sinks.create_layer_schemas(spark, ["raw"])
     path = scratch_path(spark, "raw_trips")
+    sinks.create_layer_schemas(spark, ["raw"], location=shared_dir(spark) + "/fareline/catalog")
     raw = raw_trips(spark, d)
     table = f"raw.trips_replace_{uuid.uuid4().hex[:10]}"
     sinks.replace_table(C.cleanse(raw, 2023, 12), table, path)
@@ -119,8 +119,8 @@ def load_replace(spark, d):
 
 def mart_roundtrip(spark, d):
     """O-15: the fact table materialised as a table and read back."""
-    sinks.create_layer_schemas(spark, ["marts"])
     path = scratch_path(spark, "fct_trips")
+    sinks.create_layer_schemas(spark, ["marts"], location=shared_dir(spark) + "/fareline/catalog")
     table = f"marts.fct_trips_roundtrip_{uuid.uuid4().hex[:10]}"
     sinks.replace_table(_models(spark, d)["fct_trips"], table, path)
     return spark.table(table)

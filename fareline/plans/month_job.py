@@ -159,7 +159,7 @@ def build_month(
     zones: DataFrame | None = None,
 ) -> dict:
     """O-90: run one month end to end. Returns audit, load metrics and the 40 test results."""
-    sinks.create_layer_schemas(spark)
+    sinks.create_layer_schemas(spark, location=job.warehouse)
     audit = None
     if job.from_layer == "raw":
         audit = cleanse_and_load(spark, job, raw)

@@ -40,10 +40,16 @@ def write_month(df: DataFrame, path: str, year: int, month: int, mode: str = "mo
     _writer(with_run_month(df, year, month), mode).parquet(path)
 
 
-def create_layer_schemas(spark: SparkSession, layers=None) -> None:
-    """O-12/O-13: ``CREATE DATABASE IF NOT EXISTS`` for each layer name, verbatim."""
+def create_layer_schemas(spark: SparkSession, layers=None, location: str | None = None) -> None:
+    """O-12/O-13: ``CREATE DATABASE IF NOT EXISTS`` for each layer name, verbatim.
+
+    ``location`` puts the database folders on shared storage (``{location}/{db}.db``)
+    instead of the session's default warehouse folder.
+    """
     for layer in layers or LAYERS:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{LAYERS[layer]}`")
+        db = LAYERS[layer]
+        where = f" LOCATION '{location.rstrip('/')}/{db}.db'" if location else ""
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`{where}")
 
 
 def replace_table(df: DataFrame, table: str, path: str) -> None:
