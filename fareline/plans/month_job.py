@@ -119,6 +119,10 @@ def build_models(spark: SparkSession, job: MonthJob) -> dict[str, DataFrame]:
     stg = _month(spark.table(table_name("staging", "stg_trips")), job)
     stg_z = M.stg_zones(zones_raw)
     sinks.create_view(stg_z, "stg_zones")
+    # Duplicate zone ids would fan out the LEFT lookups; check the (small) zone table first.
+    dup_zones = Q.unique_violations(stg_z, "location_id").count()
+    if dup_zones and job.fail_on_test_error:
+        raise Q.DataTestFailure(f"unique_stg_zones_location_id={dup_zones}: zone ids repeat, enrichment would fan out")
     enriched = M.int_trips_enriched(stg, stg_z)
     sinks.create_view(enriched, "int_trips_enriched")
     sinks.write_month_table(

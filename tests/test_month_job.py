@@ -119,3 +119,13 @@ def test_rebuild_and_layer_reads(spark, tmp_path):
     fct = read_layer_table(spark, "marts", "fct_trips")
     assert fct.where("year = 2024 AND month = 1").count() == 953
     assert read_layer_table(spark, "raw", "trips").count() == 962
+
+
+def test_duplicate_zone_ids_stop_before_the_fact(spark, tmp_path):
+    _drop_layers(spark)
+    zones = raw_zones(spark, SF0001)
+    dup = zones.unionByName(zones.where("location_id = 3"))
+    job = MonthJob(warehouse=str(tmp_path / "wh"))
+    with pytest.raises(Q.DataTestFailure, match="unique_stg_zones_location_id=1"):
+        build_month(spark, job, raw=raw_trips(spark, SF0001), zones=dup)
+    assert not spark.catalog.tableExists(table_name("marts", "fct_trips"))
