@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +30,7 @@ from fareline.functions import (
     weekday_name,
 )
 from fareline.operators import cleanse as C
+from fareline.operators.lookups import lookup
 from fareline.operators import models as M
 from fareline.operators import quality as Q
 from fareline.operators import reports as R
@@ -46,8 +48,43 @@ def _clean(spark, d, year=YEAR, month=MONTH):
     return C.cleanse(raw_trips(spark, d), year, month)
 
 
-def _models(spark, d) -> dict[str, DataFrame]:
-    return M.star_schema(_clean(spark, d), raw_zones(spark, d), spark)
+class _Models:
+    """The six models over the mapped tables, each built on first use (no size-check job
+    for the zone lookups unless a query needs the enriched layer)."""
+
+    def __init__(self, spark: SparkSession, d: str):
+        self.spark, self.d = spark, d
+
+    @cached_property
+    def stg_trips(self) -> DataFrame:
+        return M.stg_trips(_clean(self.spark, self.d))
+
+    @cached_property
+    def stg_zones(self) -> DataFrame:
+        return M.stg_zones(raw_zones(self.spark, self.d))
+
+    @cached_property
+    def int_trips_enriched(self) -> DataFrame:
+        return M.int_trips_enriched(self.stg_trips, self.stg_zones)
+
+    @cached_property
+    def fct_trips(self) -> DataFrame:
+        return M.fct_trips(self.int_trips_enriched)
+
+    @cached_property
+    def dim_zones(self) -> DataFrame:
+        return M.dim_zones(self.stg_zones)
+
+    @cached_property
+    def dim_date(self) -> DataFrame:
+        return M.dim_date(self.spark)
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return getattr(self, name)
+
+
+def _models(spark, d) -> _Models:
+    return _Models(spark, d)
 
 
 def _stage(i: int, year=YEAR, month=MONTH) -> Query:
@@ -230,7 +267,7 @@ def stg_dedup(spark, d):
 def dim_date_used(spark, d):
     """Calendar rows (default 2024 range) of the days that have trips (semi join on pre-aggregated days)."""
     m = _models(spark, d)
-    days = m["fct_trips"].groupBy("pickup_date").agg(F.count(F.lit(1)).alias("n")).select("pickup_date")
+    days = m["fct_trips"].select("pickup_date").distinct()  # at most one row per day
     cal = m["dim_date"]
     return cal.join(days, cal["date_day"] == days["pickup_date"], "left_semi")
 
@@ -244,17 +281,13 @@ def date_spine_trips(spark, d):
 
 
 def enrich_pickup_zone(spark, d):
+    """O-62 alone: the pickup-role LEFT lookup (size-checked broadcast)."""
     m = _models(spark, d)
-    zones = m["stg_zones"].select(
-        F.col("location_id").alias("__pu"), F.col("borough").alias("pickup_borough"), F.col("zone_name").alias("pickup_zone")
-    )
-    from fareline.operators.lookups import maybe_broadcast
-
-    z = maybe_broadcast(zones)
-    stg = m["stg_trips"]
-    return stg.join(z, stg["pickup_location_id"] == z["__pu"], "left").select(
-        "trip_id", "pickup_location_id", "pickup_borough", "pickup_zone"
+    zones = m["stg_zones"].selectExpr(
+        "location_id AS __pu", "borough AS pickup_borough", "zone_name AS pickup_zone"
     )
+    trips = m["stg_trips"].select("trip_id", "pickup_location_id")
+    return lookup(trips, zones, "pickup_location_id", "__pu", "left")
 
 
 def enrich_both_zones(spark, d):
