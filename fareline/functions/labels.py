@@ -9,17 +9,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 
 from fareline.functions.sql import expr, quote, sql_literal
-from fareline.schemas import PAYMENT_METHODS, TIME_OF_DAY_SEGMENTS
-
-# (first hour, last hour) of each named segment; any other hour (0-6, NULL) gets the last label.
-_SEGMENT_HOURS = [(7, 9), (10, 15), (16, 19), (20, 23)]
+from fareline.schemas import PAYMENT_METHODS, SEGMENT_HOURS, TIME_OF_DAY_SEGMENTS
 
 
 def time_of_day_segment_sql(ts: str) -> str:
     hour = f"hour({quote(ts)})"
     arms = " ".join(
         f"WHEN {hour} BETWEEN {lo} AND {hi} THEN {sql_literal(label)}"
-        for (lo, hi), label in zip(_SEGMENT_HOURS, TIME_OF_DAY_SEGMENTS, strict=False)
+        for (lo, hi), label in zip(SEGMENT_HOURS, TIME_OF_DAY_SEGMENTS, strict=False)
     )
     return f"CASE {arms} ELSE {sql_literal(TIME_OF_DAY_SEGMENTS[-1])} END"
 

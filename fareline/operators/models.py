@@ -18,38 +18,16 @@ from fareline.functions.measures import trip_surrogate_key
 from fareline.functions.sql import quote
 from fareline.operators.dedup import keep_first
 from fareline.operators.lookups import MAX_BROADCAST_ROWS, fits_broadcast
-from fareline.schemas import CALENDAR_END, CALENDAR_START, FCT_TRIPS_COLUMNS, STAGING_DEDUP_KEYS
+from fareline.schemas import (
+    CALENDAR_END,
+    CALENDAR_START,
+    FCT_TRIPS_COLUMNS,
+    STAGING_DEDUP_KEYS,
+    STG_TRIP_COLUMNS,
+    TRIP_KEY_PARTS,
+)
 from fareline.sources.calendar import date_spine
 
-# (source column, target type, target name) of stg_trips, in output order after trip_id.
-_STG_TRIP_COLUMNS = [
-    ("VendorID", "int", "vendor_id"),
-    ("PULocationID", "int", "pickup_location_id"),
-    ("DOLocationID", "int", "dropoff_location_id"),
-    ("RatecodeID", "int", "ratecode_id"),
-    ("payment_type", "int", "payment_type_code"),
-    ("passenger_count", "int", "passenger_count"),
-    ("store_and_fwd_flag", "string", "store_and_fwd_flag"),
-    ("tpep_pickup_datetime", "timestamp_ntz", "pickup_at"),
-    ("tpep_dropoff_datetime", "timestamp_ntz", "dropoff_at"),
-    ("trip_distance", "double", "trip_distance_miles"),
-    ("trip_duration_minutes", "double", "trip_duration_minutes"),
-    ("avg_speed_mph", "double", "avg_speed_mph"),
-    ("fare_amount", "double", "fare_amount"),
-    ("extra", "double", "extra"),
-    ("mta_tax", "double", "mta_tax"),
-    ("tip_amount", "double", "tip_amount"),
-    ("tolls_amount", "double", "tolls_amount"),
-    ("improvement_surcharge", "double", "improvement_surcharge"),
-    ("congestion_surcharge", "double", "congestion_surcharge"),
-    ("Airport_fee", "double", "airport_fee"),
-    ("total_amount", "double", "total_amount"),
-    ("tip_percentage", "double", "tip_percentage"),
-]
-# Parts of the surrogate key, in order.
-TRIP_KEY_PARTS = ["VendorID", "tpep_pickup_datetime", "PULocationID", "DOLocationID", "total_amount", "passenger_count"]
-
-
 def staging_dedup(clean: DataFrame) -> DataFrame:
     """O-60: one row per (vendor, pickup, PU, DO, total, passengers); dropoff is NOT in the key."""
     return keep_first(clean, STAGING_DEDUP_KEYS)
@@ -60,7 +38,7 @@ def stg_trips(clean: DataFrame) -> DataFrame:
     d = staging_dedup(clean)
     return d.select(
         trip_surrogate_key(*TRIP_KEY_PARTS).alias("trip_id"),
-        *[F.expr(f"CAST({quote(src)} AS {t}) AS {dst}") for src, t, dst in _STG_TRIP_COLUMNS],
+        *[F.expr(f"CAST({quote(src)} AS {t}) AS {dst}") for src, t, dst in STG_TRIP_COLUMNS],
     )
 
 

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import datetime as _dt
 
+from fareline.schemas import STG_TRIP_COLUMNS  # fixed column layout (data, not logic)
+
 # --------------------------------------------------------------------------- raw mapping
 
 RAW_CTES = """
@@ -157,6 +159,10 @@ _KEY_SQL = (
 )
 
 
+_DUCK_TYPES = {"int": "INTEGER", "string": "VARCHAR", "timestamp_ntz": "TIMESTAMP", "double": "DOUBLE"}
+_STG_SELECT = ",\n        ".join(f"CAST({src} AS {_DUCK_TYPES[t]}) AS {dst}" for src, t, dst in STG_TRIP_COLUMNS)
+
+
 def staging_ctes(src: str, prefix: str = "") -> str:
     """stg dedup + stg_trips over a clean-shaped CTE ``src``."""
     p = prefix
@@ -172,28 +178,7 @@ def staging_ctes(src: str, prefix: str = "") -> str:
 {p}stg_trips AS (
     SELECT
         {_KEY_SQL} AS trip_id,
-        CAST(VendorID AS INTEGER) AS vendor_id,
-        CAST(PULocationID AS INTEGER) AS pickup_location_id,
-        CAST(DOLocationID AS INTEGER) AS dropoff_location_id,
-        CAST(RatecodeID AS INTEGER) AS ratecode_id,
-        CAST(payment_type AS INTEGER) AS payment_type_code,
-        CAST(passenger_count AS INTEGER) AS passenger_count,
-        CAST(store_and_fwd_flag AS VARCHAR) AS store_and_fwd_flag,
-        CAST(tpep_pickup_datetime AS TIMESTAMP) AS pickup_at,
-        CAST(tpep_dropoff_datetime AS TIMESTAMP) AS dropoff_at,
-        CAST(trip_distance AS DOUBLE) AS trip_distance_miles,
-        CAST(trip_duration_minutes AS DOUBLE) AS trip_duration_minutes,
-        CAST(avg_speed_mph AS DOUBLE) AS avg_speed_mph,
-        CAST(fare_amount AS DOUBLE) AS fare_amount,
-        CAST(extra AS DOUBLE) AS extra,
-        CAST(mta_tax AS DOUBLE) AS mta_tax,
-        CAST(tip_amount AS DOUBLE) AS tip_amount,
-        CAST(tolls_amount AS DOUBLE) AS tolls_amount,
-        CAST(improvement_surcharge AS DOUBLE) AS improvement_surcharge,
-        CAST(congestion_surcharge AS DOUBLE) AS congestion_surcharge,
-        CAST(Airport_fee AS DOUBLE) AS airport_fee,
-        CAST(total_amount AS DOUBLE) AS total_amount,
-        CAST(tip_percentage AS DOUBLE) AS tip_percentage
+        {_STG_SELECT}
     FROM {p}stg_dedup
 )"""
 

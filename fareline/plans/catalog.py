@@ -35,6 +35,7 @@ from fareline.operators import models as M
 from fareline.operators import quality as Q
 from fareline.operators import reports as R
 from fareline.plans.materialize import persist_models
+from fareline.schemas import TRIP_KEY_PARTS
 from fareline.session import scratch_path, shared_dir
 from fareline.sources import MonthSource, date_spine_between, read_month, read_trips, read_zones_csv
 from fareline.sources.testdata import raw_trips, raw_zones
@@ -222,7 +223,7 @@ def derive_calendar_parts(spark, d):
 
 
 def derive_trip_id(spark, d):
-    parts = M.TRIP_KEY_PARTS
+    parts = TRIP_KEY_PARTS
     return _clean(spark, d).select(trip_surrogate_key(*parts).alias("trip_id"), *parts)
 
 

@@ -205,7 +205,7 @@ DIM_DATE = _struct(
     ]
 )
 
-# --- Fixed values that must equal the reference's labels -------------------
+# --- Fixed values that must equal the reference's labels and layouts -------
 # Time-of-day segments by pickup hour: 7-9, 10-15, 16-19, 20-23, everything else.
 TIME_OF_DAY_SEGMENTS = [
     "Morning Rush",
@@ -214,6 +214,8 @@ TIME_OF_DAY_SEGMENTS = [
     "Night",
     "Late Night / Early Morning",
 ]
+# First and last pickup hour of the first four segments (the fifth takes every other hour).
+SEGMENT_HOURS = [(7, 9), (10, 15), (16, 19), (20, 23)]
 # Payment codes 1..6 in order, then the fallback label for any other code.
 PAYMENT_METHODS = [
     "Credit Card",
@@ -227,6 +229,33 @@ PAYMENT_METHODS = [
 # Default calendar range of the date dimension (inclusive).
 CALENDAR_START = "2024-01-01"
 CALENDAR_END = "2024-12-31"
+# Staging projection: (raw column, type, staging name), in staging order after trip_id.
+STG_TRIP_COLUMNS = [
+    ("VendorID", "int", "vendor_id"),
+    ("PULocationID", "int", "pickup_location_id"),
+    ("DOLocationID", "int", "dropoff_location_id"),
+    ("RatecodeID", "int", "ratecode_id"),
+    ("payment_type", "int", "payment_type_code"),
+    ("passenger_count", "int", "passenger_count"),
+    ("store_and_fwd_flag", "string", "store_and_fwd_flag"),
+    ("tpep_pickup_datetime", "timestamp_ntz", "pickup_at"),
+    ("tpep_dropoff_datetime", "timestamp_ntz", "dropoff_at"),
+    ("trip_distance", "double", "trip_distance_miles"),
+    ("trip_duration_minutes", "double", "trip_duration_minutes"),
+    ("avg_speed_mph", "double", "avg_speed_mph"),
+    ("fare_amount", "double", "fare_amount"),
+    ("extra", "double", "extra"),
+    ("mta_tax", "double", "mta_tax"),
+    ("tip_amount", "double", "tip_amount"),
+    ("tolls_amount", "double", "tolls_amount"),
+    ("improvement_surcharge", "double", "improvement_surcharge"),
+    ("congestion_surcharge", "double", "congestion_surcharge"),
+    ("Airport_fee", "double", "airport_fee"),
+    ("total_amount", "double", "total_amount"),
+    ("tip_percentage", "double", "tip_percentage"),
+]
+# Parts of the surrogate trip key, in order, joined by '|'.
+TRIP_KEY_PARTS = ["VendorID", "tpep_pickup_datetime", "PULocationID", "DOLocationID", "total_amount", "passenger_count"]
 # ---------------------------------------------------------------------------
 
 
