@@ -55,6 +55,13 @@ def test_speed_cap_on_rounded_speed(spark, dist, keep):
     assert kept(spark, [row]).count() == (1 if keep else 0)
 
 
+def test_speed_100_004_passes(spark):
+    # 10.0004 miles in 6 minutes is 100.004 mph: rounds to 100.0, kept, stored rounded
+    row = trip(trip_distance=10.0004, tpep_dropoff_datetime=P0 + dt.timedelta(minutes=6))
+    out = kept(spark, [row]).collect()
+    assert len(out) == 1 and out[0]["avg_speed_mph"] == 100.0 and out[0]["trip_duration_minutes"] == 6.0
+
+
 @pytest.mark.parametrize("fare,total,keep", [(0.0, 10.0, False), (10.0, 0.0, False), (0.01, 0.01, True), (None, 5.0, False)])
 def test_fares(spark, fare, total, keep):
     assert kept(spark, [trip(fare_amount=fare, total_amount=total)]).count() == (1 if keep else 0)
