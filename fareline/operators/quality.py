@@ -19,12 +19,13 @@ of distinct keys, not by the fact size.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fareline.functions.sql import quote, sql_literal
 from fareline.operators.lookups import MAX_BROADCAST_ROWS, maybe_broadcast, orphans
 from fareline.schemas import PAYMENT_METHODS, TIME_OF_DAY_SEGMENTS
 
@@ -37,7 +38,7 @@ class Rule:
     values: tuple = ()
     to_model: str = ""
     to_column: str = ""
-    predicate: Callable[[], Column] | None = field(default=None, compare=False)
+    predicate: str = ""  # SQL text of a singular (expression) rule's failure condition
     returns: tuple = ()
     name: str = ""
 
@@ -49,30 +50,27 @@ class Rule:
             return f"relationships_{self.model}_{self.column}__{self.to_column}__{self.to_model}"
         return f"{self.test}_{self.model}_{self.column}"
 
-    def condition(self) -> Column:
-        """Row-level failure condition (not_null / expression only)."""
+    def condition_sql(self) -> str:
+        """Row-level failure condition as SQL (not_null / expression only)."""
         if self.test == "not_null":
-            return F.col(self.column).isNull()
+            return f"{quote(self.column)} IS NULL"
         if self.test == "expression":
-            return F.coalesce(self.predicate(), F.lit(False))
+            return f"coalesce(({self.predicate}), false)"
         raise ValueError(f"{self.test} is not a row-level rule")
 
+    def condition(self) -> Column:
+        return F.expr(self.condition_sql())
+
 
 def _not_null(model: str, *cols: str) -> list[Rule]:
     return [Rule("not_null", model, c) for c in cols]
 
 
-def _pickup_not_before_dropoff() -> Column:
-    return F.col("pickup_at") >= F.col("dropoff_at")
-
-
-def _non_positive_metric() -> Column:
-    return (
-        (F.col("trip_distance_miles") <= 0)
-        | (F.col("fare_amount") <= 0)
-        | (F.col("total_amount") <= 0)
-        | (F.col("trip_duration_minutes") <= 0)
-    )
+# Failure conditions of the two singular rules.
+PICKUP_NOT_BEFORE_DROPOFF = "pickup_at >= dropoff_at"
+NON_POSITIVE_METRIC = (
+    "trip_distance_miles <= 0 OR fare_amount <= 0 OR total_amount <= 0 OR trip_duration_minutes <= 0"
+)
 
 
 SEGMENT_VALUES = tuple(TIME_OF_DAY_SEGMENTS)
@@ -127,7 +125,7 @@ RULES: list[Rule] = [
         "expression",
         "stg_trips",
         "pickup_at",
-        predicate=_pickup_not_before_dropoff,
+        predicate=PICKUP_NOT_BEFORE_DROPOFF,
         returns=("trip_id", "pickup_at", "dropoff_at"),
         name="assert_pickup_before_dropoff",
     ),
@@ -135,7 +133,7 @@ RULES: list[Rule] = [
         "expression",
         "stg_trips",
         "trip_distance_miles",
-        predicate=_non_positive_metric,
+        predicate=NON_POSITIVE_METRIC,
         returns=("trip_id", "trip_distance_miles", "fare_amount", "total_amount", "trip_duration_minutes"),
         name="assert_positive_trip_metrics",
     ),
@@ -154,20 +152,22 @@ def not_null_violations(df: DataFrame, column: str) -> DataFrame:
 
 def unique_violations(df: DataFrame, column: str) -> DataFrame:
     """O-77/O-81: (value, n_records) for non-NULL values occurring more than once."""
+    c = quote(column)
     return (
-        df.where(F.col(column).isNotNull())
-        .groupBy(F.col(column).alias("unique_field"))
-        .agg(F.count(F.lit(1)).alias("n_records"))
-        .where(F.col("n_records") > 1)
+        df.where(f"{c} IS NOT NULL")
+        .groupBy(F.expr(f"{c} AS unique_field"))
+        .agg(F.expr("count(1) AS n_records"))
+        .where("n_records > 1")
     )
 
 
 def accepted_values_violations(df: DataFrame, column: str, values: Sequence) -> DataFrame:
-    """O-82: (value, n_records) for each distinct value outside ``values``; NULL passes."""
+    """O-82: (value, n_records) for each distinct value outside ``values``; NULL passes (NOT IN gives NULL)."""
+    listed = ", ".join(sql_literal(v) for v in values)
     return (
-        df.groupBy(F.col(column).alias("value_field"))
-        .agg(F.count(F.lit(1)).alias("n_records"))
-        .where(~F.col("value_field").isin(list(values)))
+        df.groupBy(F.expr(f"{quote(column)} AS value_field"))
+        .agg(F.expr("count(1) AS n_records"))
+        .where(f"value_field NOT IN ({listed})")
     )
 
 
@@ -199,25 +199,29 @@ def violations(rule: Rule, frames: dict[str, DataFrame]) -> DataFrame:
 # --- summary -----------------------------------------------------------------------------
 
 
-def _summary_row(rule: Rule, failing: Column) -> Column:
-    return F.struct(
-        F.lit(rule.rule_id).alias("rule_id"),
-        F.lit(rule.model).alias("model"),
-        F.lit(rule.column).alias("column_name"),
-        F.lit(rule.test).alias("test"),
-        failing.cast("bigint").alias("failing_rows"),
+def _summary_row_sql(rule: Rule, failing_sql: str) -> str:
+    """One summary row as a SQL struct (one JVM call per rule instead of one per field)."""
+    return (
+        f"named_struct('rule_id', {sql_literal(rule.rule_id)}, 'model', {sql_literal(rule.model)}, "
+        f"'column_name', {sql_literal(rule.column)}, 'test', {sql_literal(rule.test)}, "
+        f"'failing_rows', CAST({failing_sql} AS BIGINT))"
     )
 
 
 def _row_level_counts(df: DataFrame, rules: list[Rule]) -> DataFrame:
     """All not_null / expression rules of one model in a single aggregate pass."""
     aliases = [f"__r{i}" for i in range(len(rules))]
-    agg = df.agg(*[F.count(F.when(r.condition(), 1)).alias(a) for r, a in zip(rules, aliases, strict=True)])
-    return agg.select(F.inline(F.array(*[_summary_row(r, F.col(a)) for r, a in zip(rules, aliases, strict=True)])))
+    agg = df.agg(
+        *[F.expr(f"count(CASE WHEN {r.condition_sql()} THEN 1 END) AS {a}") for r, a in zip(rules, aliases, strict=True)]
+    )
+    rows = ", ".join(_summary_row_sql(r, a) for r, a in zip(rules, aliases, strict=True))
+    return agg.selectExpr(f"inline(array({rows}))")
 
 
-def _count_frame(rule: Rule, frame: DataFrame, count_expr: Column) -> DataFrame:
-    return frame.agg(count_expr.alias("__n")).select(F.inline(F.array(_summary_row(rule, F.coalesce(F.col("__n"), F.lit(0))))))
+def _count_frame(rule: Rule, frame: DataFrame, count_sql: str) -> DataFrame:
+    return frame.agg(F.expr(f"{count_sql} AS __n")).selectExpr(
+        f"inline(array({_summary_row_sql(rule, 'coalesce(__n, 0)')}))"
+    )
 
 
 def _relationship_count(rule: Rule, frames: dict[str, DataFrame], max_rows: int) -> DataFrame:
@@ -229,7 +233,7 @@ def _relationship_count(rule: Rule, frames: dict[str, DataFrame], max_rows: int)
     )
     parent = maybe_broadcast(frames[rule.to_model].select(F.col(rule.to_column).alias("__pk")), max_rows)
     missing = child_keys.join(parent, child_keys["__k"] == parent["__pk"], "left_anti")
-    return _count_frame(rule, missing, F.sum("__rows"))
+    return _count_frame(rule, missing, "sum(__rows)")
 
 
 def summary(frames: dict[str, DataFrame], rules: Sequence[Rule] = RULES, max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
@@ -243,10 +247,10 @@ def summary(frames: dict[str, DataFrame], rules: Sequence[Rule] = RULES, max_bro
             parts.append(_row_level_counts(frames[model], row_level))
         for r in mine:
             if r.test == "unique":
-                parts.append(_count_frame(r, unique_violations(frames[model], r.column), F.count(F.lit(1))))
+                parts.append(_count_frame(r, unique_violations(frames[model], r.column), "count(1)"))
             elif r.test == "accepted_values":
                 parts.append(
-                    _count_frame(r, accepted_values_violations(frames[model], r.column, r.values), F.count(F.lit(1)))
+                    _count_frame(r, accepted_values_violations(frames[model], r.column, r.values), "count(1)")
                 )
             elif r.test == "relationships":
                 parts.append(_relationship_count(r, frames, max_broadcast_rows))
