@@ -24,7 +24,17 @@ from fareline.operators import cleanse as C
 from fareline.operators import models as M
 from fareline.operators import quality as Q
 from fareline.operators import reports as R
-from fareline.schemas import DIM_DATE, DIM_ZONES, FCT_TRIPS, INT_TRIPS_ENRICHED, STG_TRIPS, STG_ZONES, check_schema
+from fareline.schemas import (
+    CALENDAR_END,
+    CALENDAR_START,
+    DIM_DATE,
+    DIM_ZONES,
+    FCT_TRIPS,
+    INT_TRIPS_ENRICHED,
+    STG_TRIPS,
+    STG_ZONES,
+    check_schema,
+)
 from fareline.sources.files import read_trips, read_zones_optional, table_name
 
 LAYER_ORDER = ("raw", "clean")
@@ -42,7 +52,7 @@ class MonthJob:
     mode: str = "month"  # or "replace_all" (reference parity)
     from_layer: str = "raw"  # "clean" resumes from the persisted clean layer
     fail_on_test_error: bool = True
-    calendar: tuple[str, str] = ("2024-01-01", "2024-12-31")
+    calendar: tuple[str, str] = (CALENDAR_START, CALENDAR_END)
     extra: dict = field(default_factory=dict)
 
     def path(self, layer: str, name: str) -> str:

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import os
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,14 +43,18 @@ def read_zones_csv(spark: SparkSession, path: str) -> DataFrame:
 def read_zones_optional(spark: SparkSession, path: str | None) -> DataFrame | None:
     """O-04: a missing zone file is not an error; the caller keeps the old table.
 
-    Returns ``None`` when the file does not exist (local paths) so the job reports
-    0 zones loaded and leaves any previous ``raw.zones`` untouched.
+    Returns ``None`` when the path does not exist, so the job reports 0 zones
+    loaded and leaves any previous ``raw.zones`` untouched. Existence is decided
+    by Spark's own path check, so it works on any file system the session reads.
     """
     if path is None:
         return None
-    if "://" not in path and not os.path.exists(path):
-        return None
-    return read_zones_csv(spark, path)
+    try:
+        return read_zones_csv(spark, path)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in (e.getCondition() or "") or "Path does not exist" in str(e):
+            return None
+        raise
 
 
 @dataclass(frozen=True)
