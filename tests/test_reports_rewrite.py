@@ -1,0 +1,72 @@
+"""The fact-first pre-aggregation in the reports equals a plain join-then-aggregate.
+
+Edge cases the oracle data does not have: duplicate dimension keys (the join fans
+out), fact keys without a dimension row (inner join drops them), NULL measures
+(AVG skips them), days outside the calendar.
+"""
+
+import datetime as dt
+
+import pytest
+
+from fareline.operators import reports as R
+
+
+@pytest.fixture(scope="module")
+def frames(spark):
+    fct = spark.createDataFrame(
+        [
+            (1, dt.date(2024, 1, 6), 10.0, 5.0, 20.0),
+            (1, dt.date(2024, 1, 6), 12.0, None, 30.0),
+            (2, dt.date(2024, 1, 8), 3.0, 10.0, None),
+            (3, dt.date(2024, 1, 9), 1.5, 0.0, 8.0),
+            (9, dt.date(2025, 3, 1), 7.0, 2.0, 11.0),  # no zone, day outside the calendar
+            (None, dt.date(2024, 1, 7), 4.0, None, 9.0),
+        ],
+        "pickup_location_id int, pickup_date date, trip_distance_miles double, tip_percentage double, total_amount double",
+    )
+    zones = spark.createDataFrame(
+        [(1, "A"), (2, "B"), (2, "C"), (3, "A")],  # id 2 twice: fan-out
+        "location_id int, borough string",
+    )
+    cal = spark.createDataFrame(
+        [(dt.date(2024, 1, 6), True), (dt.date(2024, 1, 7), True), (dt.date(2024, 1, 8), False),
+         (dt.date(2024, 1, 9), False), (dt.date(2024, 1, 9), False)],  # a repeated day fans out too
+        "date_day date, is_weekend boolean",
+    )
+    return fct, zones, cal
+
+
+def rows(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def test_borough_revenue_equals_plain_join(spark, frames):
+    fct, zones, _ = frames
+    fct.createOrReplaceTempView("t_fct")
+    zones.createOrReplaceTempView("t_zones")
+    plain = spark.sql(
+        "SELECT z.borough, count(*) AS total_trips, round(sum(f.total_amount), 2) AS total_revenue_usd, "
+        "round(avg(f.tip_percentage), 2) AS avg_tip_pct FROM t_fct f JOIN t_zones z "
+        "ON f.pickup_location_id = z.location_id GROUP BY z.borough"
+    )
+    assert rows(R.report_borough_revenue(fct, zones)) == rows(plain)
+
+
+def test_weekend_equals_plain_join(spark, frames):
+    fct, _, cal = frames
+    fct.createOrReplaceTempView("t_fct")
+    cal.createOrReplaceTempView("t_cal")
+    plain = spark.sql(
+        "SELECT d.is_weekend, count(*) AS trip_count, round(avg(f.trip_distance_miles), 2) AS avg_distance, "
+        "round(avg(f.total_amount), 2) AS avg_total_fare FROM t_fct f JOIN t_cal d ON f.pickup_date = d.date_day "
+        "GROUP BY d.is_weekend"
+    )
+    assert rows(R.report_weekend(fct, cal)) == rows(plain)
+
+
+def test_all_null_measure_gives_null_average(spark):
+    fct = spark.createDataFrame([(1, None, 5.0)], "pickup_location_id int, tip_percentage double, total_amount double")
+    zones = spark.createDataFrame([(1, "A")], "location_id int, borough string")
+    out = R.report_borough_revenue(fct, zones).first()
+    assert out["total_trips"] == 1 and out["avg_tip_pct"] is None and out["total_revenue_usd"] == 5.0
