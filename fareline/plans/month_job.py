@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import argparse
 from dataclasses import dataclass, field
+from decimal import ROUND_HALF_UP, Decimal
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -86,15 +87,23 @@ def _month(df: DataFrame, job: MonthJob) -> DataFrame:
     return df.where((F.col("year") == job.year) & (F.col("month") == job.month)).drop("year", "month")
 
 
-def cleanse_and_load(spark: SparkSession, job: MonthJob, raw: DataFrame | None = None) -> dict:
-    """Cleanse one month into ``raw.trips`` (month partition) and return the audit counts.
+def round2(x: float | None) -> float | None:
+    """Spark's round(x, 2) on a double: HALF_UP on the shortest decimal text of x."""
+    if x is None:
+        return None
+    return float(Decimal(repr(float(x))).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP))
 
-    The deduplicated and clean counts are observed in the write's result stage
+
+def cleanse_and_load(spark: SparkSession, job: MonthJob, raw: DataFrame | None = None) -> tuple[dict, dict]:
+    """Cleanse one month into ``raw.trips`` (month partition); return (audit, load KPIs).
+
+    The deduplicated count and the load KPIs (count, revenue, average distance
+    and duration of the loaded rows) are observed in the write's result stage
     (after the dedup exchange), where Spark applies each partition's metric
-    update exactly once, also under task retries and lost executors. The raw
-    count is a plain ``count()``: a map-stage observation could be applied
-    again if that stage were recomputed. On Parquet input the count reads only
-    file metadata.
+    update exactly once, also under task retries and lost executors; no second
+    pass reads the month back. The raw count is a plain ``count()``: a map-stage
+    observation could be applied again if that stage were recomputed. On Parquet
+    input the count reads only file metadata.
     """
     if raw is None:
         if not job.raw_path:
@@ -102,12 +111,24 @@ def cleanse_and_load(spark: SparkSession, job: MonthJob, raw: DataFrame | None =
         raw = read_trips(spark, job.raw_path)
     initial = raw.count()
     o_dedup, o_clean = Observation("dedup"), Observation("clean")
-    n = F.count(F.lit(1)).alias("rows")
-    deduped = C.dedup_raw(raw).observe(o_dedup, n)
+    deduped = C.dedup_raw(raw).observe(o_dedup, F.count(F.lit(1)).alias("rows"))
     clean = C.finish(C.rule_filter(C.with_measures(deduped), C.RULE_NAMES, job.year, job.month))
-    clean = clean.observe(o_clean, n)
+    clean = clean.observe(
+        o_clean,
+        F.count(F.lit(1)).alias("rows"),
+        F.sum("total_amount").alias("revenue"),
+        F.avg("trip_distance").alias("avg_distance"),
+        F.avg("trip_duration_minutes").alias("avg_duration"),
+    )
     sinks.write_month_table(clean, table_name("raw", "trips"), job.path("raw", "trips"), job.year, job.month, job.mode)
-    return C.audit_from_counts(initial, o_dedup.get["rows"], o_clean.get["rows"])
+    m = o_clean.get
+    load = {
+        "trips_loaded": m["rows"],
+        "total_revenue": round2(m["revenue"]),
+        "avg_distance": round2(m["avg_distance"]),
+        "avg_duration": round2(m["avg_duration"]),
+    }
+    return C.audit_from_counts(initial, o_dedup.get["rows"], m["rows"]), load
 
 
 def build_models(spark: SparkSession, job: MonthJob) -> dict[str, DataFrame]:
@@ -174,20 +195,26 @@ def build_month(
 ) -> dict:
     """O-90: run one month end to end. Returns audit, load metrics and the 40 test results."""
     sinks.create_layer_schemas(spark, location=job.warehouse)
-    audit = None
+    audit, load = None, None
     if job.from_layer == "raw":
-        audit = cleanse_and_load(spark, job, raw)
+        audit, load = cleanse_and_load(spark, job, raw)
     elif not spark.catalog.tableExists(table_name("raw", "trips")):
         raise ValueError("from_layer='clean' needs an existing raw.trips table")
     if zones is None:
         zones = read_zones_optional(spark, job.zone_csv)
-    zones_loaded = zones is not None
-    if zones_loaded:
-        sinks.replace_table(zones, table_name("raw", "zones"), job.path("raw", "zones"))
+    zones_loaded = 0
+    if zones is not None:
+        o_zones = Observation("zones")
+        sinks.replace_table(
+            zones.observe(o_zones, F.count(F.lit(1)).alias("rows")), table_name("raw", "zones"), job.path("raw", "zones")
+        )
+        zones_loaded = o_zones.get["rows"]
     elif not spark.catalog.tableExists(table_name("raw", "zones")):
         raise ValueError("no zone lookup given and no raw.zones table to keep")
-    month_trips = _month(spark.table(table_name("raw", "trips")), job)
-    load = R.kpi_load(month_trips, spark.table(table_name("raw", "zones")) if zones_loaded else None).first().asDict()
+    if load is None:  # resumed run: the KPIs come from the loaded month
+        load = R.kpi_load(_month(spark.table(table_name("raw", "trips")), job)).first().asDict()
+    load = {"trips_loaded": load["trips_loaded"], "zones_loaded": zones_loaded, **{
+        k: load[k] for k in ("total_revenue", "avg_distance", "avg_duration")}}
     frames = build_models(spark, job)
     tests = [r.asDict() for r in Q.summary(frames).collect()]  # 40 rows, one per rule
     failed = [t for t in tests if t["failing_rows"] > 0]

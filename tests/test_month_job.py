@@ -27,6 +27,11 @@ def test_month_job_end_to_end(spark, tmp_path):
         "dropped_percentage": pytest.approx(68 / 1030 * 100), "duplicates_removed": 20,
     }
     assert out["load"]["trips_loaded"] == 962 and out["load"]["zones_loaded"] == 25
+    # KPIs observed during the write equal a fresh aggregate over the loaded month
+    from fareline.operators.reports import kpi_load
+
+    month = spark.table(table_name("raw", "trips")).where("year = 2024 AND month = 1")
+    assert out["load"] == kpi_load(month, spark.table(table_name("raw", "zones"))).first().asDict()
     assert len(out["tests"]) == 40 and all(t["failing_rows"] == 0 for t in out["tests"])
     assert spark.table(table_name("marts", "fct_trips")).count() == 953
     assert set(sinks.list_tables(spark, "marts")) >= {"fct_trips", "dim_zones", "dim_date"}
@@ -129,3 +134,13 @@ def test_duplicate_zone_ids_stop_before_the_fact(spark, tmp_path):
     with pytest.raises(Q.DataTestFailure, match="unique_stg_zones_location_id=1"):
         build_month(spark, job, raw=raw_trips(spark, SF0001), zones=dup)
     assert not spark.catalog.tableExists(table_name("marts", "fct_trips"))
+
+
+def test_round2_matches_spark_round(spark):
+    from fareline.plans.month_job import round2
+
+    values = [1.005, 2.675, 0.125, -0.125, 1234.5649999, 10.0, 0.0, 3.14159, 1e-7, 99.995]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    got = [r[0] for r in df.selectExpr("round(x, 2)").collect()]
+    assert [round2(v) for v in values] == got
+    assert round2(None) is None
