@@ -39,12 +39,18 @@ def shared_dir(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if conf_dir:
         return conf_dir.rstrip("/")
-    sc_dir = spark.sparkContext.getCheckpointDir()
-    if sc_dir:
-        return sc_dir.rstrip("/")
-    local = tempfile.mkdtemp(prefix="fareline-ckpt-")
-    spark.sparkContext.setCheckpointDir(local)
-    return spark.sparkContext.getCheckpointDir() or local
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a Spark Connect session has no SparkContext; keep a session-level setting
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir().rstrip("/")
+    local = tempfile.mkdtemp(prefix="fareline-ckpt-")  # only when nothing is configured (local runs, tests)
+    if sc is not None:
+        sc.setCheckpointDir(local)
+        return (sc.getCheckpointDir() or local).rstrip("/")
+    spark.conf.set("spark.checkpoint.dir", local)
+    return local
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
