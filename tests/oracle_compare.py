@@ -29,10 +29,15 @@ def duck(sf_dir: str):
     return con
 
 
+EXACT = os.environ.get("ORACLE_EXACT") == "1"  # compare doubles bit for bit
+
+
 def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return ("nan",)
+        if EXACT:
+            return v
         if v == 0:
             return 0.0
         return float(f"{v:.9g}")
