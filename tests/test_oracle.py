@@ -47,3 +47,15 @@ def test_entry_smoke(spark):
     assert df.columns == ["time_of_day_segment", "trip_count", "avg_distance_miles", "avg_fare_usd"]
     assert df.count() == 5
     assert set(e.oracle_sql()) == set(e.queries())
+
+
+FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "localCheckpoint")
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_plan_hygiene(spark, name):
+    """No cross products, nested-loop joins or Python UDFs in any registered query."""
+    from fareline.plans.explain import plan_text
+
+    plan = plan_text(QUERIES[name](spark, SF0001))
+    assert not [f for f in FORBIDDEN if f in plan], name
