@@ -107,5 +107,7 @@ def test_no_python_udfs_in_plans(spark):
     df = spark.createDataFrame([(ts("2024-01-15 08:10:00"), 1)], "t timestamp_ntz, c int").select(
         time_of_day_segment("t"), payment_method("c"), is_weekend("t"), F.lit(1)
     )
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "PythonUDF" not in plan and "BatchEvalPython" not in plan
+    from fareline.plans.explain import plan_text
+
+    plan = plan_text(df, "extended")
+    assert "PythonUDF" not in plan and "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
