@@ -43,7 +43,11 @@ LAYER_ORDER = ("raw", "clean")
 
 @dataclass
 class MonthJob:
-    """Job parameters (O-93); ``from_args`` fills them from spark-submit arguments."""
+    """Job parameters (O-93); ``from_args`` fills them from spark-submit arguments.
+
+    ``warehouse`` is the shared folder where layer databases and tables are created;
+    once a table exists in the catalogue, later runs write to its registered location.
+    """
 
     warehouse: str
     year: int = 2024
