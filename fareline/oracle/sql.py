@@ -393,6 +393,7 @@ ORACLE_SQL["roundtrip_clean"] = over_clean(
 )
 ORACLE_SQL["load_replace"] = over_clean("SELECT * FROM clean_trips")
 ORACLE_SQL["mart_roundtrip"] = over_models("SELECT * FROM fct_trips")
+ORACLE_SQL["month_job_fct"] = over_models("SELECT * FROM fct_trips")
 ORACLE_SQL["backfill_two_months"] = with_ctes(
     """
 SELECT *, CAST(2023 AS INTEGER) AS year, CAST(12 AS INTEGER) AS month FROM clean_dec
@@ -426,6 +427,7 @@ ORACLE_SQL["report_borough_revenue"] = over_models(_BOROUGH)
 ORACLE_SQL["report_top5_boroughs"] = over_models(
     _BOROUGH + "\nORDER BY total_revenue_usd DESC NULLS LAST, z.borough ASC NULLS LAST\nLIMIT 5"
 )
+ORACLE_SQL["month_job_report_top5"] = ORACLE_SQL["report_top5_boroughs"]
 ORACLE_SQL["report_time_of_day"] = over_models(
     """
 SELECT time_of_day_segment, CAST(count(*) AS BIGINT) AS trip_count,

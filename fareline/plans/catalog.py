@@ -173,6 +173,31 @@ def backfill_two_months(spark, d):
     return spark.read.parquet(path)
 
 
+def _run_month_job(spark, d):
+    """O-90 end to end on the mapped tables; tables land under the shared scratch folder."""
+    from fareline.plans.month_job import MonthJob, build_month
+
+    job = MonthJob(warehouse=scratch_path(spark, "warehouse"), year=YEAR, month=MONTH, fail_on_test_error=False)
+    build_month(spark, job, raw=raw_trips(spark, d), zones=raw_zones(spark, d))
+    return job
+
+
+def _run_month(table: DataFrame) -> DataFrame:
+    return table.where((F.col("year") == YEAR) & (F.col("month") == MONTH)).drop("year", "month")
+
+
+def month_job_fct(spark, d):
+    """The fact mart as the month job persisted it (run month partition)."""
+    _run_month_job(spark, d)
+    return _run_month(spark.table("marts.fct_trips"))
+
+
+def month_job_report_top5(spark, d):
+    """The top-5 report over the marts the month job persisted."""
+    _run_month_job(spark, d)
+    return R.report_top_boroughs(_run_month(spark.table("marts.fct_trips")), spark.table("marts.dim_zones"), 5)
+
+
 # --- derived columns (row level over the raw mapping) ----------------------------------------
 
 
@@ -427,6 +452,8 @@ QUERIES: dict[str, Query] = {
     "load_replace": load_replace,
     "mart_roundtrip": mart_roundtrip,
     "backfill_two_months": backfill_two_months,
+    "month_job_fct": month_job_fct,
+    "month_job_report_top5": month_job_report_top5,
     "count_trips": count_trips,
     "count_zones": count_zones,
     "kpi_load": kpi_load,
