@@ -107,6 +107,11 @@ def test_write_is_partitioned_not_single_file(spark, tmp_path):
     assert len(files) > 1
     pruned = spark.read.parquet(path).where((F.col("year") == 2024) & (F.col("month") == 1))
     assert "PartitionFilters: [isnotnull(year" in plan_text(pruned)
+    from fareline.sources import read_partitioned_month
+
+    month = read_partitioned_month(spark, path, 2024, 1)
+    assert "PartitionFilters: [isnotnull(year" in plan_text(month) and month.count() == 6200
+    assert read_partitioned_month(spark, path, 2024, 2).count() == 0
 
 
 def test_rebuild_and_layer_reads(spark, tmp_path):
