@@ -149,3 +149,25 @@ def test_round2_matches_spark_round(spark):
     got = [r[0] for r in df.selectExpr("round(x, 2)").collect()]
     assert [round2(v) for v in values] == got
     assert round2(None) is None
+
+
+def test_entry_point_reads_landed_files(spark, tmp_path):
+    """O-93 + O-01 + O-03: the spark-submit entry over a landed month file and a zone CSV."""
+    from fareline.plans.month_job import main
+
+    _drop_layers(spark)
+    landing = tmp_path / "landing"
+    raw_trips(spark, SF0001).write.parquet(str(landing / "yellow_tripdata_2024-01.parquet"))
+    zones = raw_zones(spark, SF0001).selectExpr(
+        "location_id AS LocationID", "borough AS Borough", "zone AS Zone", "service_zone"
+    )
+    zones.coalesce(1).write.option("header", True).csv(str(landing / "zones"))
+    out = main([
+        "--warehouse", str(tmp_path / "wh"),
+        "--raw-path", str(landing / "yellow_tripdata_2024-01.parquet"),
+        "--zone-csv", str(landing / "zones"),
+        "--year", "2024", "--month", "1",
+    ])
+    assert out["audit"]["initial_rows"] == 1030 and out["audit"]["clean_rows"] == 962
+    assert out["load"]["zones_loaded"] == 25
+    assert all(t["failing_rows"] == 0 for t in out["tests"])
