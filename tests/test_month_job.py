@@ -161,7 +161,7 @@ def test_entry_point_reads_landed_files(spark, tmp_path):
     zones = raw_zones(spark, SF0001).selectExpr(
         "location_id AS LocationID", "borough AS Borough", "zone AS Zone", "service_zone"
     )
-    zones.coalesce(1).write.option("header", True).csv(str(landing / "zones"))
+    zones.write.option("header", True).csv(str(landing / "zones"))
     out = main([
         "--warehouse", str(tmp_path / "wh"),
         "--raw-path", str(landing / "yellow_tripdata_2024-01.parquet"),
