@@ -33,13 +33,13 @@ def main():
     spark.sparkContext.setCheckpointDir(f"{scratch}/checkpoint")
     ev = spark.read.parquet(f"{sf_dir}/events.parquet")
     stride = 1_000_003  # odd and coprime to the mapping's moduli: replicas get new keys
-    rep_path = f"{scratch}/events_x{n}"
+    rep_path = f"{scratch}/events_x{n}_32"
     if not os.path.exists(rep_path):
         ev.select("*", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("rep")).select(
             (F.col("event_id") + F.col("rep") * F.lit(stride)).alias("event_id"),
             (F.col("ts") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("rep"))).alias("ts"), "user_id",
             "event_type", "value", "props",
-        ).write.parquet(rep_path)
+        ).repartition(32).write.parquet(rep_path)  # 32 files: the scan splits into parallel tasks
     events = spark.read.parquet(rep_path)
     raw = raw_trips_from_events(events)
     out = {"replicas": n, "raw_rows": raw.count()}
