@@ -1,10 +1,12 @@
 """Dimension lookups with a *checked* broadcast (O-62, O-63, O-64, O-66).
 
-A dimension is broadcast only after its row count is proven below a bound
-(``dim.limit(bound + 1).count()``, so the check itself is bounded work even on
-a large input). Above the bound the join is left to the planner: AQE can still
-turn it into a broadcast from runtime sizes, or run a sort-merge join with
-skew-partition splitting (``spark.sql.adaptive.skewJoin.enabled``).
+A dimension is broadcast only after one bounded job proves both its row count
+and its byte size below limits: over ``dim.limit(max_rows + 1)`` it counts the
+rows and sums each row's text length plus a fixed overhead per column (an
+upper estimate of the in-memory size), so the check itself never reads more
+than ``max_rows + 1`` rows. Above either limit the join is left to the planner:
+AQE can still turn it into a broadcast from runtime sizes, or run a sort-merge
+join with skew-partition splitting (``spark.sql.adaptive.skewJoin.enabled``).
 """
 
 from __future__ import annotations
@@ -12,16 +14,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest dimension (rows) we hint as broadcast. Zone lookups have ~265 rows and
-# calendars ~366 per year; 1M narrow rows stays far below executor memory.
-MAX_BROADCAST_ROWS = 1_000_000
+from fareline.functions.sql import quote
 
+# Largest dimension we hint as broadcast. Zone lookups have ~265 rows and calendars
+# ~366 per year; both limits are far above that and far below executor memory.
+MAX_BROADCAST_ROWS = 100_000
+MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+_COLUMN_OVERHEAD_BYTES = 16
 
-def fits_broadcast(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    return dim.limit(max_rows + 1).count() <= max_rows
+
+def fits_broadcast(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
+    """True when ``dim`` has at most ``max_rows`` rows and about ``max_bytes`` bytes."""
+    width = " + ".join(
+        f"coalesce(octet_length(CAST({quote(c)} AS STRING)), 0) + {_COLUMN_OVERHEAD_BYTES}" for c in dim.columns
+    ) or "0"
+    stats = dim.limit(max_rows + 1).agg(
+        F.expr("count(1) AS n"), F.expr(f"sum(CAST({width} AS BIGINT)) AS b")
+    ).first()
+    return stats["n"] <= max_rows and (stats["b"] or 0) <= max_bytes
 
 
 def maybe_broadcast(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(dim)`` when it passes :func:`fits_broadcast`, else ``dim`` unchanged."""
     return F.broadcast(dim) if fits_broadcast(dim, max_rows) else dim
 
 

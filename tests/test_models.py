@@ -112,6 +112,7 @@ def test_lookup_broadcast_is_size_checked(spark, seed):
     from fareline.plans.explain import plan_text
 
     assert fits_broadcast(seed["stg_zones"], 265) and not fits_broadcast(seed["stg_zones"], 264)
+    assert not fits_broadcast(seed["stg_zones"], max_bytes=1_000)  # 265 rows x 4 columns exceed 1 kB
     small = M.int_trips_enriched(seed["stg_trips"], seed["stg_zones"])
     big = M.int_trips_enriched(seed["stg_trips"], seed["stg_zones"], max_broadcast_rows=10)
     hint = "strategy=broadcast"
