@@ -190,13 +190,13 @@ def audit_metrics(raw: DataFrame, year: int = 2024, month: int = 1) -> DataFrame
     )
 
 
-def audit_from_counts(initial: int, deduplicated: int, clean: int) -> dict:
-    """The reference's metrics dict, from counts observed during the write."""
+def audit_from_counts(initial: int, deduplicated: int | None, clean: int) -> dict:
+    """The reference's metrics dict, plus the duplicates removed when that count was taken."""
     dropped = initial - clean
     return {
         "initial_rows": initial,
         "clean_rows": clean,
         "dropped_rows": dropped,
         "dropped_percentage": (dropped / initial) * 100 if initial > 0 else 0.0,
-        "duplicates_removed": initial - deduplicated,
+        "duplicates_removed": None if deduplicated is None else initial - deduplicated,
     }

@@ -20,7 +20,7 @@ def _drop_layers(spark):
 
 def test_month_job_end_to_end(spark, tmp_path):
     _drop_layers(spark)
-    job = MonthJob(warehouse=str(tmp_path / "wh"))
+    job = MonthJob(warehouse=str(tmp_path / "wh"), count_duplicates=True)
     out = build_month(spark, job, raw=raw_trips(spark, SF0001), zones=raw_zones(spark, SF0001))
     assert out["audit"] == {
         "initial_rows": 1030, "clean_rows": 962, "dropped_rows": 68,
@@ -171,3 +171,23 @@ def test_entry_point_reads_landed_files(spark, tmp_path):
     assert out["audit"]["initial_rows"] == 1030 and out["audit"]["clean_rows"] == 962
     assert out["load"]["zones_loaded"] == 25
     assert all(t["failing_rows"] == 0 for t in out["tests"])
+
+
+def test_default_month_job_pushes_rules_into_the_scan(spark, tmp_path):
+    """Without the duplicate count, the key-only rules reach the Parquet scan of the landing."""
+    from fareline.operators import cleanse as C
+    from fareline.plans.explain import plan_text
+
+    landing = str(tmp_path / "raw")
+    raw_trips(spark, SF0001).write.parquet(landing)
+    _drop_layers(spark)
+    out = build_month(spark, MonthJob(warehouse=str(tmp_path / "wh"), raw_path=landing),
+                      zones=raw_zones(spark, SF0001))
+    assert out["audit"]["clean_rows"] == 962 and out["audit"]["duplicates_removed"] is None
+    # the frame the job writes, built the same way: filters are pushed into the scan
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+
+    frame = C.finish(C.rule_filter(C.with_measures(C.dedup_raw(spark.read.parquet(landing))), C.RULE_NAMES, 2024, 1))
+    plan = plan_text(frame.observe(Observation("c"), F.count(F.lit(1))))
+    assert "GreaterThanOrEqual(tpep_pickup_datetime" in plan

@@ -28,6 +28,7 @@ CHECKS = [
     ("TakeOrderedAndProject for top-k", r"TakeOrderedAndProject"),
     ("no CartesianProduct / nested-loop join", r"CartesianProduct|BroadcastNestedLoopJoin"),
     ("no Python UDF", r"BatchEvalPython|ArrowEvalPython"),
+    ("metrics collected after the exchange (result stage)", r"CollectMetrics"),
 ]
 
 
@@ -42,8 +43,15 @@ def main():
     spark.sparkContext.setCheckpointDir(f"{scratch}/checkpoint")
     landing = f"{scratch}/raw"
     raw_trips(spark, sf_dir).write.parquet(landing)  # a real Parquet landing, so scan pushdown shows
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+
+    observed = C.finish(
+        C.rule_filter(C.with_measures(C.dedup_raw(spark.read.parquet(landing))), C.RULE_NAMES, 2024, 1)
+    ).observe(Observation("c"), F.count(F.lit(1)), F.sum("total_amount"))
     sections = {
         "cleanse over a Parquet landing (O-20..O-33)": C.cleanse(spark.read.parquet(landing)),
+        "month job clean write frame (load KPIs observed in the result stage)": observed,
         "fct_trips (O-50..O-63)": QUERIES["fct_trips"](spark, sf_dir),
         "report_top5_boroughs (O-64, O-74, O-78)": QUERIES["report_top5_boroughs"](spark, sf_dir),
         "audit_metrics (O-72, O-73)": QUERIES["audit_metrics"](spark, sf_dir),
