@@ -25,6 +25,7 @@ from fareline.operators import cleanse as C
 from fareline.operators import models as M
 from fareline.operators import quality as Q
 from fareline.operators import reports as R
+from fareline.session import job_description
 from fareline.schemas import (
     CALENDAR_END,
     CALENDAR_START,
@@ -211,10 +212,12 @@ def build_month(
     zones: DataFrame | None = None,
 ) -> dict:
     """O-90: run one month end to end. Returns audit, load metrics and the 40 test results."""
+    tag = f"fareline {job.year:04d}-{job.month:02d}"
     sinks.create_layer_schemas(spark, location=job.warehouse)
     audit, load = None, None
     if job.from_layer == "raw":
-        audit, load = cleanse_and_load(spark, job, raw)
+        with job_description(spark, f"{tag}: cleanse and load"):
+            audit, load = cleanse_and_load(spark, job, raw)
     elif not spark.catalog.tableExists(table_name("raw", "trips")):
         raise ValueError("from_layer='clean' needs an existing raw.trips table")
     if zones is None:
@@ -222,9 +225,11 @@ def build_month(
     zones_loaded = 0
     if zones is not None:
         o_zones = Observation("zones")
-        sinks.replace_table(
-            zones.observe(o_zones, F.count(F.lit(1)).alias("rows")), table_name("raw", "zones"), job.path("raw", "zones")
-        )
+        with job_description(spark, f"{tag}: load zones"):
+            sinks.replace_table(
+                zones.observe(o_zones, F.count(F.lit(1)).alias("rows")), table_name("raw", "zones"),
+                job.path("raw", "zones"),
+            )
         zones_loaded = o_zones.get["rows"]
     elif not spark.catalog.tableExists(table_name("raw", "zones")):
         raise ValueError("no zone lookup given and no raw.zones table to keep")
@@ -232,8 +237,10 @@ def build_month(
         load = R.kpi_load(_month(spark.table(table_name("raw", "trips")), job)).first().asDict()
     load = {"trips_loaded": load["trips_loaded"], "zones_loaded": zones_loaded, **{
         k: load[k] for k in ("total_revenue", "avg_distance", "avg_duration")}}
-    frames = build_models(spark, job)
-    tests = [r.asDict() for r in Q.summary(frames).collect()]  # 40 rows, one per rule
+    with job_description(spark, f"{tag}: build models"):
+        frames = build_models(spark, job)
+    with job_description(spark, f"{tag}: data tests"):
+        tests = [r.asDict() for r in Q.summary(frames).collect()]  # 40 rows, one per rule
     failed = [t for t in tests if t["failing_rows"] > 0]
     if failed and job.fail_on_test_error:
         names = ", ".join(f"{t['rule_id']}={t['failing_rows']}" for t in failed)

@@ -8,6 +8,7 @@ tests) a private folder is created and registered as the checkpoint dir.
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 
@@ -56,3 +57,19 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared dir for one run of ``name``."""
     return f"{shared_dir(spark)}/fareline/{name}-{uuid.uuid4().hex[:12]}"
+
+
+@contextlib.contextmanager
+def job_description(spark: SparkSession, text: str):
+    """Label the Spark jobs started inside the block (shown in event logs and history UIs)."""
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext, nothing to label
+        sc = None
+    if sc is not None:
+        sc.setJobDescription(text)
+    try:
+        yield
+    finally:
+        if sc is not None:
+            sc.setJobDescription(None)
