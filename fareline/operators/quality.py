@@ -26,7 +26,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fareline.functions.sql import quote, sql_literal
-from fareline.operators.lookups import MAX_BROADCAST_ROWS, maybe_broadcast, orphans
+from fareline.operators.lookups import MAX_BROADCAST_ROWS, fits_broadcast, maybe_broadcast, orphans
+from fareline.session import shared_dir
 from fareline.schemas import PAYMENT_METHODS, TIME_OF_DAY_SEGMENTS
 
 
@@ -236,9 +237,54 @@ def _relationship_count(rule: Rule, frames: dict[str, DataFrame], max_rows: int)
     return _count_frame(rule, missing, "sum(__rows)")
 
 
+def _unique_counts(frames, rules: list[Rule], max_rows: int) -> list[DataFrame]:
+    """Failing-value counts of all unique rules, exact, shuffling 64-bit hashes instead of values.
+
+    Phase 1: one shuffle of (rule, xxhash64(value)) for every unique rule at once;
+    hash groups seen more than once are the candidates (true duplicates plus rare
+    hash collisions). It is checkpointed to the shared folder (tiny result, one
+    run). No candidates means every rule passes and nothing else runs. Otherwise
+    phase 2 keeps only rows whose hash is a candidate (size-checked broadcast semi
+    join, no shuffle of the data) and groups the exact values, so a collision never
+    counts as a duplicate. Too many candidates: exact grouping by value per rule.
+    """
+    tagged = None
+    for r in rules:
+        c = quote(r.column)
+        part = frames[r.model].where(f"{c} IS NOT NULL").select(
+            F.lit(r.rule_id).alias("__rule"), F.expr(f"xxhash64({c}) AS __h")
+        )
+        tagged = part if tagged is None else tagged.unionByName(part)
+    candidates = (
+        tagged.groupBy("__rule", "__h").agg(F.expr("count(1) AS __n")).where("__n > 1").select("__rule", "__h")
+    )
+    shared_dir(tagged.sparkSession)  # checkpoint() writes to the shared checkpoint folder
+    candidates = candidates.checkpoint(eager=True)
+    n = candidates.limit(max_rows + 1).count()
+    if n == 0:
+        spark = tagged.sparkSession
+        return [spark.range(1).selectExpr(f"inline(array({_summary_row_sql(r, '0')}))") for r in rules]
+    if n > max_rows or not fits_broadcast(candidates, max_rows):
+        return [_count_frame(r, unique_violations(frames[r.model], r.column), "count(1)") for r in rules]
+    out = []
+    for r in rules:
+        c = quote(r.column)
+        hashes = F.broadcast(candidates.where(F.col("__rule") == r.rule_id).select("__h"))
+        keyed = frames[r.model].where(f"{c} IS NOT NULL").select(
+            F.expr(f"{c} AS unique_field"), F.expr(f"xxhash64({c}) AS __h")
+        )
+        hits = keyed.join(hashes, "__h", "left_semi")
+        dupes = hits.groupBy("unique_field").agg(F.expr("count(1) AS n_records")).where("n_records > 1")
+        out.append(_count_frame(r, dupes, "count(1)"))
+    return out
+
+
 def summary(frames: dict[str, DataFrame], rules: Sequence[Rule] = RULES, max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """O-87: one row per rule: rule_id, model, column_name, test, failing_rows, status."""
     parts: list[DataFrame] = []
+    unique_rules = [r for r in rules if r.test == "unique"]
+    if unique_rules:
+        parts.extend(_unique_counts(frames, unique_rules, max_broadcast_rows))
     models = list(dict.fromkeys(r.model for r in rules))
     for model in models:
         mine = [r for r in rules if r.model == model]
@@ -246,9 +292,7 @@ def summary(frames: dict[str, DataFrame], rules: Sequence[Rule] = RULES, max_bro
         if row_level:
             parts.append(_row_level_counts(frames[model], row_level))
         for r in mine:
-            if r.test == "unique":
-                parts.append(_count_frame(r, unique_violations(frames[model], r.column), "count(1)"))
-            elif r.test == "accepted_values":
+            if r.test == "accepted_values":
                 parts.append(
                     _count_frame(r, accepted_values_violations(frames[model], r.column, r.values), "count(1)")
                 )

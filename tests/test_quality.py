@@ -86,3 +86,31 @@ def test_not_null_rules_share_one_pass(spark, seed):
     rules = [r for r in Q.RULES if r.model == "fct_trips" and r.test == "not_null"]
     plan = plan_text(Q.summary(seed, rules))
     assert plan.count("Exchange SinglePartition") <= 2  # one global aggregate for all ten rules
+
+
+def _unique_rows(df):
+    return {r["rule_id"]: r["failing_rows"] for r in df.collect()}
+
+
+@pytest.mark.parametrize("bound", [100_000, 1])  # hash-first with phase 2; exact fallback
+def test_summary_unique_hash_first_is_exact(spark, seed, bound):
+    fct = seed["fct_trips"]
+    dup = fct.unionByName(fct.limit(2)).unionByName(fct.limit(1))  # two values repeated
+    nulls = fct.withColumn("trip_id", F.lit(None).cast("string"))
+    frames = dict(seed.items()) if isinstance(seed, dict) else seed
+    frames = {**frames, "fct_trips": dup, "int_trips_enriched": nulls}
+    rules = [r for r in Q.RULES if r.test == "unique"]
+    got = _unique_rows(Q.summary(frames, rules, max_broadcast_rows=bound))
+    assert got["unique_fct_trips_trip_id"] == 2
+    assert got["unique_int_trips_enriched_trip_id"] == 0  # NULLs are not duplicates
+    assert got["unique_stg_trips_trip_id"] == 0 and got["unique_dim_zones_location_id"] == 0
+
+
+def test_summary_unique_without_candidates_skips_second_pass(spark, seed):
+    from fareline.plans.explain import plan_text
+
+    rules = [r for r in Q.RULES if r.test == "unique"]
+    out = Q.summary(seed, rules)
+    # phase 1 ran once, eagerly; with no candidate hashes the result is constant rows
+    assert "xxhash64" not in plan_text(out, "extended")
+    assert _unique_rows(out) == {r.rule_id: 0 for r in rules}
