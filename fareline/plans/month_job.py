@@ -195,6 +195,9 @@ def build_models(spark: SparkSession, job: MonthJob) -> dict[str, DataFrame]:
     return frames
 
 
+# Month-partitioned tables of the job (the others are replaced whole).
+MONTH_TABLES = [("raw", "trips"), ("staging", "stg_trips"), ("marts", "fct_trips")]
+
 CONTRACTS = {
     "stg_trips": STG_TRIPS,
     "stg_zones": STG_ZONES,
@@ -237,6 +240,9 @@ def build_month(
         load = R.kpi_load(_month(spark.table(table_name("raw", "trips")), job)).first().asDict()
     load = {"trips_loaded": load["trips_loaded"], "zones_loaded": zones_loaded, **{
         k: load[k] for k in ("total_revenue", "avg_distance", "avg_duration")}}
+    if load["trips_loaded"] == 0:  # nothing loaded for the month: clear what earlier runs left
+        for layer, name in MONTH_TABLES:
+            sinks.empty_month(spark, table_name(layer, name), job.year, job.month)
     with job_description(spark, f"{tag}: build models"):
         frames = build_models(spark, job)
     with job_description(spark, f"{tag}: data tests"):

@@ -15,8 +15,11 @@ Overwrite modes:
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from fareline.schemas import LAYERS
 
@@ -76,6 +79,27 @@ def write_month_table(df: DataFrame, table: str, path: str, year: int, month: in
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
 
 
+def empty_month(spark: SparkSession, table: str, year: int, month: int) -> None:
+    """Make one month partition empty (its files are replaced by nothing).
+
+    Dynamic partition overwrite only replaces partitions that receive rows, so a
+    re-run that produces no rows for its month would otherwise leave the previous
+    run's rows in place. A static-partition INSERT OVERWRITE of an empty query
+    clears exactly that partition.
+    """
+    if not spark.catalog.tableExists(table):
+        return
+    schema = T.StructType([f for f in spark.table(table).schema.fields if f.name not in PARTITION_COLUMNS])
+    view = f"__fareline_empty_{uuid.uuid4().hex[:8]}"
+    spark.createDataFrame([], schema).createOrReplaceTempView(view)
+    try:
+        spark.sql(
+            f"INSERT OVERWRITE TABLE {table} PARTITION (year={int(year)}, month={int(month)}) SELECT * FROM {view}"
+        )
+    finally:
+        spark.catalog.dropTempView(view)
+
+
 def create_view(df: DataFrame, name: str) -> None:
     """O-14: staging models are views (lazy; recomputed by each reader)."""
     df.createOrReplaceTempView(name)

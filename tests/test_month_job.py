@@ -191,3 +191,15 @@ def test_default_month_job_pushes_rules_into_the_scan(spark, tmp_path):
     frame = C.finish(C.rule_filter(C.with_measures(C.dedup_raw(spark.read.parquet(landing))), C.RULE_NAMES, 2024, 1))
     plan = plan_text(frame.observe(Observation("c"), F.count(F.lit(1))))
     assert "GreaterThanOrEqual(tpep_pickup_datetime" in plan
+
+
+def test_rerun_with_no_clean_rows_empties_the_month(spark, tmp_path):
+    _drop_layers(spark)
+    job = MonthJob(warehouse=str(tmp_path / "wh"), fail_on_test_error=False)
+    raw = raw_trips(spark, SF0001)
+    build_month(spark, job, raw=raw, zones=raw_zones(spark, SF0001))
+    assert spark.table(table_name("marts", "fct_trips")).where("year = 2024 AND month = 1").count() == 953
+    out = build_month(spark, job, raw=raw.limit(0), zones=raw_zones(spark, SF0001))
+    assert out["audit"]["clean_rows"] == 0
+    for layer, name in [("raw", "trips"), ("staging", "stg_trips"), ("marts", "fct_trips")]:
+        assert spark.table(table_name(layer, name)).where("year = 2024 AND month = 1").count() == 0, name
