@@ -28,3 +28,17 @@ def test_landing_stream_runs_each_month_once(spark, tmp_path):
     assert [(r["year"], r["month"]) for r in q2.results] == [(2023, 12)]
     months = {(r[0], r[1]) for r in spark.table(table_name("marts", "fct_trips")).select("year", "month").distinct().collect()}
     assert months == {(2023, 12), (2024, 1)}
+
+
+def test_two_months_in_one_batch(spark, tmp_path):
+    for db in ("raw", "staging", "intermediate", "marts"):
+        spark.sql(f"DROP DATABASE IF EXISTS `{db}` CASCADE")
+    landing = tmp_path / "landing"
+    raw = raw_trips(spark, SF)
+    raw.write.parquet(str(landing / "yellow_tripdata_2024-01.parquet"))
+    raw.write.parquet(str(landing / "yellow_tripdata_2023-12.parquet"))
+    job = MonthJob(warehouse=str(tmp_path / "wh"), fail_on_test_error=False)
+    q = start(spark, str(landing), job, str(tmp_path / "ckpt"), TRIPS_RAW, zones=raw_zones(spark, SF))
+    q.awaitTermination(300)
+    assert sorted((r["year"], r["month"]) for r in q.results) == [(2023, 12), (2024, 1)]
+    assert [r["clean_rows"] for r in sorted(q.results, key=lambda r: (r["year"], r["month"]))][1] == 962
