@@ -10,11 +10,13 @@ generic-test semantics:
 * ``expression``        rows matching a singular-test predicate, with chosen columns
 
 ``summary`` evaluates every rule with as few passes as possible: all row-level
-rules (not_null, expression) of one model share ONE global aggregate; unique and
-accepted_values pre-aggregate per value (partial aggregation before the
-shuffle, so a hot value never piles up in one task); relationships pre-aggregate
-the child key before the anti join, so the join input is bounded by the number
-of distinct keys, not by the fact size.
+rules (not_null, expression) of one model share ONE global aggregate;
+accepted_values pre-aggregates per value (partial aggregation before the shuffle,
+so a hot value never piles up in one task); all unique rules share one shuffle of
+64-bit hashes and only repeated hashes are checked against the real values
+(``_unique_counts``); relationships pre-aggregate the child key before the anti
+join, so the join input is bounded by the number of distinct keys, not by the
+fact size.
 """
 
 from __future__ import annotations
