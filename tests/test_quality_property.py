@@ -57,12 +57,13 @@ def brute(fact, dim):
 
 
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(fact_st, dim_st)
-def test_summary_matches_brute_force(spark, fact, dim):
+@given(fact_st, dim_st, st.sampled_from([100_000, 1]))  # broadcast paths; shuffle / exact fallbacks
+def test_summary_matches_brute_force(spark, fact, dim, bound):
     fct = spark.createDataFrame(fact, "trip_id string, pickup_location_id int, payment_method string")
     zones = spark.createDataFrame(dim, "location_id int, borough string").selectExpr(
         "location_id", "borough", "'z' AS zone_name"
     )
     rules = [Q.RULES_BY_ID[r] for r in RULE_IDS]
-    got = {r["rule_id"]: r["failing_rows"] for r in Q.summary({"fct_trips": fct, "dim_zones": zones}, rules).collect()}
+    frames = {"fct_trips": fct, "dim_zones": zones}
+    got = {r["rule_id"]: r["failing_rows"] for r in Q.summary(frames, rules, max_broadcast_rows=bound).collect()}
     assert got == brute(fact, dim)
