@@ -71,6 +71,8 @@ def write_month_table(df: DataFrame, table: str, path: str, year: int, month: in
         return
     if mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
+    # insertInto ignores a per-write partitionOverwriteMode option, so the session setting is
+    # switched for this write and restored after it (one month job per session at a time).
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
