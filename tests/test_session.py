@@ -4,8 +4,9 @@ from fareline.session import job_description, scratch_path, shared_dir
 
 
 def test_shared_dir_uses_the_configured_checkpoint_folder(spark):
-    configured = spark.sparkContext.getCheckpointDir()
-    assert configured  # conftest sets one, as a cluster would
+    # the session's spark.checkpoint.dir wins; else the SparkContext's checkpoint dir
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    assert configured
     assert shared_dir(spark) == configured.rstrip("/")
     a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert a != b and a.startswith(shared_dir(spark) + "/fareline/x-")
