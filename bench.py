@@ -24,8 +24,8 @@ import json
 import os
 import re
 import sys
-import tempfile
 import time
+import uuid
 
 ROOT = os.path.dirname(os.path.abspath(__file__))
 sys.path.insert(0, ROOT)
@@ -51,21 +51,22 @@ def main() -> None:
     from fareline.operators import reports as R
     from fareline.plans.catalog import QUERIES
     from fareline.plans.month_job import MonthJob, build_month
-    from fareline.session import build_session
+    from fareline.session import build_session, shared_dir
     from fareline.sources.testdata import raw_trips, raw_zones
 
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     headline_repeat = int(os.environ.get("BENCH_HEADLINE_REPEAT", "5"))
-    scratch = tempfile.mkdtemp(prefix="fareline-bench-")
     spark = build_session(
         master=f"local[{cpus}]",
         shuffle_partitions=cpus,
         app="fareline-bench",
-        extra={"spark.driver.memory": "8g", "spark.sql.warehouse.dir": f"{scratch}/warehouse"},
+        extra={"spark.driver.memory": "8g"},
     )
-    spark.sparkContext.setCheckpointDir(f"{scratch}/checkpoint")
+    # month-job warehouses go under the session's shared checkpoint folder (a private one
+    # only if none is configured); every database and table gets an explicit location there
+    scratch = f"{shared_dir(spark)}/fareline-bench-{uuid.uuid4().hex[:12]}"
 
     def run(name: str) -> float:
         t = time.perf_counter()

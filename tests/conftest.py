@@ -13,7 +13,7 @@ SF001 = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    from fareline.session import build_session
+    from fareline.session import build_session, shared_dir
 
     scratch = tempfile.mkdtemp(prefix="fareline-tests-")
     s = build_session(
@@ -22,7 +22,7 @@ def spark():
         app="fareline-tests",
         extra={"spark.sql.warehouse.dir": f"{scratch}/warehouse"},
     )
-    s.sparkContext.setCheckpointDir(f"{scratch}/checkpoint")
+    shared_dir(s)  # the session's checkpoint folder; a private one only if none is configured
     yield s
     s.stop()
 

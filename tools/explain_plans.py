@@ -17,7 +17,7 @@ from fareline.operators import reports as R  # noqa: E402
 from fareline.plans.catalog import QUERIES  # noqa: E402
 from fareline.plans.explain import plan_text  # noqa: E402
 from fareline.plans.month_job import MonthJob, build_month  # noqa: E402
-from fareline.session import build_session  # noqa: E402
+from fareline.session import build_session, shared_dir  # noqa: E402
 from fareline.sources.testdata import raw_trips, raw_zones  # noqa: E402
 
 CHECKS = [
@@ -40,7 +40,7 @@ def main():
     sf_dir, out = sys.argv[1], sys.argv[2]
     scratch = tempfile.mkdtemp(prefix="fareline-plans-")
     spark = build_session(extra={"spark.sql.warehouse.dir": f"{scratch}/warehouse"})
-    spark.sparkContext.setCheckpointDir(f"{scratch}/checkpoint")
+    shared_dir(spark)
     landing = f"{scratch}/raw"
     raw_trips(spark, sf_dir).write.parquet(landing)  # a real Parquet landing, so scan pushdown shows
     from pyspark.sql import Observation

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from fareline.operators import reports as R  # noqa: E402
 from fareline.plans.month_job import MonthJob, build_month  # noqa: E402
-from fareline.session import build_session  # noqa: E402
+from fareline.session import build_session, shared_dir  # noqa: E402
 from fareline.sources.testdata import raw_trips_from_events, raw_zones  # noqa: E402
 
 
@@ -30,7 +30,7 @@ def main():
         master=f"local[{cpus}]", shuffle_partitions=cpus * 4, app="fareline-scale",
         extra={"spark.driver.memory": "16g", "spark.sql.warehouse.dir": f"{scratch}/warehouse"},
     )
-    spark.sparkContext.setCheckpointDir(f"{scratch}/checkpoint")
+    shared_dir(spark)
     ev = spark.read.parquet(f"{sf_dir}/events.parquet")
     stride = 1_000_003  # odd and coprime to the mapping's moduli: replicas get new keys
     rep_path = f"{scratch}/events_x{n}_32"
