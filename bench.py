@@ -6,7 +6,7 @@ Headline value (like the reference's published figures: build and test the
 warehouse, then run the analytical reports over it):
 
 * ``month_job``: the whole month job (cleanse, load, models, 40 data tests)
-  writing its tables to a fresh scratch folder;
+  writing its tables to a fresh folder under the session's checkpoint folder;
 * ``mart_report_*``: the three headline reports over the marts it persisted
   (collected to the driver: at most five rows each).
 
