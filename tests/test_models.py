@@ -169,3 +169,15 @@ def test_segments_partition_the_fact(spark):
     assert sum(seg.values()) == fct.count() == 6137
     assert seg == {"Morning Rush": 735, "Midday": 1505, "Evening Rush": 1075, "Night": 1082,
                    "Late Night / Early Morning": 1740}
+
+
+def test_enrichment_same_rows_with_and_without_broadcast(spark):
+    from fareline.operators.cleanse import cleanse
+    from fareline.sources.testdata import raw_trips, raw_zones
+
+    d = "/root/testdata/sf0.01"
+    stg = M.stg_trips(cleanse(raw_trips(spark, d)))
+    zones = M.stg_zones(raw_zones(spark, d))
+    a = M.int_trips_enriched(stg, zones)
+    b = M.int_trips_enriched(stg, zones, max_broadcast_rows=1)  # over the bound: planner decides
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0 and a.count() == 6137
