@@ -186,8 +186,7 @@ def encode_documents(docs: DataFrame, model: str, id_col: str = "doc_id", text_c
                 part = batch.slice(at, 256)
                 n_tokens, left, right = [], [], []
                 for text in part.column(1):
-                    body, decimals = enc.encode(text.as_py() or "")
-                    ids = np.append(body, np.uint32(enc.model.eos))
+                    ids = np.append(enc.encode(text.as_py() or ""), np.uint32(enc.model.eos))
                     decoded = enc.decode(ids)
                     n_tokens.append(len(ids))
                     if digest:
