@@ -20,6 +20,15 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op2_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fareline.llm.records import read_digests, write_records
+    from fareline.session import scratch_path
+
+    path = scratch_path(spark, "token_records")
+    write_records(_documents(spark, sf_dir), path, tokenizer_path(BYTE_MODEL), end_id=0)
+    return read_digests(spark, path).withColumnRenamed("id", "doc_id")
+
+
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fareline.llm.piece_encode import encode_documents
 
@@ -33,6 +42,7 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_token_records": op2_token_records,
     "op3_sentencepiece": op3_sentencepiece,
     "op8_token_counts": op8_token_counts,
 }
