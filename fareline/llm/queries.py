@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 PIECE_MODEL = "piece_bpe_32k.model"
 BYTE_MODEL = "byte_bpe_50k.json"
@@ -20,6 +21,24 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fareline.llm.license_templates import scan_licenses
+
+    return scan_licenses(_documents(spark, sf_dir))
+
+
+def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fareline.llm.mixing import mix_documents, with_sizes
+    from fareline.session import scratch_path
+
+    docs = _documents(spark, sf_dir).select("doc_id", "source", "text")
+    path = scratch_path(spark, "mix_sizes")
+    with_sizes(docs, "doc_id", "text", "source").select("_id", "_source", "_size", "_u").write.parquet(path)
+    sized = spark.read.parquet(path)
+    mixed = mix_documents(docs, sized)
+    return mixed.select("doc_id", F.col("_size").alias("size"), "source_size", "target", (F.col("_copies") * F.col("_size")).alias("taken"))
+
+
 def op2_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fareline.llm.records import read_digests, write_records
     from fareline.session import scratch_path
@@ -42,8 +61,10 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_license_scan": op1_license_scan,
     "op2_token_records": op2_token_records,
     "op3_sentencepiece": op3_sentencepiece,
+    "op7_source_mix": op7_source_mix,
     "op8_token_counts": op8_token_counts,
 }
 
