@@ -41,43 +41,46 @@ def with_sizes(docs: DataFrame, id_col: str, text_col: str, source_col: str) ->
 
 
 def targets(sized: DataFrame, weights=WEIGHTS, growth: float = GROWTH, most: int = MOST_COPIES) -> DataFrame:
-    """One row per source: _source, source_size, n_docs, target.
+    """One row per source: _source, _source_size, _n_docs, _target.
 
     The share per weight unit rises until the targets sum to ``growth`` times the input (or every
     source is at its cap): sources are capped in the order of cap / weight. Null is a source of its
     own and comes last.
     """
-    per = sized.groupBy("_source").agg(F.sum("_size").alias("source_size"), F.count(F.lit(1)).alias("n_docs"))
+    per = sized.groupBy("_source").agg(F.sum("_size").alias("_source_size"), F.count(F.lit(1)).alias("_n_docs"))
     # from here on one row per source
     order = Window.orderBy(F.col("_source").asc_nulls_last())
     weight = F.element_at(F.array(*(F.lit(float(w)) for w in weights)), (F.row_number().over(order) - 1) % len(weights) + 1)
-    per = per.withColumn("w", weight).withColumn("cap", F.col("source_size") * F.lit(float(most)))
+    per = per.withColumn("w", weight).withColumn("cap", F.col("_source_size") * F.lit(float(most)))
     total = Window.partitionBy()
     before = Window.orderBy(F.col("cap") / F.col("w"), F.col("_source").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
-    per = per.withColumn("goal", F.sum("source_size").over(total) * F.lit(growth))
+    per = per.withColumn("goal", F.sum("_source_size").over(total) * F.lit(growth))
     per = per.withColumn("capped", F.coalesce(F.sum("cap").over(before), F.lit(0.0))).withColumn("w_left", F.sum("w").over(total) - F.coalesce(F.sum("w").over(before), F.lit(0.0)))
     level = (F.col("goal") - F.col("capped")) / F.col("w_left")  # if the sources before are at their caps
     per = per.withColumn("open", F.when(F.col("w") * level < F.col("cap"), level))
     # the level of the first source that stays below its cap holds for all after it
     first_open = F.min(F.when(F.col("open").isNotNull(), F.struct((F.col("cap") / F.col("w")).alias("r"), "open"))).over(total)
     per = per.withColumn("level", first_open["open"])
-    return per.select("_source", "source_size", "n_docs", F.when(F.col("level").isNull(), F.col("cap")).otherwise(F.least(F.col("cap"), F.col("level") * F.col("w"))).alias("target"))
+    return per.select("_source", "_source_size", "_n_docs", F.when(F.col("level").isNull(), F.col("cap")).otherwise(F.least(F.col("cap"), F.col("level") * F.col("w"))).alias("_target"))
 
 
 def _rank(sized: DataFrame, per: DataFrame, tilt: float) -> DataFrame:
     """Adds whole copies, the words left to fill, and the ranking variable with its bucket."""
-    rows = sized.join(per, sized["_source"].eqNullSafe(per["_source"]), "left").drop(per["_source"])
-    ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    rows = rows.withColumn("_whole", F.floor(ratio)).withColumn("_rest", F.col("target") - F.col("_whole") * F.col("source_size"))
+    per = per.withColumnRenamed("_source", "_of")
+    rows = sized.join(per, F.col("_source").eqNullSafe(F.col("_of")), "left").drop("_of")
+    ratio = F.when(F.col("_source_size") > 0, F.col("_target") / F.col("_source_size")).otherwise(F.lit(0.0))
+    rows = rows.withColumn("_whole", F.floor(ratio)).withColumn("_rest", F.col("_target") - F.col("_whole") * F.col("_source_size"))
     f = F.greatest(F.lit(1e-9), F.least(F.lit(1 - 1e-9), ratio - F.col("_whole")))
-    mean = F.col("source_size") / F.col("n_docs")
+    mean = F.col("_source_size") / F.col("_n_docs")
     odds = f / (1 - f) * F.pow(mean / F.greatest(F.col("_size"), F.lit(1)), F.lit(tilt))
     rows = rows.withColumn("_q", F.col("_u") / (1 - F.col("_u")) / odds)
     return rows.withColumn("_bucket", F.floor(F.col("_q") / (1 + F.col("_q")) * BUCKETS))
 
 
 def mix_documents(docs: DataFrame, sized: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=WEIGHTS, growth: float = GROWTH, most: int = MOST_COPIES, tilt: float = TILT) -> DataFrame:
-    """``docs`` with _size, source_size, target and _copies (how often the mix takes the row).
+    """``docs`` with _size, _source_size, _target and _copies (how often the mix takes the row).
+
+    Other columns of ``docs`` pass through; names with a leading underscore are reserved.
 
     ``sized``: the result of ``with_sizes`` without the text, stored by the caller so that sizes are
     counted once; by default it is derived again from ``docs``. Rows of equal id and size share a
@@ -95,15 +98,15 @@ def mix_documents(docs: DataFrame, sized: DataFrame | None = None, id_col: str =
     cut = sums.filter((F.col("_before") < F.col("_rest")) & (F.col("_before") + F.col("_n") >= F.col("_rest"))).select("_source", "_bucket", "_before")
     # order the rows of the one bucket per source that holds the cut
     c = cut.select(F.col("_source").alias("cs"), F.col("_bucket").alias("cb"), "_before")
-    near = ranked.join(c, ranked["_source"].eqNullSafe(c["cs"]) & (ranked["_bucket"] == c["cb"]))
+    near = ranked.join(c, F.col("_source").eqNullSafe(F.col("cs")) & (F.col("_bucket") == F.col("cb")))
     near = near.groupBy("cs", "cb", "_before", "_rest", "_q").agg(F.sum("_size").alias("_n"))
     within = Window.partitionBy("cs").orderBy("_q").rowsBetween(Window.unboundedPreceding, -1)
     near = near.withColumn("_have", F.col("_before") + F.coalesce(F.sum("_n").over(within), F.lit(0)))
     # taken if the total comes no farther from the rest than without it
     last = near.filter(F.col("_have") + F.col("_n") - F.col("_rest") <= F.col("_rest") - F.col("_have")).groupBy("cs").agg(F.max("_q").alias("_last_q"))
-    c2 = c.join(last.withColumnRenamed("cs", "ls"), F.col("cs").eqNullSafe(F.col("ls")), "left").select("cs", "cb", "_last_q")
-    per_all = per.join(c2, per["_source"].eqNullSafe(c2["cs"]), "left").drop("cs")
+    c2 = c.join(last.withColumnRenamed("cs", "ls"), F.col("cs").eqNullSafe(F.col("ls")), "left").select(F.col("cs").alias("_cs"), F.col("cb").alias("_cb"), "_last_q")
+    per_all = per.join(c2, F.col("_source").eqNullSafe(F.col("_cs")), "left").drop("_cs")
     out = _rank(rows, per_all, tilt)
-    extra = F.col("cb").isNotNull() & ((F.col("_bucket") < F.col("cb")) | ((F.col("_bucket") == F.col("cb")) & (F.col("_q") <= F.col("_last_q"))))
+    extra = F.col("_cb").isNotNull() & ((F.col("_bucket") < F.col("_cb")) | ((F.col("_bucket") == F.col("_cb")) & (F.col("_q") <= F.col("_last_q"))))
     out = out.withColumn("_copies", F.col("_whole") + F.when(extra, 1).otherwise(0))
-    return out.drop("_id", "_source", "_u", "_whole", "_rest", "_q", "_bucket", "cb", "_last_q", "n_docs")
+    return out.drop("_id", "_source", "_u", "_whole", "_rest", "_q", "_bucket", "_cb", "_last_q", "_n_docs")

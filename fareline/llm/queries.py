@@ -27,6 +27,17 @@ def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(_documents(spark, sf_dir))
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fareline.llm import adaptive_quality as Q
+    from fareline.session import scratch_path
+
+    path = scratch_path(spark, "quality_counts")  # the counts are read twice: for the sketches and for the verdict
+    Q.with_counts(_documents(spark, sf_dir).select("doc_id", "text", "lang", "source")).drop("text").write.parquet(path)
+    counted = spark.read.parquet(path)
+    out = Q.judge(counted, Q.fences(Q.sketches(counted, "lang", "source")))
+    return out.select("doc_id", *(F.col(f"q_{c}").alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")))
+
+
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fareline.llm.mixing import mix_documents, with_sizes
     from fareline.session import scratch_path
@@ -36,7 +47,7 @@ def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     with_sizes(docs, "doc_id", "text", "source").select("_id", "_source", "_size", "_u").write.parquet(path)
     sized = spark.read.parquet(path)
     mixed = mix_documents(docs, sized)
-    return mixed.select("doc_id", F.col("_size").alias("size"), "source_size", "target", (F.col("_copies") * F.col("_size")).alias("taken"))
+    return mixed.select("doc_id", F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), (F.col("_copies") * F.col("_size")).alias("taken"))
 
 
 def op2_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,12 +71,31 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_documents(_documents(spark, sf_dir), tokenizer_path(PIECE_MODEL), limit=4096)
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fareline.llm import toxicity as T
+
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    model = T.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    scored = T.score_documents(docs, model, keep=["doc_id"])
+    return scored.select("doc_id", T.held_out(F.col("doc_id")).alias("held_out"), F.col("_score").alias("score"), (F.col("_score") >= T.THRESHOLD).cast("int").alias("predicted"))
+
+
+def op10_masked_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fareline.llm import window_lm as L
+
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    return L.score_documents(docs, L.train(docs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_token_records": op2_token_records,
     "op3_sentencepiece": op3_sentencepiece,
+    "op4_quality_rules": op4_quality_rules,
     "op7_source_mix": op7_source_mix,
     "op8_token_counts": op8_token_counts,
+    "op9_toxicity": op9_toxicity,
+    "op10_masked_lm": op10_masked_lm,
 }
 
 #: DuckDB SQL where SQL can express the operator.
