@@ -71,6 +71,12 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_documents(_documents(spark, sf_dir), tokenizer_path(PIECE_MODEL), limit=4096)
 
 
+def op6_hilbert_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fareline.llm.hilbert_ann import search
+
+    return search(spark, spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("_id") % 100 == 0, k=10)
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fareline.llm import toxicity as T
 
@@ -92,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_records": op2_token_records,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_quality_rules": op4_quality_rules,
+    "op6_hilbert_ann": op6_hilbert_ann,
     "op7_source_mix": op7_source_mix,
     "op8_token_counts": op8_token_counts,
     "op9_toxicity": op9_toxicity,
