@@ -71,6 +71,12 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_documents(_documents(spark, sf_dir), tokenizer_path(PIECE_MODEL), limit=4096)
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fareline.llm.fragment_join import near_duplicates
+
+    return near_duplicates(spark, _documents(spark, sf_dir), n=4, percent=85)
+
+
 def op6_hilbert_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fareline.llm.hilbert_ann import search
 
@@ -98,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_token_records": op2_token_records,
     "op3_sentencepiece": op3_sentencepiece,
     "op4_quality_rules": op4_quality_rules,
+    "op5_jaccard_join": op5_jaccard_join,
     "op6_hilbert_ann": op6_hilbert_ann,
     "op7_source_mix": op7_source_mix,
     "op8_token_counts": op8_token_counts,
