@@ -1,7 +1,8 @@
 """Corpus pipeline: quality rules, toxicity, near duplicates, source mixing, piece encoding.
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read
-again as the next stage's docs. All but the last return the columns of ``documents``.
+again as the next stage's docs. All but the last return the columns of ``documents``; a column that
+a stage adds for itself never leaves it.
 """
 
 from __future__ import annotations
@@ -9,28 +10,63 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from fareline.llm import adaptive_quality, fragment_join, mixing, piece_encode, toxicity
 from fareline.llm.queries import PIECE_MODEL, tokenizer_path
+from fareline.session import scratch_path
 
+WORDS, PERCENT = 5, 80  # near duplicates: words in a shingle, similarity
 
-def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    from fareline.llm.piece_encode import encode_documents
 
-    return encode_documents(docs, tokenizer_path(PIECE_MODEL))
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the quality rules."""
+    return adaptive_quality.judge_documents(docs).filter("q_kept").select(docs.columns)
+
+
+def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose toxicity score is below the threshold; fitted on the labelled ones among them."""
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.score_documents(docs, model).filter(F.col("_score") < toxicity.THRESHOLD).select(docs.columns)
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates: the smallest id; one row of repeated ids."""
+    groups = fragment_join.near_duplicates(spark, docs, WORDS, PERCENT)
+    stay = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.count(F.lit(1)).alias("_rows"))
+    stay = stay.withColumnRenamed("doc_id", "_stays")
+    rows = docs.join(stay, docs["doc_id"].eqNullSafe(stay["_stays"]))
+    alone = rows.filter("_rows = 1").select(docs.columns)
+    return alone.unionByName(rows.filter("_rows > 1").select(docs.columns).dropDuplicates(["doc_id"]))
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them."""
+    path = scratch_path(spark, "mix_sizes")
+    mixing.with_sizes(docs, "doc_id", "text", "source").select("_id", "_source", "_size", "_u").write.parquet(path)
+    out = mixing.mix_documents(docs, spark.read.parquet(path)).filter("_copies > 0")
+    return out.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_copies")))).select(docs.columns)
+
+
+def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, ids and decoded text of every row."""
+    return piece_encode.encode_documents(docs, tokenizer_path(PIECE_MODEL))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("sentencepiece", encode),
+    ("quality", quality),
+    ("toxicity", not_toxic),
+    ("near_duplicates", one_of_each),
+    ("mix", mixed),
+    ("sentencepiece", encoded),
 ]
 
-#: None: the toxicity and tokenizer stages have no SQL form; tests hold them against brute force.
+#: None: SQL has neither the classifier nor the tokenizer; tests hold every stage against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each stage's rows are written to the shared folder and read again."""
-    from fareline.session import scratch_path
-
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     base = scratch_path(spark, "pipeline")
     for k, (name, stage) in enumerate(STAGES):
