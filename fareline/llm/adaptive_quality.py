@@ -101,8 +101,9 @@ def lowest(b: Column) -> Column:
 def sketches(counted: DataFrame, lang_col: str, source_col: str) -> DataFrame:
     """One row per language, source, share and bucket: n documents that pass the base rules."""
     pairs = F.explode(F.array(*(F.struct(F.lit(m).alias("share"), bucket(F.col(f"q_{m}")).alias("b")) for m in MARGINS)))
-    ok = counted.filter(~F.col("q_base_failed")).select(F.col(lang_col).alias("lang"), F.col(source_col).alias("source"), pairs.alias("x"))
-    return ok.groupBy("lang", "source", F.col("x.share").alias("share"), F.col("x.b").alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    # counted conditionally: a filter would be pushed below the projections and repeat their work
+    ok = counted.select(F.col(lang_col).alias("lang"), F.col(source_col).alias("source"), (~F.col("q_base_failed")).cast("long").alias("ok"), pairs.alias("x"))
+    return ok.groupBy("lang", "source", F.col("x.share").alias("share"), F.col("x.b").alias("b")).agg(F.sum("ok").alias("n")).filter("n > 0")
 
 
 def _fences(sketch: DataFrame, keys: list[str], spread: int) -> DataFrame:
@@ -135,7 +136,8 @@ def judge(counted: DataFrame, limits: DataFrame, lang_col: str = "lang", source_
     beyond = F.lit(False)
     for m in MARGINS:
         beyond = beyond | F.coalesce(F.col(f"q_{m}") > F.col(f"q_fence_{m}"), F.lit(False))
-    return out.withColumn("q_kept", ~F.col("q_base_failed") & ~beyond).drop("q_l", "q_s", *(f"q_fence_{m}" for m in MARGINS))
+    # one expression over both sides of the join, which no filter on it can take apart and push down
+    return out.withColumn("q_kept", F.when(beyond, False).otherwise(~F.col("q_base_failed"))).drop("q_l", "q_s", *(f"q_fence_{m}" for m in MARGINS))
 
 
 def judge_documents(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source", limits: DataFrame | None = None) -> DataFrame:
