@@ -2,13 +2,12 @@
 
 The pre-tokenizer never joins the end of one word with the space before the next, so a text without
 double white space is encoded word by word, each with its leading space. New words go through the
-library in strings of many words; a worker keeps the ids of frequent ones. Other texts go through
-the library whole.
+library in strings of many words; a worker keeps the ids of frequent ones, in two generations. Other
+texts go through the library whole.
 """
 
 from __future__ import annotations
 
-import re
 from functools import lru_cache
 from itertools import pairwise
 
@@ -16,11 +15,9 @@ import numpy as np
 
 from fareline.llm.cache import Generations
 
-WORDS_CACHED = 500_000  # words whose ids a Python worker remembers, twice at most
+WORDS_CACHED = 400_000  # words whose ids a Python worker remembers, twice at most
 WORDS_JOINED = 256  # new words encoded in one string
 
-_WIDE_SPACE = re.compile(r"\s\s|^\s|\s$")
-
 
 class ByteEncoder:
     def __init__(self, path: str):
@@ -31,7 +28,8 @@ class ByteEncoder:
 
         self.lib = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self.lib.get_vocab_size() <= 1 << 16 else "<u4")
-        self.words = Generations(lambda w: self._whole(" " + w), WORDS_CACHED)
+        self.words: dict[str, bytes] = {}  # with a leading space; the younger generation
+        self.old: dict[str, bytes] = {}
         self.parts = Generations(self._whole, WORDS_CACHED // 10)
 
     def _pack(self, ids) -> bytes:
@@ -52,43 +50,45 @@ class ByteEncoder:
             out |= {w: ids[a:b].tobytes() for w, (a, b) in zip(some, pairwise(ends.tolist()))}
         return out
 
-    def encode_batch(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian numbers of ``dtype``."""
-        split: list[list[str] | None] = [None if not t or _WIDE_SPACE.search(t) else t.split(" ") for t in texts]
-        seen, cache = self.words.get, self.words
-        found = [None if s is None else list(map(seen, s[1:])) for s in split]
-        new = {w for s, f in zip(split, found) if f and None in f for w, ids in zip(s[1:], f) if ids is None and w not in cache.old}
-        cores, whole = set(), []  # a word of letters and closing marks is encoded as two parts
+    def _remember(self, words: set[str]) -> None:
+        """Puts the ids of new words into ``self.words``."""
+        known = [w for w in words if w in self.old]
+        self.words.update((w, self.old[w]) for w in known)
+        new = words.difference(known)
+        cut = {}  # a word of letters and closing marks is encoded as two parts
         for w in new:
             end = len(w)
             while end and not w[end - 1].isalnum():
                 end -= 1
             if w[:end].isalpha():
-                cores.add(w[:end])
+                cut[w] = (w[:end], w[end:])
             else:
-                whole.append(w)
-        known = {c: ids for c in cores if (ids := seen(c, cache.old.get(c))) is not None}
-        known |= self._learn([c for c in cores if c not in known])
-        for c, ids in known.items():
-            if c not in cache:
-                cache.put(c, ids)
-        fresh = {w: cache[w] for w in whole}
-        for w in new:
-            if w not in fresh:
-                end = len(w)
-                while not w[end - 1].isalnum():
-                    end -= 1
-                fresh[w] = known[w[:end]] + (self.parts[w[end:]] if end < len(w) else b"")
-                if end < len(w):
-                    cache.put(w, fresh[w])
-        out = []
-        for text, s, f in zip(texts, split, found):
-            if s is None:
-                out.append(self._whole(text) if text else b"")
-                continue
-            if None in f:
-                f = [(fresh[w] if w in fresh else cache[w]) if ids is None else ids for w, ids in zip(s[1:], f)]
-            out.append(self.parts[s[0]] + b"".join(f))
+                self.words[w] = self._whole(" " + w)
+        cores = {c for c, _ in cut.values()}.difference(self.words)
+        for c in [c for c in cores if c in self.old]:
+            self.words[c] = self.old[c]
+            cores.discard(c)
+        self.words.update(self._learn(sorted(cores)))
+        for w, (core, tail) in cut.items():
+            if tail:
+                self.words[w] = self.words[core] + self.parts[tail]
+
+    def encode_batch(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian numbers of ``dtype``."""
+        if len(self.words) > WORDS_CACHED:
+            self.words, self.old = {}, self.words
+        split = [t.split(" ") for t in texts]
+        new = set().union(*(s[1:] for s in split)).difference(self.words)
+        # white space beside a space belongs to one pre-token with it: such texts are encoded whole
+        wide = {w for w in new if not w or w[0].isspace() or w[-1].isspace()}
+        self._remember(new - wide)
+        get, out = self.words.__getitem__, []
+        for text, s in zip(texts, split):
+            rest = s[1:]
+            if s[0][-1:].isspace() or wide and not wide.isdisjoint(rest):
+                out.append(self._whole(text))
+            else:
+                out.append(self.parts[s[0]] + b"".join(map(get, rest)))
         return out
 
 
