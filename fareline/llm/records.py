@@ -23,7 +23,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fareline.llm.byte_encode import encoder
@@ -98,13 +99,24 @@ def write_records(docs: DataFrame, path: str, model: str, end_id: int, id_col: s
     out.write.mode("overwrite").partitionBy("kind").text(path)
 
 
-def _part(col) -> F.Column:
+def _written(reader: DataFrameReader, path: str, kind: str, schema: str) -> DataFrame:
+    """The files of one kind; nothing if no record was ever written."""
+    try:
+        return reader.load(f"{path}/kind={kind}")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        reader.load(path)  # the folder itself must be there
+        return SparkSession.active().createDataFrame([], schema)
+
+
+def _part(col) -> Column:
     return F.regexp_extract(col, r"part-(\d+)", 1).cast("int")
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
     """The offset index: shard, id, offset, length, tokens_before (in its file), n_tokens."""
-    lines = spark.read.schema("value string").text(f"{path}/kind=index").select(_part(F.input_file_name()).alias("shard"), F.split("value", " ").alias("f"))
+    lines = _written(spark.read.format("text"), path, "index", "value string").select(_part(F.input_file_name()).alias("shard"), F.split("value", " ").alias("f"))
     return lines.select(
         "shard",
         F.nullif(F.col("f")[0], F.lit("")).cast("long").alias("id"),
@@ -113,7 +125,7 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.format("binaryFile").load(f"{path}/kind=records").select(_part("path").alias("shard"), "content")
+    return _written(spark.read.format("binaryFile"), path, "records", "path string, content binary").select(_part("path").alias("shard"), "content")
 
 
 def read_records(spark: SparkSession, path: str, wanted: DataFrame | None = None) -> DataFrame:
