@@ -258,12 +258,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, n: int, percent: int,
     base = scratch_path(spark, "fragments")
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     order = fit_order(rows, n)
-    describe(rows, order, n, percent).write.parquet(f"{base}/described")
+    describe(rows, order, n, percent).withColumn("at", F.monotonically_increasing_id()).write.parquet(f"{base}/described")
     described = spark.read.parquet(f"{base}/described")
     meta = described.select("_id", "cls", "n")
     # one row of each class: copies are equal in all columns but the id
-    classes = described.filter("cls is not null").groupBy("cls").agg(F.min(F.struct("_id", "n", "grams", "parts")).alias("x")).select("cls", "x.*")
-    classes.write.parquet(f"{base}/classes")
+    described.filter("cls is not null").groupBy("cls").agg(F.min("at").alias("_at")).select("_at").write.parquet(f"{base}/first")
+    first = spark.read.parquet(f"{base}/first")
+    side = F.broadcast(first) if first.count() <= SMALL_SIDE else first
+    described.join(side, F.col("at") == F.col("_at")).select("cls", "_id", "n", "grams", "parts").write.parquet(f"{base}/classes")
     classes = spark.read.parquet(f"{base}/classes")
 
     edges = _candidate_edges(spark, classes, percent, base)
