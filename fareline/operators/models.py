@@ -35,8 +35,12 @@ def staging_dedup(clean: DataFrame) -> DataFrame:
 
 def stg_trips(clean: DataFrame) -> DataFrame:
     """O-50 + O-37 + O-60: dedup, surrogate key, rename and cast to 23 columns."""
-    d = staging_dedup(clean)
-    return d.select(
+    return staged(staging_dedup(clean))
+
+
+def staged(clean: DataFrame) -> DataFrame:
+    """The columns of stg_trips, without the dedup."""
+    return clean.select(
         trip_surrogate_key(*TRIP_KEY_PARTS).alias("trip_id"),
         *[F.expr(f"CAST({quote(src)} AS {t}) AS {dst}") for src, t, dst in STG_TRIP_COLUMNS],
     )
@@ -102,6 +106,27 @@ def int_trips_enriched(stg: DataFrame, zones: DataFrame, max_broadcast_rows: int
     )
 
 
+def trips_without_zones(stg: DataFrame) -> DataFrame:
+    """stg_trips plus the derived columns of the later trip models, without the zone lookups.
+
+    Every row-level rule and every report over the fact's own columns gives the same answer on it,
+    because the LEFT lookups neither drop nor (with unique zone ids, which are tested) repeat rows.
+    """
+    return stg.select(
+        "*",
+        pickup_date("pickup_at").alias("pickup_date"),
+        time_of_day_segment("pickup_at").alias("time_of_day_segment"),
+        payment_method("payment_type_code").alias("payment_method"),
+        is_weekend("pickup_at").alias("is_weekend"),
+    )
+
+
+def rule_frames(stg: DataFrame, zones: DataFrame) -> dict[str, DataFrame]:
+    """Frames for the 40 rules when int_trips_enriched and fct_trips are not stored: one for all trip models."""
+    trips = trips_without_zones(stg)
+    return {"stg_trips": trips, "int_trips_enriched": trips, "fct_trips": trips, "stg_zones": zones, "dim_zones": zones}
+
+
 def fct_trips(enriched: DataFrame) -> DataFrame:
     """O-53: the fact columns in mart order."""
     return enriched.selectExpr(*FCT_TRIPS_COLUMNS)

@@ -9,14 +9,9 @@ generic-test semantics:
 * ``relationships``     child rows whose non-NULL key has no parent row
 * ``expression``        rows matching a singular-test predicate, with chosen columns
 
-``summary`` evaluates every rule with as few passes as possible: all row-level
-rules (not_null, expression) of one model share ONE global aggregate;
-accepted_values pre-aggregates per value (partial aggregation before the shuffle,
-so a hot value never piles up in one task); all unique rules share one shuffle of
-64-bit hashes and only repeated hashes are checked against the real values
-(``_unique_counts``); relationships pre-aggregate the child key before the anti
-join, so the join input is bounded by the number of distinct keys, not by the
-fact size.
+``summary`` reads every distinct frame once for all its not_null, expression, accepted_values and
+relationships rules (``_one_read``) and once, as 64-bit hashes, for its unique rules
+(``_unique_counts``).
 """
 
 from __future__ import annotations
@@ -28,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fareline.functions.sql import quote, sql_literal
-from fareline.operators.lookups import MAX_BROADCAST_ROWS, fits_broadcast, maybe_broadcast, orphans
+from fareline.operators.lookups import MAX_BROADCAST_ROWS, maybe_broadcast, orphans
 from fareline.session import shared_dir
 from fareline.schemas import PAYMENT_METHODS, TIME_OF_DAY_SEGMENTS
 
@@ -69,7 +64,7 @@ def _not_null(model: str, *cols: str) -> list[Rule]:
     return [Rule("not_null", model, c) for c in cols]
 
 
-# Failure conditions of the two singular rules.
+# --- Fixed values: failure conditions of the two singular rules, and the 40 rules ---
 PICKUP_NOT_BEFORE_DROPOFF = "pickup_at >= dropoff_at"
 NON_POSITIVE_METRIC = (
     "trip_distance_miles <= 0 OR fare_amount <= 0 OR total_amount <= 0 OR trip_duration_minutes <= 0"
@@ -211,95 +206,102 @@ def _summary_row_sql(rule: Rule, failing_sql: str) -> str:
     )
 
 
-def _row_level_counts(df: DataFrame, rules: list[Rule]) -> DataFrame:
-    """All not_null / expression rules of one model in a single aggregate pass."""
-    aliases = [f"__r{i}" for i in range(len(rules))]
-    agg = df.agg(
-        *[F.expr(f"count(CASE WHEN {r.condition_sql()} THEN 1 END) AS {a}") for r, a in zip(rules, aliases, strict=True)]
-    )
-    rows = ", ".join(_summary_row_sql(r, a) for r, a in zip(rules, aliases, strict=True))
-    return agg.selectExpr(f"inline(array({rows}))")
-
-
 def _count_frame(rule: Rule, frame: DataFrame, count_sql: str) -> DataFrame:
     return frame.agg(F.expr(f"{count_sql} AS __n")).selectExpr(
         f"inline(array({_summary_row_sql(rule, 'coalesce(__n, 0)')}))"
     )
 
 
-def _relationship_count(rule: Rule, frames: dict[str, DataFrame], max_rows: int) -> DataFrame:
-    child_keys = (
-        frames[rule.model]
-        .where(F.col(rule.column).isNotNull())
-        .groupBy(F.col(rule.column).alias("__k"))
-        .agg(F.count(F.lit(1)).alias("__rows"))
-    )
-    parent = maybe_broadcast(frames[rule.to_model].select(F.col(rule.to_column).alias("__pk")), max_rows)
-    missing = child_keys.join(parent, child_keys["__k"] == parent["__pk"], "left_anti")
-    return _count_frame(rule, missing, "sum(__rows)")
+def _one_read(df: DataFrame, rules: list[Rule], frames: dict[str, DataFrame], max_rows: int) -> list[DataFrame]:
+    """Summary rows of all rules over one frame, but unique ones, from a single read of it.
+
+    Row-level failures are counted per combination of the columns that the accepted_values and
+    relationships rules look at. The counts (one row per combination) are checkpointed to the shared
+    folder, and every rule is answered from them.
+    """
+    counted = [r for r in rules if r.test in ("not_null", "expression")]
+    keys = list(dict.fromkeys(r.column for r in rules if r.test in ("accepted_values", "relationships")))
+    sums = [F.expr("count(1) AS __n")]
+    sums += [F.expr(f"count(CASE WHEN {r.condition_sql()} THEN 1 END) AS __r{i}") for i, r in enumerate(counted)]
+    counts = df.groupBy(*keys).agg(*sums)
+    if keys:
+        shared_dir(df.sparkSession)  # checkpoint() writes to the shared checkpoint folder
+        counts = counts.checkpoint(eager=True)
+    out = []
+    if counted:
+        total = counts.agg(*(F.expr(f"coalesce(sum(__r{i}), 0) AS __r{i}") for i in range(len(counted))))
+        rows = ", ".join(_summary_row_sql(r, f"__r{i}") for i, r in enumerate(counted))
+        out.append(total.selectExpr(f"inline(array({rows}))"))
+    for r in rules:
+        if r.test == "accepted_values":
+            listed = ", ".join(sql_literal(v) for v in r.values)
+            out.append(_count_frame(r, counts.select(r.column).distinct().where(f"{quote(r.column)} NOT IN ({listed})"), "count(1)"))
+        elif r.test == "relationships":
+            child = counts.groupBy(F.col(r.column).alias("__k")).agg(F.sum("__n").alias("__rows"))
+            out.append(_count_frame(r, orphans(child, "__k", frames[r.to_model], r.to_column, max_rows), "sum(__rows)"))
+    return out
 
 
-def _unique_counts(frames, rules: list[Rule], max_rows: int) -> list[DataFrame]:
+def _unique_counts(frames: dict[str, DataFrame], rules: list[Rule], max_rows: int) -> list[DataFrame]:
     """Failing-value counts of all unique rules, exact, shuffling 64-bit hashes instead of values.
 
-    Phase 1: one shuffle of (rule, xxhash64(value)) for every unique rule at once;
-    hash groups seen more than once are the candidates (true duplicates plus rare
-    hash collisions). It is checkpointed to the shared folder (tiny result, one
-    run). No candidates means every rule passes and nothing else runs. Otherwise
-    phase 2 keeps only rows whose hash is a candidate (size-checked broadcast semi
-    join, no shuffle of the data) and groups the exact values, so a collision never
-    counts as a duplicate. Too many candidates: exact grouping by value per rule.
+    One shuffle of (tag, xxhash64(value)) covers every distinct (frame, column); rules over the
+    same one share it. Hashes seen more than once are checkpointed (duplicates and rare collisions).
+    Without any, every rule passes. Otherwise the rows with such a hash are grouped by their real
+    value, so a collision never counts as a duplicate.
     """
-    tagged = None
+    tags: dict[tuple[int, str], int] = {}
+    for r in rules:
+        tags.setdefault((id(frames[r.model]), r.column), len(tags))
+    keyed = {}
     for r in rules:
         c = quote(r.column)
-        part = frames[r.model].where(f"{c} IS NOT NULL").select(
-            F.lit(r.rule_id).alias("__rule"), F.expr(f"xxhash64({c}) AS __h")
+        keyed[tags[id(frames[r.model]), r.column]] = frames[r.model].where(f"{c} IS NOT NULL").select(
+            F.expr(f"{c} AS unique_field"), F.expr(f"xxhash64({c}) AS __h")
         )
+    tagged = None
+    for tag, part in keyed.items():
+        part = part.select(F.lit(tag).cast("byte").alias("__tag"), "__h")
         tagged = part if tagged is None else tagged.unionByName(part)
-    candidates = (
-        tagged.groupBy("__rule", "__h").agg(F.expr("count(1) AS __n")).where("__n > 1").select("__rule", "__h")
-    )
-    shared_dir(tagged.sparkSession)  # checkpoint() writes to the shared checkpoint folder
-    candidates = candidates.checkpoint(eager=True)
-    n = candidates.limit(max_rows + 1).count()
-    if n == 0:
-        spark = tagged.sparkSession
+    repeated = tagged.groupBy("__tag", "__h").agg(F.expr("count(1) AS __n")).where("__n > 1").select("__tag", "__h")
+    spark = tagged.sparkSession
+    shared_dir(spark)
+    repeated = repeated.checkpoint(eager=True)
+    if repeated.isEmpty():
         return [spark.range(1).selectExpr(f"inline(array({_summary_row_sql(r, '0')}))") for r in rules]
-    if n > max_rows or not fits_broadcast(candidates, max_rows):
-        return [_count_frame(r, unique_violations(frames[r.model], r.column), "count(1)") for r in rules]
+    side = maybe_broadcast(repeated, max_rows)
     out = []
     for r in rules:
-        c = quote(r.column)
-        hashes = F.broadcast(candidates.where(F.col("__rule") == r.rule_id).select("__h"))
-        keyed = frames[r.model].where(f"{c} IS NOT NULL").select(
-            F.expr(f"{c} AS unique_field"), F.expr(f"xxhash64({c}) AS __h")
-        )
-        hits = keyed.join(hashes, "__h", "left_semi")
+        tag = tags[id(frames[r.model]), r.column]
+        hits = keyed[tag].withColumn("__tag", F.lit(tag).cast("byte")).join(side, ["__tag", "__h"], "left_semi")
         dupes = hits.groupBy("unique_field").agg(F.expr("count(1) AS n_records")).where("n_records > 1")
         out.append(_count_frame(r, dupes, "count(1)"))
     return out
 
 
-def summary(frames: dict[str, DataFrame], rules: Sequence[Rule] = RULES, max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """O-87: one row per rule: rule_id, model, column_name, test, failing_rows, status."""
+def summary(
+    frames: dict[str, DataFrame],
+    rules: Sequence[Rule] = RULES,
+    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    unique_over: dict[str, DataFrame] | None = None,
+) -> DataFrame:
+    """O-87: one row per rule: rule_id, model, column_name, test, failing_rows, status.
+
+    Each distinct frame is read once for all its rules and once for its unique ones; models given as
+    the same frame object share both. ``unique_over`` names wider frames for unique rules
+    (a month's ids among those of its neighbours).
+    """
     parts: list[DataFrame] = []
     unique_rules = [r for r in rules if r.test == "unique"]
     if unique_rules:
-        parts.extend(_unique_counts(frames, unique_rules, max_broadcast_rows))
-    models = list(dict.fromkeys(r.model for r in rules))
-    for model in models:
-        mine = [r for r in rules if r.model == model]
-        row_level = [r for r in mine if r.test in ("not_null", "expression")]
-        if row_level:
-            parts.append(_row_level_counts(frames[model], row_level))
-        for r in mine:
-            if r.test == "accepted_values":
-                parts.append(
-                    _count_frame(r, accepted_values_violations(frames[model], r.column, r.values), "count(1)")
-                )
-            elif r.test == "relationships":
-                parts.append(_relationship_count(r, frames, max_broadcast_rows))
+        wide = {r.model: (unique_over or {}).get(r.model, frames[r.model]) for r in unique_rules}
+        parts.extend(_unique_counts(wide, unique_rules, max_broadcast_rows))
+    by_frame: dict[int, list[Rule]] = {}
+    for r in rules:
+        if r.test != "unique":
+            by_frame.setdefault(id(frames[r.model]), []).append(r)
+    for mine in by_frame.values():
+        parts.extend(_one_read(frames[mine[0].model], mine, frames, max_broadcast_rows))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -310,13 +312,9 @@ class DataTestFailure(RuntimeError):
     pass
 
 
-def enforce(summary_df: DataFrame) -> list[dict]:
-    """Raise when any rule fails (the job stops like a failing test run).
-
-    Only the failing summary rows (at most one per rule) reach the driver.
-    """
-    failed = [r.asDict() for r in summary_df.where(F.col("failing_rows") > 0).collect()]
+def raise_on(results: Sequence[dict]) -> None:
+    """Raise when any rule fails (the job stops like a failing test run); one row per rule."""
+    failed = [r for r in results if r["failing_rows"] > 0]
     if failed:
         names = ", ".join(f"{r['rule_id']}={r['failing_rows']}" for r in failed)
         raise DataTestFailure(f"{len(failed)} data test(s) failed: {names}")
-    return failed

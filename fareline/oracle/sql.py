@@ -191,15 +191,8 @@ FCT_COLS = [
     "total_amount",
 ]
 
-MODEL_CTES = (
-    staging_ctes("clean_trips")
-    + f""",
-stg_zones AS (
-    SELECT CAST(location_id AS INTEGER) AS location_id, CAST(borough AS VARCHAR) AS borough,
-           CAST(zone AS VARCHAR) AS zone_name, CAST(service_zone AS VARCHAR) AS service_zone
-    FROM zones_raw
-),
-int_trips_enriched AS (
+def enrich_select(stg: str, more: str = "") -> str:
+    return f"""
     SELECT
         t.trip_id, t.vendor_id, t.pickup_location_id, t.dropoff_location_id, t.pickup_at, t.dropoff_at,
         CAST(t.pickup_at AS DATE) AS pickup_date,
@@ -210,11 +203,26 @@ int_trips_enriched AS (
         {_WEEKEND_SQL.format(c="t.pickup_at")} AS is_weekend,
         t.passenger_count, t.trip_distance_miles, t.trip_duration_minutes, t.avg_speed_mph,
         t.fare_amount, t.tip_amount, t.tip_percentage, t.tolls_amount, t.congestion_surcharge,
-        t.airport_fee, t.total_amount
-    FROM stg_trips t
+        t.airport_fee, t.total_amount{more}
+    FROM {stg} t
     LEFT JOIN stg_zones pz ON t.pickup_location_id = pz.location_id
     LEFT JOIN stg_zones dz ON t.dropoff_location_id = dz.location_id
-),
+"""
+
+
+ZONES_CTE = """
+stg_zones AS (
+    SELECT CAST(location_id AS INTEGER) AS location_id, CAST(borough AS VARCHAR) AS borough,
+           CAST(zone AS VARCHAR) AS zone_name, CAST(service_zone AS VARCHAR) AS service_zone
+    FROM zones_raw
+)"""
+
+MODEL_CTES = (
+    staging_ctes("clean_trips")
+    + ","
+    + ZONES_CTE
+    + f""",
+int_trips_enriched AS ({enrich_select("stg_trips")}),
 fct_trips AS (
     SELECT {", ".join(FCT_COLS)} FROM int_trips_enriched
 ),
@@ -405,6 +413,35 @@ SELECT *, CAST(2024 AS INTEGER) AS year, CAST(1 AS INTEGER) AS month FROM clean_
     "\n" + clean_cte("clean_jan", 2024, 1),
 )
 
+ORACLE_SQL["int_roundtrip"] = over_models("SELECT * FROM int_trips_enriched")
+ORACLE_SQL["resume_from_clean"] = ORACLE_SQL["month_job_fct"]
+ORACLE_SQL["scan_zones_csv_reordered"] = ORACLE_SQL["scan_zones_csv"]
+
+
+def over_two_months(body: str) -> str:
+    """``fct`` over the run months 2023-12 and 2024-01, with year and month."""
+    months = (("dec", 2023, 12), ("jan", 2024, 1))
+    return with_ctes(
+        body,
+        RAW_CTES,
+        CLEAN_BASE_CTES,
+        *(f"\n{clean_cte(f'clean_{n}', y, m)}" for n, y, m in months),
+        *(staging_ctes(f"clean_{n}", prefix=f"{n}_") for n, _, _ in months),
+        "stg_both AS ("
+        + " UNION ALL ".join(f"SELECT *, CAST({y} AS INTEGER) AS year, CAST({m} AS INTEGER) AS month FROM {n}_stg_trips" for n, y, m in months)
+        + ")",
+        ZONES_CTE,
+        f"both_enriched AS ({enrich_select('stg_both', ', t.year, t.month')})",
+        f"fct AS (SELECT {', '.join(FCT_COLS)}, year, month FROM both_enriched)",
+    )
+
+
+ORACLE_SQL["rebuild_two_months"] = over_two_months("SELECT * FROM fct")
+ORACLE_SQL["dq_unique_two_months"] = over_two_months(
+    "SELECT trip_id AS unique_field, CAST(count(*) AS BIGINT) AS n_records FROM fct "
+    "WHERE trip_id IS NOT NULL GROUP BY trip_id HAVING count(*) > 1"
+)
+
 # counts, KPIs and reports
 ORACLE_SQL["count_trips"] = over_clean("SELECT CAST(count(*) AS BIGINT) AS total_trips FROM clean_trips")
 ORACLE_SQL["count_zones"] = over_raw("SELECT CAST(count(*) AS BIGINT) AS zone_count FROM zones_raw")
@@ -551,6 +588,42 @@ raw_finished AS ({_finish_select('raw_measured')})""",
         "SELECT trip_id, trip_distance_miles, fare_amount, total_amount, trip_duration_minutes FROM raw_stg_trips "
         f"WHERE {SINGULAR_SQL['assert_positive_trip_metrics']}",
     )
+    dirty = with_ctes(
+        "{body}",
+        RAW_CTES,
+        f"""
+raw_dur AS (SELECT *, {DUR_SQL} AS trip_duration_minutes FROM raw_trips),
+raw_measured AS (SELECT *, {SPEED_SQL} AS avg_speed_mph FROM raw_dur),
+raw_finished AS ({_finish_select('raw_measured')}),
+staged AS (SELECT {_KEY_SQL} AS trip_id, {_STG_SELECT} FROM raw_finished),
+stg_trips AS (
+    SELECT *,
+        CASE WHEN payment_type_code IN (0, 7) THEN 'Code ' || payment_type_code
+             ELSE {_PAYMENT_SQL.format(c="payment_type_code")} END AS payment_method,
+        CASE WHEN hour(pickup_at) = 3 THEN 'Small Hours' WHEN hour(pickup_at) = 4 THEN NULL
+             ELSE {_SEGMENT_SQL.format(c="pickup_at")} END AS time_of_day_segment,
+        {_WEEKEND_SQL.format(c="pickup_at")} AS is_weekend
+    FROM staged),
+int_trips_enriched AS (SELECT * FROM stg_trips),
+fct_trips AS (SELECT * FROM stg_trips),
+stg_zones AS (
+    SELECT location_id, CASE WHEN location_id <> 5 THEN borough END AS borough, zone AS zone_name, service_zone
+    FROM (SELECT * FROM zones_raw UNION ALL SELECT * FROM zones_raw WHERE location_id = 3)),
+dim_zones AS (SELECT * FROM stg_zones)""",
+    )
+    out["dq_summary_dirty"] = dirty.replace("{body}", _summary_sql(RULES))
+    for name, column, model in (("trip", "trip_id", "stg_trips"), ("location", "location_id", "dim_zones")):
+        out[f"dq_unique_{name}_id_dirty"] = dirty.replace(
+            "{body}",
+            f"SELECT {column} AS unique_field, CAST(count(*) AS BIGINT) AS n_records FROM {model} "
+            f"WHERE {column} IS NOT NULL GROUP BY {column} HAVING count(*) > 1",
+        )
+    for name, column, listed in (("payment", "payment_method", pay), ("segment", "time_of_day_segment", seg)):
+        out[f"dq_accepted_{name}_dirty"] = dirty.replace(
+            "{body}",
+            f"SELECT {column} AS value_field, CAST(count(*) AS BIGINT) AS n_records FROM stg_trips "
+            f"WHERE {column} NOT IN ({listed}) GROUP BY {column}",
+        )
     return out
 
 

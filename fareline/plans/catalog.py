@@ -8,8 +8,10 @@ folder and read the result back.
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,9 +36,9 @@ from fareline.operators.lookups import lookup
 from fareline.operators import models as M
 from fareline.operators import quality as Q
 from fareline.operators import reports as R
-from fareline.plans.materialize import persist_models
-from fareline.schemas import TRIP_KEY_PARTS
-from fareline.session import scratch_path, shared_dir
+from fareline.plans.materialize import put
+from fareline.schemas import LAYERS, TRIP_KEY_PARTS
+from fareline.session import scratch_path
 from fareline.sources import MonthSource, date_spine_between, read_month, read_trips, read_zones_csv
 from fareline.sources.testdata import raw_trips, raw_zones
 
@@ -60,6 +62,11 @@ class _Models:
     def stg_trips(self) -> DataFrame:
         return M.stg_trips(_clean(self.spark, self.d))
 
+    @cached_property
+    def trips(self) -> DataFrame:
+        """stg_trips with the derived columns; the reports and rules need no zone lookup."""
+        return M.trips_without_zones(self.stg_trips)
+
     @cached_property
     def stg_zones(self) -> DataFrame:
         return M.stg_zones(raw_zones(self.spark, self.d))
@@ -127,6 +134,19 @@ def scan_zones_csv(spark, d):
     return read_zones_csv(spark, path)
 
 
+def scan_zones_csv_reordered(spark, d):
+    """O-03: another column order and an extra column; columns go by their header names."""
+    path = scratch_path(spark, "zones_csv")
+    raw_zones(spark, d).select(
+        "service_zone",
+        F.col("zone").alias("Zone"),
+        F.lit("x").alias("note"),
+        F.col("location_id").alias("LocationID"),
+        F.col("borough").alias("Borough"),
+    ).write.mode("overwrite").option("header", True).csv(path)
+    return read_zones_csv(spark, path)
+
+
 def scan_clean(spark, d):
     """O-02: a directory of part files read as one dataset."""
     path = scratch_path(spark, "clean_parts")
@@ -144,58 +164,108 @@ def roundtrip_clean(spark, d):
     return spark.read.parquet(path).where((F.col("year") == YEAR) & (F.col("month") == MONTH))
 
 
+@contextlib.contextmanager
+def _databases(spark, *layers):
+    """Layer databases of one query call, under names of its own; only their catalogue entries go
+    afterwards, the files stay for the frame that the query returns (``session.clear_scratch``)."""
+    prefix = f"q{uuid.uuid4().hex[:10]}_"
+    sinks.create_layer_schemas(spark, layers or None, location=scratch_path(spark, "catalog"), prefix=prefix)
+    try:
+        yield prefix
+    finally:
+        for layer in layers or LAYERS:
+            spark.sql(f"DROP DATABASE IF EXISTS `{prefix}{LAYERS[layer]}` CASCADE")
+
+
 def load_replace(spark, d):
     """O-11/O-12: replace a catalogue table twice; only the last load remains."""
-    path = scratch_path(spark, "raw_trips")
-    sinks.create_layer_schemas(spark, ["raw"], location=shared_dir(spark) + "/fareline/catalog")
-    raw = raw_trips(spark, d)
-    table = f"raw.trips_replace_{uuid.uuid4().hex[:10]}"
-    sinks.replace_table(C.cleanse(raw, 2023, 12), table, path)
-    sinks.replace_table(C.cleanse(raw, YEAR, MONTH), table, path)
-    return spark.table(table)
+    path, raw = scratch_path(spark, "raw_trips"), raw_trips(spark, d)
+    with _databases(spark, "raw") as prefix:
+        sinks.replace_table(C.cleanse(raw, 2023, 12), f"{prefix}raw.trips", path)
+        sinks.replace_table(C.cleanse(raw, YEAR, MONTH), f"{prefix}raw.trips", path)
+    return spark.read.parquet(path)
 
 
 def mart_roundtrip(spark, d):
     """O-15: the fact table materialised as a table and read back."""
     path = scratch_path(spark, "fct_trips")
-    sinks.create_layer_schemas(spark, ["marts"], location=shared_dir(spark) + "/fareline/catalog")
-    table = f"marts.fct_trips_roundtrip_{uuid.uuid4().hex[:10]}"
-    sinks.replace_table(_models(spark, d)["fct_trips"], table, path)
-    return spark.table(table)
+    with _databases(spark, "marts") as prefix:
+        sinks.replace_table(_models(spark, d)["fct_trips"], f"{prefix}marts.fct_trips", path)
+    return spark.read.parquet(path)
 
 
 def backfill_two_months(spark, d):
     """O-16: December then January, January re-run; month overwrite keeps both months."""
-    path = scratch_path(spark, "backfill")
-    raw = raw_trips(spark, d)
-    for y, m in [(2023, 12), (2024, 1), (2024, 1)]:
-        sinks.write_month(C.cleanse(raw, y, m), path, y, m)
+    path, raw = scratch_path(spark, "backfill"), raw_trips(spark, d)
+    with _databases(spark, "raw") as prefix:
+        for y, m in [(2023, 12), (2024, 1), (2024, 1)]:
+            sinks.write_month_table(C.cleanse(raw, y, m), f"{prefix}raw.trips", path, y, m)
     return spark.read.parquet(path)
 
 
-def _run_month_job(spark, d):
+def _run_month_job(spark, d, months=((YEAR, MONTH),)):
     """O-90 end to end on the mapped tables; tables land under the shared scratch folder."""
-    from fareline.plans.month_job import MonthJob, build_month
+    from fareline.plans.month_job import MonthJob, backfill
 
-    job = MonthJob(warehouse=scratch_path(spark, "warehouse"), year=YEAR, month=MONTH, fail_on_test_error=False)
-    build_month(spark, job, raw=raw_trips(spark, d), zones=raw_zones(spark, d))
+    job = MonthJob(warehouse=scratch_path(spark, "warehouse"), fail_on_test_error=False)
+    raw, zones = raw_trips(spark, d), raw_zones(spark, d)
+    with _databases(spark) as prefix:
+        backfill(spark, replace(job, prefix=prefix), list(months), raw_for=lambda y, m: raw, zones=zones)
     return job
 
 
+def _stored(spark, job, layer, name) -> DataFrame:
+    return spark.read.parquet(job.path(layer, name))
+
+
 def _run_month(table: DataFrame) -> DataFrame:
     return table.where((F.col("year") == YEAR) & (F.col("month") == MONTH)).drop("year", "month")
 
 
 def month_job_fct(spark, d):
     """The fact mart as the month job persisted it (run month partition)."""
-    _run_month_job(spark, d)
-    return _run_month(spark.table("marts.fct_trips"))
+    return _run_month(_stored(spark, _run_month_job(spark, d), "marts", "fct_trips"))
+
+
+def int_roundtrip(spark, d):
+    """O-15: the intermediate model as the month job stored it in its own layer."""
+    return _run_month(_stored(spark, _run_month_job(spark, d), "intermediate", "int_trips_enriched"))
 
 
 def month_job_report_top5(spark, d):
     """The top-5 report over the marts the month job persisted."""
-    _run_month_job(spark, d)
-    return R.report_top_boroughs(_run_month(spark.table("marts.fct_trips")), spark.table("marts.dim_zones"), 5)
+    job = _run_month_job(spark, d)
+    return R.report_top_boroughs(_run_month(_stored(spark, job, "marts", "fct_trips")), _stored(spark, job, "marts", "dim_zones"), 5)
+
+
+def resume_from_clean(spark, d):
+    """O-92: the models come from the stored clean layer, through a catalogue that never saw it."""
+    from fareline.plans.month_job import build_month
+
+    job = _run_month_job(spark, d)
+    for layer, name in (("marts", "fct_trips"), ("staging", "stg_trips")):
+        sinks.clear_month(spark, job.path(layer, name), YEAR, MONTH)
+    with _databases(spark) as prefix:
+        build_month(spark, replace(job, prefix=prefix, from_layer="clean"))
+    return _run_month(_stored(spark, job, "marts", "fct_trips"))
+
+
+TWO_MONTHS = ((2023, 12), (2024, 1))
+
+
+def rebuild_two_months(spark, d):
+    """O-94: every month of the clean layer is rebuilt."""
+    from fareline.plans.month_job import rebuild_warehouse
+
+    job = _run_month_job(spark, d, TWO_MONTHS)
+    with _databases(spark) as prefix:
+        rebuild_warehouse(spark, replace(job, prefix=prefix))
+    return _stored(spark, job, "marts", "fct_trips")
+
+
+def dq_unique_two_months(spark, d):
+    """O-81 over a fact of two run months: trips of the first day of January belong to both."""
+    return Q.unique_violations(_stored(spark, _run_month_job(spark, d, TWO_MONTHS), "marts", "fct_trips"), "trip_id")
 
 
 # --- derived columns (row level over the raw mapping) ----------------------------------------
@@ -340,30 +410,54 @@ def kpi_load(spark, d):
 
 def report_borough_revenue(spark, d):
     m = _models(spark, d)
-    return R.report_borough_revenue(m["fct_trips"], m["dim_zones"])
+    return R.report_borough_revenue(m.trips, m["dim_zones"])
 
 
 def report_top5_boroughs(spark, d):
     m = _models(spark, d)
-    return R.report_top_boroughs(m["fct_trips"], m["dim_zones"], 5)
+    return R.report_top_boroughs(m.trips, m["dim_zones"], 5)
 
 
 def report_time_of_day(spark, d):
-    return R.report_time_of_day(_models(spark, d)["fct_trips"])
+    return R.report_time_of_day(_models(spark, d).trips)
 
 
 def report_weekend(spark, d):
     m = _models(spark, d)
-    return R.report_weekend(m["fct_trips"], m["dim_date"])
+    return R.report_weekend(m.trips, m["dim_date"])
 
 
 # --- data quality ----------------------------------------------------------------------------
 
 
 def dq_summary(spark, d):
-    """O-87: the 40 rules over model layers persisted once in the shared folder."""
-    frames = persist_models(spark, _clean(spark, d), raw_zones(spark, d), scratch_path(spark, "models"))
-    return Q.summary(frames)
+    """O-87: the 40 rules over the staged trips, stored once in the shared folder."""
+    stg = put(_models(spark, d)["stg_trips"], scratch_path(spark, "models"))
+    return Q.summary(M.rule_frames(stg, M.stg_zones(raw_zones(spark, d))))
+
+
+def _dirty_frames(spark, d) -> dict[str, DataFrame]:
+    """Frames on which every kind of rule fails: trips staged without cleansing or dedup, labels outside
+    the lists, a repeated zone and one without a borough."""
+    stg = M.staged(C.finish(C.with_measures(raw_trips(spark, d))))
+    trips = M.trips_without_zones(stg).withColumns(
+        {
+            "payment_method": F.expr("CASE WHEN payment_type_code IN (0, 7) THEN concat('Code ', payment_type_code) ELSE payment_method END"),
+            "time_of_day_segment": F.expr("CASE WHEN hour(pickup_at) = 3 THEN 'Small Hours' WHEN hour(pickup_at) = 4 THEN NULL ELSE time_of_day_segment END"),
+        }
+    )
+    zones = M.stg_zones(raw_zones(spark, d))
+    zones = zones.unionByName(zones.where("location_id = 3")).withColumn("borough", F.expr("CASE WHEN location_id <> 5 THEN borough END"))
+    return {"stg_trips": trips, "int_trips_enriched": trips, "fct_trips": trips, "stg_zones": zones, "dim_zones": zones}
+
+
+def dq_summary_dirty(spark, d):
+    """O-87 where rules of every kind fail."""
+    return Q.summary(_dirty_frames(spark, d))
+
+
+def _dq_dirty(rule_id: str) -> Query:
+    return lambda spark, d: Q.violations(Q.RULES_BY_ID[rule_id], _dirty_frames(spark, d))
 
 
 def _dq_not_null(model: str) -> Query:
@@ -375,7 +469,7 @@ def _dq_not_null(model: str) -> Query:
 
 
 def dq_unique_trip_id(spark, d):
-    return Q.unique_violations(_models(spark, d)["fct_trips"], "trip_id")
+    return Q.unique_violations(_models(spark, d).trips, "trip_id")
 
 
 def dq_unique_location_id(spark, d):
@@ -383,16 +477,16 @@ def dq_unique_location_id(spark, d):
 
 
 def dq_accepted_payment(spark, d):
-    return Q.accepted_values_violations(_models(spark, d)["fct_trips"], "payment_method", Q.PAYMENT_VALUES)
+    return Q.accepted_values_violations(_models(spark, d).trips, "payment_method", Q.PAYMENT_VALUES)
 
 
 def dq_accepted_segment(spark, d):
-    return Q.accepted_values_violations(_models(spark, d)["int_trips_enriched"], "time_of_day_segment", Q.SEGMENT_VALUES)
+    return Q.accepted_values_violations(_models(spark, d).trips, "time_of_day_segment", Q.SEGMENT_VALUES)
 
 
 def dq_rel_pickup_zone(spark, d):
     m = _models(spark, d)
-    return Q.relationship_violations(m["fct_trips"], "pickup_location_id", m["dim_zones"], "location_id")
+    return Q.relationship_violations(m.trips, "pickup_location_id", m["dim_zones"], "location_id")
 
 
 def _singular(rule_id: str, on_raw: bool) -> Query:
@@ -412,6 +506,7 @@ QUERIES: dict[str, Query] = {
     "scan_month": scan_month,
     "scan_zones": scan_zones,
     "scan_zones_csv": scan_zones_csv,
+    "scan_zones_csv_reordered": scan_zones_csv_reordered,
     "scan_clean": scan_clean,
     "clean_dedup": clean_dedup,
     "clean_month_window": _stage(1),
@@ -454,6 +549,9 @@ QUERIES: dict[str, Query] = {
     "backfill_two_months": backfill_two_months,
     "month_job_fct": month_job_fct,
     "month_job_report_top5": month_job_report_top5,
+    "int_roundtrip": int_roundtrip,
+    "resume_from_clean": resume_from_clean,
+    "rebuild_two_months": rebuild_two_months,
     "count_trips": count_trips,
     "count_zones": count_zones,
     "kpi_load": kpi_load,
@@ -462,6 +560,12 @@ QUERIES: dict[str, Query] = {
     "report_time_of_day": report_time_of_day,
     "report_weekend": report_weekend,
     "dq_summary": dq_summary,
+    "dq_summary_dirty": dq_summary_dirty,
+    "dq_unique_two_months": dq_unique_two_months,
+    "dq_unique_trip_id_dirty": _dq_dirty("unique_stg_trips_trip_id"),
+    "dq_unique_location_id_dirty": _dq_dirty("unique_dim_zones_location_id"),
+    "dq_accepted_payment_dirty": _dq_dirty("accepted_values_fct_trips_payment_method"),
+    "dq_accepted_segment_dirty": _dq_dirty("accepted_values_int_trips_enriched_time_of_day_segment"),
     "dq_not_null_stg_trips": _dq_not_null("stg_trips"),
     "dq_not_null_fct_trips": _dq_not_null("fct_trips"),
     "dq_unique_trip_id": dq_unique_trip_id,

@@ -1,51 +1,15 @@
-"""Persist the shuffle-heavy model layer once, then read it back (lineage cut, pruning kept).
+"""Store a shuffle-heavy layer once and read it back (lineage cut, pruning kept).
 
-Several consumers of the same models (the 40 data tests, several reports) would
-otherwise each re-run the two dedup shuffles: column pruning makes every branch's
-plan different, so Spark cannot reuse the exchanges. Writing ``stg_trips`` (the
-output of both dedups) as Parquet under the shared folder computes it once;
-everything after it is narrow (two broadcast lookups, projections) or tiny
-(dimensions), so those layers are derived from the persisted table on read.
-A write is an ordinary job commit, so a lost executor only costs task retries.
+Several consumers of one model would otherwise each run its dedup shuffles again: column pruning
+makes every branch's plan different, so Spark cannot reuse the exchanges. A write is an ordinary job
+commit, so a lost executor only costs task retries.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import DataFrame, SparkSession
-
-from fareline.operators import models as M
-from fareline.schemas import CALENDAR_END, CALENDAR_START
+from pyspark.sql import DataFrame
 
 
 def put(df: DataFrame, path: str) -> DataFrame:
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
-
-
-def persist_models(
-    spark: SparkSession,
-    clean: DataFrame,
-    zones_raw: DataFrame,
-    base: str,
-    calendar: tuple[str, str] = (CALENDAR_START, CALENDAR_END),
-    persist: Sequence[str] = ("stg_trips",),
-) -> dict[str, DataFrame]:
-    """All six models; the layers named in ``persist`` are written under ``base`` and read back."""
-    base = base.rstrip("/")
-
-    def layer(name: str, df: DataFrame) -> DataFrame:
-        return put(df, f"{base}/{name}") if name in persist else df
-
-    stg = layer("stg_trips", M.stg_trips(clean))
-    zones = layer("stg_zones", M.stg_zones(zones_raw))
-    enriched = layer("int_trips_enriched", M.int_trips_enriched(stg, zones))
-    return {
-        "stg_trips": stg,
-        "stg_zones": zones,
-        "int_trips_enriched": enriched,
-        "fct_trips": layer("fct_trips", M.fct_trips(enriched)),
-        "dim_zones": layer("dim_zones", M.dim_zones(zones)),
-        "dim_date": layer("dim_date", M.dim_date(spark, *calendar)),
-    }

@@ -14,7 +14,7 @@ shuffle runs once (the reference runs it for each of its four actions).
 from __future__ import annotations
 
 import argparse
-from dataclasses import dataclass, field
+from dataclasses import dataclass, replace
 from decimal import ROUND_HALF_UP, Decimal
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -35,9 +35,11 @@ from fareline.schemas import (
     INT_TRIPS_ENRICHED,
     STG_TRIPS,
     STG_ZONES,
+    TRIPS_CLEAN,
+    ZONES_RAW,
     check_schema,
 )
-from fareline.sources.files import read_trips, read_zones_optional, table_name
+from fareline.sources.files import TAXI_TYPES, MonthSource, read_trips, read_zones_optional, table_name
 
 LAYER_ORDER = ("raw", "clean")
 
@@ -46,8 +48,11 @@ LAYER_ORDER = ("raw", "clean")
 class MonthJob:
     """Job parameters (O-93); ``from_args`` fills them from spark-submit arguments.
 
-    ``warehouse`` is the shared folder where layer databases and tables are created;
-    once a table exists in the catalogue, later runs write to its registered location.
+    ``warehouse`` is the shared folder that holds the layers. What exists there decides, not the
+    session's catalogue: runs in other processes find and keep each other's months. A catalogue in
+    which a table lies in another warehouse is refused. ``prefix`` is put before the database names
+    (scratch runs beside each other). Raw trips come from ``raw_path``, or from the month's file in
+    ``landing`` for ``taxi_type``.
     """
 
     warehouse: str
@@ -62,7 +67,17 @@ class MonthJob:
     # there blocks predicate pushdown, so the key-only rules would no longer reach the scan.
     count_duplicates: bool = False
     calendar: tuple[str, str] = (CALENDAR_START, CALENDAR_END)
-    extra: dict = field(default_factory=dict)
+    landing: str | None = None
+    taxi_type: str = "yellow"
+    prefix: str = ""
+
+    def table(self, layer: str, name: str) -> str:
+        return table_name(layer, name, self.prefix)
+
+    def source(self) -> str | None:
+        if self.raw_path or not self.landing:
+            return self.raw_path
+        return MonthSource(self.landing, self.year, self.month, self.taxi_type).path
 
     def path(self, layer: str, name: str) -> str:
         return f"{self.warehouse.rstrip('/')}/{layer}/{name}"
@@ -74,7 +89,11 @@ class MonthJob:
         p.add_argument("--year", type=int, default=2024)
         p.add_argument("--month", type=int, default=1)
         p.add_argument("--raw-path")
+        p.add_argument("--landing", help="folder of month files, instead of --raw-path")
+        p.add_argument("--taxi-type", choices=TAXI_TYPES, default="yellow")
         p.add_argument("--zone-csv")
+        p.add_argument("--calendar-start", default=CALENDAR_START)
+        p.add_argument("--calendar-end", default=CALENDAR_END)
         p.add_argument("--mode", choices=sinks.MODES, default="month")
         p.add_argument("--from-layer", choices=LAYER_ORDER, default="raw")
         p.add_argument("--no-fail-on-test-error", action="store_true")
@@ -90,6 +109,9 @@ class MonthJob:
             from_layer=a.from_layer,
             fail_on_test_error=not a.no_fail_on_test_error,
             count_duplicates=a.count_duplicates,
+            calendar=(a.calendar_start, a.calendar_end),
+            landing=a.landing,
+            taxi_type=a.taxi_type,
         )
 
 
@@ -119,9 +141,9 @@ def cleanse_and_load(spark: SparkSession, job: MonthJob, raw: DataFrame | None =
     keeps the rules above the dedup, so it is off by default.
     """
     if raw is None:
-        if not job.raw_path:
-            raise ValueError("raw_path or a raw DataFrame is required")
-        raw = read_trips(spark, job.raw_path)
+        if not job.source():
+            raise ValueError("raw_path, landing or a raw DataFrame is required")
+        raw = read_trips(spark, job.source())
     initial = raw.count()
     deduped = C.dedup_raw(raw)
     o_dedup = None
@@ -137,7 +159,8 @@ def cleanse_and_load(spark: SparkSession, job: MonthJob, raw: DataFrame | None =
         F.avg("trip_distance").alias("avg_distance"),
         F.avg("trip_duration_minutes").alias("avg_duration"),
     )
-    sinks.write_month_table(clean, table_name("raw", "trips"), job.path("raw", "trips"), job.year, job.month, job.mode)
+    check_schema(clean, TRIPS_CLEAN, layer="raw.trips")
+    sinks.write_month_table(clean, job.table("raw", "trips"), job.path("raw", "trips"), job.year, job.month, job.mode)
     m = o_clean.get
     load = {
         "trips_loaded": m["rows"],
@@ -149,54 +172,54 @@ def cleanse_and_load(spark: SparkSession, job: MonthJob, raw: DataFrame | None =
     return C.audit_from_counts(initial, deduplicated, m["rows"]), load
 
 
+def _neighbours(df: DataFrame, job: MonthJob) -> DataFrame:
+    """The run month and the months on either side of it (partition pruning)."""
+    at = job.year * 12 + job.month
+    near = [divmod(m - 1, 12) for m in (at - 1, at, at + 1)]
+    return df.where(" OR ".join(f"(year = {y} AND month = {m + 1})" for y, m in near)).drop("year", "month")
+
+
 def build_models(spark: SparkSession, job: MonthJob) -> dict[str, DataFrame]:
     """Model graph (O-91) for the run month.
 
-    Persisted where it pays at scale: stg_trips (a view would re-run the staging
-    dedup shuffle for every reader) and the fct_trips mart are month tables;
-    dim_zones and dim_date are replaced whole. int_trips_enriched is stg_trips
-    plus two broadcast lookups (narrow), so it stays a view: reading it costs the
-    same scan as reading a persisted copy, without writing the data once more.
-    stg_zones (a few hundred rows) is a view too.
+    stg_trips (a view would re-run the staging dedup shuffle for every reader), int_trips_enriched
+    and the fct_trips mart are month tables; dim_zones and dim_date are replaced whole. stg_zones
+    (a few hundred rows) is a view. Every frame is held against its contract before it is written.
     """
-    trips = _month(spark.table(table_name("raw", "trips")), job)
-    zones_raw = spark.table(table_name("raw", "zones"))
-    sinks.write_month_table(
-        M.stg_trips(trips), table_name("staging", "stg_trips"), job.path("staging", "stg_trips"),
-        job.year, job.month, job.mode,
-    )
-    stg = _month(spark.table(table_name("staging", "stg_trips")), job)
-    stg_z = M.stg_zones(zones_raw)
-    sinks.create_view(stg_z, "stg_zones")
+
+    def month_table(layer: str, name: str, df: DataFrame) -> DataFrame:
+        check_schema(df, CONTRACTS[name], layer=name)  # O-88
+        sinks.write_month_table(df, job.table(layer, name), job.path(layer, name), job.year, job.month, job.mode)
+        return _month(spark.table(job.table(layer, name)), job)
+
+    def whole_table(name: str, df: DataFrame) -> DataFrame:
+        check_schema(df, CONTRACTS[name], layer=name)
+        sinks.replace_table(df, job.table("marts", name), job.path("marts", name))
+        return spark.table(job.table("marts", name))
+
+    trips = _month(spark.table(job.table("raw", "trips")), job)
+    stg_z = M.stg_zones(spark.table(job.table("raw", "zones")))
+    check_schema(stg_z, STG_ZONES, layer="stg_zones")
     # Duplicate zone ids would fan out the LEFT lookups; check the (small) zone table first.
     dup_zones = Q.unique_violations(stg_z, "location_id").count()
     if dup_zones and job.fail_on_test_error:
         raise Q.DataTestFailure(f"unique_stg_zones_location_id={dup_zones}: zone ids repeat, enrichment would fan out")
-    enriched = M.int_trips_enriched(stg, stg_z)
-    sinks.create_view(enriched, "int_trips_enriched")
-    sinks.write_month_table(
-        M.fct_trips(enriched), table_name("marts", "fct_trips"), job.path("marts", "fct_trips"),
-        job.year, job.month, job.mode,
-    )
-    sinks.replace_table(M.dim_zones(stg_z), table_name("marts", "dim_zones"), job.path("marts", "dim_zones"))
-    sinks.replace_table(
-        M.dim_date(spark, *job.calendar), table_name("marts", "dim_date"), job.path("marts", "dim_date")
-    )
+    stg = month_table("staging", "stg_trips", M.stg_trips(trips))
+    sinks.create_view(stg_z, "stg_zones")
+    enriched = month_table("intermediate", "int_trips_enriched", M.int_trips_enriched(stg, stg_z))
     frames = {
         "stg_trips": stg,
         "stg_zones": stg_z,
         "int_trips_enriched": enriched,
-        "fct_trips": _month(spark.table(table_name("marts", "fct_trips")), job),
-        "dim_zones": spark.table(table_name("marts", "dim_zones")),
-        "dim_date": spark.table(table_name("marts", "dim_date")),
+        "fct_trips": month_table("marts", "fct_trips", M.fct_trips(enriched)),
+        "dim_zones": whole_table("dim_zones", M.dim_zones(stg_z)),
+        "dim_date": whole_table("dim_date", M.dim_date(spark, *job.calendar)),
     }
-    for name, contract in CONTRACTS.items():  # O-88: names and types at every layer boundary
-        check_schema(frames[name], contract, layer=name)
     return frames
 
 
 # Month-partitioned tables of the job (the others are replaced whole).
-MONTH_TABLES = [("raw", "trips"), ("staging", "stg_trips"), ("marts", "fct_trips")]
+MODEL_TABLES = [("staging", "stg_trips"), ("intermediate", "int_trips_enriched"), ("marts", "fct_trips")]
 
 CONTRACTS = {
     "stg_trips": STG_TRIPS,
@@ -216,56 +239,69 @@ def build_month(
 ) -> dict:
     """O-90: run one month end to end. Returns audit, load metrics and the 40 test results."""
     tag = f"fareline {job.year:04d}-{job.month:02d}"
-    sinks.create_layer_schemas(spark, location=job.warehouse)
+    sinks.create_layer_schemas(spark, location=job.warehouse, prefix=job.prefix)
     audit, load = None, None
     if job.from_layer == "raw":
         with job_description(spark, f"{tag}: cleanse and load"):
             audit, load = cleanse_and_load(spark, job, raw)
-    elif not spark.catalog.tableExists(table_name("raw", "trips")):
-        raise ValueError("from_layer='clean' needs an existing raw.trips table")
+    elif sinks.has_files(spark, sinks.month_folder(job.path("raw", "trips"), job.year, job.month)):
+        sinks.register_table(spark, job.table("raw", "trips"), job.path("raw", "trips"))
+    else:
+        raise ValueError(f"from_layer='clean' needs {job.year:04d}-{job.month:02d} in {job.path('raw', 'trips')}")
     if zones is None:
         zones = read_zones_optional(spark, job.zone_csv)
-    zones_loaded = 0
+    zones_loaded, zones_without_id = 0, 0
     if zones is not None:
+        check_schema(zones, ZONES_RAW, layer="raw.zones")
         o_zones = Observation("zones")
+        counted = zones.observe(o_zones, F.count(F.lit(1)).alias("rows"), F.count(F.when(F.col("location_id").isNull(), 1)).alias("bad"))
         with job_description(spark, f"{tag}: load zones"):
-            sinks.replace_table(
-                zones.observe(o_zones, F.count(F.lit(1)).alias("rows")), table_name("raw", "zones"),
-                job.path("raw", "zones"),
-            )
-        zones_loaded = o_zones.get["rows"]
-    elif not spark.catalog.tableExists(table_name("raw", "zones")):
+            sinks.replace_table(counted, job.table("raw", "zones"), job.path("raw", "zones"))
+        zones_loaded, zones_without_id = o_zones.get["rows"], o_zones.get["bad"]
+    elif sinks.has_files(spark, job.path("raw", "zones")):
+        sinks.register_table(spark, job.table("raw", "zones"), job.path("raw", "zones"))
+    else:
         raise ValueError("no zone lookup given and no raw.zones table to keep")
     if load is None:  # resumed run: the KPIs come from the loaded month
-        load = R.kpi_load(_month(spark.table(table_name("raw", "trips")), job)).first().asDict()
-    load = {"trips_loaded": load["trips_loaded"], "zones_loaded": zones_loaded, **{
+        load = R.kpi_load(_month(spark.table(job.table("raw", "trips")), job)).first().asDict()
+    load = {"trips_loaded": load["trips_loaded"], "zones_loaded": zones_loaded, "zones_without_id": zones_without_id, **{
         k: load[k] for k in ("total_revenue", "avg_distance", "avg_duration")}}
-    if load["trips_loaded"] == 0:  # nothing loaded for the month: clear what earlier runs left
-        for layer, name in MONTH_TABLES:
-            sinks.empty_month(spark, table_name(layer, name), job.year, job.month)
     with job_description(spark, f"{tag}: build models"):
         frames = build_models(spark, job)
     with job_description(spark, f"{tag}: data tests"):
-        tests = [r.asDict() for r in Q.summary(frames).collect()]  # 40 rows, one per rule
-    failed = [t for t in tests if t["failing_rows"] > 0]
-    if failed and job.fail_on_test_error:
-        names = ", ".join(f"{t['rule_id']}={t['failing_rows']}" for t in failed)
-        raise Q.DataTestFailure(f"{len(failed)} data test(s) failed: {names}")
+        # trips of the first day of the next month belong to two run months: the fact's ids must
+        # be unique over the neighbouring months too
+        wider = {"fct_trips": _neighbours(spark.table(job.table("marts", "fct_trips")), job)}
+        tests = [r.asDict() for r in Q.summary(frames, unique_over=wider).collect()]  # 40 rows, one per rule
+        days = frames["fct_trips"].where("pickup_date IS NOT NULL").groupBy("pickup_date").count()
+        outside = days.join(frames["dim_date"], days["pickup_date"] == F.col("date_day"), "left_anti").agg(F.sum("count")).first()[0]
+    load["trips_outside_calendar"] = outside or 0
+    if job.fail_on_test_error:
+        Q.raise_on(tests)
     return {"audit": audit, "load": load, "tests": tests}
 
 
-def rebuild_warehouse(spark: SparkSession, job: MonthJob) -> dict:
-    """O-94: drop every model layer and rebuild the month from the persisted clean layer."""
-    for layer in ("staging", "marts"):
-        spark.sql(f"DROP DATABASE IF EXISTS `{layer}` CASCADE")
-    return build_month(spark, MonthJob(**{**job.__dict__, "from_layer": "clean"}))
+def rebuild_warehouse(spark: SparkSession, job: MonthJob) -> list[dict]:
+    """O-94: rebuild every model of every month that the persisted clean layer holds.
+
+    Each month's partitions are replaced when their own write commits, so nothing is gone before its
+    successor is there; model months that the clean layer lost are cleared afterwards.
+    """
+    months = sinks.stored_months(spark, job.path("raw", "trips"))
+    out = [build_month(spark, replace(job, year=y, month=m, from_layer="clean", mode="month")) for y, m in months]
+    for layer, name in MODEL_TABLES:
+        for y, m in set(sinks.stored_months(spark, job.path(layer, name))) - set(months):
+            sinks.clear_month(spark, job.path(layer, name), y, m)
+            if spark.catalog.tableExists(job.table(layer, name)):
+                spark.catalog.refreshTable(job.table(layer, name))
+    return out
 
 
 def backfill(spark: SparkSession, job: MonthJob, months: list[tuple[int, int]], raw_for=None, zones=None) -> list[dict]:
     """O-16: run consecutive months; ``raw_for(year, month)`` supplies each month's raw frame."""
     out = []
     for y, m in months:
-        j = MonthJob(**{**job.__dict__, "year": y, "month": m})
+        j = replace(job, year=y, month=m)
         out.append(build_month(spark, j, raw_for(y, m) if raw_for else None, zones))
     return out
 

@@ -2,14 +2,15 @@
 
 Scratch output (round-trip tables, lineage cuts) goes under the cluster's
 shared checkpoint folder, read from the session (``spark.checkpoint.dir`` or
-the SparkContext's checkpoint dir). Only when neither is set (local runs and
-tests) a private folder is created and registered as the checkpoint dir.
+the SparkContext's checkpoint dir). When neither is set, a private folder is
+created and registered for a local master (tests); any other master is an error.
 """
 
 from __future__ import annotations
 
 import contextlib
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import SparkSession
@@ -46,7 +47,10 @@ def shared_dir(spark: SparkSession) -> str:
         sc = None
     if sc is not None and sc.getCheckpointDir():
         return sc.getCheckpointDir().rstrip("/")
-    local = tempfile.mkdtemp(prefix="fareline-ckpt-")  # only when nothing is configured (local runs, tests)
+    master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError("spark.checkpoint.dir is not set; on a cluster scratch data needs a folder that all executors share")
+    local = tempfile.mkdtemp(prefix="fareline-ckpt-")  # one machine only (local runs, tests)
     if sc is not None:
         sc.setCheckpointDir(local)
         return (sc.getCheckpointDir() or local).rstrip("/")
@@ -59,6 +63,23 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/fareline/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def clear_scratch(spark: SparkSession, older_than_hours: float = 24.0) -> int:
+    """Delete scratch folders that nothing has touched for so long; returns how many went.
+
+    Registered queries leave their files for the frame they return, so they cannot delete them
+    themselves; a scheduled call of this releases the storage.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/fareline")
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        return 0
+    limit = (time.time() - older_than_hours * 3600) * 1000
+    old = [f.getPath() for f in fs.listStatus(path) if f.getModificationTime() < limit]
+    for p in old:
+        fs.delete(p, True)
+    return len(old)
+
+
 @contextlib.contextmanager
 def job_description(spark: SparkSession, text: str):
     """Label the Spark jobs started inside the block (shown in event logs and history UIs)."""

@@ -7,19 +7,22 @@ month windows and lands in the partition of the run that read it.
 
 Overwrite modes:
 
-* ``month`` (default): dynamic partition overwrite; re-running a month
-  replaces that month only, so months can be re-run and backfilled in any order.
+* ``month`` (default): only the run month's partition folder is replaced, also by a
+  run of no rows, so months can be re-run and backfilled in any order.
 * ``replace_all``: the reference's behaviour (replace the whole table), so
   a backfill loop keeps only the last month.
+
+The folder decides what exists, not the session's catalogue: month tables are written by
+path and then registered over it, so separate processes share one warehouse safely.
 """
 
 from __future__ import annotations
 
-import uuid
+from urllib.parse import urlparse
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from fareline.schemas import LAYERS
 
@@ -39,67 +42,94 @@ def _writer(df: DataFrame, mode: str):
 
 
 def write_month(df: DataFrame, path: str, year: int, month: int, mode: str = "month") -> None:
-    """O-10/O-16: write one run month of a layer as Parquet under ``path/year=Y/month=M``."""
-    _writer(with_run_month(df, year, month), mode).parquet(path)
+    """O-10/O-16: write one run month of a layer as Parquet under ``path/year=Y/month=M``.
+
+    Dynamic overwrite swaps the month's folder when the write commits, but leaves it alone when
+    there are no rows; an empty file then takes the old ones' place.
+    """
+    rows = Observation()
+    framed = with_run_month(df, year, month).observe(rows, F.count(F.lit(1)).alias("n"))
+    _writer(framed, mode).parquet(path)
+    if rows.get["n"] == 0:
+        df.limit(0).write.mode("overwrite").parquet(month_folder(path, year, month))
+
+
+def month_folder(path: str, year: int, month: int) -> str:
+    return f"{path.rstrip('/')}/year={int(year)}/month={int(month)}"
+
+
+def has_files(spark: SparkSession, path: str) -> bool:
+    """Is there a Parquet folder at ``path``, on whatever file system the session reads?"""
+    try:
+        spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
+    return True
 
 
-def create_layer_schemas(spark: SparkSession, layers=None, location: str | None = None) -> None:
+def stored_months(spark: SparkSession, path: str) -> list[tuple[int, int]]:
+    """Run months present in a month-partitioned layer (one row per month reaches the driver)."""
+    if not has_files(spark, path):
+        return []
+    rows = spark.read.parquet(path).select(*PARTITION_COLUMNS).distinct().collect()
+    return sorted((r["year"], r["month"]) for r in rows)
+
+
+def clear_month(spark: SparkSession, path: str, year: int, month: int) -> None:
+    """Leave no rows in one month of a layer."""
+    schema = spark.read.parquet(month_folder(path, year, month)).schema
+    spark.createDataFrame([], schema).write.mode("overwrite").parquet(month_folder(path, year, month))
+
+
+def create_layer_schemas(spark: SparkSession, layers=None, location: str | None = None, prefix: str = "") -> None:
     """O-12/O-13: ``CREATE DATABASE IF NOT EXISTS`` for each layer name, verbatim.
 
     ``location`` puts the database folders on shared storage (``{location}/{db}.db``)
     instead of the session's default warehouse folder.
     """
     for layer in layers or LAYERS:
-        db = LAYERS[layer]
+        db = prefix + LAYERS[layer]
         where = f" LOCATION '{location.rstrip('/')}/{db}.db'" if location else ""
         spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`{where}")
 
 
+def _same_place(a: str, b: str) -> bool:
+    x, y = urlparse(a), urlparse(b)
+    return x.path.rstrip("/") == y.path.rstrip("/") and (x.scheme or "file", x.netloc) == (y.scheme or "file", y.netloc)
+
+
+def check_location(spark: SparkSession, table: str, path: str) -> None:
+    """A registered table must lie where the job writes: another warehouse in one catalogue is refused."""
+    if not spark.catalog.tableExists(table):
+        return
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").collect()
+    if rows and not _same_place(rows[0]["data_type"], path):
+        raise ValueError(f"{table} is registered at {rows[0]['data_type']}, not at {path}; use one warehouse per catalogue")
+
+
 def replace_table(df: DataFrame, table: str, path: str) -> None:
     """O-11/O-15: replace a catalogue table from a frame, data stored at ``path``."""
+    check_location(df.sparkSession, table, path)
     df.write.mode("overwrite").format("parquet").option("path", path).saveAsTable(table)
 
 
+def register_table(spark: SparkSession, table: str, path: str) -> None:
+    """Make the files at ``path`` readable as ``table``, with all partitions that lie there now."""
+    check_location(spark, table, path)
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} USING parquet LOCATION '{path}'")
+    if set(PARTITION_COLUMNS) <= set(spark.table(table).columns):
+        spark.catalog.recoverPartitions(table)
+    spark.catalog.refreshTable(table)
+
+
 def write_month_table(df: DataFrame, table: str, path: str, year: int, month: int, mode: str = "month") -> None:
     """Month-partitioned catalogue table; ``month`` mode swaps only this run's partition."""
     spark = df.sparkSession
-    framed = with_run_month(df, year, month)
-    if mode == "replace_all" or not spark.catalog.tableExists(table):
-        framed.write.mode("overwrite").format("parquet").partitionBy(*PARTITION_COLUMNS).option(
-            "path", path
-        ).saveAsTable(table)
-        return
-    if mode not in MODES:
-        raise ValueError(f"mode must be one of {MODES}")
-    # insertInto ignores a per-write partitionOverwriteMode option, so the session setting is
-    # switched for this write and restored after it (one month job per session at a time).
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        framed.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
-
-
-def empty_month(spark: SparkSession, table: str, year: int, month: int) -> None:
-    """Make one month partition empty (its files are replaced by nothing).
-
-    Dynamic partition overwrite only replaces partitions that receive rows, so a
-    re-run that produces no rows for its month would otherwise leave the previous
-    run's rows in place. A static-partition INSERT OVERWRITE of an empty query
-    clears exactly that partition.
-    """
-    if not spark.catalog.tableExists(table):
-        return
-    schema = T.StructType([f for f in spark.table(table).schema.fields if f.name not in PARTITION_COLUMNS])
-    view = f"__fareline_empty_{uuid.uuid4().hex[:8]}"
-    spark.createDataFrame([], schema).createOrReplaceTempView(view)
-    try:
-        spark.sql(
-            f"INSERT OVERWRITE TABLE {table} PARTITION (year={int(year)}, month={int(month)}) SELECT * FROM {view}"
-        )
-    finally:
-        spark.catalog.dropTempView(view)
+    check_location(spark, table, path)
+    write_month(df, path, year, month, mode)
+    register_table(spark, table, path)
 
 
 def create_view(df: DataFrame, name: str) -> None:

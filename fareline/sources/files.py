@@ -28,10 +28,13 @@ def read_trips(spark: SparkSession, path: str, schema=None) -> DataFrame:
 def read_zones_csv(spark: SparkSession, path: str) -> DataFrame:
     """Zone lookup CSV with header -> raw.zones layout (O-03).
 
-    The header names are fixed; the id is read as text and converted with
-    ``try_cast`` so a malformed id becomes NULL instead of failing the job.
+    Columns are taken by their header name, in any order; a missing one fails. The id is read as
+    text and converted with ``try_cast`` so a malformed id becomes NULL (``bad_zone_ids`` counts them).
     """
-    df = spark.read.schema(ZONES_CSV).option("header", True).option("mode", "PERMISSIVE").csv(path)
+    df = spark.read.option("header", True).option("inferSchema", False).option("mode", "PERMISSIVE").csv(path)
+    missing = [f.name for f in ZONES_CSV.fields if f.name not in df.columns]
+    if missing:
+        raise ValueError(f"zone CSV {path} has no column {', '.join(missing)}; its header is {df.columns}")
     return df.select(
         F.expr("try_cast(LocationID AS INT)").alias("location_id"),
         F.col("Borough").alias("borough"),
@@ -40,6 +43,11 @@ def read_zones_csv(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def bad_zone_ids(zones: DataFrame) -> int:
+    """Zones without a usable id."""
+    return zones.where(F.col("location_id").isNull()).count()
+
+
 def read_zones_optional(spark: SparkSession, path: str | None) -> DataFrame | None:
     """O-04: a missing zone file is not an error; the caller keeps the old table.
 
@@ -90,9 +98,9 @@ def read_partitioned_month(spark: SparkSession, base: str, year: int, month: int
     return spark.read.parquet(base).where((F.col("year") == year) & (F.col("month") == month))
 
 
-def table_name(layer: str, name: str) -> str:
-    """O-08/O-13: layer name used verbatim as the database."""
-    return f"{LAYERS[layer]}.{name}"
+def table_name(layer: str, name: str, prefix: str = "") -> str:
+    """O-08/O-13: layer name used verbatim as the database (``prefix`` keeps scratch runs apart)."""
+    return f"{prefix}{LAYERS[layer]}.{name}"
 
 
 def read_layer_table(spark: SparkSession, layer: str, name: str) -> DataFrame:

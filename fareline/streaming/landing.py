@@ -1,12 +1,12 @@
 """Run the month job when a month file lands (Structured Streaming file trigger).
 
 The reference is a monthly batch started by a scheduler. Here the schedule is
-replaced by a file-source stream over the landing folder: each micro-batch
-carries only file *paths* (``_metadata.file_path``; no trip columns are read),
-the months in the batch are derived from the file names
-(``{type}_tripdata_{YYYY}-{MM}.parquet``, one file or a folder of part files),
-and for each month the ordinary batch job re-runs over that month's files. Re-running a month is idempotent (month
-partition overwrite), so a month whose files arrive across several batches is
+replaced by a file stream over the landing folder: each micro-batch carries one row per
+file, its *path* alone (the ``binaryFile`` source with the content left unread). The
+months in the batch are derived from the names of the folder's own entries
+(``{type}_tripdata_{YYYY}-{MM}.parquet``, one file or a folder of part files; other names
+are ignored), and for each month the ordinary batch job re-runs over that month's
+files. Re-running a month is idempotent (month partition overwrite), so a month whose files arrive across several batches is
 simply rebuilt, and the stream checkpoint guarantees each file is handled once.
 With ``availableNow`` the stream drains the folder and stops, which is how a
 scheduler would call it.
@@ -14,6 +14,8 @@ scheduler would call it.
 
 from __future__ import annotations
 
+import re
+from collections import deque
 from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,19 +23,27 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from fareline.plans.month_job import MonthJob, build_month
+from fareline.sources.files import read_trips
 
-FILE_PATTERN = r"([a-z]+)_tripdata_(\d{4})-(\d{2})\.parquet"
+FILE_PATTERN = r"([a-z]+)_tripdata_(\d{4})-(\d{2})\.parquet(?:/[^/]+)?$"
+FILE_ROWS = "path string, modificationTime timestamp, length bigint, content binary"
+KEPT_RESULTS = 120  # months whose audit a running query remembers
 
 
-def landed_months(files: DataFrame) -> DataFrame:
-    """(taxi_type, year, month, path) of each landed file, from its name."""
+def landed_months(files: DataFrame, folder: str | None = None) -> DataFrame:
+    """(taxi_type, year, month, path) of each landed yellow month file, from its name.
+
+    ``folder``: only entries of this folder itself count, not those of folders inside it.
+    """
     p = F.col("path")
-    return files.select(
+    inside = f"/{re.escape(folder.rstrip('/').rpartition('/')[2])}/" if folder else ""
+    named = files.where(p.rlike(inside + FILE_PATTERN))
+    return named.select(
         F.regexp_extract(p, FILE_PATTERN, 1).alias("taxi_type"),
-        F.regexp_extract(p, FILE_PATTERN, 2).cast("int").alias("year"),
-        F.regexp_extract(p, FILE_PATTERN, 3).cast("int").alias("month"),
+        F.regexp_extract(p, FILE_PATTERN, 2).try_cast("int").alias("year"),
+        F.regexp_extract(p, FILE_PATTERN, 3).try_cast("int").alias("month"),
         p,
-    ).where(F.col("year").isNotNull() & (F.col("taxi_type") == "yellow"))
+    ).where("taxi_type = 'yellow' AND month BETWEEN 1 AND 12")
 
 
 def start(
@@ -41,26 +51,27 @@ def start(
     landing_dir: str,
     job: MonthJob,
     checkpoint: str,
-    schema,
+    schema=None,
     zones: DataFrame | None = None,
     available_now: bool = True,
 ) -> StreamingQuery:
     """Start the landing watch; returns the running query (``awaitTermination`` to drain)."""
     files = (
-        spark.readStream.schema(schema)
+        spark.readStream.format("binaryFile")
+        .schema(FILE_ROWS)
         .option("recursiveFileLookup", "true")  # a month may land as one file or a folder of parts
-        .parquet(landing_dir)
-        .select(F.col("_metadata.file_path").alias("path"))
+        .option("pathGlobFilter", "*.parquet")
+        .load(landing_dir)
+        .select("path")
     )
-    results: list[dict] = []
+    results: deque[dict] = deque(maxlen=KEPT_RESULTS)
 
     def run_months(batch: DataFrame, epoch_id: int) -> None:
-        # rows carry only the file path; a partial distinct leaves one row per landed month
-        months = landed_months(batch).select("year", "month").distinct()
+        months = landed_months(batch, landing_dir).select("year", "month").distinct()
         for row in months.orderBy("year", "month").collect():
             month_dir = f"{landing_dir.rstrip('/')}/yellow_tripdata_{row['year']:04d}-{row['month']:02d}.parquet"
             j = replace(job, year=row["year"], month=row["month"], raw_path=month_dir, from_layer="raw")
-            out = build_month(spark, j, zones=zones)
+            out = build_month(spark, j, raw=read_trips(spark, month_dir, schema), zones=zones)
             results.append({"epoch": epoch_id, "year": row["year"], "month": row["month"], **(out["audit"] or {})})
 
     writer = files.writeStream.foreachBatch(run_months).option("checkpointLocation", checkpoint)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from fareline import schemas as S
 from fareline.operators import models as M
 from fareline.operators import reports as R
-from fareline.sources.seed import seed_trips, seed_zones
+from tests.seed import BOROUGHS, N_TRIPS, N_ZONES, seed_trips, seed_zones, trip_rows, zone_rows
 
 
 @pytest.fixture(scope="module")
@@ -17,18 +17,27 @@ def seed(spark):
 
 
 def test_seed_fact_goldens(spark, seed):
-    fct = seed["fct_trips"]
-    assert fct.count() == 100
+    fct, rows = seed["fct_trips"], trip_rows()
+    assert fct.count() == N_TRIPS
     k = R.kpi_load(seed_trips(spark), seed_zones(spark)).first().asDict()
-    assert k == {"trips_loaded": 100, "zones_loaded": 265, "total_revenue": 2850.0, "avg_distance": 5.1, "avg_duration": 20.0}
+    assert k["trips_loaded"] == N_TRIPS and k["zones_loaded"] == N_ZONES
+    assert k["total_revenue"] == pytest.approx(sum(r["total_amount"] for r in rows), abs=0.005)
+    assert k["avg_distance"] == pytest.approx(sum(r["trip_distance"] for r in rows) / N_TRIPS, abs=0.006)
+    assert k["avg_duration"] == pytest.approx(sum(r["trip_duration_minutes"] for r in rows) / N_TRIPS, abs=0.006)
+    hours = [r["tpep_pickup_datetime"].hour for r in rows]
+    names = {"Morning Rush": range(7, 10), "Midday": range(10, 16), "Evening Rush": range(16, 20), "Night": range(20, 24),
+             "Late Night / Early Morning": range(7)}
     seg = {r["time_of_day_segment"]: r["trip_count"] for r in R.report_time_of_day(fct).collect()}
-    assert seg == {"Morning Rush": 11, "Midday": 36, "Evening Rush": 24, "Night": 24, "Late Night / Early Morning": 5}
+    assert seg == {n: sum(h in span for h in hours) for n, span in names.items()}
     pay = {r[0]: r[1] for r in fct.groupBy("payment_method").count().collect()}
-    assert pay == {"Credit Card": 50, "Cash": 50}
+    assert pay == dict.fromkeys(["Credit Card", "Cash", "No Charge", "Dispute"], N_TRIPS // 4)
+    of = {z[0]: z[1] for z in zone_rows()}
     bor = {r["borough"]: r["total_trips"] for r in R.report_borough_revenue(fct, seed["dim_zones"]).collect()}
-    assert bor == {"Manhattan": 25, "Queens": 25, "Brooklyn": 25, "Bronx": 25}
+    want = {b: sum(of[r["PULocationID"]] == b for r in rows) for b in BOROUGHS}
+    assert bor == {b: n for b, n in want.items() if n}
     wk = {r["is_weekend"]: r["trip_count"] for r in R.report_weekend(fct, seed["dim_date"]).collect()}
-    assert wk == {False: 100}
+    weekend = sum(r["tpep_pickup_datetime"].weekday() >= 5 for r in rows)
+    assert wk == {True: weekend, False: N_TRIPS - weekend}
 
 
 def test_report_order_and_top_k(spark, seed):
@@ -101,7 +110,7 @@ def test_null_vendor_gives_null_trip_id(spark):
 def test_zone_fan_out_is_visible(spark):
     zones = seed_zones(spark).unionByName(seed_zones(spark).where("location_id = 2"))
     m = M.star_schema(seed_trips(spark), zones, spark)
-    assert m["int_trips_enriched"].count() > 100  # left join fans out on duplicate zone ids
+    assert m["int_trips_enriched"].count() > N_TRIPS  # left join fans out on duplicate zone ids
     from fareline.operators import quality as Q
 
     assert Q.unique_violations(m["dim_zones"], "location_id").count() == 1
@@ -111,14 +120,14 @@ def test_lookup_broadcast_is_size_checked(spark, seed):
     from fareline.operators.lookups import fits_broadcast
     from fareline.plans.explain import plan_text
 
-    assert fits_broadcast(seed["stg_zones"], 265) and not fits_broadcast(seed["stg_zones"], 264)
-    assert not fits_broadcast(seed["stg_zones"], max_bytes=1_000)  # 265 rows x 4 columns exceed 1 kB
+    assert fits_broadcast(seed["stg_zones"], N_ZONES) and not fits_broadcast(seed["stg_zones"], N_ZONES - 1)
+    assert not fits_broadcast(seed["stg_zones"], max_bytes=1_000)  # 60 rows x 4 columns exceed 1 kB
     small = M.int_trips_enriched(seed["stg_trips"], seed["stg_zones"])
     big = M.int_trips_enriched(seed["stg_trips"], seed["stg_zones"], max_broadcast_rows=10)
     hint = "strategy=broadcast"
     assert hint in plan_text(small, "extended")
     assert hint not in plan_text(big, "extended")  # over the bound: no hint, planner/AQE decide
-    assert big.count() == small.count() == 100
+    assert big.count() == small.count() == N_TRIPS
 
 
 def test_load_golden(spark, tmp_path):
@@ -145,6 +154,15 @@ def test_load_golden(spark, tmp_path):
     names = sinks.list_tables(spark, "raw")
     assert "trips_load_test" in names and "zones_load_test" in names
     assert zones.first().asDict() == {"location_id": 100, "borough": "Manhattan", "zone": "Times Sq", "service_zone": "Yellow Zone"}
+    csv.write_text("service_zone,Zone,extra,LocationID,Borough\nYellow Zone,Times Sq,x,100,Manhattan\nA,B,x,oops,C\n")
+    again = read_zones_csv(spark, str(csv))  # columns go by name
+    assert again.first().asDict() == {"location_id": 100, "borough": "Manhattan", "zone": "Times Sq", "service_zone": "Yellow Zone"}
+    from fareline.sources.files import bad_zone_ids
+
+    assert bad_zone_ids(again) == 1
+    csv.write_text("id,Borough,Zone,service_zone\n100,Manhattan,Times Sq,Yellow Zone\n")
+    with pytest.raises(ValueError, match="no column LocationID"):
+        read_zones_csv(spark, str(csv))
 
 
 def test_optional_zone_file(spark, tmp_path):

@@ -31,7 +31,9 @@ def test_month_job_end_to_end(spark, tmp_path):
     from fareline.operators.reports import kpi_load
 
     month = spark.table(table_name("raw", "trips")).where("year = 2024 AND month = 1")
-    assert out["load"] == kpi_load(month, spark.table(table_name("raw", "zones"))).first().asDict()
+    kpis = kpi_load(month, spark.table(table_name("raw", "zones"))).first().asDict()
+    assert {k: out["load"][k] for k in kpis} == kpis
+    assert out["load"]["zones_without_id"] == 0 and out["load"]["trips_outside_calendar"] == 0
     assert len(out["tests"]) == 40 and all(t["failing_rows"] == 0 for t in out["tests"])
     assert spark.table(table_name("marts", "fct_trips")).count() == 953
     assert set(sinks.list_tables(spark, "marts")) >= {"fct_trips", "dim_zones", "dim_date"}
@@ -122,8 +124,9 @@ def test_rebuild_and_layer_reads(spark, tmp_path):
     _drop_layers(spark)
     job = MonthJob(warehouse=str(tmp_path / "wh"))
     first = build_month(spark, job, raw=raw_trips(spark, SF0001), zones=raw_zones(spark, SF0001))
-    assert spark.catalog.tableExists("stg_zones") and spark.catalog.tableExists("int_trips_enriched")
-    again = rebuild_warehouse(spark, job)
+    assert spark.catalog.tableExists("stg_zones")
+    assert read_layer_table(spark, "intermediate", "int_trips_enriched").count() == 953
+    (again,) = rebuild_warehouse(spark, job)
     assert again["audit"] is None
     assert [t["failing_rows"] for t in again["tests"]] == [t["failing_rows"] for t in first["tests"]]
     fct = read_layer_table(spark, "marts", "fct_trips")
@@ -201,5 +204,96 @@ def test_rerun_with_no_clean_rows_empties_the_month(spark, tmp_path):
     assert spark.table(table_name("marts", "fct_trips")).where("year = 2024 AND month = 1").count() == 953
     out = build_month(spark, job, raw=raw.limit(0), zones=raw_zones(spark, SF0001))
     assert out["audit"]["clean_rows"] == 0
-    for layer, name in [("raw", "trips"), ("staging", "stg_trips"), ("marts", "fct_trips")]:
+    for layer, name in [("raw", "trips"), ("staging", "stg_trips"), ("intermediate", "int_trips_enriched"), ("marts", "fct_trips")]:
         assert spark.table(table_name(layer, name)).where("year = 2024 AND month = 1").count() == 0, name
+
+
+def test_a_boundary_trip_in_two_months_stops_the_job(spark, tmp_path):
+    _drop_layers(spark)
+    raw, zones = raw_trips(spark, SF0001), raw_zones(spark, SF0001)
+    job = MonthJob(warehouse=str(tmp_path / "wh"), year=2023, month=12)
+    first = build_month(spark, job, raw=raw, zones=zones)
+    assert first["load"]["trips_outside_calendar"] > 0  # 2023 days are not in the 2024 calendar
+    with pytest.raises(Q.DataTestFailure, match="unique_fct_trips_trip_id=22"):
+        build_month(spark, MonthJob(warehouse=str(tmp_path / "wh")), raw=raw, zones=zones)
+
+
+def test_rebuild_keeps_every_month(spark, tmp_path):
+    from fareline.plans.month_job import rebuild_warehouse
+
+    _drop_layers(spark)
+    job = MonthJob(warehouse=str(tmp_path / "wh"), fail_on_test_error=False)
+    raw = raw_trips(spark, SF0001)
+    backfill(spark, job, [(2023, 12), (2024, 1)], raw_for=lambda y, m: raw, zones=raw_zones(spark, SF0001))
+    before = spark.table(table_name("marts", "fct_trips")).count()
+    _drop_layers(spark)  # as in a new process: the files stay, the catalogue knows nothing
+    assert len(rebuild_warehouse(spark, job)) == 2
+    assert spark.table(table_name("marts", "fct_trips")).count() == before == 982
+    sinks.clear_month(spark, job.path("raw", "trips"), 2023, 12)
+    rebuild_warehouse(spark, job)
+    assert spark.table(table_name("marts", "fct_trips")).count() == 953
+
+
+def test_another_warehouse_in_one_catalogue_is_refused(spark, tmp_path):
+    _drop_layers(spark)
+    raw, zones = raw_trips(spark, SF0001), raw_zones(spark, SF0001)
+    build_month(spark, MonthJob(warehouse=str(tmp_path / "a")), raw=raw, zones=zones)
+    with pytest.raises(ValueError, match="one warehouse per catalogue"):
+        build_month(spark, MonthJob(warehouse=str(tmp_path / "b")), raw=raw, zones=zones)
+    build_month(spark, MonthJob(warehouse=str(tmp_path / "b"), prefix="b_"), raw=raw, zones=zones)
+    assert spark.table("b_marts.fct_trips").count() == 953
+
+
+def test_month_write_of_no_rows_clears_the_folder(spark, tmp_path):
+    from fareline.operators.cleanse import cleanse
+
+    path, clean = str(tmp_path / "clean"), cleanse(raw_trips(spark, SF0001))
+    sinks.write_month(clean, path, 2024, 1)
+    sinks.write_month(cleanse(raw_trips(spark, SF0001), 2023, 12), path, 2023, 12)
+    sinks.write_month(clean.limit(0), path, 2024, 1)
+    assert [r["month"] for r in spark.read.parquet(path).select("month").distinct().collect()] == [12]
+
+
+def test_landing_folder_and_calendar_arguments(spark, tmp_path):
+    from fareline.plans.month_job import main
+
+    _drop_layers(spark)
+    raw_trips(spark, SF0001).write.parquet(str(tmp_path / "in" / "yellow_tripdata_2023-12.parquet"))
+    raw_zones(spark, SF0001).selectExpr("service_zone", "zone AS Zone", "borough AS Borough", "location_id AS LocationID").write.option(
+        "header", True
+    ).csv(str(tmp_path / "zones"))
+    out = main(["--warehouse", str(tmp_path / "wh"), "--landing", str(tmp_path / "in"), "--zone-csv", str(tmp_path / "zones"), "--year", "2023",
+                "--month", "12", "--calendar-start", "2023-12-01", "--calendar-end", "2024-01-31"])
+    assert out["load"]["trips_outside_calendar"] == 0 and out["load"]["trips_loaded"] > 0
+
+
+def test_months_and_resume_in_separate_processes(tmp_path):
+    """Three runs of the entry script on one warehouse: two months, then a resume of the first."""
+    import os
+    import subprocess
+    import sys
+
+    from pyspark.sql import SparkSession
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    landing, wh = str(tmp_path / "in"), str(tmp_path / "wh")
+    spark = SparkSession.active()
+    for m in ("2024-01", "2023-12"):
+        raw_trips(spark, SF0001).write.parquet(f"{landing}/yellow_tripdata_{m}.parquet")
+    raw_zones(spark, SF0001).selectExpr("location_id AS LocationID", "borough AS Borough", "zone AS Zone", "service_zone").write.option(
+        "header", True
+    ).csv(f"{landing}/zones")
+    months = lambda: {(r[0], r[1]): r[2] for r in spark.read.parquet(f"{wh}/marts/fct_trips").groupBy("year", "month").count().collect()}
+
+    def run(*extra):
+        args = ["--warehouse", wh, "--no-fail-on-test-error", *extra]
+        env = os.environ | {"PYTHONPATH": root, "PYSPARK_SUBMIT_ARGS": "--master local[2] --conf spark.ui.enabled=false pyspark-shell"}
+        subprocess.run([sys.executable, f"{root}/run_month.py", *args], check=True, env=env, cwd=tmp_path, timeout=300, capture_output=True)
+
+    run("--landing", landing, "--zone-csv", f"{landing}/zones", "--year", "2024", "--month", "1")
+    run("--landing", landing, "--zone-csv", f"{landing}/zones", "--year", "2023", "--month", "12")
+    both = months()
+    assert both[2024, 1] == 953 and both[2023, 12] == 29
+    sinks.clear_month(spark, f"{wh}/marts/fct_trips", 2024, 1)
+    run("--from-layer", "clean", "--year", "2024", "--month", "1")
+    assert months() == both

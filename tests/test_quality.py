@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from fareline.operators import models as M
 from fareline.operators import quality as Q
-from fareline.sources.seed import seed_trips, seed_zones
+from tests.seed import seed_trips, seed_zones
 
 
 @pytest.fixture(scope="module")
@@ -26,7 +26,7 @@ def test_seed_passes_all(spark, seed):
     rows = Q.summary(seed).collect()
     assert len(rows) == 40
     assert all(r["failing_rows"] == 0 and r["status"] == "pass" for r in rows)
-    assert Q.enforce(Q.summary(seed)) == []
+    Q.raise_on([r.asDict() for r in rows])
 
 
 def test_sf001_only_relationship_fails(spark):
@@ -38,7 +38,7 @@ def test_sf001_only_relationship_fails(spark):
     failing = {r["rule_id"]: r["failing_rows"] for r in Q.summary(m).collect() if r["failing_rows"]}
     assert failing == {"relationships_fct_trips_pickup_location_id__location_id__dim_zones": 418}
     with pytest.raises(Q.DataTestFailure):
-        Q.enforce(Q.summary(m))
+        Q.raise_on([r.asDict() for r in Q.summary(m).collect()])
 
 
 def test_unique_counts_values_not_rows(spark, seed):
@@ -57,7 +57,7 @@ def test_accepted_values_null_passes(spark, seed):
         F.when(F.col("vendor_id") == 1, F.lit("Crypto")).when(F.col("passenger_count") == 1, F.lit(None)).otherwise(F.col("payment_method")),
     )
     v = Q.accepted_values_violations(bad, "payment_method", Q.PAYMENT_VALUES).collect()
-    assert [r["value_field"] for r in v] == ["Crypto"] and v[0]["n_records"] == 50
+    assert [r["value_field"] for r in v] == ["Crypto"] and v[0]["n_records"] == 80
 
 
 def test_relationship_null_child_passes(spark, seed):
@@ -66,7 +66,7 @@ def test_relationship_null_child_passes(spark, seed):
         F.when(F.col("vendor_id") == 1, F.lit(None).cast("int")).otherwise(F.lit(999)),
     )
     v = Q.relationship_violations(fct, "pickup_location_id", seed["dim_zones"], "location_id")
-    assert v.count() == 50 and {r[0] for r in v.collect()} == {999}
+    assert v.count() == 40 and {r[0] for r in v.collect()} == {999}
 
 
 def test_singular_rules_on_raw_mapping(spark):
@@ -114,3 +114,21 @@ def test_summary_unique_without_candidates_skips_second_pass(spark, seed):
     # phase 1 ran once, eagerly; with no candidate hashes the result is constant rows
     assert "xxhash64" not in plan_text(out, "extended")
     assert _unique_rows(out) == {r.rule_id: 0 for r in rules}
+
+
+def test_each_frame_is_read_once_for_its_rules(spark, seed, monkeypatch):
+    """dq_summary's frames: one read of the trips for all row rules, one for all unique rules."""
+    reads = []
+    one, unique = Q._one_read, Q._unique_counts
+    monkeypatch.setattr(Q, "_one_read", lambda df, *a: reads.append(id(df)) or one(df, *a))
+    monkeypatch.setattr(Q, "_unique_counts", lambda f, *a: reads.extend({id(x) for x in f.values()}) or unique(f, *a))
+    frames = M.rule_frames(seed["stg_trips"], seed["stg_zones"])
+    assert len(Q.summary(frames).collect()) == 40
+    assert reads.count(id(frames["fct_trips"])) == 2 and reads.count(id(frames["dim_zones"])) == 2
+
+
+def test_unique_over_a_wider_frame(spark, seed):
+    rules = [Q.RULES_BY_ID["unique_fct_trips_trip_id"]]
+    twice = {"fct_trips": seed["fct_trips"].union(seed["fct_trips"].limit(4))}
+    assert Q.summary(seed, rules, unique_over=twice).first()["failing_rows"] == 4
+    assert Q.summary(seed, rules).first()["failing_rows"] == 0

@@ -42,3 +42,12 @@ def test_two_months_in_one_batch(spark, tmp_path):
     q.awaitTermination(300)
     assert sorted((r["year"], r["month"]) for r in q.results) == [(2023, 12), (2024, 1)]
     assert [r["clean_rows"] for r in sorted(q.results, key=lambda r: (r["year"], r["month"]))][1] == 962
+
+
+def test_stray_and_nested_names_are_ignored(spark):
+    from fareline.streaming.landing import landed_months
+
+    names = ["/x/in/zones.parquet", "/x/in/yellow_tripdata_2024-01.parquet", "/x/in/old/yellow_tripdata_2024-02.parquet/p.parquet",
+             "/x/in/yellow_tripdata_2024-03.parquet/part-0.parquet", "/x/in/green_tripdata_2024-01.parquet", "/x/in/yellow_tripdata_2024-13.parquet"]
+    df = spark.createDataFrame([(n,) for n in names], "path string")
+    assert sorted((r["year"], r["month"]) for r in landed_months(df, "/x/in/").collect()) == [(2024, 1), (2024, 3)]
