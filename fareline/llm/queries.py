@@ -7,6 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from fareline.llm.oracle import ORACLE_SQL
+
+__all__ = ["ORACLE_SQL", "PIECE_MODEL", "QUERIES", "tokenizer_path"]
+
 PIECE_MODEL = "piece_bpe_32k.model"
 BYTE_MODEL = "byte_bpe_50k.json"
 
@@ -111,6 +115,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_toxicity": op9_toxicity,
     "op10_masked_lm": op10_masked_lm,
 }
-
-#: DuckDB SQL where SQL can express the operator.
-ORACLE_SQL: dict[str, str] = {}
