@@ -17,6 +17,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from fareline.operators.lookups import maybe_broadcast
+from fareline.session import shared_dir
+
 WEIGHTS = (5, 2, 1)  # by source in code-point order, repeating
 GROWTH = 1.5  # size of the mix over the size of the input
 MOST_COPIES = 2
@@ -77,6 +80,13 @@ def _rank(sized: DataFrame, per: DataFrame, tilt: float) -> DataFrame:
     return rows.withColumn("_bucket", F.floor(F.col("_q") / (1 + F.col("_q")) * BUCKETS))
 
 
+def _per_source(table: DataFrame) -> DataFrame:
+    """A table of one row per source: stored once, and sent to all tasks if its size allows; otherwise
+    Spark joins it by shuffle and splits skewed sources at run time."""
+    shared_dir(table.sparkSession)  # checkpoint() writes to the shared checkpoint folder
+    return maybe_broadcast(table.checkpoint())
+
+
 def mix_documents(docs: DataFrame, sized: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=WEIGHTS, growth: float = GROWTH, most: int = MOST_COPIES, tilt: float = TILT) -> DataFrame:
     """``docs`` with _size, _source_size, _target and _copies (how often the mix takes the row).
 
@@ -90,14 +100,14 @@ def mix_documents(docs: DataFrame, sized: DataFrame | None = None, id_col: str =
     """
     rows = with_sizes(docs, id_col, text_col, source_col)
     small = (sized if sized is not None else rows).select("_id", "_source", "_size", "_u")
-    per = targets(small, weights, growth, most)
+    per = _per_source(targets(small, weights, growth, most))
     ranked = _rank(small, per, tilt)
     sums = ranked.groupBy("_source", "_bucket").agg(F.sum("_size").alias("_n"), F.first("_rest").alias("_rest"))
     by_q = Window.partitionBy("_source").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.withColumn("_before", F.coalesce(F.sum("_n").over(by_q), F.lit(0)))
     cut = sums.filter((F.col("_before") < F.col("_rest")) & (F.col("_before") + F.col("_n") >= F.col("_rest"))).select("_source", "_bucket", "_before")
     # order the rows of the one bucket per source that holds the cut
-    c = cut.select(F.col("_source").alias("cs"), F.col("_bucket").alias("cb"), "_before")
+    c = _per_source(cut.select(F.col("_source").alias("cs"), F.col("_bucket").alias("cb"), "_before"))
     near = ranked.join(c, F.col("_source").eqNullSafe(F.col("cs")) & (F.col("_bucket") == F.col("cb")))
     near = near.groupBy("cs", "cb", "_before", "_rest", "_q").agg(F.sum("_size").alias("_n"))
     within = Window.partitionBy("cs").orderBy("_q").rowsBetween(Window.unboundedPreceding, -1)
@@ -105,8 +115,8 @@ def mix_documents(docs: DataFrame, sized: DataFrame | None = None, id_col: str =
     # taken if the total comes no farther from the rest than without it
     last = near.filter(F.col("_have") + F.col("_n") - F.col("_rest") <= F.col("_rest") - F.col("_have")).groupBy("cs").agg(F.max("_q").alias("_last_q"))
     c2 = c.join(last.withColumnRenamed("cs", "ls"), F.col("cs").eqNullSafe(F.col("ls")), "left").select(F.col("cs").alias("_cs"), F.col("cb").alias("_cb"), "_last_q")
-    per_all = per.join(c2, F.col("_source").eqNullSafe(F.col("_cs")), "left").drop("_cs")
-    out = _rank(rows, per_all, tilt)
+    per_all = per.join(_per_source(c2), F.col("_source").eqNullSafe(F.col("_cs")), "left").drop("_cs")
+    out = _rank(rows, _per_source(per_all.drop("_of")), tilt)
     extra = F.col("_cb").isNotNull() & ((F.col("_bucket") < F.col("_cb")) | ((F.col("_bucket") == F.col("_cb")) & (F.col("_q") <= F.col("_last_q"))))
     out = out.withColumn("_copies", F.col("_whole") + F.when(extra, 1).otherwise(0))
     return out.drop("_id", "_source", "_u", "_whole", "_rest", "_q", "_bucket", "_cb", "_last_q", "_n_docs")
