@@ -24,7 +24,7 @@ def connected_components(spark: SparkSession, edges: DataFrame, most_rounds: int
         df.write.parquet(f"{base}/{k}")
         return spark.read.parquet(f"{base}/{k}")
 
-    edges = edges.select("a", "b").filter("a is not null and b is not null")
+    edges = stored(edges.select("a", "b").filter("a is not null and b is not null"))  # read several times
     nodes = edges.select(F.col("a").alias("node")).union(edges.select("b")).distinct()
     now = stored(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     for _ in range(most_rounds):

@@ -56,13 +56,15 @@ def targets(sized: DataFrame, weights=WEIGHTS, growth: float = GROWTH, most: int
     weight = F.element_at(F.array(*(F.lit(float(w)) for w in weights)), (F.row_number().over(order) - 1) % len(weights) + 1)
     per = per.withColumn("w", weight).withColumn("cap", F.col("_source_size") * F.lit(float(most)))
     total = Window.partitionBy()
-    before = Window.orderBy(F.col("cap") / F.col("w"), F.col("_source").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    by_cap = Window.orderBy(F.col("cap") / F.col("w"), F.col("_source").asc_nulls_last())
+    before = by_cap.rowsBetween(Window.unboundedPreceding, -1)
+    per = per.withColumn("place", F.row_number().over(by_cap))
     per = per.withColumn("goal", F.sum("_source_size").over(total) * F.lit(growth))
     per = per.withColumn("capped", F.coalesce(F.sum("cap").over(before), F.lit(0.0))).withColumn("w_left", F.sum("w").over(total) - F.coalesce(F.sum("w").over(before), F.lit(0.0)))
     level = (F.col("goal") - F.col("capped")) / F.col("w_left")  # if the sources before are at their caps
     per = per.withColumn("open", F.when(F.col("w") * level < F.col("cap"), level))
     # the level of the first source that stays below its cap holds for all after it
-    first_open = F.min(F.when(F.col("open").isNotNull(), F.struct((F.col("cap") / F.col("w")).alias("r"), "open"))).over(total)
+    first_open = F.min(F.when(F.col("open").isNotNull(), F.struct("place", "open"))).over(total)
     per = per.withColumn("level", first_open["open"])
     return per.select("_source", "_source_size", "_n_docs", F.when(F.col("level").isNull(), F.col("cap")).otherwise(F.least(F.col("cap"), F.col("level") * F.col("w"))).alias("_target"))
 
