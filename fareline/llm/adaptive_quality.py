@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fareline.session import shared_dir
+
 # White space of words, symbol characters.
 SPACES = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -148,5 +150,7 @@ def judge_documents(docs: DataFrame, text_col: str = "text", lang_col: str = "la
     an empty result; columns of other names than ``q_...`` pass through untouched.
     """
     counted = with_counts(docs, text_col)
-    limits = fences(sketches(counted, lang_col, source_col)) if limits is None else limits
+    if limits is None:
+        shared_dir(docs.sparkSession)  # checkpoint() writes to the shared checkpoint folder
+        limits = fences(sketches(counted, lang_col, source_col).checkpoint())  # read three times, made once
     return judge(counted, limits, lang_col, source_col)
