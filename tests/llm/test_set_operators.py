@@ -181,17 +181,18 @@ def test_pipeline_stages(spark, tmp_path):
 
     rng = random.Random(10)
     vocab = [f"w{k}" for k in range(500)]
-    rows = []
-    for i in range(120):
+    rows, n = [], 400  # enough labelled rows for the classifier
+    toxic = {i for i in range(n) if i % 4 == 1}
+    for i in range(n):
         w = rng.choices(vocab, k=80)
-        if i % 10 == 1:
-            w[3] = w[40] = w[60] = "vile"
+        if i in toxic:
+            w[3], w[40], w[60] = "vile", "nasty", "foul"
         rows.append((i, " ".join(w), "en", f"s{i % 3}", 0))
-    rows += [(200 + i, rows[2 + i][1] + " end", "en", "s1", 0) for i in range(5) if i != 9]  # near copies
-    rows += [(300, None, None, None, None), (301, "too short", "en", "s1", 0), (302, " ".join(["a b c"] * 40), "en", "s0", 0), (3, rows[3][1], "en", "s0", 0)]
+    rows += [(1000 + i, rows[i][1] + " end", "en", "s1", 0) for i in (2, 4, 6, 7, 8)]  # near copies
+    rows += [(2000, None, None, None, None), (2001, "too short", "en", "s1", 0), (2002, " ".join(["a b c"] * 40), "en", "s0", 0), (3, rows[3][1], "en", "s0", 0)]
     kind = "doc_id long, text string, lang string, source string, n_chars long"
     spark.createDataFrame(rows, kind).write.parquet(f"{tmp_path}/documents.parquet")
-    spark.createDataFrame([(i, 1, int(i % 10 == 1)) for i in range(120)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(i, 1, int(i in toxic)) for i in range(n)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     docs, seen = spark.read.parquet(f"{tmp_path}/documents.parquet"), []
     for k, (name, stage) in enumerate(P.STAGES):
         stage(spark, docs, str(tmp_path)).write.parquet(f"{tmp_path}/{k}")
@@ -199,11 +200,12 @@ def test_pipeline_stages(spark, tmp_path):
         if name != "sentencepiece":
             assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
         seen.append([r["doc_id"] for r in docs.collect()])
-    clean = {i for i in range(120) if i % 10 != 1}
-    assert set(seen[0]) & {300, 301, 302} == set() and clean <= set(seen[0])
-    assert clean <= set(seen[1]) and not {i for i in range(120) if i % 10 == 1} & set(seen[1])
-    assert clean == set(seen[2]) and len(seen[2]) == len(clean)  # one of each group, one of repeated ids
-    assert set(seen[3]) <= clean and max(map(seen[3].count, set(seen[3]))) <= 2
+    clean = set(range(n)) - toxic
+    assert not set(seen[0]) & {2000, 2001, 2002} and set(range(n)) <= set(seen[0])
+    assert clean <= set(seen[1]) and len(toxic & set(seen[1])) <= 0.03 * len(toxic)
+    left = set(seen[1]) & set(range(n))
+    assert left == set(seen[2]) and len(seen[2]) == len(left)  # one of each group, one of repeated ids
+    assert set(seen[3]) <= left and max(map(seen[3].count, set(seen[3]))) <= 2
     assert sorted(seen[4]) == sorted(seen[3])
     texts = {i: t for i, t, *_ in rows}
     assert all(r["decoded"] == texts[r["doc_id"]] for r in docs.collect())
