@@ -100,7 +100,8 @@ def op10_masked_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     from fareline.llm import window_lm as L
 
     docs = _documents(spark, sf_dir).select("doc_id", "text")
-    return L.score_documents(docs, L.train(docs))
+    words = L.word_counts(docs)
+    return L.score_documents(docs, L.train(docs, words=words), words=words)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

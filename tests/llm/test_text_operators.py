@@ -259,3 +259,37 @@ def test_language_model_learns(spark):
     mean = lambda w: np.mean([r["log_prob"] / r["n_tokens"] for r in window_lm.score_documents(docs, (frequent, w)).collect()])
     before, after = mean(window_lm.Network.start(counts)), mean(window_lm.train(docs, rounds=1)[1])
     assert after > before + 0.5
+
+
+@pytest.mark.parametrize("common", [0, 150, 1 << 18])
+def test_language_model_gives_each_word_its_own_probability(spark, monkeypatch, common):
+    monkeypatch.setattr(window_lm, "COMMON", common)
+    rng = random.Random(12)
+    vocab = [f"w{k}" for k in range(300)]
+    texts = [" ".join(rng.choices(vocab, weights=[1 / (k + 1) for k in range(300)], k=60)) for _ in range(80)] + [None, ""]
+    docs = frame(spark, texts)
+    words = window_lm.word_counts(docs)
+    times = Counter(w for t in texts for w in (t or "").split())
+    assert sorted(r["n"] for r in words.collect()) == sorted(times.values())  # every word, as often as it stands
+    frequent, weights = model = window_lm.train(docs, words=words)
+    net, mass = window_lm.Network(weights), Counter()
+
+    def coded(t):
+        buf, off = text.utf8(pa.array([t]))
+        return window_lm.tokens(buf, off, frequent)
+
+    of = {w: int(coded(w)[0][0]) for w in times}
+    for w, n in times.items():
+        mass[of[w]] += n
+    asked = [(0, texts[0]), (0, texts[0]), (None, texts[1]), (3, None), (4, "w0 neverseen w250"), (5, "w1 alsounseen w299")]
+    got = window_lm.score_documents(spark.createDataFrame(asked, "doc_id long, text string"), model, words=words).collect()
+    want = []
+    for i, t in asked:
+        token, bounds = coded(t or "")
+        total = net.log_probs(token, bounds).sum()
+        for w, c in zip((t or "").split(), token):
+            if c >= window_lm.FREQUENT:
+                total += np.log(times.get(w, 1) / (mass[c] + 1))
+        want.append((str(i), len(token), pytest.approx(total, abs=1e-3)))
+    assert sorted((str(r["doc_id"]), r["n_tokens"], r["log_prob"]) for r in got) == sorted(want, key=lambda x: x[0])
+    assert {r["doc_id"]: r["perplexity"] for r in got}[3] is None
