@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fareline.llm import adaptive_quality, fragment_join, mixing, piece_encode, toxicity
@@ -31,13 +31,21 @@ def not_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: the smallest id; one row of repeated ids."""
-    groups = fragment_join.near_duplicates(spark, docs, WORDS, PERCENT)
-    stay = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("doc_id").agg(F.count(F.lit(1)).alias("_rows"))
-    stay = stay.withColumnRenamed("doc_id", "_stays")
-    rows = docs.join(stay, docs["doc_id"].eqNullSafe(stay["_stays"]))
-    alone = rows.filter("_rows = 1").select(docs.columns)
-    return alone.unionByName(rows.filter("_rows > 1").select(docs.columns).dropDuplicates(["doc_id"]))
+    """One row of each group of near duplicates: the smallest id (null last), then the smallest hash of the
+    text, then the smallest other columns. Rows without words are in no group and all stay."""
+    groups = fragment_join.near_duplicates(spark, docs, WORDS, PERCENT, with_group=True)
+    key = [F.col("doc_id").alias("_id"), F.col("_text_hash")]
+    each = groups.groupBy("_group", *key).agg(F.count(F.lit(1)).alias("_rows"))
+    alone = F.when(F.col("_group").isNull(), F.struct("_id", "_text_hash"))
+    first = F.min(F.struct(F.col("_id").isNull().alias("last"), "_id", "_text_hash", "_rows")).alias("f")
+    stay = each.groupBy("_group", alone.alias("_alone")).agg(first)
+    one = F.col("_group").isNull() | (F.col("f._rows") == 1)
+    stay = stay.select(F.col("f._id").alias("_stays"), F.col("f._text_hash").alias("_with"), one.alias("_one"))
+    hashed = docs.withColumn("_hash", F.xxhash64("text"))
+    rows = hashed.join(stay, hashed["doc_id"].eqNullSafe(stay["_stays"]) & (hashed["_hash"] == stay["_with"]))
+    same = Window.partitionBy("doc_id", "_hash").orderBy(*(c for c in docs.columns if c not in ("doc_id", "text")), F.lit(0))
+    many = rows.filter("not _one").withColumn("_place", F.row_number().over(same)).filter("_place = 1")
+    return rows.filter("_one").select(docs.columns).unionByName(many.select(docs.columns))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -116,12 +116,13 @@ def class_ids(h: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def describe(docs: DataFrame, order: Order, n: int, percent: int) -> DataFrame:
-    """_id, cls, n, grams (prefix in the global order, at most about 1 - percent of the set), parts (segment
+    """_id and other columns, cls, n, grams (prefix in the global order, at most about 1 - percent of the set), parts (segment
     sizes, one byte each, 255 for more) of each document; cls and grams are null for an empty set."""
-    id_type = docs.schema["_id"].dataType.simpleString()
+    own = [c for c in docs.columns if c != "_text"]
+    kinds = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in own)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, h, bounds in _sets(batches, 1, n):
+        for part, h, bounds in _sets(batches, len(own), n):
             size = np.diff(bounds)
             row = np.repeat(np.arange(len(size)), size)
             level = order.level(h)
@@ -135,16 +136,16 @@ def describe(docs: DataFrame, order: Order, n: int, percent: int) -> DataFrame:
             empty = size == 0
             yield pa.RecordBatch.from_arrays(
                 [
-                    part.column(0),
+                    *part.columns[: len(own)],
                     pa.array(class_ids(h, bounds), mask=empty),
                     pa.array(size.astype(np.int64)),
                     pa.ListArray.from_arrays(pa.array(prefix, pa.int32()), pa.array(h[by][keep].view(np.int64))),
                     pa.array([x.tobytes() for x in sizes], pa.binary()),
                 ],
-                names=["_id", "cls", "n", "grams", "parts"],
+                names=[*own, "cls", "n", "grams", "parts"],
             )
 
-    return docs.select("_id", "_text").mapInArrow(run, f"_id {id_type}, cls long, n long, grams array<bigint>, parts binary")
+    return docs.select(*own, "_text").mapInArrow(run, f"{kinds}, cls long, n long, grams array<bigint>, parts binary")
 
 
 def _segments_allow(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -246,7 +247,7 @@ def least_linked(links: np.ndarray) -> np.ndarray:
         label = new
 
 
-def near_duplicates(spark: SparkSession, docs: DataFrame, n: int, percent: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_duplicates(spark: SparkSession, docs: DataFrame, n: int, percent: int, id_col: str = "doc_id", text_col: str = "text", with_group: bool = False) -> DataFrame:
     """``id_col``, n_shingles (distinct word n-grams), component_id (smallest id reachable by links).
 
     Two documents are linked when their sets share ``percent`` of their union or more. A text of fewer
@@ -254,13 +255,19 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, n: int, percent: int,
     empty set and is linked with nothing (component_id is its own id). One row per row; rows of one id
     are compared like others; a null id never is a component's smallest unless all are null. Other
     columns are ignored, an empty table gives an empty result.
+
+    ``with_group`` adds _text_hash (xxhash64 of the text) and _group, which tells the groups apart also
+    where ids are null or repeated; it is null for an empty set.
     """
     base = scratch_path(spark, "fragments")
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    more = ["_text_hash"] if with_group else []
+    if with_group:
+        rows = rows.withColumn("_text_hash", F.xxhash64("_text"))
     order = fit_order(rows, n)
     describe(rows, order, n, percent).withColumn("at", F.monotonically_increasing_id()).write.parquet(f"{base}/described")
     described = spark.read.parquet(f"{base}/described")
-    meta = described.select("_id", "cls", "n")
+    meta = described.select("_id", "cls", "n", *more)
     # one row of each class: copies are equal in all columns but the id
     described.filter("cls is not null").groupBy("cls").agg(F.min("at").alias("_at")).select("_at").write.parquet(f"{base}/first")
     first = spark.read.parquet(f"{base}/first")
@@ -306,4 +313,4 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, n: int, percent: int,
     rooted = meta.join(found, "cls", "left").withColumn("top", F.coalesce("top", "cls"))
     least = rooted.filter("top is not null").groupBy("top").agg(F.min("_id").alias("least"))
     out = rooted.join(least, "top", "left")
-    return out.select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("least", "_id").alias("component_id"))
+    return out.select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("least", "_id").alias("component_id"), *more, *([F.col("top").alias("_group")] if with_group else []))

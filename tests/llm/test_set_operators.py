@@ -176,6 +176,28 @@ def test_mixing_prefers_short_documents_a_little(spark):
     assert share[5] > share[80] > 0
 
 
+def test_pipeline_keeps_one_row_of_each_group(spark):
+    import corpus_pipeline as P
+
+    rng = random.Random(21)
+    text = lambda n=60: " ".join(f"v{rng.randrange(5000)}" for _ in range(n))
+    base, other, nulls, shared = text(), text(), [text() for _ in range(6)], text()
+    rows = [(1, base, "en"), (7, base + " end", "en"), (7, other, "en")]  # a near copy of 1, and a group of its own
+    rows += [(None, t, "de") for t in nulls] + [(None, nulls[0], "de"), (None, nulls[1].upper(), "de")]
+    rows += [(None, shared, "fr"), (30, shared + " end", "fr"), (20, shared, "fr"), (20, shared, "es"), (20, shared + " stop", "fr")]
+    rows += [(None, None, "en"), (40, "", "en"), (40, "", "en")]  # no words: in no group
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = [tuple(r) for r in P.one_of_each(spark, docs.repartition(3), "").collect()]
+    plain = [r for r in got if r[1]]
+    assert (1, base, "en") in plain and (7, other, "en") in plain
+    assert sorted(r[1].lower() for r in plain if r[2] == "de") == sorted(nulls)  # null ids are no group
+    kept = [r for r in plain if r[2] in ("fr", "es")]
+    assert len(kept) == 1 and kept[0][0] == 20
+    assert len(plain) == 2 + 6 + 1 and len(got) == len(plain) + 3
+    again = [tuple(r) for r in P.one_of_each(spark, docs.repartition(5), "").collect()]
+    assert sorted(got, key=str) == sorted(again, key=str)
+
+
 def test_pipeline_stages(spark, tmp_path):
     import corpus_pipeline as P
 
