@@ -18,6 +18,7 @@ from fareline.functions.measures import trip_surrogate_key
 from fareline.functions.sql import quote
 from fareline.operators.dedup import keep_first
 from fareline.operators.lookups import MAX_BROADCAST_ROWS, fits_broadcast
+from fareline.operators.quality import unique_violations
 from fareline.schemas import (
     CALENDAR_END,
     CALENDAR_START,
@@ -122,7 +123,11 @@ def trips_without_zones(stg: DataFrame) -> DataFrame:
 
 
 def rule_frames(stg: DataFrame, zones: DataFrame) -> dict[str, DataFrame]:
-    """Frames for the 40 rules when int_trips_enriched and fct_trips are not stored: one for all trip models."""
+    """Frames for the 40 rules when int_trips_enriched and fct_trips are not stored: one for all trip models,
+    if the zone ids are unique (one small job); repeated ones fan the lookups out, so the models are built."""
+    if not unique_violations(zones, "location_id").isEmpty():
+        enriched = int_trips_enriched(stg, zones)
+        return {"stg_trips": stg, "int_trips_enriched": enriched, "fct_trips": fct_trips(enriched), "stg_zones": zones, "dim_zones": dim_zones(zones)}
     trips = trips_without_zones(stg)
     return {"stg_trips": trips, "int_trips_enriched": trips, "fct_trips": trips, "stg_zones": zones, "dim_zones": zones}
 

@@ -64,9 +64,14 @@ class _Models:
 
     @cached_property
     def trips(self) -> DataFrame:
-        """stg_trips with the derived columns; the reports and rules need no zone lookup."""
+        """stg_trips with the derived columns; the reports need no zone lookup."""
         return M.trips_without_zones(self.stg_trips)
 
+    @cached_property
+    def rules(self) -> dict[str, DataFrame]:
+        """Frames for the data tests."""
+        return M.rule_frames(self.stg_trips, self.stg_zones)
+
     @cached_property
     def stg_zones(self) -> DataFrame:
         return M.stg_zones(raw_zones(self.spark, self.d))
@@ -469,7 +474,7 @@ def _dq_not_null(model: str) -> Query:
 
 
 def dq_unique_trip_id(spark, d):
-    return Q.unique_violations(_models(spark, d).trips, "trip_id")
+    return Q.unique_violations(_models(spark, d).rules["fct_trips"], "trip_id")
 
 
 def dq_unique_location_id(spark, d):
@@ -477,16 +482,16 @@ def dq_unique_location_id(spark, d):
 
 
 def dq_accepted_payment(spark, d):
-    return Q.accepted_values_violations(_models(spark, d).trips, "payment_method", Q.PAYMENT_VALUES)
+    return Q.accepted_values_violations(_models(spark, d).rules["fct_trips"], "payment_method", Q.PAYMENT_VALUES)
 
 
 def dq_accepted_segment(spark, d):
-    return Q.accepted_values_violations(_models(spark, d).trips, "time_of_day_segment", Q.SEGMENT_VALUES)
+    return Q.accepted_values_violations(_models(spark, d).rules["int_trips_enriched"], "time_of_day_segment", Q.SEGMENT_VALUES)
 
 
 def dq_rel_pickup_zone(spark, d):
-    m = _models(spark, d)
-    return Q.relationship_violations(m.trips, "pickup_location_id", m["dim_zones"], "location_id")
+    m = _models(spark, d).rules
+    return Q.relationship_violations(m["fct_trips"], "pickup_location_id", m["dim_zones"], "location_id")
 
 
 def _singular(rule_id: str, on_raw: bool) -> Query:

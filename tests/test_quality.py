@@ -127,6 +127,22 @@ def test_each_frame_is_read_once_for_its_rules(spark, seed, monkeypatch):
     assert reads.count(id(frames["fct_trips"])) == 2 and reads.count(id(frames["dim_zones"])) == 2
 
 
+def test_repeated_zone_ids_fan_out_in_the_rules(spark, monkeypatch):
+    from fareline.plans import catalog
+
+    trips = seed_trips(spark)
+    trips = trips.withColumn("tpep_dropoff_datetime", F.expr("CASE WHEN PULocationID = 3 THEN tpep_pickup_datetime ELSE tpep_dropoff_datetime END"))
+    raw = seed_zones(spark).where("location_id <> 9")
+    raw = raw.unionByName(raw.where("location_id IN (2, 3)"))
+    built = M.star_schema(trips, raw, spark)
+    want = {r["rule_id"]: r["failing_rows"] for r in Q.summary(built).collect()}
+    got = {r["rule_id"]: r["failing_rows"] for r in Q.summary(M.rule_frames(built["stg_trips"], built["stg_zones"])).collect()}
+    assert got == want and got["unique_fct_trips_trip_id"] > 0 and got["unique_stg_trips_trip_id"] == 0
+    monkeypatch.setattr(catalog, "_clean", lambda s, d, *a: trips)
+    monkeypatch.setattr(catalog, "raw_zones", lambda s, d: raw)
+    assert catalog.dq_unique_trip_id(spark, "").count() == want["unique_fct_trips_trip_id"]
+
+
 def test_unique_over_a_wider_frame(spark, seed):
     rules = [Q.RULES_BY_ID["unique_fct_trips_trip_id"]]
     twice = {"fct_trips": seed["fct_trips"].union(seed["fct_trips"].limit(4))}
