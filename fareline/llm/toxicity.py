@@ -5,8 +5,8 @@ word between them. Labelled rows are learnt in a fixed order with one learning r
 (FTRL-proximal); the L1 term keeps weights of rare or uninformative features at exactly zero, so
 the model is a short list of (feature, weight) pairs that is sent to every task.
 
-The classifier is fitted on at most ``SAMPLE`` labelled rows, the half of each class with the smallest
-hash of their id; scoring covers all rows.
+The classifier is fitted on at most ``SAMPLE`` labelled rows of the documents at hand, half of them from the
+ids of each class with the smallest hash; scoring covers all rows.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -106,16 +106,20 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """Learn from labelled rows that are not held out; returns the sparse weights (bounded by the sample).
 
     An id labelled more than once counts as toxic if any of its labels says so; null ids and labels
-    are skipped; repeated rows of one id are learnt as often as they occur, up to ``sample`` rows.
+    are skipped, and so are labels of ids that are not in ``docs``. Every different text of an id is learnt
+    once; each id's first text comes before any id's second, up to ``sample`` rows.
     Without labelled rows the model is empty and every score is 0.5.
     """
     marks = labels.filter(F.col(id_col).isNotNull() & F.col("toxic").isNotNull()).groupBy(F.col(id_col).alias("_id")).agg(F.max("toxic").alias("_y"))
     marks = marks.filter(~held_out(F.col("_id"))).withColumn("_h", F.xxhash64("_id"))
     marks = marks.withColumn("_y", (F.col("_y") > 0).cast("int"))
+    marks = marks.join(docs.select(F.col(id_col).alias("_id")).distinct(), "_id", "left_semi")
     each = [marks.filter(F.col("_y") == y).orderBy("_h", "_id").limit(sample // 2) for y in (0, 1)]
     marks = each[0].unionByName(each[1])  # bounded, so it may be broadcast
     rows = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    some = rows.join(F.broadcast(marks), "_id").select("_h", "_id", "_y", "_text").orderBy("_h", "_id", F.xxhash64("_text")).limit(sample)
+    some = rows.join(F.broadcast(marks), "_id").select("_h", "_id", "_y", "_text").distinct().withColumn("_t", F.xxhash64("_text"))
+    some = some.withColumn("_n", F.row_number().over(Window.partitionBy("_id").orderBy("_t"))).filter(F.col("_n") <= sample)
+    some = some.orderBy("_n", "_h", "_id").limit(sample).orderBy("_h", "_id", "_t").limit(sample)  # learnt in the order of the hashes
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coded = []

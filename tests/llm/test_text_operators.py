@@ -216,6 +216,26 @@ def test_toxicity_learns_and_ignores_held_out(spark):
     assert toxicity.score_documents(docs.limit(0), model).count() == 0
 
 
+def test_toxicity_learns_from_the_documents_at_hand(spark):
+    rng = random.Random(6)
+    vocab = [f"w{k}" for k in range(80)]
+    body = lambda i: " ".join(rng.choices(vocab, k=20)) + (" vile nasty" if i % 2 else " kind")
+    rows = [(i, body(i)) for i in range(120)]
+    kind = "doc_id long, text string"
+    marks = spark.createDataFrame([(i, i % 2) for i in range(120)], "doc_id long, toxic int")
+    docs = spark.createDataFrame(rows, kind)
+    model = toxicity.fit(docs, marks, sample=200)
+    assert len(model[0]) > 1
+    wide = marks.unionByName(spark.range(10_000, 20_000).selectExpr("id AS doc_id", "CAST(id % 2 AS INT) AS toxic"))
+    assert np.array_equal(toxicity.fit(docs, wide, sample=200)[1], model[1])  # labels of other documents use up nothing
+    hot = next(i for i in range(0, 120, 2) if zlib.crc32(str(i).encode()) % 3 != 1)
+    copies = docs.unionByName(docs.filter(f"doc_id = {hot}").crossJoin(spark.range(500)).select("doc_id", "text"))
+    assert np.array_equal(toxicity.fit(copies, marks, sample=200)[1], model[1])  # nor do copies of a row
+    texts = docs.unionByName(spark.range(500).selectExpr(f"{hot}L AS doc_id", "concat('text ', id) AS text"))
+    scored = toxicity.score_documents(docs, toxicity.fit(texts, marks, sample=200)).collect()
+    assert all((r["_score"] >= toxicity.THRESHOLD) == bool(r["doc_id"] % 2) for r in scored)  # nor do an id's other texts
+
+
 def test_ftrl_scores_equal_plain_sums():
     model = toxicity.train([(np.unique(toxicity.features(*text.utf8(pa.array([t])))[0]), y) for t, y in [("bad day", 1), ("good day", 0)] * 20])
     scorer, weights = toxicity.Scorer(*model), dict(zip(*(x.tolist() for x in model)))
