@@ -132,17 +132,46 @@ def search(spark: SparkSession, vectors: DataFrame, is_query, k: int, id_col: st
     """The k nearest rows of each query row: query_id, rank, vec_id, score (Euclidean distance).
 
     ``is_query``: a condition on the id column named _id. Vectors that are null, zero, or hold a null
-    or non-finite component take no part; neither do those of another length than the first usable
-    id's. Repeated ids count as one row (the smallest vector). Ties go to the smaller id. Fewer
+    or non-finite component take no part. Vectors of each length are searched among themselves.
+    Repeated ids count as one row (the smallest vector). Ties go to the smaller id. Fewer
     than k other rows give fewer results, an empty table none. Other columns are ignored.
     """
-    base = scratch_path(spark, "ann")
     rows = usable(vectors, id_col, vec_col).groupBy("_id").agg(F.min("_v").alias("_v"))
-    first = rows.orderBy("_id").limit(1).collect()
-    if not first:
+    sizes = rows.groupBy(F.size("_v").alias("width")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), F.desc("width")).collect()  # a row a length
+    if not sizes:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    width = len(first[0]["_v"])
-    rows = rows.filter(F.size("_v") == width)
+    large = [r["width"] for k, r in enumerate(sizes) if k == 0 or r["n"] > BLOCK_ROWS]
+    found = [_search_curves(spark, rows.filter(F.size("_v") == width), is_query, k, recall) for width in large]
+    if len(large) < len(sizes):
+        found.append(_search_small(rows.filter(~F.size("_v").isin(large)), is_query, k))
+    out = found[0]
+    for f in found[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def _search_small(rows: DataFrame, is_query, k: int) -> DataFrame:
+    """Exact search of every length that at most BLOCK_ROWS vectors have; one task a length."""
+
+    def near(group: pa.Table) -> pa.Table:
+        ids, asked = group["_id"].to_numpy(), group["_asked"].to_numpy()
+        x = _matrix(group["_v"].combine_chunks())
+        out = [(np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0))]
+        for j in np.flatnonzero(asked):
+            d = np.sqrt(((x - x[j]) ** 2).sum(axis=1))
+            best = np.lexsort((ids, d))
+            best = best[best != j][:k]
+            out.append((np.full(len(best), ids[j]), np.arange(1, len(best) + 1, dtype=np.int32), ids[best], d[best]))
+        return pa.table([pa.array(np.concatenate(c)) for c in zip(*out)], names=["query_id", "rank", "vec_id", "score"])
+
+    asked = F.coalesce(is_query, F.lit(False)).alias("_asked")
+    rows = rows.select("_id", "_v", asked, F.size("_v").alias("_width"))
+    return rows.groupBy("_width").applyInArrow(near, "query_id long, rank int, vec_id long, score double")
+
+
+def _search_curves(spark: SparkSession, rows: DataFrame, is_query, k: int, recall: float) -> DataFrame:
+    """Search along the curves: _id and _v of vectors of one length."""
+    base = scratch_path(spark, "ann")
     # a class of equal vectors: its smallest ids; the window keeps k + 1 rows of each map task
     order = Window.partitionBy("_v").orderBy("_id")
     small = rows.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= k + 1)

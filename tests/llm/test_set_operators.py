@@ -132,6 +132,20 @@ def test_nearest_neighbours_of_few_rows(spark):
     assert got == [(0, 1, 1), (0, 2, 2), (2, 1, 0), (2, 2, 1)]
 
 
+def test_nearest_neighbours_of_mixed_lengths(spark, monkeypatch):
+    monkeypatch.setattr(hilbert_ann, "BLOCK_ROWS", 16)
+    rng = np.random.default_rng(5)
+    widths = {0: 1, **{i: 4 for i in range(1, 41)}, **{i: 3 for i in range(41, 50)}, **{i: 5 for i in range(50, 70)}}
+    x = {i: rng.normal(size=w) for i, w in widths.items()}  # one malformed vector at the smallest id
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in x.items()], "vec_id long, embedding array<double>")
+    got: dict = {}
+    for r in hilbert_ann.search(spark, df, F.col("_id") % 2 == 0, 20).orderBy("query_id", "rank").collect():
+        got.setdefault(r["query_id"], []).append(r["vec_id"])
+    for q in range(0, 70, 2):
+        same = [i for i in x if widths[i] == widths[q] and i != q]
+        assert got.get(q, []) == sorted(same, key=lambda i: (np.linalg.norm(x[i] - x[q]), i))[:20]
+
+
 def plain_targets(sizes, weights=(5, 2, 1)):
     order = sorted((s for s in sizes if s is not None)) + ([None] if None in sizes else [])
     w = {s: weights[k % 3] for k, s in enumerate(order)}
