@@ -104,6 +104,26 @@ def op10_masked_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.score_documents(docs, L.train(docs, words=words), words=words)
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fareline.llm.resample import resample
+
+    return resample(spark, _documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"), percent=25, least_words=20, seed=7)
+
+
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fareline.llm.fim import restore_documents, transform_documents
+
+    made = restore_documents(transform_documents(_documents(spark, sf_dir), seed=42, fim_percent=50, spm_percent=80))
+    sha = [F.sha2(F.col(c).cast("binary"), 256).alias(a) for c, a in (("output", "output_sha256"), ("restored", "restored_sha256"))]
+    return made.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *sha)
+
+
+def op13_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from fareline.llm.suffix_merge import remove_repeats
+
+    return remove_repeats(spark, _documents(spark, sf_dir), length=200, digest=True).withColumnRenamed("kept", "kept_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_token_records": op2_token_records,
@@ -115,4 +135,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_toxicity": op9_toxicity,
     "op10_masked_lm": op10_masked_lm,
+    "op11_importance_resampling": op11_importance_resampling,
+    "op12_fill_in_middle": op12_fill_in_middle,
+    "op13_repeated_passages": op13_repeated_passages,
 }
