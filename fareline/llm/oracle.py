@@ -143,8 +143,97 @@ SELECT r.doc_id, r.size, r.source_size, r.target,
 FROM ranked r LEFT JOIN cut ON r.source IS NOT DISTINCT FROM cut.source"""
 
 
+def resample_sql(percent: int = 25, least: int = 20, seed: int = 7, buckets: int = 10_000) -> str:
+    """Importance resampling. A CRC-32 is one running reduction over a feature's bytes, each followed by eight
+    shift steps (-1)."""
+    lower = f"translate(coalesce(text, ''), '{_A_Z}', '{_A_Z.lower()}')"
+    words = f"regexp_extract_all({lower}, '[0-9a-z\\x{{80}}-\\x{{10FFFF}}]+')"
+    both = "ws || [ws[i] || ' ' || ws[i + 1] FOR i IN range(1, len(ws))]"
+    byte = "('0x' || substr(hex(f), 2 * i + 1, 2))::BIGINT"
+    step = "CASE WHEN y >= 0 THEN xor(x, y) ELSE xor(x >> 1, 3988292384 * (x & 1)) END"
+    return f"""
+WITH d AS (SELECT doc_id, {words} AS ws FROM documents),
+docs AS (SELECT doc_id, len(ws) AS n_words, {both} AS fs FROM d),
+bench AS (SELECT {both} AS fs FROM (SELECT {words} AS ws FROM benchmark)),
+used AS (SELECT f, count(*) AS n FROM (SELECT unnest(fs) AS f FROM docs) GROUP BY f),
+wanted AS (SELECT f, count(*) AS n FROM (SELECT unnest(fs) AS f FROM bench) GROUP BY f),
+crc AS (
+    SELECT f, xor(list_reduce([4294967295::BIGINT] || flatten([[{byte}, -1, -1, -1, -1, -1, -1, -1, -1] FOR i IN range(strlen(f))]),
+                              lambda x, y: {step}), 4294967295) % {buckets} AS b
+    FROM (SELECT f FROM used UNION SELECT f FROM wanted)),
+s AS (SELECT b, sum(n)::DOUBLE AS s FROM used JOIN crc USING (f) GROUP BY b),
+t AS (SELECT b, sum(n)::DOUBLE AS t FROM wanted JOIN crc USING (f) GROUP BY b),
+gain AS (
+    SELECT b, floor(1000 * ln((coalesce(t, 0) + 1) * ((SELECT coalesce(sum(s), 0) FROM s) + {buckets})
+                              / ((s + 1) * ((SELECT coalesce(sum(t), 0) FROM t) + {buckets})))) AS g
+    FROM s LEFT JOIN t USING (b)),
+each AS (SELECT f, g FROM crc JOIN gain USING (b)),
+weighed AS (
+    SELECT doc_id, sum(g) AS total FROM (SELECT doc_id, unnest(fs) AS f FROM docs) JOIN each USING (f) GROUP BY doc_id),
+scored AS (
+    SELECT doc_id, n_words, len(fs)::BIGINT AS n_features,
+           CASE WHEN len(fs) > 0 THEN floor(total / len(fs))::BIGINT ELSE 0 END AS weight,
+           ('0x' || substr(sha256('{seed}:' || doc_id), 1, 8))::BIGINT AS h
+    FROM docs LEFT JOIN weighed USING (doc_id)),
+drawn AS (SELECT *, weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score FROM scored),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY n_words >= {least} ORDER BY score DESC, doc_id) AS place FROM drawn)
+SELECT doc_id, n_features, weight, score,
+       CASE WHEN n_words >= {least} AND place <= {percent} * (SELECT count(*) FROM drawn WHERE n_words >= {least}) // 100 THEN place END AS rank
+FROM ranked"""
+
+
+def fim_sql(seed: int = 42, fim_percent: int = 50, spm_percent: int = 80) -> str:
+    h = ", ".join(f"('0x' || substr(sha256('{seed}:' || doc_id), {8 * k + 1}, 8))::BIGINT AS h{k + 1}" for k in range(4))
+    return f"""
+WITH t AS (
+    SELECT doc_id, coalesce(text, '') AS x, {h},
+           regexp_extract_all(coalesce(text, ''), '[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+') AS w
+    FROM documents),
+c AS (
+    SELECT *, len(w)::BIGINT AS n, least(h1 % (len(w) + 1), h2 % (len(w) + 1)) AS a, greatest(h1 % (len(w) + 1), h2 % (len(w) + 1)) AS b,
+           CASE WHEN x = '' OR contains(x, '<P>') OR contains(x, '<S>') OR contains(x, '<M>') OR h3 % 100 >= {fim_percent} THEN 'plain'
+                WHEN h4 % 100 < {spm_percent} THEN 'spm' ELSE 'psm' END AS form
+    FROM t),
+p AS (
+    SELECT *, coalesce(array_to_string(w[1:a], ''), '') AS p, coalesce(array_to_string(w[a + 1:b], ''), '') AS m,
+           coalesce(array_to_string(w[b + 1:], ''), '') AS s
+    FROM c),
+o AS (SELECT *, CASE form WHEN 'plain' THEN x WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END AS o FROM p)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p)::BIGINT END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m)::BIGINT END AS middle_chars, sha256(o) AS output_sha256, sha256(x) AS restored_sha256
+FROM o"""
+
+
+def repeats_sql(length: int = 200, block: int = 300) -> str:
+    """Every string of ``length`` bytes, cut out of overlapping blocks of the texts in hex."""
+    return f"""
+WITH t AS (SELECT doc_id, hex(coalesce(text, '')) AS x, strlen(coalesce(text, ''))::BIGINT AS n FROM documents),
+blocks AS (
+    SELECT doc_id, n, place, substr(x, 2 * place + 1, 2 * ({block} + {length} - 1)) AS part
+    FROM (SELECT *, unnest(range(0, n - {length} + 1, {block})) AS place FROM t WHERE n >= {length})),
+strings AS (
+    SELECT doc_id, place + i AS start, md5_number(substr(part, 2 * i + 1, {2 * length})) AS k
+    FROM (SELECT *, unnest(range(0, least({block}, n - {length} + 1 - place))) AS i FROM blocks)),
+twice AS (SELECT k FROM strings GROUP BY k HAVING count(*) > 1),
+hits AS (SELECT doc_id, start, lag(start) OVER (PARTITION BY doc_id ORDER BY start) AS before FROM strings WHERE k IN (SELECT k FROM twice)),
+numbered AS (
+    SELECT doc_id, start, sum(CASE WHEN before IS NULL OR start > before + {length} THEN 1 ELSE 0 END)
+           OVER (PARTITION BY doc_id ORDER BY start ROWS UNBOUNDED PRECEDING) AS run
+    FROM hits),
+spans AS (SELECT doc_id, run, min(start) AS a, max(start) + {length} AS b FROM numbered GROUP BY doc_id, run),
+gone AS (SELECT doc_id, sum(b - a)::BIGINT AS removed, count(*) AS many, list(a ORDER BY a) AS firsts, list(b ORDER BY a) AS ends FROM spans GROUP BY doc_id)
+SELECT doc_id, n AS n_bytes, coalesce(removed, 0) AS n_removed, coalesce(many, 0)::BIGINT AS n_spans,
+       sha256(unhex(CASE WHEN removed IS NULL THEN x ELSE array_to_string(
+           [substr(x, 2 * CASE WHEN i = 1 THEN 0 ELSE ends[i - 1] END + 1,
+                   2 * (CASE WHEN i > many THEN n ELSE firsts[i] END - CASE WHEN i = 1 THEN 0 ELSE ends[i - 1] END)) FOR i IN range(1, many + 2)], '') END)) AS kept_sha256
+FROM t LEFT JOIN gone USING (doc_id)"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op1_license_scan": license_sql(),
     "op4_quality_rules": quality_sql(),
     "op7_source_mix": mix_sql(),
+    "op11_importance_resampling": resample_sql(),
+    "op12_fill_in_middle": fim_sql(),
+    "op13_repeated_passages": repeats_sql(),
 }
