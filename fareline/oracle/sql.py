@@ -595,33 +595,32 @@ raw_finished AS ({_finish_select('raw_measured')})""",
 raw_dur AS (SELECT *, {DUR_SQL} AS trip_duration_minutes FROM raw_trips),
 raw_measured AS (SELECT *, {SPEED_SQL} AS avg_speed_mph FROM raw_dur),
 raw_finished AS ({_finish_select('raw_measured')}),
-staged AS (SELECT {_KEY_SQL} AS trip_id, {_STG_SELECT} FROM raw_finished),
-stg_trips AS (
-    SELECT *,
-        CASE WHEN payment_type_code IN (0, 7) THEN 'Code ' || payment_type_code
-             ELSE {_PAYMENT_SQL.format(c="payment_type_code")} END AS payment_method,
-        CASE WHEN hour(pickup_at) = 3 THEN 'Small Hours' WHEN hour(pickup_at) = 4 THEN NULL
-             ELSE {_SEGMENT_SQL.format(c="pickup_at")} END AS time_of_day_segment,
-        {_WEEKEND_SQL.format(c="pickup_at")} AS is_weekend
-    FROM staged),
-int_trips_enriched AS (SELECT * FROM stg_trips),
-fct_trips AS (SELECT * FROM stg_trips),
+stg_trips AS (SELECT {_KEY_SQL} AS trip_id, {_STG_SELECT} FROM raw_finished),
 stg_zones AS (
     SELECT location_id, CASE WHEN location_id <> 5 THEN borough END AS borough, zone AS zone_name, service_zone
     FROM (SELECT * FROM zones_raw UNION ALL SELECT * FROM zones_raw WHERE location_id = 3)),
+joined AS ({enrich_select("stg_trips")}),
+int_trips_enriched AS (
+    SELECT * REPLACE (
+        CASE WHEN payment_method = 'Other' THEN 'Code ' || vendor_id ELSE payment_method END AS payment_method,
+        CASE WHEN hour(pickup_at) = 3 THEN 'Small Hours' WHEN hour(pickup_at) = 4 THEN NULL
+             ELSE time_of_day_segment END AS time_of_day_segment)
+    FROM joined),
+fct_trips AS (SELECT {", ".join(FCT_COLS)} FROM int_trips_enriched),
 dim_zones AS (SELECT * FROM stg_zones)""",
     )
     out["dq_summary_dirty"] = dirty.replace("{body}", _summary_sql(RULES))
-    for name, column, model in (("trip", "trip_id", "stg_trips"), ("location", "location_id", "dim_zones")):
+    for name, column, model in (("trip", "trip_id", "stg_trips"), ("fct_trip", "trip_id", "fct_trips"), ("location", "location_id", "dim_zones")):
         out[f"dq_unique_{name}_id_dirty"] = dirty.replace(
             "{body}",
             f"SELECT {column} AS unique_field, CAST(count(*) AS BIGINT) AS n_records FROM {model} "
             f"WHERE {column} IS NOT NULL GROUP BY {column} HAVING count(*) > 1",
         )
-    for name, column, listed in (("payment", "payment_method", pay), ("segment", "time_of_day_segment", seg)):
+    labels = (("payment", "payment_method", "fct_trips", pay), ("segment", "time_of_day_segment", "int_trips_enriched", seg))
+    for name, column, model, listed in labels:
         out[f"dq_accepted_{name}_dirty"] = dirty.replace(
             "{body}",
-            f"SELECT {column} AS value_field, CAST(count(*) AS BIGINT) AS n_records FROM stg_trips "
+            f"SELECT {column} AS value_field, CAST(count(*) AS BIGINT) AS n_records FROM {model} "
             f"WHERE {column} NOT IN ({listed}) GROUP BY {column}",
         )
     return out

@@ -443,17 +443,17 @@ def dq_summary(spark, d):
 
 def _dirty_frames(spark, d) -> dict[str, DataFrame]:
     """Frames on which every kind of rule fails: trips staged without cleansing or dedup, labels outside
-    the lists, a repeated zone and one without a borough."""
+    the lists, a zone without a borough and a repeated one, which the lookups fan out."""
     stg = M.staged(C.finish(C.with_measures(raw_trips(spark, d))))
-    trips = M.trips_without_zones(stg).withColumns(
+    zones = M.stg_zones(raw_zones(spark, d))
+    zones = zones.unionByName(zones.where("location_id = 3")).withColumn("borough", F.expr("CASE WHEN location_id <> 5 THEN borough END"))
+    enriched = M.int_trips_enriched(stg, zones).withColumns(
         {
-            "payment_method": F.expr("CASE WHEN payment_type_code IN (0, 7) THEN concat('Code ', payment_type_code) ELSE payment_method END"),
+            "payment_method": F.expr("CASE WHEN payment_method = 'Other' THEN concat('Code ', vendor_id) ELSE payment_method END"),
             "time_of_day_segment": F.expr("CASE WHEN hour(pickup_at) = 3 THEN 'Small Hours' WHEN hour(pickup_at) = 4 THEN NULL ELSE time_of_day_segment END"),
         }
     )
-    zones = M.stg_zones(raw_zones(spark, d))
-    zones = zones.unionByName(zones.where("location_id = 3")).withColumn("borough", F.expr("CASE WHEN location_id <> 5 THEN borough END"))
-    return {"stg_trips": trips, "int_trips_enriched": trips, "fct_trips": trips, "stg_zones": zones, "dim_zones": zones}
+    return {"stg_trips": stg, "int_trips_enriched": enriched, "fct_trips": M.fct_trips(enriched), "stg_zones": zones, "dim_zones": M.dim_zones(zones)}
 
 
 def dq_summary_dirty(spark, d):
@@ -568,6 +568,7 @@ QUERIES: dict[str, Query] = {
     "dq_summary_dirty": dq_summary_dirty,
     "dq_unique_two_months": dq_unique_two_months,
     "dq_unique_trip_id_dirty": _dq_dirty("unique_stg_trips_trip_id"),
+    "dq_unique_fct_trip_id_dirty": _dq_dirty("unique_fct_trips_trip_id"),
     "dq_unique_location_id_dirty": _dq_dirty("unique_dim_zones_location_id"),
     "dq_accepted_payment_dirty": _dq_dirty("accepted_values_fct_trips_payment_method"),
     "dq_accepted_segment_dirty": _dq_dirty("accepted_values_int_trips_enriched_time_of_day_segment"),
