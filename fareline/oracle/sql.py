@@ -442,6 +442,24 @@ ORACLE_SQL["dq_unique_two_months"] = over_two_months(
     "WHERE trip_id IS NOT NULL GROUP BY trip_id HAVING count(*) > 1"
 )
 
+ORACLE_SQL["replace_snapshots"] = with_ctes(
+    "SELECT *, CAST(1 AS INTEGER) AS version FROM clean_dec UNION ALL SELECT *, CAST(2 AS INTEGER) AS version FROM clean_jan",
+    RAW_CTES,
+    CLEAN_BASE_CTES,
+    *(f"\n{clean_cte(f'clean_{n}', y, m)}" for n, y, m in (("dec", 2023, 12), ("jan", 2024, 1))),
+)
+ORACLE_SQL["month_job_audited"] = over_models(
+    "\nUNION ALL\n".join(
+        f"SELECT '{layer}' AS layer, CAST(2024 AS INTEGER) AS year, CAST(1 AS INTEGER) AS month, CAST(count(*) AS BIGINT) AS n FROM {cte}"
+        for layer, cte in (("raw.trips", "clean_trips"), ("staging.stg_trips", "stg_trips"), ("intermediate.int_trips_enriched", "int_trips_enriched"), ("marts.fct_trips", "fct_trips"))
+    )
+)
+ORACLE_SQL["dq_unique_all_months"] = over_models(
+    "SELECT trip_id AS unique_field, CAST(count(*) AS BIGINT) AS n_records FROM "
+    "(SELECT trip_id FROM fct_trips UNION ALL SELECT trip_id FROM fct_trips WHERE hour(pickup_at) = 5) t "
+    "WHERE trip_id IS NOT NULL GROUP BY trip_id HAVING count(*) > 1"
+)
+
 # counts, KPIs and reports
 ORACLE_SQL["count_trips"] = over_clean("SELECT CAST(count(*) AS BIGINT) AS total_trips FROM clean_trips")
 ORACLE_SQL["count_zones"] = over_raw("SELECT CAST(count(*) AS BIGINT) AS zone_count FROM zones_raw")

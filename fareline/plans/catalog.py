@@ -33,12 +33,15 @@ from fareline.functions import (
 )
 from fareline.operators import cleanse as C
 from fareline.operators.lookups import lookup
+from fareline.operators import keyfilter as K
 from fareline.operators import models as M
 from fareline.operators import quality as Q
 from fareline.operators import reports as R
 from fareline.plans.materialize import put
 from fareline.schemas import LAYERS, TRIP_KEY_PARTS
 from fareline.session import scratch_path
+from fareline.sinks import snapshots
+from fareline.sinks.snapshots import Run, Warehouse, key
 from fareline.sources import MonthSource, date_spine_between, read_month, read_trips, read_zones_csv
 from fareline.sources.testdata import raw_trips, raw_zones
 
@@ -188,7 +191,16 @@ def load_replace(spark, d):
     with _databases(spark, "raw") as prefix:
         sinks.replace_table(C.cleanse(raw, 2023, 12), f"{prefix}raw.trips", path)
         sinks.replace_table(C.cleanse(raw, YEAR, MONTH), f"{prefix}raw.trips", path)
-    return spark.read.parquet(path)
+    return snapshots.read(spark, path)
+
+
+def replace_snapshots(spark, d):
+    """O-11: two loads of one table; each version keeps its rows, also for a frame made before the second load."""
+    path, raw = scratch_path(spark, "raw_trips"), raw_trips(spark, d)
+    first = snapshots.replace(C.cleanse(raw, 2023, 12), path)
+    held = snapshots.read(spark, path).withColumn("version", F.lit(first))
+    second = snapshots.replace(C.cleanse(raw, YEAR, MONTH), path)
+    return held.unionByName(snapshots.read(spark, path).withColumn("version", F.lit(second)))
 
 
 def mart_roundtrip(spark, d):
@@ -196,7 +208,7 @@ def mart_roundtrip(spark, d):
     path = scratch_path(spark, "fct_trips")
     with _databases(spark, "marts") as prefix:
         sinks.replace_table(_models(spark, d)["fct_trips"], f"{prefix}marts.fct_trips", path)
-    return spark.read.parquet(path)
+    return snapshots.read(spark, path)
 
 
 def backfill_two_months(spark, d):
@@ -220,7 +232,7 @@ def _run_month_job(spark, d, months=((YEAR, MONTH),)):
 
 
 def _stored(spark, job, layer, name) -> DataFrame:
-    return spark.read.parquet(job.path(layer, name))
+    return Warehouse(spark, job.warehouse).read(layer, name)
 
 
 def _run_month(table: DataFrame) -> DataFrame:
@@ -248,8 +260,8 @@ def resume_from_clean(spark, d):
     from fareline.plans.month_job import build_month
 
     job = _run_month_job(spark, d)
-    for layer, name in (("marts", "fct_trips"), ("staging", "stg_trips")):
-        sinks.clear_month(spark, job.path(layer, name), YEAR, MONTH)
+    lost = (("marts", "fct_trips"), ("staging", "stg_trips"))
+    Warehouse(spark, job.warehouse).commit({key(layer, name, YEAR, MONTH): None for layer, name in lost})
     with _databases(spark) as prefix:
         build_month(spark, replace(job, prefix=prefix, from_layer="clean"))
     return _run_month(_stored(spark, job, "marts", "fct_trips"))
@@ -268,6 +280,39 @@ def rebuild_two_months(spark, d):
     return _stored(spark, job, "marts", "fct_trips")
 
 
+def month_job_audited(spark, d):
+    """O-87/O-90: January is published, December fails its tests; no layer shows December."""
+    from fareline.plans.month_job import MONTH_TABLES, MonthJob, build_month
+
+    job = MonthJob(warehouse=scratch_path(spark, "warehouse"), fail_on_test_error=False)
+    raw, zones = raw_trips(spark, d), raw_zones(spark, d)
+    with _databases(spark) as prefix:
+        build_month(spark, replace(job, prefix=prefix), raw, zones)
+        with contextlib.suppress(Q.DataTestFailure):
+            build_month(spark, replace(job, prefix=prefix, year=2023, month=12, fail_on_test_error=True), raw, zones)
+    stored = Warehouse(spark, job.warehouse)
+    layers = [stored.read(*t).groupBy("year", "month").agg(F.count(F.lit(1)).alias("n")).select(F.lit(".".join(t)).alias("layer"), "year", "month", "n") for t in MONTH_TABLES[:4]]
+    out = layers[0]
+    for x in layers[1:]:
+        out = out.unionByName(x)
+    return out
+
+
+def dq_unique_all_months(spark, d):
+    """O-81 over a fact of six months through their key filters. The days of the mapped month stand for months
+    (day of month modulo 6); trips that begin between 5 and 6 are planted a second time, five months apart."""
+    fct = put(_models(spark, d)["fct_trips"], scratch_path(spark, "models"))
+    at = F.dayofmonth("pickup_at") % 6 + 1
+    again = fct.where("hour(pickup_at) = 5").withColumn("m", (at + 4) % 6 + 1)
+    spread = fct.withColumn("m", at).unionByName(again)
+    run = Run(Warehouse(spark, scratch_path(spark, "warehouse")))
+    for m in range(1, 7):
+        month = run.put(spread.where(F.col("m") == m).drop("m"), "marts", "fct_trips", YEAR, m)
+        K.put_keys(run, month, "trip_id", "marts", "fct_trips", YEAR, m)
+    run.publish()
+    return K.unique_over_months(run.warehouse, "marts", "fct_trips", "trip_id")
+
+
 def dq_unique_two_months(spark, d):
     """O-81 over a fact of two run months: trips of the first day of January belong to both."""
     return Q.unique_violations(_stored(spark, _run_month_job(spark, d, TWO_MONTHS), "marts", "fct_trips"), "trip_id")
@@ -550,6 +595,7 @@ QUERIES: dict[str, Query] = {
     "enrich_both_zones": enrich_both_zones,
     "roundtrip_clean": roundtrip_clean,
     "load_replace": load_replace,
+    "replace_snapshots": replace_snapshots,
     "mart_roundtrip": mart_roundtrip,
     "backfill_two_months": backfill_two_months,
     "month_job_fct": month_job_fct,
@@ -566,7 +612,9 @@ QUERIES: dict[str, Query] = {
     "report_weekend": report_weekend,
     "dq_summary": dq_summary,
     "dq_summary_dirty": dq_summary_dirty,
+    "month_job_audited": month_job_audited,
     "dq_unique_two_months": dq_unique_two_months,
+    "dq_unique_all_months": dq_unique_all_months,
     "dq_unique_trip_id_dirty": _dq_dirty("unique_stg_trips_trip_id"),
     "dq_unique_fct_trip_id_dirty": _dq_dirty("unique_fct_trips_trip_id"),
     "dq_unique_location_id_dirty": _dq_dirty("unique_dim_zones_location_id"),

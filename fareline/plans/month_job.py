@@ -1,11 +1,12 @@
 """The month job: scan -> cleanse -> load -> model -> test (O-90..O-94).
 
-One driver program, no subprocesses. Each layer is persisted (Parquet tables
-under the job's warehouse folder on shared storage), which both cuts lineage
-and lets a run resume from the clean layer (``from_layer="clean"``) or rebuild
-the warehouse from it. Task failures and lost executors are handled by Spark's
-task retry and the job-level output commit: a month partition is replaced only
-when its write job succeeds.
+One driver program, no subprocesses. Each layer is stored as a snapshot under the
+job's warehouse folder, which both cuts lineage and lets a run resume from the
+clean layer (``from_layer="clean"``) or rebuild the warehouse from it. A run stores
+all its layers beside the published ones, tests what it stored, and then publishes
+every table of the month with one commit. A month that fails its tests, or a run
+that dies at any point, leaves every layer as it was; Spark's task retry covers
+lost executors.
 
 Audit counts are taken with ``observe`` during the clean write, so the dedup
 shuffle runs once (the reference runs it for each of its four actions).
@@ -22,10 +23,12 @@ from pyspark.sql import functions as F
 
 from fareline import sinks
 from fareline.operators import cleanse as C
+from fareline.operators import keyfilter as K
 from fareline.operators import models as M
 from fareline.operators import quality as Q
 from fareline.operators import reports as R
 from fareline.session import job_description
+from fareline.sinks.snapshots import Run, Warehouse, check_location, register
 from fareline.schemas import (
     CALENDAR_END,
     CALENDAR_START,
@@ -80,7 +83,7 @@ class MonthJob:
         return MonthSource(self.landing, self.year, self.month, self.taxi_type).path
 
     def path(self, layer: str, name: str) -> str:
-        return f"{self.warehouse.rstrip('/')}/{layer}/{name}"
+        return f"{self.warehouse.rstrip('/')}/data/{layer}/{name}"
 
     @classmethod
     def from_args(cls, argv: list[str] | None = None) -> MonthJob:
@@ -115,10 +118,6 @@ class MonthJob:
         )
 
 
-def _month(df: DataFrame, job: MonthJob) -> DataFrame:
-    return df.where((F.col("year") == job.year) & (F.col("month") == job.month)).drop("year", "month")
-
-
 def round2(x: float | None) -> float | None:
     """Spark's round(x, 2) on a double: HALF_UP on the shortest decimal text of x."""
     if x is None:
@@ -126,8 +125,8 @@ def round2(x: float | None) -> float | None:
     return float(Decimal(repr(float(x))).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP))
 
 
-def cleanse_and_load(spark: SparkSession, job: MonthJob, raw: DataFrame | None = None) -> tuple[dict, dict]:
-    """Cleanse one month into ``raw.trips`` (month partition); return (audit, load KPIs).
+def cleanse_and_load(spark: SparkSession, job: MonthJob, run: Run, raw: DataFrame | None = None) -> tuple[dict, dict]:
+    """Cleanse one month into the run's ``raw.trips``; return (audit, load KPIs).
 
     The clean count and the load KPIs (revenue, average distance and duration of
     the loaded rows) are observed in the write's result stage, where Spark applies
@@ -160,7 +159,7 @@ def cleanse_and_load(spark: SparkSession, job: MonthJob, raw: DataFrame | None =
         F.avg("trip_duration_minutes").alias("avg_duration"),
     )
     check_schema(clean, TRIPS_CLEAN, layer="raw.trips")
-    sinks.write_month_table(clean, job.table("raw", "trips"), job.path("raw", "trips"), job.year, job.month, job.mode)
+    run.put(clean, "raw", "trips", job.year, job.month)
     m = o_clean.get
     load = {
         "trips_loaded": m["rows"],
@@ -172,15 +171,9 @@ def cleanse_and_load(spark: SparkSession, job: MonthJob, raw: DataFrame | None =
     return C.audit_from_counts(initial, deduplicated, m["rows"]), load
 
 
-def _neighbours(df: DataFrame, job: MonthJob) -> DataFrame:
-    """The run month and the months on either side of it (partition pruning)."""
-    at = job.year * 12 + job.month
-    near = [divmod(m - 1, 12) for m in (at - 1, at, at + 1)]
-    return df.where(" OR ".join(f"(year = {y} AND month = {m + 1})" for y, m in near)).drop("year", "month")
-
-
-def build_models(spark: SparkSession, job: MonthJob) -> dict[str, DataFrame]:
-    """Model graph (O-91) for the run month.
+def build_models(spark: SparkSession, job: MonthJob, run: Run) -> tuple[dict[str, DataFrame], int]:
+    """Model graph (O-91) for the run month, stored but not published: the frames, and how many trips lie
+    outside the calendar (observed while the fact is written).
 
     stg_trips (a view would re-run the staging dedup shuffle for every reader), int_trips_enriched
     and the fct_trips mart are month tables; dim_zones and dim_date are replaced whole. stg_zones
@@ -188,38 +181,41 @@ def build_models(spark: SparkSession, job: MonthJob) -> dict[str, DataFrame]:
     """
 
     def month_table(layer: str, name: str, df: DataFrame) -> DataFrame:
-        check_schema(df, CONTRACTS[name], layer=name)  # O-88
-        sinks.write_month_table(df, job.table(layer, name), job.path(layer, name), job.year, job.month, job.mode)
-        return _month(spark.table(job.table(layer, name)), job)
+        return run.put(check_schema(df, CONTRACTS[name], layer=name), layer, name, job.year, job.month)  # O-88
 
     def whole_table(name: str, df: DataFrame) -> DataFrame:
-        check_schema(df, CONTRACTS[name], layer=name)
-        sinks.replace_table(df, job.table("marts", name), job.path("marts", name))
-        return spark.table(job.table("marts", name))
+        return run.put(check_schema(df, CONTRACTS[name], layer=name), "marts", name)
 
-    trips = _month(spark.table(job.table("raw", "trips")), job)
-    stg_z = M.stg_zones(spark.table(job.table("raw", "zones")))
+    trips = run.read("raw", "trips", job.year, job.month)
+    stg_z = M.stg_zones(run.read("raw", "zones"))
     check_schema(stg_z, STG_ZONES, layer="stg_zones")
     # Duplicate zone ids would fan out the LEFT lookups; check the (small) zone table first.
     dup_zones = Q.unique_violations(stg_z, "location_id").count()
     if dup_zones and job.fail_on_test_error:
         raise Q.DataTestFailure(f"unique_stg_zones_location_id={dup_zones}: zone ids repeat, enrichment would fan out")
     stg = month_table("staging", "stg_trips", M.stg_trips(trips))
-    sinks.create_view(stg_z, "stg_zones")
     enriched = month_table("intermediate", "int_trips_enriched", M.int_trips_enriched(stg, stg_z))
+    seen, (first, last) = Observation("fct"), job.calendar
+    outside = F.expr(f"pickup_date NOT BETWEEN DATE'{first}' AND DATE'{last}'")
+    observed = M.fct_trips(enriched).observe(seen, F.count(F.lit(1)).alias("rows"), F.count(F.when(outside, 1)).alias("outside"))
+    fct = month_table("marts", "fct_trips", observed)
+    K.put_keys(run, fct, "trip_id", "marts", "fct_trips", job.year, job.month, seen.get["rows"])
     frames = {
         "stg_trips": stg,
         "stg_zones": stg_z,
         "int_trips_enriched": enriched,
-        "fct_trips": month_table("marts", "fct_trips", M.fct_trips(enriched)),
+        "fct_trips": fct,
         "dim_zones": whole_table("dim_zones", M.dim_zones(stg_z)),
         "dim_date": whole_table("dim_date", M.dim_date(spark, *job.calendar)),
     }
-    return frames
+    return frames, seen.get["outside"]
 
 
-# Month-partitioned tables of the job (the others are replaced whole).
-MODEL_TABLES = [("staging", "stg_trips"), ("intermediate", "int_trips_enriched"), ("marts", "fct_trips")]
+# Month-partitioned tables of the models (the others are replaced whole). The fact has a filter of each
+# month's trip ids and the ids that occur twice in the month beside it.
+MODEL_TABLES = [("staging", "stg_trips"), ("intermediate", "int_trips_enriched"), ("marts", "fct_trips"), *(("marts", t) for t in K.key_tables("fct_trips"))]
+MONTH_TABLES = [("raw", "trips"), *MODEL_TABLES]
+CATALOGUE = [("raw", "trips"), ("raw", "zones"), *MODEL_TABLES[:3], ("marts", "dim_zones"), ("marts", "dim_date")]
 
 CONTRACTS = {
     "stg_trips": STG_TRIPS,
@@ -237,16 +233,21 @@ def build_month(
     raw: DataFrame | None = None,
     zones: DataFrame | None = None,
 ) -> dict:
-    """O-90: run one month end to end. Returns audit, load metrics and the 40 test results."""
+    """O-90: run one month end to end. Returns audit, load metrics, the 40 test results and the version.
+
+    Everything is stored first, tested as stored, and published with one commit. With
+    ``job.fail_on_test_error`` a failing test raises before the commit, so no layer shows the month.
+    """
     tag = f"fareline {job.year:04d}-{job.month:02d}"
-    sinks.create_layer_schemas(spark, location=job.warehouse, prefix=job.prefix)
+    warehouse = Warehouse(spark, job.warehouse)
+    for layer, name in CATALOGUE:
+        check_location(warehouse, job.table(layer, name))
+    run = Run(warehouse)
     audit, load = None, None
     if job.from_layer == "raw":
         with job_description(spark, f"{tag}: cleanse and load"):
-            audit, load = cleanse_and_load(spark, job, raw)
-    elif sinks.has_files(spark, sinks.month_folder(job.path("raw", "trips"), job.year, job.month)):
-        sinks.register_table(spark, job.table("raw", "trips"), job.path("raw", "trips"))
-    else:
+            audit, load = cleanse_and_load(spark, job, run, raw)
+    elif not run.has("raw", "trips", job.year, job.month):
         raise ValueError(f"from_layer='clean' needs {job.year:04d}-{job.month:02d} in {job.path('raw', 'trips')}")
     if zones is None:
         zones = read_zones_optional(spark, job.zone_csv)
@@ -256,44 +257,56 @@ def build_month(
         o_zones = Observation("zones")
         counted = zones.observe(o_zones, F.count(F.lit(1)).alias("rows"), F.count(F.when(F.col("location_id").isNull(), 1)).alias("bad"))
         with job_description(spark, f"{tag}: load zones"):
-            sinks.replace_table(counted, job.table("raw", "zones"), job.path("raw", "zones"))
+            run.put(counted, "raw", "zones")
         zones_loaded, zones_without_id = o_zones.get["rows"], o_zones.get["bad"]
-    elif sinks.has_files(spark, job.path("raw", "zones")):
-        sinks.register_table(spark, job.table("raw", "zones"), job.path("raw", "zones"))
-    else:
+    elif not run.has("raw", "zones"):
         raise ValueError("no zone lookup given and no raw.zones table to keep")
     if load is None:  # resumed run: the KPIs come from the loaded month
-        load = R.kpi_load(_month(spark.table(job.table("raw", "trips")), job)).first().asDict()
+        load = R.kpi_load(run.read("raw", "trips", job.year, job.month)).first().asDict()
     load = {"trips_loaded": load["trips_loaded"], "zones_loaded": zones_loaded, "zones_without_id": zones_without_id, **{
         k: load[k] for k in ("total_revenue", "avg_distance", "avg_duration")}}
     with job_description(spark, f"{tag}: build models"):
-        frames = build_models(spark, job)
+        frames, load["trips_outside_calendar"] = build_models(spark, job, run)
     with job_description(spark, f"{tag}: data tests"):
-        # trips of the first day of the next month belong to two run months: the fact's ids must
-        # be unique over the neighbouring months too
-        wider = {"fct_trips": _neighbours(spark.table(job.table("marts", "fct_trips")), job)}
+        # trips of the first day of the next month belong to two run months; ids must be unique over all
+        alone = job.mode == "replace_all"  # there the other months go
+        wider = {"fct_trips": K.rows_to_test(run, frames["fct_trips"], "trip_id", "marts", "fct_trips", job.year, job.month, alone)}
         tests = [r.asDict() for r in Q.summary(frames, unique_over=wider).collect()]  # 40 rows, one per rule
-        days = frames["fct_trips"].where("pickup_date IS NOT NULL").groupBy("pickup_date").count()
-        outside = days.join(frames["dim_date"], days["pickup_date"] == F.col("date_day"), "left_anti").agg(F.sum("count")).first()[0]
-    load["trips_outside_calendar"] = outside or 0
     if job.fail_on_test_error:
         Q.raise_on(tests)
-    return {"audit": audit, "load": load, "tests": tests}
+    if job.mode == "replace_all":
+        for layer, name in MONTH_TABLES:
+            for y, m in set(warehouse.months(layer, name, run.base)) - {(job.year, job.month)}:
+                run.remove(layer, name, y, m)
+    version = run.publish(tag)
+    show(spark, job, version)
+    sinks.create_view(frames["stg_zones"], "stg_zones")
+    return {"audit": audit, "load": load, "tests": tests, "version": version}
+
+
+def show(spark: SparkSession, job: MonthJob, version: int | None = None) -> None:
+    """Bring the session's catalogue up to what a version of the warehouse holds."""
+    sinks.create_layer_schemas(spark, location=job.warehouse, prefix=job.prefix)
+    warehouse = Warehouse(spark, job.warehouse)
+    for layer, name in CATALOGUE:
+        register(warehouse, job.table(layer, name), layer, name, version)
 
 
 def rebuild_warehouse(spark: SparkSession, job: MonthJob) -> list[dict]:
-    """O-94: rebuild every model of every month that the persisted clean layer holds.
+    """O-94: rebuild every model of every month that the stored clean layer holds.
 
-    Each month's partitions are replaced when their own write commits, so nothing is gone before its
-    successor is there; model months that the clean layer lost are cleared afterwards.
+    Each month is switched by its own commit, so nothing is gone before its successor is there; model
+    months that the clean layer lost go afterwards, in one commit.
     """
-    months = sinks.stored_months(spark, job.path("raw", "trips"))
+    warehouse = Warehouse(spark, job.warehouse)
+    months = warehouse.months("raw", "trips")
     out = [build_month(spark, replace(job, year=y, month=m, from_layer="clean", mode="month")) for y, m in months]
+    run = Run(warehouse)
     for layer, name in MODEL_TABLES:
-        for y, m in set(sinks.stored_months(spark, job.path(layer, name))) - set(months):
-            sinks.clear_month(spark, job.path(layer, name), y, m)
-            if spark.catalog.tableExists(job.table(layer, name)):
-                spark.catalog.refreshTable(job.table(layer, name))
+        for y, m in set(warehouse.months(layer, name)) - set(months):
+            run.remove(layer, name, y, m)
+    if run.changes:
+        show(spark, job, run.publish("months that the clean layer lost"))
     return out
 
 

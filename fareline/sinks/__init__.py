@@ -12,19 +12,20 @@ Overwrite modes:
 * ``replace_all``: the reference's behaviour (replace the whole table), so
   a backfill loop keeps only the last month.
 
-The folder decides what exists, not the session's catalogue: month tables are written by
-path and then registered over it, so separate processes share one warehouse safely.
+The folder decides what exists, not the session's catalogue. Plain month folders are swapped when
+their write commits; tables that readers use meanwhile, and all layers of the month job, are
+snapshots behind one log of commits (``snapshots``), so separate processes share a warehouse safely.
 """
 
 from __future__ import annotations
 
 from urllib.parse import urlparse
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from fareline.schemas import LAYERS
+from fareline.sinks import snapshots
 
 PARTITION_COLUMNS = ("year", "month")
 MODES = ("month", "replace_all")
@@ -58,31 +59,6 @@ def month_folder(path: str, year: int, month: int) -> str:
     return f"{path.rstrip('/')}/year={int(year)}/month={int(month)}"
 
 
-def has_files(spark: SparkSession, path: str) -> bool:
-    """Is there a Parquet folder at ``path``, on whatever file system the session reads?"""
-    try:
-        spark.read.parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return False
-        raise
-    return True
-
-
-def stored_months(spark: SparkSession, path: str) -> list[tuple[int, int]]:
-    """Run months present in a month-partitioned layer (one row per month reaches the driver)."""
-    if not has_files(spark, path):
-        return []
-    rows = spark.read.parquet(path).select(*PARTITION_COLUMNS).distinct().collect()
-    return sorted((r["year"], r["month"]) for r in rows)
-
-
-def clear_month(spark: SparkSession, path: str, year: int, month: int) -> None:
-    """Leave no rows in one month of a layer."""
-    schema = spark.read.parquet(month_folder(path, year, month)).schema
-    spark.createDataFrame([], schema).write.mode("overwrite").parquet(month_folder(path, year, month))
-
-
 def create_layer_schemas(spark: SparkSession, layers=None, location: str | None = None, prefix: str = "") -> None:
     """O-12/O-13: ``CREATE DATABASE IF NOT EXISTS`` for each layer name, verbatim.
 
@@ -110,9 +86,9 @@ def check_location(spark: SparkSession, table: str, path: str) -> None:
 
 
 def replace_table(df: DataFrame, table: str, path: str) -> None:
-    """O-11/O-15: replace a catalogue table from a frame, data stored at ``path``."""
-    check_location(df.sparkSession, table, path)
-    df.write.mode("overwrite").format("parquet").option("path", path).saveAsTable(table)
+    """O-11/O-15: replace a catalogue table from a frame; its snapshots lie below ``path``. Readers of the
+    old rows finish, and a writer that dies leaves them (see ``snapshots``)."""
+    snapshots.replace(df, path, table)
 
 
 def register_table(spark: SparkSession, table: str, path: str) -> None:

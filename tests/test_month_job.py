@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from fareline import sinks
 from fareline.operators import quality as Q
-from fareline.plans.month_job import MonthJob, backfill, build_month
+from fareline.plans.month_job import MONTH_TABLES, MonthJob, backfill, build_month
+from fareline.sinks.snapshots import Warehouse, key
 from fareline.sources.files import table_name
 from fareline.sources.testdata import raw_trips, raw_zones
 
@@ -86,7 +87,7 @@ def test_job_arguments():
     j = MonthJob.from_args(["--warehouse", "/w", "--year", "2023", "--month", "12", "--mode", "replace_all",
                             "--from-layer", "clean", "--no-fail-on-test-error"])
     assert (j.year, j.month, j.mode, j.from_layer, j.fail_on_test_error) == (2023, 12, "replace_all", "clean", False)
-    assert j.path("marts", "fct_trips") == "/w/marts/fct_trips"
+    assert j.path("marts", "fct_trips") == "/w/data/marts/fct_trips"
 
 
 def test_month_source_naming():
@@ -218,6 +219,26 @@ def test_a_boundary_trip_in_two_months_stops_the_job(spark, tmp_path):
         build_month(spark, MonthJob(warehouse=str(tmp_path / "wh")), raw=raw, zones=zones)
 
 
+def test_a_failing_month_changes_no_layer(spark, tmp_path):
+    """O-87/O-90: everything is tested before the commit that publishes it."""
+    _drop_layers(spark)
+    raw, zones = raw_trips(spark, SF0001), raw_zones(spark, SF0001)
+    job = MonthJob(warehouse=str(tmp_path / "wh"))
+    first = build_month(spark, job, raw=raw, zones=zones)
+    stored = Warehouse(spark, job.warehouse)
+    before, rows = stored.log(), {t: spark.table(table_name(*t)).count() for t in MONTH_TABLES[:4]}
+    with pytest.raises(Q.DataTestFailure, match="unique_fct_trips_trip_id=22"):
+        build_month(spark, MonthJob(warehouse=job.warehouse, year=2023, month=12), raw=raw, zones=zones.where("location_id <> 7"))
+    worse = raw.withColumn("PULocationID", F.lit(999))
+    with pytest.raises(Q.DataTestFailure, match="relationships"):  # a re-run of the published month itself
+        build_month(spark, job, raw=worse, zones=zones)
+    assert stored.log() == before and first["version"] == before["version"] == 1
+    assert {t: spark.table(table_name(*t)).count() for t in MONTH_TABLES[:4]} == rows
+    assert spark.table(table_name("raw", "zones")).count() == 25
+    assert stored.vacuum(older_than_hours=0) > 0  # what the failed runs left
+    assert {t: stored.read(*t).count() for t in MONTH_TABLES[:4]} == rows
+
+
 def test_rebuild_keeps_every_month(spark, tmp_path):
     from fareline.plans.month_job import rebuild_warehouse
 
@@ -229,7 +250,7 @@ def test_rebuild_keeps_every_month(spark, tmp_path):
     _drop_layers(spark)  # as in a new process: the files stay, the catalogue knows nothing
     assert len(rebuild_warehouse(spark, job)) == 2
     assert spark.table(table_name("marts", "fct_trips")).count() == before == 982
-    sinks.clear_month(spark, job.path("raw", "trips"), 2023, 12)
+    Warehouse(spark, job.warehouse).commit({key("raw", "trips", 2023, 12): None})
     rebuild_warehouse(spark, job)
     assert spark.table(table_name("marts", "fct_trips")).count() == 953
 
@@ -283,7 +304,7 @@ def test_months_and_resume_in_separate_processes(tmp_path):
     raw_zones(spark, SF0001).selectExpr("location_id AS LocationID", "borough AS Borough", "zone AS Zone", "service_zone").write.option(
         "header", True
     ).csv(f"{landing}/zones")
-    months = lambda: {(r[0], r[1]): r[2] for r in spark.read.parquet(f"{wh}/marts/fct_trips").groupBy("year", "month").count().collect()}
+    months = lambda: {(r[0], r[1]): r[2] for r in Warehouse(spark, wh).read("marts", "fct_trips").groupBy("year", "month").count().collect()}
 
     def run(*extra):
         args = ["--warehouse", wh, "--no-fail-on-test-error", *extra]
@@ -294,6 +315,6 @@ def test_months_and_resume_in_separate_processes(tmp_path):
     run("--landing", landing, "--zone-csv", f"{landing}/zones", "--year", "2023", "--month", "12")
     both = months()
     assert both[2024, 1] == 953 and both[2023, 12] == 29
-    sinks.clear_month(spark, f"{wh}/marts/fct_trips", 2024, 1)
+    Warehouse(spark, wh).commit({key("marts", "fct_trips", 2024, 1): None})
     run("--from-layer", "clean", "--year", "2024", "--month", "1")
     assert months() == both
