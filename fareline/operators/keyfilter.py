@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fareline.operators.lookups import MAX_BROADCAST_ROWS, maybe_broadcast
-from fareline.session import shared_dir
+from fareline.session import shared_dir, together
 from fareline.sinks.snapshots import Run, Warehouse
 
 WORDS = 1024  # longs in a block
@@ -94,8 +94,11 @@ def key_tables(name: str) -> tuple[str, str]:
 def put_keys(run: Run, df: DataFrame, column: str, layer: str, name: str, year: int, month: int, rows: int | None = None) -> None:
     """Store a month's filter and repeated keys with the run that stores the month."""
     filters, repeats = key_tables(name)
-    run.put(build_filter(df, column, df.count() if rows is None else rows), layer, filters, year, month)
-    run.put(repeated_keys(df, column), layer, repeats, year, month)
+    n = df.count() if rows is None else rows
+    together(
+        lambda: run.put(build_filter(df, column, n), layer, filters, year, month),
+        lambda: run.put(repeated_keys(df, column), layer, repeats, year, month),
+    )
 
 
 def unique_over_months(warehouse: Warehouse, layer: str, name: str, column: str, version: int | None = None) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from fareline.functions.sql import quote, sql_literal
 from fareline.operators.lookups import MAX_BROADCAST_ROWS, maybe_broadcast, orphans
-from fareline.session import shared_dir
+from fareline.session import shared_dir, together
 from fareline.schemas import PAYMENT_METHODS, TIME_OF_DAY_SEGMENTS
 
 
@@ -291,17 +291,18 @@ def summary(
     the same frame object share both. ``unique_over`` names wider frames for unique rules
     (a month's ids among those of its neighbours).
     """
-    parts: list[DataFrame] = []
+    steps = []
     unique_rules = [r for r in rules if r.test == "unique"]
     if unique_rules:
         wide = {r.model: (unique_over or {}).get(r.model, frames[r.model]) for r in unique_rules}
-        parts.extend(_unique_counts(wide, unique_rules, max_broadcast_rows))
+        steps.append(lambda: _unique_counts(wide, unique_rules, max_broadcast_rows))
     by_frame: dict[int, list[Rule]] = {}
     for r in rules:
         if r.test != "unique":
             by_frame.setdefault(id(frames[r.model]), []).append(r)
-    for mine in by_frame.values():
-        parts.extend(_one_read(frames[mine[0].model], mine, frames, max_broadcast_rows))
+    steps += [lambda mine=mine: _one_read(frames[mine[0].model], mine, frames, max_broadcast_rows) for mine in by_frame.values()]
+    shared_dir(frames[rules[0].model].sparkSession)  # once, before the steps use it side by side
+    parts = [p for some in together(*steps) for p in some]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

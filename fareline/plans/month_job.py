@@ -27,7 +27,7 @@ from fareline.operators import keyfilter as K
 from fareline.operators import models as M
 from fareline.operators import quality as Q
 from fareline.operators import reports as R
-from fareline.session import job_description
+from fareline.session import job_description, together
 from fareline.sinks.snapshots import Run, Warehouse, check_location, register
 from fareline.schemas import (
     CALENDAR_END,
@@ -143,7 +143,6 @@ def cleanse_and_load(spark: SparkSession, job: MonthJob, run: Run, raw: DataFram
         if not job.source():
             raise ValueError("raw_path, landing or a raw DataFrame is required")
         raw = read_trips(spark, job.source())
-    initial = raw.count()
     deduped = C.dedup_raw(raw)
     o_dedup = None
     if job.count_duplicates:
@@ -159,7 +158,7 @@ def cleanse_and_load(spark: SparkSession, job: MonthJob, run: Run, raw: DataFram
         F.avg("trip_duration_minutes").alias("avg_duration"),
     )
     check_schema(clean, TRIPS_CLEAN, layer="raw.trips")
-    run.put(clean, "raw", "trips", job.year, job.month)
+    initial, _ = together(raw.count, lambda: run.put(clean, "raw", "trips", job.year, job.month))
     m = o_clean.get
     load = {
         "trips_loaded": m["rows"],
@@ -199,15 +198,13 @@ def build_models(spark: SparkSession, job: MonthJob, run: Run) -> tuple[dict[str
     outside = F.expr(f"pickup_date NOT BETWEEN DATE'{first}' AND DATE'{last}'")
     observed = M.fct_trips(enriched).observe(seen, F.count(F.lit(1)).alias("rows"), F.count(F.when(outside, 1)).alias("outside"))
     fct = month_table("marts", "fct_trips", observed)
-    K.put_keys(run, fct, "trip_id", "marts", "fct_trips", job.year, job.month, seen.get["rows"])
-    frames = {
-        "stg_trips": stg,
-        "stg_zones": stg_z,
-        "int_trips_enriched": enriched,
-        "fct_trips": fct,
-        "dim_zones": whole_table("dim_zones", M.dim_zones(stg_z)),
-        "dim_date": whole_table("dim_date", M.dim_date(spark, *job.calendar)),
-    }
+    rows = seen.get["rows"]
+    _, dim_zones, dim_date = together(
+        lambda: K.put_keys(run, fct, "trip_id", "marts", "fct_trips", job.year, job.month, rows),
+        lambda: whole_table("dim_zones", M.dim_zones(stg_z)),
+        lambda: whole_table("dim_date", M.dim_date(spark, *job.calendar)),
+    )
+    frames = {"stg_trips": stg, "stg_zones": stg_z, "int_trips_enriched": enriched, "fct_trips": fct, "dim_zones": dim_zones, "dim_date": dim_date}
     return frames, seen.get["outside"]
 
 
@@ -288,8 +285,7 @@ def show(spark: SparkSession, job: MonthJob, version: int | None = None) -> None
     """Bring the session's catalogue up to what a version of the warehouse holds."""
     sinks.create_layer_schemas(spark, location=job.warehouse, prefix=job.prefix)
     warehouse = Warehouse(spark, job.warehouse)
-    for layer, name in CATALOGUE:
-        register(warehouse, job.table(layer, name), layer, name, version)
+    together(*(lambda t=t: register(warehouse, job.table(*t), *t, version) for t in CATALOGUE))
 
 
 def rebuild_warehouse(spark: SparkSession, job: MonthJob) -> list[dict]:

@@ -12,8 +12,11 @@ import contextlib
 import tempfile
 import time
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
+from pyspark.util import inheritable_thread_target
 
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -80,6 +83,13 @@ def clear_scratch(spark: SparkSession, older_than_hours: float = 24.0) -> int:
     return len(old)
 
 
+def together(*steps: Callable[[], object]) -> list:
+    """Results of steps that need nothing of each other, their Spark jobs side by side; the first error is raised."""
+    carry = inheritable_thread_target(SparkSession.active())  # job descriptions and other local properties
+    with ThreadPoolExecutor(max(1, len(steps))) as pool:
+        return [f.result() for f in [pool.submit(carry(s)) for s in steps]]
+
+
 @contextlib.contextmanager
 def job_description(spark: SparkSession, text: str):
     """Label the Spark jobs started inside the block (shown in event logs and history UIs)."""
