@@ -1,22 +1,28 @@
 """Byte-level BPE ids through the tokenizers library, with the ids of repeated words remembered.
 
 The pre-tokenizer never joins the end of one word with the space before the next, so a text without
-double white space is encoded word by word, each with its leading space. New words go through the
-library in strings of many words; a worker keeps the ids of frequent ones, in two generations. Other
-texts go through the library whole.
+double white space is encoded word by word, each with its leading space. A single line break between two
+words is a part of its own. New words of letters go through the library in strings of many words, closing
+marks and what follows a line break apart from them; a worker keeps the ids of frequent ones, in two
+generations. Other texts go through the library whole.
 """
 
 from __future__ import annotations
 
+import re
 from functools import lru_cache
-from itertools import pairwise
 
 import numpy as np
 
 from fareline.llm.cache import Generations
 
 WORDS_CACHED = 400_000  # words whose ids a Python worker remembers, twice at most
-WORDS_JOINED = 256  # new words encoded in one string
+WORDS_JOINED = 64  # new words encoded in one string; longer ones cost more a word
+
+
+#: Letters with closing marks: two pre-tokens. White space other than single line breaks inside a word.
+_MARKED = re.compile(r"([^\W\d_]+)([^\w\s'\"]+)").fullmatch
+_GAP = re.compile(r"\n\s|[^\S\n]").search
 
 
 class ByteEncoder:
@@ -30,7 +36,10 @@ class ByteEncoder:
         self.dtype = np.dtype("<u2" if self.lib.get_vocab_size() <= 1 << 16 else "<u4")
         self.words: dict[str, bytes] = {}  # with a leading space; the younger generation
         self.old: dict[str, bytes] = {}
+        self.starts: dict[str, bytes] = {}  # without a space before them
+        self.old_starts: dict[str, bytes] = {}
         self.parts = Generations(self._whole, WORDS_CACHED // 10)
+        self._break = self._whole("\n")
 
     def _pack(self, ids) -> bytes:
         return np.array(ids, dtype=self.dtype).tobytes()
@@ -38,57 +47,92 @@ class ByteEncoder:
     def _whole(self, text: str) -> bytes:
         return self._pack(self.lib.encode(text, add_special_tokens=False).ids)
 
-    def _learn(self, new: list[str]) -> dict[str, bytes]:
-        """Ids of words with a leading space."""
-        letters = [w for w in new if w.isalpha()]  # one pre-token each
-        out = {}
+    def _learn(self, letters: list[str], known: dict[str, bytes], gap: str) -> None:
+        """Puts the ids of words of letters (one pre-token each) into ``known``: each after a space, or each alone
+        (a line break between two words is a pre-token too)."""
+        lead, step = (" ", 1) if gap == " " else ("", 2)
         for at in range(0, len(letters), WORDS_JOINED):
             some = letters[at : at + WORDS_JOINED]
-            code = self.lib.encode(" " + " ".join(some), add_special_tokens=False)
-            ids, owner = np.array(code.ids, self.dtype), np.array(code.word_ids)
-            ends = np.searchsorted(owner, np.arange(len(some) + 1))
-            out |= {w: ids[a:b].tobytes() for w, (a, b) in zip(some, pairwise(ends.tolist()))}
-        return out
+            code = self.lib.encode(lead + gap.join(some), add_special_tokens=False)
+            owner = code.word_ids
+            if owner[-1] != step * (len(some) - 1):  # not one pre-token each after all
+                known.update((w, self._whole(lead + w)) for w in some)
+                continue
+            packed, width = self._pack(code.ids), self.dtype.itemsize
+            ends = np.searchsorted(np.array(owner), np.arange(0, step * len(some) + 1, 1)) * width
+            ends = ends.tolist()
+            known.update((w, packed[ends[step * k] : ends[step * k + 1]]) for k, w in enumerate(some))
+
+    def _known(self, words: set[str], young: dict[str, bytes], old: dict[str, bytes]) -> set[str]:
+        """The words that neither generation holds; those of the older one become young again."""
+        again = old.keys() & words
+        young.update((w, old[w]) for w in again)
+        return words - again
 
     def _remember(self, words: set[str]) -> None:
-        """Puts the ids of new words into ``self.words``."""
-        known = [w for w in words if w in self.old]
-        self.words.update((w, self.old[w]) for w in known)
-        new = words.difference(known)
-        cut = {}  # a word of letters and closing marks is encoded as two parts
+        """Puts the ids of new words, each after a space, into ``self.words``."""
+        new = self._known(words, self.words, self.old)
+        cores, first, marked, lines = set(), set(), [], []
         for w in new:
-            end = len(w)
-            while end and not w[end - 1].isalnum():
-                end -= 1
-            if w[:end].isalpha():
-                cut[w] = (w[:end], w[end:])
+            if w.isalpha():
+                cores.add(w)
+                continue
+            found = _MARKED(w)
+            if found:
+                core, tail = found.groups()
+                marked.append((w, core, tail))
+                cores.add(core)
+            elif "\n" in w:
+                lines.append((w, *w.split("\n")))
             else:
                 self.words[w] = self._whole(" " + w)
-        cores = {c for c, _ in cut.values()}.difference(self.words)
-        for c in [c for c in cores if c in self.old]:
-            self.words[c] = self.old[c]
-            cores.discard(c)
-        self.words.update(self._learn(sorted(cores)))
-        for w, (core, tail) in cut.items():
-            if tail:
-                self.words[w] = self.words[core] + self.parts[tail]
+        for _, head, *rest in lines:
+            found = _MARKED(head)
+            cores.add(found[1] if found else head)
+            first.update(r for r in rest if r not in self.starts)
+        cores = self._known(cores.difference(self.words), self.words, self.old)
+        self._learn([c for c in cores if c.isalpha()], self.words, " ")
+        self.words.update((c, self._whole(" " + c)) for c in cores if not c.isalpha())
+        self._start(first)
+        for w, core, tail in marked:
+            self.words[w] = self.words[core] + self.parts[tail]
+        for w, head, *rest in lines:
+            found = _MARKED(head)
+            ids = self.words[found[1]] + self.parts[found[2]] if found else self.words[head]
+            self.words[w] = self._break.join([ids, *(self.starts[r] for r in rest)])
+
+    def _start(self, words: set[str]) -> None:
+        """Puts the ids of words with nothing before them into ``self.starts``."""
+        new = self._known(words, self.starts, self.old_starts)
+        cut = [(w, *found.groups()) for w in new if (found := _MARKED(w))]
+        cores = {w for w in new if w.isalpha()}.union(c for _, c, _ in cut).difference(self.starts)
+        cores = self._known(cores, self.starts, self.old_starts)
+        self._learn([c for c in cores if c.isalpha()], self.starts, "\n")
+        self.starts.update((c, self._whole(c)) for c in cores if not c.isalpha())
+        for w, core, tail in cut:
+            self.starts[w] = self.starts[core] + self.parts[tail]
+        self.starts.update((w, self._whole(w)) for w in new.difference(self.starts))
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian numbers of ``dtype``."""
         if len(self.words) > WORDS_CACHED:
             self.words, self.old = {}, self.words
+        if len(self.starts) > WORDS_CACHED:
+            self.starts, self.old_starts = {}, self.starts
         split = [t.split(" ") for t in texts]
         new = set().union(*(s[1:] for s in split)).difference(self.words)
         # white space beside a space belongs to one pre-token with it: such texts are encoded whole
-        wide = {w for w in new if not w or w[0].isspace() or w[-1].isspace()}
+        wide = {w for w in new if not w or w[0].isspace() or w[-1].isspace() or not w.isalpha() and _GAP(w)}
         self._remember(new - wide)
+        self._start({s[0] for s in split if s[0] not in self.starts and s[0] and not s[0][0].isspace() and not _GAP(s[0]) and "\n" not in s[0]})
         get, out = self.words.__getitem__, []
         for text, s in zip(texts, split):
             rest = s[1:]
             if s[0][-1:].isspace() or wide and not wide.isdisjoint(rest):
                 out.append(self._whole(text))
             else:
-                out.append(self.parts[s[0]] + b"".join(map(get, rest)))
+                head = self.starts.get(s[0])
+                out.append((self.parts[s[0]] if head is None else head) + b"".join(map(get, rest)))
         return out
 
 
