@@ -2,15 +2,17 @@
 
 The pre-tokenizer never joins the end of one word with the space before the next, so a text without
 double white space is encoded word by word, each with its leading space. A single line break between two
-words is a part of its own. New words of letters go through the library in strings of many words, closing
-marks and what follows a line break apart from them; a worker keeps the ids of frequent ones, in two
-generations. Other texts go through the library whole.
+words is a part of its own. New words go through the library in strings of many words, closing marks and
+what follows a line break apart from them; a worker keeps the ids of frequent ones, in two generations.
+Other texts go through the library whole.
 """
 
 from __future__ import annotations
 
+import gc
 import re
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 
@@ -40,6 +42,10 @@ class ByteEncoder:
         self.old_starts: dict[str, bytes] = {}
         self.parts = Generations(self._whole, WORDS_CACHED // 10)
         self._break = self._whole("\n")
+        self._break_id = self.lib.encode("\n", add_special_tokens=False).ids[0]
+        space = self.lib.encode(" ", add_special_tokens=False).tokens[0][0]  # how tokens write a space
+        self._spaced = np.zeros(self.lib.get_vocab_size(), bool)
+        self._spaced[[i for t, i in self.lib.get_vocab().items() if t.startswith(space)]] = True
 
     def _pack(self, ids) -> bytes:
         return np.array(ids, dtype=self.dtype).tobytes()
@@ -47,21 +53,26 @@ class ByteEncoder:
     def _whole(self, text: str) -> bytes:
         return self._pack(self.lib.encode(text, add_special_tokens=False).ids)
 
-    def _learn(self, letters: list[str], known: dict[str, bytes], gap: str) -> None:
-        """Puts the ids of words of letters (one pre-token each) into ``known``: each after a space, or each alone
-        (a line break between two words is a pre-token too)."""
-        lead, step = (" ", 1) if gap == " " else ("", 2)
-        for at in range(0, len(letters), WORDS_JOINED):
-            some = letters[at : at + WORDS_JOINED]
-            code = self.lib.encode(lead + gap.join(some), add_special_tokens=False)
-            owner = code.word_ids
-            if owner[-1] != step * (len(some) - 1):  # not one pre-token each after all
-                known.update((w, self._whole(lead + w)) for w in some)
-                continue
-            packed, width = self._pack(code.ids), self.dtype.itemsize
-            ends = np.searchsorted(np.array(owner), np.arange(0, step * len(some) + 1, 1)) * width
-            ends = ends.tolist()
-            known.update((w, packed[ends[step * k] : ends[step * k + 1]]) for k, w in enumerate(some))
+    def _learn(self, words: list[str], known: dict[str, bytes], gap: str) -> None:
+        """Puts the ids of words without white space into ``known``: each after a space, or each alone. Many go
+        through the library as one string. Only the first token of a word can begin with the space before
+        it, and a line break is a token of its own, so the tokens themselves tell where words begin."""
+        if not words:
+            return
+        cuts = [words[k : k + WORDS_JOINED] for k in range(0, len(words), WORDS_JOINED)]
+        texts = [" " + " ".join(c) if gap == " " else "\n".join([*c, ""]) for c in cuts]
+        ids = np.concatenate([np.array(c.ids, self.dtype) for c in self.lib.encode_batch_fast(texts, add_special_tokens=False)])
+        if gap == " ":
+            first = np.flatnonzero(self._spaced[ids])
+            last = np.append(first[1:], len(ids))
+        else:
+            last = np.flatnonzero(ids == self._break_id)
+            first = np.append(0, last[:-1] + 1)
+        if len(first) != len(words) or first[0] != 0:  # not as expected of this tokenizer: one by one
+            known.update((w, self._whole(" " + w if gap == " " else w)) for w in words)
+            return
+        packed, width = ids.tobytes(), self.dtype.itemsize
+        known.update((w, packed[a:b]) for w, a, b in zip(words, (first * width).tolist(), (last * width).tolist()))
 
     def _known(self, words: set[str], young: dict[str, bytes], old: dict[str, bytes]) -> set[str]:
         """The words that neither generation holds; those of the older one become young again."""
@@ -74,10 +85,7 @@ class ByteEncoder:
         new = self._known(words, self.words, self.old)
         cores, first, marked, lines = set(), set(), [], []
         for w in new:
-            if w.isalpha():
-                cores.add(w)
-                continue
-            found = _MARKED(w)
+            found = None if w.isalpha() else _MARKED(w)
             if found:
                 core, tail = found.groups()
                 marked.append((w, core, tail))
@@ -85,14 +93,13 @@ class ByteEncoder:
             elif "\n" in w:
                 lines.append((w, *w.split("\n")))
             else:
-                self.words[w] = self._whole(" " + w)
+                cores.add(w)
         for _, head, *rest in lines:
             found = _MARKED(head)
             cores.add(found[1] if found else head)
             first.update(r for r in rest if r not in self.starts)
         cores = self._known(cores.difference(self.words), self.words, self.old)
-        self._learn([c for c in cores if c.isalpha()], self.words, " ")
-        self.words.update((c, self._whole(" " + c)) for c in cores if not c.isalpha())
+        self._learn(list(cores), self.words, " ")
         self._start(first)
         for w, core, tail in marked:
             self.words[w] = self.words[core] + self.parts[tail]
@@ -104,23 +111,23 @@ class ByteEncoder:
     def _start(self, words: set[str]) -> None:
         """Puts the ids of words with nothing before them into ``self.starts``."""
         new = self._known(words, self.starts, self.old_starts)
-        cut = [(w, *found.groups()) for w in new if (found := _MARKED(w))]
-        cores = {w for w in new if w.isalpha()}.union(c for _, c, _ in cut).difference(self.starts)
-        cores = self._known(cores, self.starts, self.old_starts)
-        self._learn([c for c in cores if c.isalpha()], self.starts, "\n")
-        self.starts.update((c, self._whole(c)) for c in cores if not c.isalpha())
-        for w, core, tail in cut:
-            self.starts[w] = self.starts[core] + self.parts[tail]
-        self.starts.update((w, self._whole(w)) for w in new.difference(self.starts))
+        self._learn(list(new), self.starts, "\n")
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian numbers of ``dtype``."""
+        gc.disable()  # many short-lived lists, no cycles
+        try:
+            return self._encode_batch(texts)
+        finally:
+            gc.enable()
+
+    def _encode_batch(self, texts: list[str]) -> list[bytes]:
         if len(self.words) > WORDS_CACHED:
             self.words, self.old = {}, self.words
         if len(self.starts) > WORDS_CACHED:
             self.starts, self.old_starts = {}, self.starts
         split = [t.split(" ") for t in texts]
-        new = set().union(*(s[1:] for s in split)).difference(self.words)
+        new = set(chain.from_iterable(s[1:] for s in split)).difference(self.words)
         # white space beside a space belongs to one pre-token with it: such texts are encoded whole
         wide = {w for w in new if not w or w[0].isspace() or w[-1].isspace() or not w.isalpha() and _GAP(w)}
         self._remember(new - wide)
