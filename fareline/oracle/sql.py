@@ -271,6 +271,10 @@ ORACLE_SQL: dict[str, str] = {}
 # sources
 ORACLE_SQL["scan_trips"] = over_raw("SELECT * FROM raw_trips")
 ORACLE_SQL["scan_month"] = over_raw("SELECT * FROM raw_trips")
+ORACLE_SQL["scan_month_green"] = over_raw("SELECT * REPLACE (CAST(NULL AS DOUBLE) AS Airport_fee) FROM raw_trips")
+ORACLE_SQL["scan_drifted"] = over_raw(
+    "SELECT * REPLACE (CASE WHEN coalesce(payment_type, 0) % 3 <> 2 THEN congestion_surcharge END AS congestion_surcharge) FROM raw_trips"
+)
 ORACLE_SQL["scan_zones"] = over_raw("SELECT * FROM zones_raw")
 ORACLE_SQL["scan_zones_csv"] = over_raw("SELECT * FROM zones_raw")
 ORACLE_SQL["scan_clean"] = over_clean("SELECT * FROM clean_trips")
@@ -415,6 +419,9 @@ SELECT *, CAST(2024 AS INTEGER) AS year, CAST(1 AS INTEGER) AS month FROM clean_
 
 ORACLE_SQL["int_roundtrip"] = over_models("SELECT * FROM int_trips_enriched")
 ORACLE_SQL["resume_from_clean"] = ORACLE_SQL["month_job_fct"]
+_AIRPORT_FEE = "CASE WHEN i % 23 = 0 THEN 1.75::DOUBLE ELSE 0.0::DOUBLE END AS Airport_fee"
+assert _AIRPORT_FEE in RAW_CTES
+ORACLE_SQL["month_job_green"] = ORACLE_SQL["month_job_fct"].replace(_AIRPORT_FEE, "CAST(NULL AS DOUBLE) AS Airport_fee")
 ORACLE_SQL["scan_zones_csv_reordered"] = ORACLE_SQL["scan_zones_csv"]
 
 

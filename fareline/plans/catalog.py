@@ -42,7 +42,7 @@ from fareline.schemas import LAYERS, TRIP_KEY_PARTS
 from fareline.session import scratch_path
 from fareline.sinks import snapshots
 from fareline.sinks.snapshots import Run, Warehouse, key
-from fareline.sources import MonthSource, date_spine_between, read_month, read_trips, read_zones_csv
+from fareline.sources import MonthSource, date_spine_between, read_landed, read_month, read_trips, read_zones_csv
 from fareline.sources.testdata import raw_trips, raw_zones
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -126,6 +126,45 @@ def scan_month(spark, d):
     return read_month(spark, src)
 
 
+def _as_green(trips: DataFrame) -> DataFrame:
+    """The mapping with the column names of a green file, and its own columns."""
+    named = trips.withColumnsRenamed({PICKUP: "lpep_pickup_datetime", DROPOFF: "lpep_dropoff_datetime"})
+    return named.drop("Airport_fee").withColumns({"ehail_fee": F.lit(None).cast("double"), "trip_type": F.lit(1.0)})
+
+
+def scan_month_green(spark, d):
+    """O-05: a green month file, read in the yellow layout (it has no airport fee)."""
+    src = MonthSource(scratch_path(spark, "landing"), YEAR, MONTH, "green")
+    _as_green(raw_trips(spark, d)).write.parquet(src.path)
+    return read_landed(spark, src.path)
+
+
+def scan_drifted(spark, d):
+    """O-01/O-02: a folder whose parts differ: wider integers and another case, codes as doubles, instants
+    instead of wall-clock times, a missing column."""
+    base, raw = scratch_path(spark, "landing"), raw_trips(spark, d)
+    part = F.coalesce(F.col("payment_type"), F.lit(0)) % 3
+    wide = raw.where(part == 0).withColumnsRenamed({"Airport_fee": "airport_fee"})
+    wide = wide.withColumns({c: F.col(c).cast("bigint") for c in ("VendorID", "PULocationID", "DOLocationID")})
+    loose = raw.where(part == 1).withColumns({"RatecodeID": F.col("RatecodeID").cast("double"), "payment_type": F.col("payment_type").cast("double"), "VendorID": F.col("VendorID").cast("smallint")})
+    utc = {c: F.convert_timezone(F.lit("UTC"), F.current_timezone(), c).cast("timestamp") for c in (PICKUP, DROPOFF)}
+    instants = raw.where(part == 2).withColumns(utc).drop("congestion_surcharge")
+    for name, df in (("a", wide), ("b", loose), ("c", instants)):
+        df.write.parquet(f"{base}/{name}")
+    return read_landed(spark, base)
+
+
+def month_job_green(spark, d):
+    """O-05/O-90: a green month through the whole job."""
+    from fareline.plans.month_job import MonthJob, build_month
+
+    job = MonthJob(warehouse=scratch_path(spark, "warehouse"), landing=scratch_path(spark, "landing"), taxi_type="green", fail_on_test_error=False)
+    _as_green(raw_trips(spark, d)).write.parquet(job.source())
+    with _databases(spark) as prefix:
+        build_month(spark, replace(job, prefix=prefix), zones=raw_zones(spark, d))
+    return _run_month(_stored(spark, job, "marts", "fct_trips"))
+
+
 def scan_zones(spark, d):
     return raw_zones(spark, d)
 
@@ -554,6 +593,8 @@ def _singular(rule_id: str, on_raw: bool) -> Query:
 QUERIES: dict[str, Query] = {
     "scan_trips": scan_trips,
     "scan_month": scan_month,
+    "scan_month_green": scan_month_green,
+    "scan_drifted": scan_drifted,
     "scan_zones": scan_zones,
     "scan_zones_csv": scan_zones_csv,
     "scan_zones_csv_reordered": scan_zones_csv_reordered,
@@ -600,6 +641,7 @@ QUERIES: dict[str, Query] = {
     "backfill_two_months": backfill_two_months,
     "month_job_fct": month_job_fct,
     "month_job_report_top5": month_job_report_top5,
+    "month_job_green": month_job_green,
     "int_roundtrip": int_roundtrip,
     "resume_from_clean": resume_from_clean,
     "rebuild_two_months": rebuild_two_months,

@@ -42,7 +42,8 @@ from fareline.schemas import (
     ZONES_RAW,
     check_schema,
 )
-from fareline.sources.files import TAXI_TYPES, MonthSource, read_trips, read_zones_optional, table_name
+from fareline.sources.files import TAXI_TYPES, MonthSource, read_zones_optional, table_name
+from fareline.sources.resolve import read_landed
 
 LAYER_ORDER = ("raw", "clean")
 
@@ -55,7 +56,8 @@ class MonthJob:
     session's catalogue: runs in other processes find and keep each other's months. A catalogue in
     which a table lies in another warehouse is refused. ``prefix`` is put before the database names
     (scratch runs beside each other). Raw trips come from ``raw_path``, or from the month's file in
-    ``landing`` for ``taxi_type``.
+    ``landing`` for ``taxi_type``; either is brought to one layout (``sources.resolve``). Green and yellow
+    months are the same months: give each taxi type a warehouse and a prefix of its own.
     """
 
     warehouse: str
@@ -142,7 +144,7 @@ def cleanse_and_load(spark: SparkSession, job: MonthJob, run: Run, raw: DataFram
     if raw is None:
         if not job.source():
             raise ValueError("raw_path, landing or a raw DataFrame is required")
-        raw = read_trips(spark, job.source())
+        raw = read_landed(spark, job.source())
     deduped = C.dedup_raw(raw)
     o_dedup = None
     if job.count_duplicates:

@@ -9,6 +9,7 @@ from fareline.sources.files import (
     read_zones_optional,
     table_name,
 )
+from fareline.sources.resolve import read_landed, resolve_trips
 from fareline.sources.testdata import raw_trips, raw_trips_from_events, raw_zones, raw_zones_from_nations
 
 __all__ = [
@@ -19,11 +20,13 @@ __all__ = [
     "raw_trips_from_events",
     "raw_zones",
     "raw_zones_from_nations",
+    "read_landed",
     "read_layer_table",
     "read_month",
     "read_partitioned_month",
     "read_trips",
     "read_zones_csv",
     "read_zones_optional",
+    "resolve_trips",
     "table_name",
 ]

@@ -30,8 +30,8 @@ FILE_ROWS = "path string, modificationTime timestamp, length bigint, content bin
 KEPT_RESULTS = 120  # months whose audit a running query remembers
 
 
-def landed_months(files: DataFrame, folder: str | None = None) -> DataFrame:
-    """(taxi_type, year, month, path) of each landed yellow month file, from its name.
+def landed_months(files: DataFrame, folder: str | None = None, taxi_type: str = "yellow") -> DataFrame:
+    """(taxi_type, year, month, path) of each landed month file of a taxi type, from its name.
 
     ``folder``: only entries of this folder itself count, not those of folders inside it.
     """
@@ -43,7 +43,7 @@ def landed_months(files: DataFrame, folder: str | None = None) -> DataFrame:
         F.regexp_extract(p, FILE_PATTERN, 2).try_cast("int").alias("year"),
         F.regexp_extract(p, FILE_PATTERN, 3).try_cast("int").alias("month"),
         p,
-    ).where("taxi_type = 'yellow' AND month BETWEEN 1 AND 12")
+    ).where((F.col("taxi_type") == taxi_type) & F.col("month").between(1, 12))
 
 
 def start(
@@ -67,11 +67,11 @@ def start(
     results: deque[dict] = deque(maxlen=KEPT_RESULTS)
 
     def run_months(batch: DataFrame, epoch_id: int) -> None:
-        months = landed_months(batch, landing_dir).select("year", "month").distinct()
+        months = landed_months(batch, landing_dir, job.taxi_type).select("year", "month").distinct()
         for row in months.orderBy("year", "month").collect():
-            month_dir = f"{landing_dir.rstrip('/')}/yellow_tripdata_{row['year']:04d}-{row['month']:02d}.parquet"
+            month_dir = f"{landing_dir.rstrip('/')}/{job.taxi_type}_tripdata_{row['year']:04d}-{row['month']:02d}.parquet"
             j = replace(job, year=row["year"], month=row["month"], raw_path=month_dir, from_layer="raw")
-            out = build_month(spark, j, raw=read_trips(spark, month_dir, schema), zones=zones)
+            out = build_month(spark, j, raw=read_trips(spark, month_dir, schema) if schema else None, zones=zones)
             results.append({"epoch": epoch_id, "year": row["year"], "month": row["month"], **(out["audit"] or {})})
 
     writer = files.writeStream.foreachBatch(run_months).option("checkpointLocation", checkpoint)
