@@ -58,6 +58,11 @@ def report_borough_revenue(fct: DataFrame, dim_zones: DataFrame) -> DataFrame:
         *_partials("total_amount"),
         *_partials("tip_percentage"),
     )
+    return borough_revenue(per_zone, dim_zones)
+
+
+def borough_revenue(per_zone: DataFrame, dim_zones: DataFrame) -> DataFrame:
+    """The borough report from trips, sums and counts per pickup zone."""
     z = dim_zones.select("location_id", "borough")
     joined = per_zone.join(z, per_zone["pickup_location_id"] == z["location_id"], "inner")
     return joined.groupBy("borough").agg(
@@ -69,24 +74,25 @@ def report_borough_revenue(fct: DataFrame, dim_zones: DataFrame) -> DataFrame:
 
 def report_top_boroughs(fct: DataFrame, dim_zones: DataFrame, k: int = 5) -> DataFrame:
     """O-78: top ``k`` boroughs by revenue (borough breaks ties). Plans as TakeOrderedAndProject."""
-    return (
-        report_borough_revenue(fct, dim_zones)
-        .orderBy(F.col("total_revenue_usd").desc_nulls_last(), F.col("borough").asc_nulls_last())
-        .limit(k)
-    )
+    return top_boroughs(report_borough_revenue(fct, dim_zones), k)
+
+
+def top_boroughs(report: DataFrame, k: int = 5) -> DataFrame:
+    return report.orderBy(F.col("total_revenue_usd").desc_nulls_last(), F.col("borough").asc_nulls_last()).limit(k)
 
 
 def report_time_of_day(fct: DataFrame) -> DataFrame:
     """O-75 + O-79: demand by time-of-day segment, busiest first."""
-    return (
-        fct.groupBy("time_of_day_segment")
-        .agg(
-            F.count(F.lit(1)).alias("trip_count"),
-            F.round(F.avg("trip_distance_miles"), 2).alias("avg_distance_miles"),
-            F.round(F.avg("fare_amount"), 2).alias("avg_fare_usd"),
-        )
-        .orderBy(F.col("trip_count").desc(), F.col("time_of_day_segment").asc_nulls_last())
+    each = fct.groupBy("time_of_day_segment").agg(
+        F.count(F.lit(1)).alias("trip_count"),
+        F.round(F.avg("trip_distance_miles"), 2).alias("avg_distance_miles"),
+        F.round(F.avg("fare_amount"), 2).alias("avg_fare_usd"),
     )
+    return busiest_first(each)
+
+
+def busiest_first(report: DataFrame) -> DataFrame:
+    return report.orderBy(F.col("trip_count").desc(), F.col("time_of_day_segment").asc_nulls_last())
 
 
 def report_weekend(fct: DataFrame, dim_date: DataFrame) -> DataFrame:
@@ -96,6 +102,11 @@ def report_weekend(fct: DataFrame, dim_date: DataFrame) -> DataFrame:
         *_partials("trip_distance_miles"),
         *_partials("total_amount"),
     )
+    return weekend(per_day, dim_date)
+
+
+def weekend(per_day: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """The weekend report from trips, sums and counts per pickup day."""
     d = dim_date.select("date_day", "is_weekend")
     joined = per_day.join(d, per_day["pickup_date"] == d["date_day"], "inner")
     return joined.groupBy("is_weekend").agg(

@@ -507,6 +507,24 @@ FROM fct_trips f JOIN dim_date d ON f.pickup_date = d.date_day
 GROUP BY d.is_weekend"""
 )
 
+# the same reports over two stored months of partial aggregates
+ORACLE_SQL["partials_top5_boroughs"] = over_two_months(
+    _BOROUGH.replace("fct_trips", "fct").replace("dim_zones", "stg_zones")
+    + "\nORDER BY total_revenue_usd DESC NULLS LAST, z.borough ASC NULLS LAST\nLIMIT 5"
+)
+ORACLE_SQL["partials_time_of_day"] = over_two_months(
+    "SELECT time_of_day_segment, CAST(count(*) AS BIGINT) AS trip_count, round(avg(trip_distance_miles), 2) AS avg_distance_miles, "
+    "round(avg(fare_amount), 2) AS avg_fare_usd FROM fct GROUP BY time_of_day_segment"
+)
+ORACLE_SQL["partials_weekend"] = over_two_months(
+    "SELECT is_weekend, CAST(count(*) AS BIGINT) AS trip_count, round(avg(trip_distance_miles), 2) AS avg_distance, "
+    "round(avg(total_amount), 2) AS avg_total_fare FROM fct WHERE year(pickup_date) = 2024 GROUP BY is_weekend"
+)
+ORACLE_SQL["partials_kpis"] = over_two_months(
+    "SELECT CAST(count(*) AS BIGINT) AS trips, round(sum(total_amount), 2) AS total_revenue, round(avg(trip_distance_miles), 2) AS avg_distance, "
+    "round(avg(trip_duration_minutes), 2) AS avg_duration FROM fct"
+)
+
 # --------------------------------------------------------------------------- data tests
 
 

@@ -35,6 +35,7 @@ from fareline.operators import cleanse as C
 from fareline.operators.lookups import lookup
 from fareline.operators import keyfilter as K
 from fareline.operators import models as M
+from fareline.operators import partials as P
 from fareline.operators import quality as Q
 from fareline.operators import reports as R
 from fareline.plans.materialize import put
@@ -516,6 +517,33 @@ def report_weekend(spark, d):
     return R.report_weekend(m.trips, m["dim_date"])
 
 
+def _two_months_of_partials(spark, d) -> DataFrame:
+    """Partial aggregates of the fact, stored by month and read together."""
+    run = Run(Warehouse(spark, scratch_path(spark, "warehouse")))
+    zones = M.stg_zones(raw_zones(spark, d))
+    for y, m in TWO_MONTHS:
+        fct = M.fct_trips(M.int_trips_enriched(M.stg_trips(_clean(spark, d, y, m)), zones))
+        run.put(P.trip_partials(fct), "marts", "fct_trips_partials", y, m)
+    run.publish()
+    return run.warehouse.read("marts", "fct_trips_partials")
+
+
+def partials_top5_boroughs(spark, d):
+    return P.report_top_boroughs(_two_months_of_partials(spark, d), M.dim_zones(M.stg_zones(raw_zones(spark, d))), 5)
+
+
+def partials_time_of_day(spark, d):
+    return P.report_time_of_day(_two_months_of_partials(spark, d))
+
+
+def partials_weekend(spark, d):
+    return P.report_weekend(_two_months_of_partials(spark, d), M.dim_date(spark))
+
+
+def partials_kpis(spark, d):
+    return P.report_kpis(_two_months_of_partials(spark, d))
+
+
 # --- data quality ----------------------------------------------------------------------------
 
 
@@ -652,6 +680,10 @@ QUERIES: dict[str, Query] = {
     "report_top5_boroughs": report_top5_boroughs,
     "report_time_of_day": report_time_of_day,
     "report_weekend": report_weekend,
+    "partials_top5_boroughs": partials_top5_boroughs,
+    "partials_time_of_day": partials_time_of_day,
+    "partials_weekend": partials_weekend,
+    "partials_kpis": partials_kpis,
     "dq_summary": dq_summary,
     "dq_summary_dirty": dq_summary_dirty,
     "month_job_audited": month_job_audited,

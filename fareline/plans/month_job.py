@@ -25,6 +25,7 @@ from fareline import sinks
 from fareline.operators import cleanse as C
 from fareline.operators import keyfilter as K
 from fareline.operators import models as M
+from fareline.operators import partials as P
 from fareline.operators import quality as Q
 from fareline.operators import reports as R
 from fareline.session import job_description, together
@@ -201,7 +202,8 @@ def build_models(spark: SparkSession, job: MonthJob, run: Run) -> tuple[dict[str
     observed = M.fct_trips(enriched).observe(seen, F.count(F.lit(1)).alias("rows"), F.count(F.when(outside, 1)).alias("outside"))
     fct = month_table("marts", "fct_trips", observed)
     rows = seen.get["rows"]
-    _, dim_zones, dim_date = together(
+    _, _, dim_zones, dim_date = together(
+        lambda: run.put(P.trip_partials(fct), "marts", PARTIALS, job.year, job.month),
         lambda: K.put_keys(run, fct, "trip_id", "marts", "fct_trips", job.year, job.month, rows),
         lambda: whole_table("dim_zones", M.dim_zones(stg_z)),
         lambda: whole_table("dim_date", M.dim_date(spark, *job.calendar)),
@@ -210,11 +212,12 @@ def build_models(spark: SparkSession, job: MonthJob, run: Run) -> tuple[dict[str
     return frames, seen.get["outside"]
 
 
-# Month-partitioned tables of the models (the others are replaced whole). The fact has a filter of each
-# month's trip ids and the ids that occur twice in the month beside it.
-MODEL_TABLES = [("staging", "stg_trips"), ("intermediate", "int_trips_enriched"), ("marts", "fct_trips"), *(("marts", t) for t in K.key_tables("fct_trips"))]
+# Month-partitioned tables of the models (the others are replaced whole). The fact has its partial aggregates
+# beside it, a filter of each month's trip ids and the ids that occur twice in the month.
+PARTIALS = "fct_trips_partials"
+MODEL_TABLES = [("staging", "stg_trips"), ("intermediate", "int_trips_enriched"), ("marts", "fct_trips"), ("marts", PARTIALS), *(("marts", t) for t in K.key_tables("fct_trips"))]
 MONTH_TABLES = [("raw", "trips"), *MODEL_TABLES]
-CATALOGUE = [("raw", "trips"), ("raw", "zones"), *MODEL_TABLES[:3], ("marts", "dim_zones"), ("marts", "dim_date")]
+CATALOGUE = [("raw", "trips"), ("raw", "zones"), *MODEL_TABLES[:4], ("marts", "dim_zones"), ("marts", "dim_date")]
 
 CONTRACTS = {
     "stg_trips": STG_TRIPS,
