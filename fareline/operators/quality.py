@@ -284,13 +284,18 @@ def summary(
     rules: Sequence[Rule] = RULES,
     max_broadcast_rows: int = MAX_BROADCAST_ROWS,
     unique_over: dict[str, DataFrame] | None = None,
+    known: dict[str, int] | None = None,
 ) -> DataFrame:
     """O-87: one row per rule: rule_id, model, column_name, test, failing_rows, status.
 
     Each distinct frame is read once for all its rules and once for its unique ones; models given as
     the same frame object share both. ``unique_over`` names wider frames for unique rules
-    (a month's ids among those of its neighbours).
+    (a month's ids among those of its neighbours). ``known`` has the failing rows of rules that are
+    answered already (NULL counts from file footers); their columns are not read.
     """
+    spark = frames[rules[0].model].sparkSession
+    answered = [r for r in rules if r.rule_id in (known or {})]
+    rules = [r for r in rules if r.rule_id not in (known or {})]
     steps = []
     unique_rules = [r for r in rules if r.test == "unique"]
     if unique_rules:
@@ -301,8 +306,11 @@ def summary(
         if r.test != "unique":
             by_frame.setdefault(id(frames[r.model]), []).append(r)
     steps += [lambda mine=mine: _one_read(frames[mine[0].model], mine, frames, max_broadcast_rows) for mine in by_frame.values()]
-    shared_dir(frames[rules[0].model].sparkSession)  # once, before the steps use it side by side
+    shared_dir(spark)  # once, before the steps use it side by side
     parts = [p for some in together(*steps) for p in some]
+    if answered:
+        rows = ", ".join(_summary_row_sql(r, str(int(known[r.rule_id]))) for r in answered)
+        parts.append(spark.range(1).selectExpr(f"inline(array({rows}))"))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

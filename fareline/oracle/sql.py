@@ -581,6 +581,8 @@ def _dq_queries():
         out[f"dq_not_null_{model}"] = over_models(
             "SELECT rule_id, failing_rows FROM (" + _summary_sql(rules) + ") q"
         )
+    both = [r for r in RULES if r.model in ("stg_trips", "fct_trips") and r.test == "not_null"]
+    out["dq_not_null_footers"] = over_models("SELECT rule_id, failing_rows FROM (" + _summary_sql(both) + ") q")
     out["dq_unique_trip_id"] = over_models(
         "SELECT trip_id AS unique_field, CAST(count(*) AS BIGINT) AS n_records FROM fct_trips "
         "WHERE trip_id IS NOT NULL GROUP BY trip_id HAVING count(*) > 1"

@@ -585,6 +585,22 @@ def _dq_not_null(model: str) -> Query:
     return q
 
 
+def dq_not_null_footers(spark, d):
+    """O-80/O-70 of the stored models from their file footers: no column is read."""
+    from fareline.sources.footers import footer_session, null_counts
+
+    path, m = scratch_path(spark, "models"), _models(spark, d)
+    session, out = footer_session(spark), None
+    stg = put(m["stg_trips"], f"{path}/stg_trips")
+    fct = put(M.fct_trips(M.int_trips_enriched(stg, m["stg_zones"])), f"{path}/fct_trips")
+    for name, df in (("stg_trips", stg), ("fct_trips", fct)):
+        columns = [r.column for r in Q.RULES if r.model == name and r.test == "not_null"]
+        found = null_counts(session, [f"{path}/{name}"], df.schema, columns)
+        found = found.select(F.concat(F.lit(f"not_null_{name}_"), "column_name").alias("rule_id"), F.col("nulls").alias("failing_rows"))
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
 def dq_unique_trip_id(spark, d):
     return Q.unique_violations(_models(spark, d).rules["fct_trips"], "trip_id")
 
@@ -696,6 +712,7 @@ QUERIES: dict[str, Query] = {
     "dq_accepted_segment_dirty": _dq_dirty("accepted_values_int_trips_enriched_time_of_day_segment"),
     "dq_not_null_stg_trips": _dq_not_null("stg_trips"),
     "dq_not_null_fct_trips": _dq_not_null("fct_trips"),
+    "dq_not_null_footers": dq_not_null_footers,
     "dq_unique_trip_id": dq_unique_trip_id,
     "dq_unique_location_id": dq_unique_location_id,
     "dq_accepted_payment": dq_accepted_payment,

@@ -15,11 +15,13 @@ shuffle runs once (the reference runs it for each of its four actions).
 from __future__ import annotations
 
 import argparse
+import hashlib
 from dataclasses import dataclass, replace
 from decimal import ROUND_HALF_UP, Decimal
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from fareline import sinks
 from fareline.operators import cleanse as C
@@ -29,7 +31,8 @@ from fareline.operators import partials as P
 from fareline.operators import quality as Q
 from fareline.operators import reports as R
 from fareline.session import job_description, together
-from fareline.sinks.snapshots import Run, Warehouse, check_location, register
+from fareline.sinks import layout
+from fareline.sinks.snapshots import Run, Warehouse, check_location, key, register, schema_of
 from fareline.schemas import (
     CALENDAR_END,
     CALENDAR_START,
@@ -44,7 +47,8 @@ from fareline.schemas import (
     check_schema,
 )
 from fareline.sources.files import TAXI_TYPES, MonthSource, read_zones_optional, table_name
-from fareline.sources.resolve import read_landed
+from fareline.sources.footers import footer_session, null_counts
+from fareline.sources.resolve import fingerprint, read_landed
 
 LAYER_ORDER = ("raw", "clean")
 
@@ -74,6 +78,9 @@ class MonthJob:
     count_duplicates: bool = False
     calendar: tuple[str, str] = (CALENDAR_START, CALENDAR_END)
     landing: str | None = None
+    # Leave a month alone that was published from the same files under the same contracts.
+    skip_unchanged: bool = False
+    file_bytes: int = layout.TARGET_BYTES  # of the fact's files, about
     taxi_type: str = "yellow"
     prefix: str = ""
 
@@ -104,6 +111,7 @@ class MonthJob:
         p.add_argument("--from-layer", choices=LAYER_ORDER, default="raw")
         p.add_argument("--no-fail-on-test-error", action="store_true")
         p.add_argument("--count-duplicates", action="store_true")
+        p.add_argument("--skip-unchanged", action="store_true")
         a = p.parse_args(argv)
         return cls(
             warehouse=a.warehouse,
@@ -115,6 +123,7 @@ class MonthJob:
             from_layer=a.from_layer,
             fail_on_test_error=not a.no_fail_on_test_error,
             count_duplicates=a.count_duplicates,
+            skip_unchanged=a.skip_unchanged,
             calendar=(a.calendar_start, a.calendar_end),
             landing=a.landing,
             taxi_type=a.taxi_type,
@@ -128,7 +137,30 @@ def round2(x: float | None) -> float | None:
     return float(Decimal(repr(float(x))).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP))
 
 
-def cleanse_and_load(spark: SparkSession, job: MonthJob, run: Run, raw: DataFrame | None = None) -> tuple[dict, dict]:
+class StaleLayer(RuntimeError):
+    """A stored layer does not follow the present contract."""
+
+
+def contract(schema: StructType) -> str:
+    """A short name of a layer's columns and types, kept with what is stored."""
+    text = ",".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
+    return hashlib.sha256(text.encode()).hexdigest()[:16]
+
+
+def unchanged(warehouse: Warehouse, job: MonthJob, source: str | None, zones: str | None) -> bool:
+    """Was the month published from these very files, under the present contracts, with its tests run?"""
+    tables = warehouse.tables()
+    raw, fct = (tables.get(key(*t, job.year, job.month)) for t in (("raw", "trips"), ("marts", "fct_trips")))
+    if not raw or not fct or source is None or raw.get("source") != source:
+        return False
+    if zones is not None and tables.get(key("raw", "zones"), {}).get("source") != zones:
+        return False
+    models = {n: tables.get(key(layer, n, job.year, job.month)) for layer, n in MODEL_TABLES[:3]}
+    fresh = all(e and e.get("contract") == contract(CONTRACTS[n]) for n, e in models.items())
+    return fresh and raw.get("contract") == contract(TRIPS_CLEAN) and fct.get("calendar") == list(job.calendar)
+
+
+def cleanse_and_load(spark: SparkSession, job: MonthJob, run: Run, raw: DataFrame | None = None, source: str | None = None) -> tuple[dict, dict]:
     """Cleanse one month into the run's ``raw.trips``; return (audit, load KPIs).
 
     The clean count and the load KPIs (revenue, average distance and duration of
@@ -161,7 +193,7 @@ def cleanse_and_load(spark: SparkSession, job: MonthJob, run: Run, raw: DataFram
         F.avg("trip_duration_minutes").alias("avg_duration"),
     )
     check_schema(clean, TRIPS_CLEAN, layer="raw.trips")
-    initial, _ = together(raw.count, lambda: run.put(clean, "raw", "trips", job.year, job.month))
+    initial, _ = together(raw.count, lambda: run.put(clean, "raw", "trips", job.year, job.month, source=source, contract=contract(TRIPS_CLEAN)))
     m = o_clean.get
     load = {
         "trips_loaded": m["rows"],
@@ -182,8 +214,9 @@ def build_models(spark: SparkSession, job: MonthJob, run: Run) -> tuple[dict[str
     (a few hundred rows) is a view. Every frame is held against its contract before it is written.
     """
 
-    def month_table(layer: str, name: str, df: DataFrame) -> DataFrame:
-        return run.put(check_schema(df, CONTRACTS[name], layer=name), layer, name, job.year, job.month)  # O-88
+    def month_table(layer: str, name: str, df: DataFrame, **more) -> DataFrame:
+        facts = {"contract": contract(CONTRACTS[name]), "calendar": list(job.calendar)}
+        return run.put(check_schema(df, CONTRACTS[name], layer=name), layer, name, job.year, job.month, **facts, **more)  # O-88
 
     def whole_table(name: str, df: DataFrame) -> DataFrame:
         return run.put(check_schema(df, CONTRACTS[name], layer=name), "marts", name)
@@ -200,7 +233,11 @@ def build_models(spark: SparkSession, job: MonthJob, run: Run) -> tuple[dict[str
     seen, (first, last) = Observation("fct"), job.calendar
     outside = F.expr(f"pickup_date NOT BETWEEN DATE'{first}' AND DATE'{last}'")
     observed = M.fct_trips(enriched).observe(seen, F.count(F.lit(1)).alias("rows"), F.count(F.when(outside, 1)).alias("outside"))
-    fct = month_table("marts", "fct_trips", observed)
+    # the stored intermediate rows have the fact's columns, so their size tells how many files the fact needs
+    stored = run.entry("intermediate", "int_trips_enriched", job.year, job.month)["folder"]
+    files = layout.files_for(layout.stored_bytes(spark, f"{run.warehouse.root}/{stored}"), job.file_bytes)
+    laid = layout.clustered(observed, files, "pickup_date", "pickup_location_id", "pickup_at")
+    fct = month_table("marts", "fct_trips", laid, options={"parquet.block.size": layout.ROW_GROUP_BYTES})
     rows = seen.get["rows"]
     _, _, dim_zones, dim_date = together(
         lambda: run.put(P.trip_partials(fct), "marts", PARTIALS, job.year, job.month),
@@ -212,6 +249,19 @@ def build_models(spark: SparkSession, job: MonthJob, run: Run) -> tuple[dict[str
     return frames, seen.get["outside"]
 
 
+def nulls_in_footers(spark: SparkSession, job: MonthJob, run: Run) -> dict[str, int]:
+    """Failing rows of the not_null rules over the month's stored models, from their footers (O-80)."""
+    session = footer_session(spark)
+
+    def of(layer: str, name: str) -> dict[str, int]:
+        rules = {r.column: r.rule_id for r in Q.RULES if r.model == name and r.test == "not_null"}
+        entry = run.entry(layer, name, job.year, job.month)
+        found = null_counts(session, [f"{run.warehouse.root}/{entry['folder']}"], schema_of(entry), list(rules))
+        return {rules[r["column_name"]]: r["nulls"] for r in found.collect()}  # one row a rule
+
+    return {k: n for some in together(*(lambda t=t: of(*t) for t in MODEL_TABLES[:3])) for k, n in some.items()}
+
+
 # Month-partitioned tables of the models (the others are replaced whole). The fact has its partial aggregates
 # beside it, a filter of each month's trip ids and the ids that occur twice in the month.
 PARTIALS = "fct_trips_partials"
@@ -245,12 +295,19 @@ def build_month(
     for layer, name in CATALOGUE:
         check_location(warehouse, job.table(layer, name))
     run = Run(warehouse)
+    # what files the month and the zones come from; frames that the caller gives have no such name
+    source = fingerprint(spark, job.source()) if raw is None and job.source() and job.from_layer == "raw" else None
+    zone_source = fingerprint(spark, job.zone_csv) if zones is None and job.zone_csv else None
+    if job.skip_unchanged and job.from_layer == "raw" and unchanged(warehouse, job, source, zone_source):
+        return {"audit": None, "load": None, "tests": [], "version": run.base, "skipped": True}
     audit, load = None, None
     if job.from_layer == "raw":
         with job_description(spark, f"{tag}: cleanse and load"):
-            audit, load = cleanse_and_load(spark, job, run, raw)
+            audit, load = cleanse_and_load(spark, job, run, raw, source)
     elif not run.has("raw", "trips", job.year, job.month):
         raise ValueError(f"from_layer='clean' needs {job.year:04d}-{job.month:02d} in {job.path('raw', 'trips')}")
+    elif (have := run.entry("raw", "trips", job.year, job.month).get("contract")) != contract(TRIPS_CLEAN):
+        raise StaleLayer(f"{key('raw', 'trips', job.year, job.month)} was stored under contract {have}, now {contract(TRIPS_CLEAN)}; run it from raw")
     if zones is None:
         zones = read_zones_optional(spark, job.zone_csv)
     zones_loaded, zones_without_id = 0, 0
@@ -259,7 +316,7 @@ def build_month(
         o_zones = Observation("zones")
         counted = zones.observe(o_zones, F.count(F.lit(1)).alias("rows"), F.count(F.when(F.col("location_id").isNull(), 1)).alias("bad"))
         with job_description(spark, f"{tag}: load zones"):
-            run.put(counted, "raw", "zones")
+            run.put(counted, "raw", "zones", source=zone_source)
         zones_loaded, zones_without_id = o_zones.get["rows"], o_zones.get["bad"]
     elif not run.has("raw", "zones"):
         raise ValueError("no zone lookup given and no raw.zones table to keep")
@@ -273,7 +330,8 @@ def build_month(
         # trips of the first day of the next month belong to two run months; ids must be unique over all
         alone = job.mode == "replace_all"  # there the other months go
         wider = {"fct_trips": K.rows_to_test(run, frames["fct_trips"], "trip_id", "marts", "fct_trips", job.year, job.month, alone)}
-        tests = [r.asDict() for r in Q.summary(frames, unique_over=wider).collect()]  # 40 rows, one per rule
+        known = nulls_in_footers(spark, job, run)
+        tests = [r.asDict() for r in Q.summary(frames, unique_over=wider, known=known).collect()]  # 40 rows, one per rule
     if job.fail_on_test_error:
         Q.raise_on(tests)
     if job.mode == "replace_all":
@@ -283,14 +341,15 @@ def build_month(
     version = run.publish(tag)
     show(spark, job, version)
     sinks.create_view(frames["stg_zones"], "stg_zones")
-    return {"audit": audit, "load": load, "tests": tests, "version": version}
+    return {"audit": audit, "load": load, "tests": tests, "version": version, "skipped": False}
 
 
 def show(spark: SparkSession, job: MonthJob, version: int | None = None) -> None:
     """Bring the session's catalogue up to what a version of the warehouse holds."""
     sinks.create_layer_schemas(spark, location=job.warehouse, prefix=job.prefix)
     warehouse = Warehouse(spark, job.warehouse)
-    together(*(lambda t=t: register(warehouse, job.table(*t), *t, version) for t in CATALOGUE))
+    for layer, name in CATALOGUE:
+        register(warehouse, job.table(layer, name), layer, name, version)
 
 
 def rebuild_warehouse(spark: SparkSession, job: MonthJob) -> list[dict]:

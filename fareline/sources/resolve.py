@@ -9,8 +9,10 @@ file or folder whose parts may differ among themselves: parts of one footer are
 
 from __future__ import annotations
 
+import hashlib
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -84,6 +86,19 @@ def part_files(spark: SparkSession, path: str) -> list[str]:
     return sorted(r["path"] for r in files.load(path).select("path").collect())
 
 
+def fingerprint(spark: SparkSession, path: str) -> str | None:
+    """A name for the present files of a path: their places, lengths and times of change. None if there are none."""
+    try:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+        rows = files.select("path", "length", F.unix_micros("modificationTime").alias("at")).collect()  # files of one month
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    text = "\n".join(f"{r['path']} {r['length']} {r['at']}" for r in sorted(rows))
+    return hashlib.sha256(text.encode()).hexdigest()[:32] if rows else None
+
+
 def read_landed(spark: SparkSession, path: str, schema: T.StructType = TRIPS_RAW) -> DataFrame:
     """Trips of a landed file or folder in one layout.
 

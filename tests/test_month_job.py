@@ -239,6 +239,45 @@ def test_a_failing_month_changes_no_layer(spark, tmp_path):
     assert {t: stored.read(*t).count() for t in MONTH_TABLES[:4]} == rows
 
 
+def test_unchanged_months_are_skipped_and_stale_layers_refused(spark, tmp_path):
+    """O-92/O-94: what a layer was made of is kept with it."""
+    from fareline.plans.month_job import StaleLayer
+
+    _drop_layers(spark)
+    landing = str(tmp_path / "in")
+    raw_trips(spark, SF0001).write.parquet(f"{landing}/yellow_tripdata_2024-01.parquet")
+    raw_zones(spark, SF0001).selectExpr("location_id AS LocationID", "borough AS Borough", "zone AS Zone", "service_zone").write.option("header", True).csv(f"{landing}/zones")
+    job = MonthJob(warehouse=str(tmp_path / "wh"), landing=landing, zone_csv=f"{landing}/zones", skip_unchanged=True)
+    assert not build_month(spark, job)["skipped"]
+    again = build_month(spark, job)
+    assert again["skipped"] and again["version"] == 1
+    raw_trips(spark, SF0001).limit(900).write.mode("overwrite").parquet(f"{landing}/yellow_tripdata_2024-01.parquet")
+    newer = build_month(spark, job)
+    assert not newer["skipped"] and newer["version"] == 2 and newer["audit"]["initial_rows"] == 900
+    wh = Warehouse(spark, job.warehouse)
+    k = key("raw", "trips", 2024, 1)
+    wh.commit({k: {**wh.tables()[k], "contract": "of another day"}})
+    with pytest.raises(StaleLayer, match="of another day"):
+        build_month(spark, MonthJob(warehouse=job.warehouse, from_layer="clean"))
+    assert not build_month(spark, job)["skipped"]  # a stale layer is made anew
+
+
+def test_null_counts_come_from_footers(spark, tmp_path):
+    from fareline.plans.explain import plan_text
+    from fareline.sources.footers import footer_session, null_counts
+
+    df = spark.range(1000).selectExpr("id", "CASE WHEN id % 7 = 0 THEN NULL ELSE cast(id AS string) END AS s", "timestamp_ntz'2024-01-01 00:00:00' AS t")
+    df.repartition(3).write.parquet(str(tmp_path / "t"))
+    session = footer_session(spark)
+    got = null_counts(session, [str(tmp_path / "t")], df.schema, ["id", "s", "t", "s"])
+    assert {r[0]: r[1] for r in got.collect()} == {"id": 0, "s": 143, "t": 0}
+    assert "PushedAggregation: [COUNT(*), COUNT(id), COUNT(s), COUNT(t)]" in plan_text(got)
+    assert [tuple(r) for r in null_counts(session, [str(tmp_path / "t")], df.schema, ["s"]).collect()] == [("s", 143)]
+    assert spark.conf.get("spark.sql.sources.useV1SourceList") != ""
+    df.limit(0).write.parquet(str(tmp_path / "none"))
+    assert [r[1] for r in null_counts(session, [str(tmp_path / "none")], df.schema, ["id", "s"]).collect()] == [0, 0]
+
+
 def test_rebuild_keeps_every_month(spark, tmp_path):
     from fareline.plans.month_job import rebuild_warehouse
 
