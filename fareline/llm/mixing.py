@@ -6,7 +6,7 @@ fills the rest: each document has the ranking variable
 
     q = odds(u) / odds(p),    odds(p) = f / (1 - f) * (mean size / size) ** TILT,
 
-with a random u fixed by the document id, and the smallest q are taken up to the fixed total of
+with a random u fixed by the document's id and text, and the smallest q are taken up to the fixed total of
 words. TILT favours shorter documents a little, so that one very long document does not decide a
 small source's sample. The cut is found without sorting a source in one task: sizes are summed per
 bucket of q, and only the bucket that holds the cut is ordered.
@@ -32,7 +32,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 def with_sizes(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> DataFrame:
     """``docs`` with _id, _source, _size (words; null text 0) and _u in (0, 1)."""
-    u = F.conv(F.substring(F.md5(F.concat_ws("|", F.lit(SEED), F.coalesce(F.col(id_col).cast("string"), F.lit("")))), 1, 13), 16, 10).cast("long")
+    named = F.concat_ws("|", F.lit(SEED), F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.md5(F.coalesce(F.col(text_col), F.lit(""))))
+    u = F.conv(F.substring(F.md5(named), 1, 13), 16, 10).cast("long")
     return docs.withColumns(
         {
             "_id": F.col(id_col),
@@ -95,8 +96,8 @@ def mix_documents(docs: DataFrame, sized: DataFrame | None = None, id_col: str =
     Other columns of ``docs`` pass through; names with a leading underscore are reserved.
 
     ``sized``: the result of ``with_sizes`` without the text, stored by the caller so that sizes are
-    counted once; by default it is derived again from ``docs``. Rows of equal id and size share a
-    rank and are taken or left together. A null or empty text has size 0 and adds no words. Reruns
+    counted once; by default it is derived again from ``docs``. Rows of equal id and text share a
+    rank and are taken or left together; null and repeated ids with different texts do not. A null or empty text has size 0 and adds no words. Reruns
     give the same rows. Joins on the source use tables of one row per source; a source of any share
     of the rows is never gathered in one task.
     """

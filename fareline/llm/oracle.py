@@ -112,7 +112,7 @@ def mix_sql() -> str:
     return f"""
 WITH d AS (
     SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size,
-           (CAST('0x' || substr(md5('{M.SEED}|' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13) AS BIGINT) + 0.5::DOUBLE) / {float(1 << 52)}::DOUBLE AS u
+           (CAST('0x' || substr(md5('{M.SEED}|' || coalesce(CAST(doc_id AS VARCHAR), '') || '|' || md5(coalesce(text, ''))), 1, 13) AS BIGINT) + 0.5::DOUBLE) / {float(1 << 52)}::DOUBLE AS u
     FROM documents),
 s AS (
     SELECT source, CAST(sum(size) AS BIGINT) AS source_size, count(*) AS n_docs,
