@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 
 from fareline.llm.components import connected_components
 from fareline.llm.text import LOWER, NONSPACE, U64, distinct_per_row, hashes, mix, shingles, slices, spans, utf8
+from fareline.operators.lookups import maybe_broadcast
 from fareline.session import scratch_path
 
 SKETCH_BITS = 21  # counters of the order sketch: 2**21, of any corpus
@@ -39,7 +40,7 @@ RARE_PARTS, COMMON_PARTS = 96, 32  # fragments of the rare and of the common n-g
 SHORT_LIST = 64
 BLOCK = 1024
 COLUMNS = 4096  # n-grams counted at once in a task
-SMALL_SIDE = 1_000_000  # ids (16 MB) up to which the wanted documents are sent to all tasks
+SMALL_SIDE = 1_000_000  # rows of at most 64 MB together up to which a side of a join is sent to all tasks
 
 
 def gram_sets(buf: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -176,7 +177,7 @@ def _candidate_edges(spark: SparkSession, classes: DataFrame, percent: int, base
     short = ranked.groupBy("gram").agg(F.sort_array(F.collect_list(F.struct("n", "cls", "at"))).alias("l")).filter(F.size("l") > 1)
     short.write.parquet(f"{base}/lists")
     short = spark.read.parquet(f"{base}/lists")
-    hot = short.filter(F.size("l") > SHORT_LIST).select("gram")
+    hot = maybe_broadcast(short.filter(F.size("l") > SHORT_LIST).select("gram"), SMALL_SIDE)
     x, y = F.col("x"), F.col("y")
     meet = short.filter(F.size("l") <= SHORT_LIST).select(F.posexplode("l").alias("k", "y"), "l")
     meet = meet.select("y", F.explode(F.slice("l", F.lit(1), F.col("k"))).alias("x"))  # x is no larger than y
@@ -185,7 +186,8 @@ def _candidate_edges(spark: SparkSession, classes: DataFrame, percent: int, base
     pairs = meet.filter(possible).select(F.least(x["cls"], y["cls"]).alias("a"), F.greatest(x["cls"], y["cls"]).alias("b")).distinct()
     pairs = _segments_allow(pairs, classes, percent)
     # long lists: every class hangs on the list's first class
-    tied = lists.join(hot, "gram").select("gram", "cls")
+    lists.join(hot, "gram").select("gram", "cls").write.parquet(f"{base}/tied")
+    tied = spark.read.parquet(f"{base}/tied")
     first = tied.groupBy("gram").agg(F.min("cls").alias("a"))
     return pairs.unionByName(tied.join(first, "gram").select("a", F.col("cls").alias("b")))
 
@@ -271,8 +273,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, n: int, percent: int,
     # one row of each class: copies are equal in all columns but the id
     described.filter("cls is not null").groupBy("cls").agg(F.min("at").alias("_at")).select("_at").write.parquet(f"{base}/first")
     first = spark.read.parquet(f"{base}/first")
-    side = F.broadcast(first) if first.count() <= SMALL_SIDE else first
-    described.join(side, F.col("at") == F.col("_at")).select("cls", "_id", "n", "grams", "parts").write.parquet(f"{base}/classes")
+    described.join(maybe_broadcast(first, SMALL_SIDE), F.col("at") == F.col("_at")).select("cls", "_id", "n", "grams", "parts").write.parquet(f"{base}/classes")
     classes = spark.read.parquet(f"{base}/classes")
 
     edges = _candidate_edges(spark, classes, percent, base)
@@ -288,7 +289,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, n: int, percent: int,
             own = np.flatnonzero(class_ids(h, bounds) == part.column(0).to_numpy())  # other texts of the same id go
             yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(own)), pa.array([h[bounds[k] : bounds[k + 1]].tobytes() for k in own], pa.binary())], names=["cls", "grams"])
 
-    side = F.broadcast(wanted) if wanted.count() <= SMALL_SIDE else wanted
+    side = maybe_broadcast(wanted, SMALL_SIDE)
     grams = rows.join(side, rows["_id"].eqNullSafe(F.col("_w"))).select("cls", "_text").mapInArrow(sets, "cls long, grams binary")
 
     def verify(group: pa.Table) -> pa.Table:
