@@ -221,14 +221,14 @@ def overlaps(grams: list[np.ndarray], rows: np.ndarray, cols: np.ndarray) -> np.
     n-grams after the other, summed. N-grams of a single set are left out first."""
     size = np.array([len(g) for g in grams])
     h = np.concatenate(grams)
-    who = np.repeat(np.arange(len(grams)), size)
-    order = np.argsort(h, kind="stable")
-    h, who = h[order], who[order]
+    order = np.argsort(h)
+    who = np.repeat(np.arange(len(grams), dtype=np.int32), size)[order]
+    h = h[order]
+    del order  # these arrays decide a task's memory
     new = np.append(True, h[1:] != h[:-1])
-    gram = np.cumsum(new) - 1
-    shared = np.bincount(gram)[gram] > 1
-    gram, who = gram[shared], who[shared]
-    gram = np.cumsum(np.append(True, gram[1:] != gram[:-1])) - 1 if len(gram) else gram
+    del h
+    shared = ~(new & np.append(new[1:], True))
+    gram, who = np.cumsum(new[shared], dtype=np.int32) - 1, who[shared]
     total = np.zeros((len(rows), len(cols)), np.float32)
     for low in range(0, int(gram[-1]) + 1 if len(gram) else 0, COLUMNS):  # one fragment
         a, b = np.searchsorted(gram, [low, low + COLUMNS])
@@ -297,7 +297,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, n: int, percent: int,
         _, first = np.unique(cls, return_index=True)
         cls, size = cls[first], group["n"].to_numpy()[first]
         data = group["grams"].combine_chunks()
-        g = [np.frombuffer(data[int(i)].as_py(), U64) for i in first]
+        flat, at = np.frombuffer(data.buffers()[2], np.uint8), np.frombuffer(data.buffers()[1], np.int32)[data.offset :]
+        g = [flat[at[i] : at[i + 1]].view(U64) for i in first]
         lo, hi = (np.flatnonzero(group[x].to_numpy(zero_copy_only=False)[first]) for x in ("in_lo", "in_hi"))
         links = np.zeros((len(cls), len(cls)), bool)
         links[np.ix_(lo, hi)] = _enough(overlaps(g, lo, hi).astype(np.int64), size[lo][:, None] + size[hi][None, :], percent)
