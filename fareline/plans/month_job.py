@@ -232,12 +232,12 @@ def build_models(spark: SparkSession, job: MonthJob, run: Run) -> tuple[dict[str
     enriched = month_table("intermediate", "int_trips_enriched", M.int_trips_enriched(stg, stg_z))
     seen, (first, last) = Observation("fct"), job.calendar
     outside = F.expr(f"pickup_date NOT BETWEEN DATE'{first}' AND DATE'{last}'")
-    observed = M.fct_trips(enriched).observe(seen, F.count(F.lit(1)).alias("rows"), F.count(F.when(outside, 1)).alias("outside"))
     # the stored intermediate rows have the fact's columns, so their size tells how many files the fact needs
     stored = run.entry("intermediate", "int_trips_enriched", job.year, job.month)["folder"]
     files = layout.files_for(layout.stored_bytes(spark, f"{run.warehouse.root}/{stored}"), job.file_bytes)
-    laid = layout.clustered(observed, files, "pickup_date", "pickup_location_id", "pickup_at")
-    fct = month_table("marts", "fct_trips", laid, options={"parquet.block.size": layout.ROW_GROUP_BYTES})
+    laid = layout.clustered(M.fct_trips(enriched), files, "pickup_date", "pickup_location_id", "pickup_at")
+    observed = laid.observe(seen, F.count(F.lit(1)).alias("rows"), F.count(F.when(outside, 1)).alias("outside"))
+    fct = month_table("marts", "fct_trips", observed, options={"parquet.block.size": layout.ROW_GROUP_BYTES})
     rows = seen.get["rows"]
     _, _, dim_zones, dim_date = together(
         lambda: run.put(P.trip_partials(fct), "marts", PARTIALS, job.year, job.month),
