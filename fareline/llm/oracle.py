@@ -21,13 +21,13 @@ def _phrase_places(phrase: str) -> str:
 
 def _template_regex(markup: str) -> str:
     out = []
-    for region, pattern, most, any_most, word in L._TOKEN.findall(markup):
-        if region:
-            out.append("(?:" if region == "opt" else ")?")
-        elif word:
-            out.append(f" {word}")
+    for kind, value, most in L.tokens(markup):
+        if kind in ("opt", "end"):
+            out.append("(?:" if kind == "opt" else ")?")
+        elif kind == "word":
+            out.append(f" {value}")
         else:
-            out.append(f"(?: (?:{pattern or '[^ ]+'})){{1,{most or any_most or 1}}}")
+            out.append(f"(?: (?:{value or '[^ ]+'})){{1,{most}}}")
     return "".join(out) + " "
 
 

@@ -143,6 +143,73 @@ def test_template_regions():
         license_templates.compile_template("a <<opt>>b")
 
 
+def words_of(t):
+    return [w.encode() for w in re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", t.lower())]
+
+
+def written(template, holder="the Example Foundation"):
+    """A license as a user writes it: all optional words, names filled in."""
+    t = re.sub(r"<<any[^>]*>>", holder, template.replace("<<opt>>", "").replace("<<end>>", ""))
+    return re.sub(r"<<var:([^|>*]+)[^>]*>>", lambda m: "2" if m[1].startswith("[") else m[1], t)
+
+
+def test_whole_licenses_are_accepted_and_altered_ones_refused(spark):
+    whole = {label: written(t) for label, t in license_templates.TEMPLATES if label.startswith(("text-", "header-"))}
+    assert len(whole) == 6
+    texts, wants = [], []
+    for label, t in whole.items():
+        words = t.split()
+        cut, swap = " ".join(words[:-1]), " ".join([*words[:-6], "never", *words[-6:]])
+        for x, found in ((f"Preface. {t}. More text", True), (t.upper(), True), (cut, False), (swap, False), (" ".join(words[1:]), False)):
+            texts.append(x)
+            wants.append((label, found))
+    texts.append("All rights reserved.")
+    got = [r["labels"].split(",") for r in license_templates.scan_licenses(frame(spark, texts)).orderBy("doc_id").collect()]
+    for (label, found), labels, t in zip(wants, got, texts):
+        assert (label in labels) == found, (label, t[:60], t[-60:])
+    assert got[-1] == [""]
+
+
+def test_templates_are_an_argument_and_one_automaton_equals_single_ones(spark):
+    templates = [
+        ("any-first", "<<any*2>> b c"),
+        ("pattern-first", "<<var:[0-9]+>> a <<opt>>b<<end>> c"),
+        ("open", "a <<any*3>> c"),
+        ("nested", "c <<opt>>a <<opt>>b<<end>> a<<end>> <<var:x|y*2>> b"),
+        ("no-word", "<<var:[0-9]+*2>> <<var:x>>"),
+        ("same", "A, b!"),
+    ]
+    rng = random.Random(12)
+    texts = [None, "", *(" ".join(rng.choice(["a", "b", "c", "x", "y", "1", "22", "cc by", "-"]) for _ in range(rng.randint(1, 12))) for _ in range(400))]
+    table = spark.createDataFrame([*templates, *templates, (None, "a"), ("null", None)], "label string, template string")
+    single = [(label, license_templates.compile_template(t)) for label, t in (*license_templates.PHRASES, *templates)]
+    for many in (20_000, 3):  # the second numbers its sets anew again and again
+        scan = license_templates.Scanner(license_templates.template_table(templates))
+        scan.MOST_SETS = many
+        for t in texts:
+            words = words_of(t or "")
+            want = {label for label, auto in single if any(auto.length(words, k) for k in range(len(words)))}
+            places, found = scan.scan(words)
+            assert {scan.rules[r][0] for r in found} == want, t
+            assert len(places) == sum(words[k : k + 2] == [b"cc", b"by"] for k in range(len(words)))
+    rows = license_templates.scan_licenses(frame(spark, texts), templates=table, spans_col="n_tokens").collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        words = words_of(texts[r["doc_id"]] or "")
+        runs = {label: [(k, auto.length(words, k)) for k in range(len(words))] for label, auto in single}
+        want = sorted((label, *next(run for run in every if run[1])) for label, every in runs.items() if any(n for _, n in every))
+        assert [tuple(s) for s in r["n_tokens"]] == want
+        assert r["labels"] == ",".join(label for label, _, _ in want)
+    none = license_templates.scan_licenses(frame(spark, texts), templates=[]).where("score = 1").count()
+    assert none == 0
+
+
+@pytest.mark.parametrize("wrong", ["a <<opt>>b", "a<<end>>", "a <<var:x", "a < b", "<<opt>>a<<end>>", "", "a <<any*0>>"])
+def test_wrong_markup_is_refused(wrong):
+    with pytest.raises(ValueError):
+        license_templates.template_table([("label", wrong)])
+
+
 def quality_counts(t):
     w = re.findall(r"[^\x20\x09-\x0D]+", t or "")
     grams = [tuple(w[i : i + 3]) for i in range(len(w) - 2)]
