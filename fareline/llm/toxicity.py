@@ -22,7 +22,6 @@ from pyspark.sql import types as T
 from fareline.llm.text import ALNUM, LOWER, U64, hashes, mix, slices, spans, utf8
 
 SAMPLE = 6000  # labelled rows that the classifier is fitted on, at most; half of them of each class
-LEAST_ROWS = 5  # rows of the sample that a feature must stand in
 EPOCHS, ALPHA, BETA, L1, L2 = 6, 1.0, 1.0, 6.0, 0.1
 THRESHOLD = 0.7
 BIAS = U64(0)
@@ -46,10 +45,14 @@ def features(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def train(rows: list[tuple[np.ndarray, int]], epochs: int = EPOCHS) -> tuple[np.ndarray, np.ndarray]:
-    """(features, weights) without zeros, from (distinct features, label) rows learnt in order."""
+    """(features, weights) without zeros, from (distinct features, label) rows learnt in order.
+
+    A gradient is below 1, so the sum of a feature's gradients cannot pass L1 in ``L1 / epochs`` rows or fewer:
+    such features would stay at zero, where they change no other weight, and are left out.
+    """
     every = np.concatenate([np.zeros(0, U64), *(f for f, _ in rows)])
     names, times = np.unique(every, return_counts=True)
-    names = np.append(BIAS, names[times >= LEAST_ROWS])  # sorted: the bias is 0
+    names = np.append(BIAS, names[times * epochs > L1])  # sorted: the bias is 0
     coded = []
     for f, label in rows:
         at = np.minimum(np.searchsorted(names, f), len(names) - 1)

@@ -314,6 +314,41 @@ def test_ftrl_scores_equal_plain_sums():
         assert got == pytest.approx(1 / (1 + np.exp(-total)))
 
 
+def plain_ftrl(rows, epochs):
+    """FTRL-proximal row by row over dicts of all features."""
+    z, n, bias = Counter(), Counter(), int(toxicity.BIAS)
+
+    def weight(f):
+        l1 = 0.0 if f == bias else toxicity.L1
+        if abs(z[f]) <= l1:
+            return 0.0
+        return -(z[f] - (l1 if z[f] > 0 else -l1)) / ((toxicity.BETA + n[f] ** 0.5) / toxicity.ALPHA + toxicity.L2)
+
+    for _ in range(epochs):
+        for features, label in rows:
+            w = {f: weight(f) for f in [bias, *features.tolist()]}
+            g = 1.0 / (1.0 + np.exp(-sum(w.values()))) - label
+            for f, x in w.items():
+                z[f] += g - ((n[f] + g * g) ** 0.5 - n[f] ** 0.5) / toxicity.ALPHA * x
+                n[f] += g * g
+    return {f: weight(f) for f in z if weight(f) != 0.0}
+
+
+@pytest.mark.parametrize("epochs", [1, 3, 6, 12])
+def test_ftrl_training_equals_a_plain_loop(epochs):
+    rng = random.Random(epochs)
+    vocab = [f"w{k}" for k in range(60)]
+    rows = []
+    for i in range(150):
+        t = " ".join([*rng.choices(vocab, k=rng.randint(0, 12)), *(["vile", "nasty"] if i % 3 == 0 else []), *(["seldom"] if i in (3, 9, 30) else [])])
+        rows.append((np.unique(toxicity.features(*text.utf8(pa.array([t])))[0]), int(i % 3 == 0)))
+    got = dict(zip(*(x.tolist() for x in toxicity.train(rows, epochs))))
+    want = plain_ftrl(rows, epochs)
+    assert set(got) == set(want) and len(want) > 3
+    assert all(got[f] == pytest.approx(w, rel=1e-9, abs=1e-12) for f, w in want.items())
+    assert [len(x) for x in toxicity.train([])] == [0, 0]
+
+
 def test_language_model_scores_equal_a_plain_loop(spark):
     texts = ["the cat sat on the mat", None, "", "one", "the dog sat on the log . " * 30, "The Cat\tsat"]
     docs = frame(spark, texts)
