@@ -15,11 +15,15 @@ from functools import lru_cache
 from itertools import chain
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from fareline.llm.cache import Generations
+from fareline.llm.text import slices, utf8
 
-WORDS_CACHED = 400_000  # words whose ids a Python worker remembers, twice at most
+WORDS_CACHED = 300_000  # words whose ids a Python worker remembers, twice at most
 WORDS_JOINED = 64  # new words encoded in one string; longer ones cost more a word
+TEXT_AT_ONCE = 2 << 20  # bytes of text whose words are numbered together
 
 
 #: Letters with closing marks: two pre-tokens. White space other than single line breaks inside a word.
@@ -113,34 +117,59 @@ class ByteEncoder:
         new = self._known(words, self.starts, self.old_starts)
         self._learn(list(new), self.starts, "\n")
 
-    def encode_batch(self, texts: list[str]) -> list[bytes]:
+    def encode_batch(self, texts: list[str] | pa.Array) -> list[bytes]:
         """Ids of each text as little-endian numbers of ``dtype``."""
+        column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())
+        _, off = utf8(column)
         gc.disable()  # many short-lived lists, no cycles
         try:
-            return self._encode_batch(texts)
+            return list(chain.from_iterable(self._encode_batch(column.slice(a, b - a)) for a, b in slices(off, TEXT_AT_ONCE)))
         finally:
             gc.enable()
 
-    def _encode_batch(self, texts: list[str]) -> list[bytes]:
+    def _encode_batch(self, texts: pa.Array) -> list[bytes]:
+        """Texts are split and their words numbered in Arrow, so that Python sees each different word once; the ids
+        of all words are then laid side by side by one ``take``."""
         if len(self.words) > WORDS_CACHED:
             self.words, self.old = {}, self.words
         if len(self.starts) > WORDS_CACHED:
             self.starts, self.old_starts = {}, self.starts
-        split = [t.split(" ") for t in texts]
-        new = set(chain.from_iterable(s[1:] for s in split)).difference(self.words)
+        split = pc.split_pattern(texts, " ")
+        bounds = split.offsets.to_numpy().astype(np.int64) - split.offsets[0].as_py()
+        coded = split.flatten().dictionary_encode()
+        at, words = coded.indices.to_numpy().copy(), coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        begins = bounds[:-1]
+        heads = [words[k] for k in at[begins].tolist()]
+        later = np.ones(len(at), bool)
+        later[begins] = False
+        used = np.zeros(len(words), bool)  # stand after a space somewhere
+        used[at[later]] = True
+        ids = list(map(self.words.get, words))
+        missing = [k for k in used.nonzero()[0].tolist() if ids[k] is None]
         # white space beside a space belongs to one pre-token with it: such texts are encoded whole
-        wide = {w for w in new if not w or w[0].isspace() or w[-1].isspace() or not w.isalpha() and _GAP(w)}
-        self._remember(new - wide)
-        self._start({s[0] for s in split if s[0] not in self.starts and s[0] and not s[0][0].isspace() and not _GAP(s[0]) and "\n" not in s[0]})
-        get, out = self.words.__getitem__, []
-        for text, s in zip(texts, split):
-            rest = s[1:]
-            if s[0][-1:].isspace() or wide and not wide.isdisjoint(rest):
-                out.append(self._whole(text))
-            else:
-                head = self.starts.get(s[0])
-                out.append((self.parts[s[0]] if head is None else head) + b"".join(map(get, rest)))
-        return out
+        wide = [k for k in missing if not (w := words[k]).isalpha() and (not w or w[0].isspace() or w[-1].isspace() or _GAP(w))]
+        self._remember({words[k] for k in missing}.difference(words[k] for k in wide))
+        self._start({h for h in heads if h not in self.starts and h and not h[0].isspace() and not _GAP(h) and "\n" not in h})
+        for k in missing:
+            ids[k] = self.words.get(words[k])
+        whole = np.fromiter((h[-1:].isspace() for h in heads), bool, len(heads))
+        row = np.repeat(np.arange(len(heads)), np.diff(bounds))
+        if wide:
+            is_wide = np.zeros(len(words), bool)
+            is_wide[wide] = True
+            whole[row[later & is_wide[at]]] = True
+        # after the words: nothing, then the beginning of each text, or all of it
+        at[whole[row]] = len(words)
+        at[begins] = len(words) + 1 + np.arange(len(heads))
+        ids.append(b"")
+        for k, (h, all_) in enumerate(zip(heads, whole.tolist())):
+            head = self._whole(texts[k].as_py()) if all_ else self.starts.get(h)
+            ids.append(self.parts[h] if head is None else head)
+        laid = pa.array(ids, pa.binary()).take(pa.array(at))
+        _, offsets, data = laid.buffers()
+        cuts = np.frombuffer(offsets, np.int32)[laid.offset :][bounds].tolist()
+        data = data.to_pybytes() if data is not None else b""
+        return [data[a:b] for a, b in zip(cuts, cuts[1:])]
 
 
 @lru_cache(maxsize=2)

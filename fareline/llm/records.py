@@ -27,10 +27,10 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession, Window
 from pyspark.sql import functions as F
 
-from fareline.llm.byte_encode import encoder
+from fareline.llm.byte_encode import TEXT_AT_ONCE, encoder
+from fareline.llm.text import slices, utf8
 
 SHARD_BYTES = 16 << 20  # text per data file, about
-TEXTS_AT_ONCE = 128
 _HEAD, _BODY = struct.Struct("<QI"), struct.Struct("<qBB")
 _END = b"\n"
 
@@ -82,10 +82,11 @@ def write_records(docs: DataFrame, path: str, model: str, end_id: int, id_col: s
         end, width = np.array([end_id], enc.dtype).tobytes(), enc.dtype.itemsize
         offset, before = 0, 0
         for batch in batches:
-            for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
-                part = batch.slice(at, TEXTS_AT_ONCE)
+            _, sizes = utf8(batch.column(1))
+            for a, b in slices(sizes, TEXT_AT_ONCE):
+                part = batch.slice(a, b - a)
                 data, index = [], []
-                for doc_id, ids in zip(part.column(0).to_pylist(), enc.encode_batch(part.column(1).to_pylist())):
+                for doc_id, ids in zip(part.column(0).to_pylist(), enc.encode_batch(part.column(1))):
                     record, n = frame(doc_id, ids + end, width), len(ids) // width + 1
                     data.append(record)
                     index.append(f"{'' if doc_id is None else doc_id} {offset} {len(record)} {before} {n}".encode())

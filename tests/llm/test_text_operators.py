@@ -77,6 +77,25 @@ def test_byte_ids_equal_the_library(byte_lib):
             assert np.frombuffer(ids, enc.dtype).tolist() == byte_lib.encode(t, add_special_tokens=False).ids, t
 
 
+def test_byte_ids_of_a_column_look_up_each_different_word_once(byte_lib):
+    enc = byte_encode.ByteEncoder(tokenizer_path(BYTE_MODEL))
+    texts = ["one two three two one"] * 50 + ["", " two", "two  one", "one\ntwo three"]
+    column = pa.array(["left out", *texts])[1:]  # a slice, as batches are
+
+    class Counted(dict):
+        times = 0
+
+        def get(self, *key):
+            Counted.times += 1
+            return super().get(*key)
+
+    enc.words = Counted()
+    got = enc.encode_batch(column)
+    assert [np.frombuffer(ids, enc.dtype).tolist() for ids in got] == [byte_lib.encode(t, add_special_tokens=False).ids for t in texts]
+    assert Counted.times <= 2 * len({w for t in texts for w in t.split(" ")})
+    assert enc.encode_batch([]) == []
+
+
 def test_records_round_trip_and_index(spark, byte_lib, tmp_path):
     texts = ["b text", None, "", "long " * 4000, "again", "again"]
     docs = spark.createDataFrame([(9 - i if i else None, t, "x") for i, t in enumerate(texts)] + [(4, "again", "x")], "doc_id long, text string, id string")
