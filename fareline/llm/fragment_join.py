@@ -41,6 +41,7 @@ SHORT_LIST = 64
 BLOCK = 1024
 COLUMNS = 4096  # n-grams counted at once in a task
 SMALL_SIDE = 1_000_000  # rows of at most 64 MB together up to which a side of a join is sent to all tasks
+PLACED_SIDE = 250_000  # the same for wider rows: classes with their places in blocks
 
 
 def gram_sets(buf: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -212,8 +213,13 @@ def _blocks(families: DataFrame, percent: int) -> DataFrame:
         return F.when(F.coalesce(F.col(m), F.lit(0)) > 0, F.transform(F.sequence(F.lit(0), F.col(m) - 1), lambda j: F.struct((F.col("band") + shift).alias("band"), j.alias("i")))).otherwise(F.array().cast("array<struct<band:int,i:int>>"))
 
     met = F.concat(others(0, "m"), others(-1, "m_before"), others(1, "m_after"))
-    rows = members.select("cls", "root", "n", own.alias("own"), F.explode(met).alias("other"))
-    return rows.select("cls", "root", "n", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), (F.col("own") <= F.col("other")).alias("in_lo"), (F.col("own") >= F.col("other")).alias("in_hi"))
+    # a block's pairs with itself are compared beside those with the block after it, if there is one
+    after = F.when(F.col("i") + 1 < F.col("m"), F.struct(F.col("band").alias("band"), (F.col("i") + 1).alias("i")))
+    after = after.when(F.coalesce("m_after", F.lit(0)) > 0, F.struct((F.col("band") + 1).alias("band"), F.lit(0).alias("i")))
+    rows = members.select("cls", "root", "n", own.alias("own"), after.alias("after"), F.explode(met).alias("other"))
+    rows = rows.filter((F.col("own") != F.col("other")) | F.col("after").isNull())
+    with_own = (F.col("own") >= F.col("other")) | F.col("other").eqNullSafe(F.col("after"))
+    return rows.select("cls", "root", "n", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), (F.col("own") <= F.col("other")).alias("in_lo"), with_own.alias("in_hi"))
 
 
 def overlaps(grams: list[np.ndarray], rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
@@ -280,17 +286,22 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, n: int, percent: int,
     families = connected_components(spark, edges).withColumnRenamed("node", "cls").join(classes.select("cls", "n"), "cls")
     _blocks(families, percent).write.parquet(f"{base}/blocks")
     blocks = spark.read.parquet(f"{base}/blocks")
-    wanted = blocks.select("cls").distinct().join(classes.select("cls", F.col("_id").alias("_w")), "cls")
+    # each class with its places in blocks, so that a set goes straight from its text to the blocks, in one exchange
+    place = F.struct("root", F.struct("lo", "hi").cast("string").alias("pair"), "in_lo", "in_hi")
+    places = blocks.groupBy("cls", "n").agg(F.collect_list(place).alias("places"))
+    wanted = places.join(classes.select("cls", F.col("_id").alias("_w")), "cls")
     wanted.write.parquet(f"{base}/wanted")
     wanted = spark.read.parquet(f"{base}/wanted")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, h, bounds in _sets(batches, 1, n):
+        for part, h, bounds in _sets(batches, 3, n):
             own = np.flatnonzero(class_ids(h, bounds) == part.column(0).to_numpy())  # other texts of the same id go
-            yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(own)), pa.array([h[bounds[k] : bounds[k + 1]].tobytes() for k in own], pa.binary())], names=["cls", "grams"])
+            kept = [part.column(k).take(pa.array(own)) for k in range(3)]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array([h[bounds[k] : bounds[k + 1]].tobytes() for k in own], pa.binary())], names=["cls", "n", "places", "grams"])
 
-    side = maybe_broadcast(wanted, SMALL_SIDE)
-    grams = rows.join(side, rows["_id"].eqNullSafe(F.col("_w"))).select("cls", "_text").mapInArrow(sets, "cls long, grams binary")
+    side = maybe_broadcast(wanted, PLACED_SIDE)
+    kind = f"cls long, n long, places {wanted.schema['places'].dataType.simpleString()}, grams binary"
+    grams = rows.join(side, rows["_id"].eqNullSafe(F.col("_w"))).select("cls", "n", "places", "_text").mapInArrow(sets, kind)
 
     def verify(group: pa.Table) -> pa.Table:
         cls = group["cls"].to_numpy()
@@ -308,8 +319,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, n: int, percent: int,
         some = label != np.arange(len(cls))
         return pa.table({"a": cls[some], "b": cls[label[some]]})
 
-    blocks = blocks.select("cls", "root", "n", "in_lo", "in_hi", F.struct("lo", "hi").cast("string").alias("pair"))
-    links = blocks.join(grams, "cls").groupBy("root", "pair").applyInArrow(verify, "a long, b long")
+    dealt = grams.select("cls", "n", "grams", F.explode("places").alias("p")).select("cls", "n", "grams", "p.*")
+    links = dealt.groupBy("root", "pair").applyInArrow(verify, "a long, b long")
     found = connected_components(spark, links).withColumnsRenamed({"node": "cls", "root": "top"})
 
     rooted = meta.join(found, "cls", "left").withColumn("top", F.coalesce("top", "cls"))

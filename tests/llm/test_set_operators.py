@@ -73,6 +73,26 @@ def test_jaccard_edge_tables(spark):
     assert out == [("2", 0, 2), ("2", 2, 2), ("5", 2, 5), ("5", 2, 5), ("None", 2, 5)]
 
 
+@pytest.mark.parametrize("sizes", [[40], [6] * 7, [3, 3, 100, 101, 102, 130, 131, 200] * 4, list(range(10, 60))])
+def test_blocks_compare_every_pair_that_may_be_similar_once(spark, monkeypatch, sizes):
+    monkeypatch.setattr(fragment_join, "BLOCK", 3)
+    families = spark.createDataFrame([(k, 1, n) for k, n in enumerate(sizes)] + [(900, 2, 5), (901, 2, 90)], "cls long, root long, n long")
+    rows = fragment_join._blocks(families, 85).collect()
+    met, blocks = {}, {}
+    for r in rows:
+        blocks.setdefault((r["root"], r["lo"], r["hi"]), []).append(r)
+    for members in blocks.values():
+        pairs = {frozenset((a["cls"], b["cls"])) for a in members for b in members if a["in_lo"] and b["in_hi"] and a["cls"] != b["cls"]}
+        for p in pairs:
+            met[p] = met.get(p, 0) + 1
+    want = {frozenset(p) for p in combinations(range(len(sizes)), 2) if 100 * min(sizes[p[0]], sizes[p[1]]) >= 85 * max(sizes[p[0]], sizes[p[1]])}
+    assert want <= set(met) and frozenset((900, 901)) in met
+    assert max(met.values()) == 1  # none twice
+    alone = [k for k, b in blocks.items() if k[1] == k[2]]  # only where no block follows
+    follow = {(root, lo) for root, lo, hi in blocks if lo != hi}
+    assert all((root, lo) not in follow for root, lo, _ in alone)
+
+
 def test_partial_overlaps_sum_to_the_overlap():
     rng = np.random.default_rng(1)
     grams = [np.unique(rng.integers(0, 200, rng.integers(1, 90))).astype(np.uint64) for _ in range(30)]
