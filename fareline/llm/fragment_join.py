@@ -39,7 +39,7 @@ SKETCH_PARTS, SLOTS = 64, 32
 RARE_PARTS, COMMON_PARTS = 96, 32  # fragments of the rare and of the common n-grams
 SHORT_LIST = 64
 BLOCK = 1024
-COLUMNS = 4096  # n-grams counted at once in a task
+COLUMNS = 2048  # n-grams counted at once in a task
 SMALL_SIDE = 1_000_000  # rows of at most 64 MB together up to which a side of a join is sent to all tasks
 PLACED_SIDE = 250_000  # the same for wider rows: classes with their places in blocks
 

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from fareline.llm.cache import Generations
 from fareline.llm.pieces import SPACE, PieceModel, load
 
-WORDS_CACHED = 600_000  # words whose ids a Python worker remembers, twice at most
+WORDS_CACHED = 200_000  # words whose ids a Python worker remembers, twice at most (some 80 MB); they stay while it serves other stages
 PARTS_CACHED = 50_000  # and other parts of texts
 PAIRS_CACHED = 300_000  # neighbour checks that it remembers, twice at most
 ENDLESS = 1 << 40

@@ -25,6 +25,7 @@ SAMPLE = 6000  # labelled rows that the classifier is fitted on, at most; half o
 EPOCHS, ALPHA, BETA, L1, L2 = 6, 1.0, 1.0, 6.0, 0.1
 THRESHOLD = 0.7
 BIAS = U64(0)
+SLICE = 1 << 18  # bytes of text scored at once: their features take some 30 times as much
 
 _PAIR, _SKIP, _NEXT = U64(0xA0761D6478BD642F), U64(0xE7037ED1A0B428DB), U64(0x8EBC6AF09C88C6E3)
 
@@ -51,12 +52,15 @@ def train(rows: list[tuple[np.ndarray, int]], epochs: int = EPOCHS) -> tuple[np.
     such features would stay at zero, where they change no other weight, and are left out.
     """
     every = np.concatenate([np.zeros(0, U64), *(f for f, _ in rows)])
-    names, times = np.unique(every, return_counts=True)
-    names = np.append(BIAS, names[times * epochs > L1])  # sorted: the bias is 0
+    every.sort()
+    last = np.flatnonzero(np.append(every[1:] != every[:-1], True)) if len(every) else np.zeros(0, np.int64)  # of each feature
+    often = np.diff(last, prepend=-1) * epochs > L1
+    names = np.append(BIAS, every[last[often]])  # sorted: the bias is 0
+    del every, last, often  # several times the model; the task goes on beside others
     coded = []
     for f, label in rows:
         at = np.minimum(np.searchsorted(names, f), len(names) - 1)
-        coded.append((np.append(0, at[names[at] == f]), label))
+        coded.append((np.append(0, at[names[at] == f]).astype(np.int32), label))
     z, n = np.zeros(len(names)), np.zeros(len(names))
 
     def weights(zi: np.ndarray, ni: np.ndarray, l1: np.ndarray | float) -> np.ndarray:
@@ -155,7 +159,7 @@ def score_documents(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], text_
         scorer = Scorer(names, weights)
         for batch in batches:
             buf, off = utf8(batch.column(len(keep)))
-            s = [scorer.scores(buf[off[a] : off[b]], off[a : b + 1] - off[a]) for a, b in slices(off)]
+            s = [scorer.scores(buf[off[a] : off[b]], off[a : b + 1] - off[a]) for a, b in slices(off, SLICE)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(np.concatenate(s) if s else np.zeros(0))], names=batch.schema.names)
 
     return docs.mapInArrow(run, schema)

@@ -368,6 +368,28 @@ def test_ftrl_training_equals_a_plain_loop(epochs):
     assert [len(x) for x in toxicity.train([])] == [0, 0]
 
 
+def test_training_takes_little_more_than_its_rows():
+    import tracemalloc
+
+    rng = np.random.default_rng(0)
+    rows = [(np.unique(rng.integers(1, 1 << 20, 900).astype(np.uint64)), k % 2) for k in range(3000)]
+    tracemalloc.start()
+    toxicity.train(rows, epochs=2)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 2.6 * sum(f.nbytes for f, _ in rows)  # 3.2 before
+
+
+def test_words_that_an_encoder_keeps_are_bounded(pieces):
+    enc = piece_encode.BacktrackEncoder(piece_encode.load(tokenizer_path(PIECE_MODEL)))
+    at_a_time = [f"w{k}" for k in range(450_000)]
+    assert enc.encode(" ".join(at_a_time[-500:])).tolist() == pieces.encode(" ".join(at_a_time[-500:]))
+    enc.words.make = lambda w: b"\x00" * 8
+    for w in at_a_time:
+        enc.words[w]
+    assert len(enc.words) + len(enc.words.old) <= 400_000  # they stay in the worker while it serves other stages
+
+
 def test_language_model_scores_equal_a_plain_loop(spark):
     texts = ["the cat sat on the mat", None, "", "one", "the dog sat on the log . " * 30, "The Cat\tsat"]
     docs = frame(spark, texts)
