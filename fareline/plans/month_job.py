@@ -234,7 +234,7 @@ def build_models(spark: SparkSession, job: MonthJob, run: Run) -> tuple[dict[str
     outside = F.expr(f"pickup_date NOT BETWEEN DATE'{first}' AND DATE'{last}'")
     # the stored intermediate rows have the fact's columns, so their size tells how many files the fact needs
     stored = run.entry("intermediate", "int_trips_enriched", job.year, job.month)["folder"]
-    files = layout.files_for(layout.stored_bytes(spark, f"{run.warehouse.root}/{stored}"), job.file_bytes)
+    files = layout.files_for(layout.stored_bytes(spark, f"{run.warehouse.root}/{stored}"), job.file_bytes, layout.cores(spark))
     laid = layout.clustered(M.fct_trips(enriched), files, "pickup_date", "pickup_location_id", "pickup_at")
     observed = laid.observe(seen, F.count(F.lit(1)).alias("rows"), F.count(F.when(outside, 1)).alias("outside"))
     fct = month_table("marts", "fct_trips", observed, options={"parquet.block.size": layout.ROW_GROUP_BYTES})
@@ -329,9 +329,11 @@ def build_month(
     with job_description(spark, f"{tag}: data tests"):
         # trips of the first day of the next month belong to two run months; ids must be unique over all
         alone = job.mode == "replace_all"  # there the other months go
-        wider = {"fct_trips": K.rows_to_test(run, frames["fct_trips"], "trip_id", "marts", "fct_trips", job.year, job.month, alone)}
-        known = nulls_in_footers(spark, job, run)
-        tests = [r.asDict() for r in Q.summary(frames, unique_over=wider, known=known).collect()]  # 40 rows, one per rule
+        rows, known = together(
+            lambda: K.rows_to_test(run, frames["fct_trips"], "trip_id", "marts", "fct_trips", job.year, job.month, alone),
+            lambda: nulls_in_footers(spark, job, run),
+        )
+        tests = [r.asDict() for r in Q.summary(frames, unique_over={"fct_trips": rows}, known=known).collect()]  # 40 rows, one per rule
     if job.fail_on_test_error:
         Q.raise_on(tests)
     if job.mode == "replace_all":

@@ -31,8 +31,17 @@ def z_order(day: str, zone: str) -> Column:
     return F.shiftleft(_spread(d), 1).bitwiseOR(_spread(z))
 
 
-def files_for(n_bytes: int, target: int = TARGET_BYTES) -> int:
-    return max(1, -(-n_bytes // target))
+def files_for(n_bytes: int, target: int = TARGET_BYTES, cores: int = 1) -> int:
+    """Files of about ``target`` bytes; more, so that every core writes one, while each has a row group's bytes."""
+    return max(1, -(-n_bytes // target), min(cores, n_bytes // ROW_GROUP_BYTES))
+
+
+def cores(spark: SparkSession) -> int:
+    """Tasks that the session runs at once, as far as it tells."""
+    try:
+        return spark.sparkContext.defaultParallelism
+    except Exception:  # a Spark Connect session has no SparkContext
+        return 1
 
 
 def stored_bytes(spark: SparkSession, folder: str) -> int:

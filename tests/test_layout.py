@@ -62,3 +62,19 @@ def test_the_job_sizes_the_files_of_the_fact(spark, tmp_path):
         sizes[target] = [f.stat().st_size for f in __import__("pathlib").Path(folder).glob("*.parquet")]
     assert len(sizes[128 << 20]) == 1 and len(sizes[100_000]) > 3
     assert all(30_000 < s < 200_000 for s in sizes[100_000])
+
+
+def test_a_small_table_is_written_by_all_cores():
+    mb = 1 << 20
+    assert [layout.files_for(n * mb, cores=12) for n in (0, 10, 16, 100, 200, 3000)] == [1, 1, 1, 6, 12, 24]
+    assert layout.files_for(200 * mb) == 2 and layout.files_for(10 * mb, mb, 4) == 10
+
+
+def test_the_job_writes_the_fact_with_all_cores(spark, tmp_path, monkeypatch):
+    for db in ("raw", "staging", "intermediate", "marts"):
+        spark.sql(f"DROP DATABASE IF EXISTS `{db}` CASCADE")
+    monkeypatch.setattr(layout, "ROW_GROUP_BYTES", 50_000)  # so that the test's month has some row groups
+    wh = Warehouse(spark, str(tmp_path / "wh"))
+    build_month(spark, MonthJob(warehouse=wh.root, fail_on_test_error=False), raw=raw_trips(spark, SF001), zones=raw_zones(spark, SF001))
+    (folder,), _ = wh.folders("marts", "fct_trips")
+    assert len(list(__import__("pathlib").Path(folder).glob("*.parquet"))) == spark.sparkContext.defaultParallelism
