@@ -96,6 +96,56 @@ def test_byte_ids_of_a_column_look_up_each_different_word_once(byte_lib):
     assert enc.encode_batch([]) == []
 
 
+def by_library(lib, texts):
+    return [lib.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def by_encoder(enc, texts):
+    return [np.frombuffer(ids, enc.dtype).tolist() for ids in enc.encode_batch(texts)]
+
+
+def test_remembered_words_are_packed_and_not_encoded_again(byte_lib, monkeypatch):
+    enc = byte_encode.ByteEncoder(tokenizer_path(BYTE_MODEL))
+    rng, learnt, found = random.Random(8), [], []
+    words = ["".join(rng.choices("abcdeé", k=9)) for _ in range(3000)]
+    texts = ["x " + " ".join(rng.choices(words, k=60)) + rng.choice([".", "!!", "", ".\nNext"]) for _ in range(400)]
+    learn, find = enc._learn, byte_encode.Words.find
+    monkeypatch.setattr(enc, "_learn", lambda new, known, gap: (learnt.extend(new if gap == " " else []), learn(new, known, gap)))
+    monkeypatch.setattr(byte_encode.Words, "find", lambda self, new, h: (found.append(len(h)), find(self, new, h))[1])
+    assert by_encoder(enc, texts) == by_library(byte_lib, texts)
+    different = len({w for t in texts for w in t.split(" ")})
+    assert len(learnt) == len(set(learnt)) and sum(found) <= 2 * different  # each different word is looked up and learnt once
+    learnt.clear()
+    assert by_encoder(enc, texts) == by_library(byte_lib, texts) and not learnt
+    held = enc.young.keys.nbytes + enc.young.place.nbytes + enc.young.words.nbytes + enc.young.ids.nbytes
+    assert held < 64 * len(enc.young.keys)
+
+
+def test_words_of_one_hash_are_told_apart(byte_lib, monkeypatch):
+    monkeypatch.setattr(byte_encode, "hashes", lambda buf, starts, ends: (ends - starts).astype(np.uint64))
+    enc = byte_encode.ByteEncoder(tokenizer_path(BYTE_MODEL))
+    texts = some_texts(300, 9) + ["a one two, six! ten.\nOne", "b two one, ten! six.\nTwo"]
+    for at in range(0, len(texts), 50):
+        assert by_encoder(enc, texts[at : at + 50]) == by_library(byte_lib, texts[at : at + 50])
+    assert by_encoder(enc, texts) == by_library(byte_lib, texts)
+
+
+def test_texts_without_words(byte_lib):
+    for texts in ([""], ["", ""], ["a "], ["a", ""], ["x y "], [" "]):
+        assert by_encoder(byte_encode.ByteEncoder(tokenizer_path(BYTE_MODEL)), texts) == by_library(byte_lib, texts)
+
+
+def test_older_words_are_kept_while_they_are_met(byte_lib, monkeypatch):
+    monkeypatch.setattr(byte_encode, "WORDS_CACHED", 20)
+    enc = byte_encode.ByteEncoder(tokenizer_path(BYTE_MODEL))
+    rng, learnt, learn = random.Random(4), [], enc._learn
+    monkeypatch.setattr(enc, "_learn", lambda new, known, gap: (learnt.extend(new if gap == " " else []), learn(new, known, gap)))
+    for _ in range(30):
+        texts = ["the often met words " + " ".join("".join(rng.choices("abcde,é", k=6)) for _ in range(15))]
+        assert by_encoder(enc, texts) == by_library(byte_lib, texts)
+    assert learnt.count("often") == 1 and len(enc.young.keys) + len(enc.old.keys) < 100
+
+
 def test_records_round_trip_and_index(spark, byte_lib, tmp_path):
     texts = ["b text", None, "", "long " * 4000, "again", "again"]
     docs = spark.createDataFrame([(9 - i if i else None, t, "x") for i, t in enumerate(texts)] + [(4, "again", "x")], "doc_id long, text string, id string")
