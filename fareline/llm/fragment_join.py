@@ -11,8 +11,10 @@ document), then by hash. The order is cut into FRAGMENTS pieces, and each set is
    together.
 2. The connected groups of candidates are dealt to tasks in blocks of at most BLOCK classes; large
    groups are cut by size band, and only blocks whose sizes can match meet.
-3. A task counts the overlaps of all its pairs fragment by fragment and sums them. It returns no pairs
-   but one link from each class to the smallest class it is linked with, directly or through others.
+3. A task counts the overlaps of all its pairs fragment by fragment and sums them. The sets of a block
+   pair with many n-grams come to it in ranges of their hashes, one range after the other, so it holds
+   one range of them at a time. It returns no pairs but one link from each class to the smallest class
+   it is linked with, directly or through others.
 4. The links of all tasks are closed into components.
 
 Nothing is capped or sampled: the sketch, the limits and the blocks decide how work is dealt, not
@@ -39,7 +41,9 @@ SKETCH_PARTS, SLOTS = 64, 32
 RARE_PARTS, COMMON_PARTS = 96, 32  # fragments of the rare and of the common n-grams
 SHORT_LIST = 64
 BLOCK = 1024
-COLUMNS = 2048  # n-grams counted at once in a task
+RANGE = 1 << 18  # n-grams of the sets of a block pair that a task holds at once, about
+COLUMNS = 512  # n-grams counted at once in a task
+SETS_BYTES = 1 << 18  # bytes of text whose n-grams are found at once: they take some 100 times as much
 SMALL_SIDE = 1_000_000  # rows of at most 64 MB together up to which a side of a join is sent to all tasks
 PLACED_SIDE = 250_000  # the same for wider rows: classes with their places in blocks
 
@@ -56,7 +60,7 @@ def _sets(batches: Iterator[pa.RecordBatch], column: int, n: int):
     """(batch, first row, hashes, bounds) of slices of texts."""
     for batch in batches:
         buf, off = utf8(batch.column(column))
-        for a, b in slices(off):
+        for a, b in slices(off, SETS_BYTES):
             yield batch.slice(a, b - a), *gram_sets(buf[off[a] : off[b]], off[a : b + 1] - off[a], n)
 
 
@@ -80,7 +84,7 @@ def fit_order(docs: DataFrame, n: int) -> Order:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, rows = np.zeros(1 << SKETCH_BITS, np.uint32), 0
         for part, h, _ in _sets(batches, 0, n):
-            np.add(total, np.bincount((h >> U64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(total)).astype(np.uint32), out=total)
+            np.add.at(total, (h >> U64(64 - SKETCH_BITS)).astype(np.int64), np.uint32(1))
             rows += len(h)
         if rows:
             data = [total[k * size : (k + 1) * size].tobytes() for k in range(SKETCH_PARTS)]
@@ -222,9 +226,10 @@ def _blocks(families: DataFrame, percent: int) -> DataFrame:
     return rows.select("cls", "root", "n", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), (F.col("own") <= F.col("other")).alias("in_lo"), with_own.alias("in_hi"))
 
 
-def overlaps(grams: list[np.ndarray], rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
+def overlaps(grams: list[np.ndarray], rows: np.ndarray, cols: np.ndarray, total: np.ndarray | None = None) -> np.ndarray:
     """Overlap of every set of ``rows`` with every one of ``cols``: partial counts of one fragment of the
-    n-grams after the other, summed. N-grams of a single set are left out first."""
+    n-grams after the other, summed (and added to ``total``). N-grams of a single set are left out first."""
+    total = np.zeros((len(rows), len(cols)), np.int32) if total is None else total
     size = np.array([len(g) for g in grams])
     h = np.concatenate(grams)
     order = np.argsort(h)
@@ -235,12 +240,11 @@ def overlaps(grams: list[np.ndarray], rows: np.ndarray, cols: np.ndarray) -> np.
     del h
     shared = ~(new & np.append(new[1:], True))
     gram, who = np.cumsum(new[shared], dtype=np.int32) - 1, who[shared]
-    total = np.zeros((len(rows), len(cols)), np.float32)
     for low in range(0, int(gram[-1]) + 1 if len(gram) else 0, COLUMNS):  # one fragment
         a, b = np.searchsorted(gram, [low, low + COLUMNS])
         has = np.zeros((len(grams), min(COLUMNS, int(gram[b - 1]) + 1 - low)), np.float32)
         has[who[a:b], gram[a:b] - low] = 1
-        total += has[rows] @ has[cols].T
+        np.add(total, has[rows] @ has[cols].T, out=total, casting="unsafe")  # small whole numbers
     return total
 
 
@@ -248,13 +252,73 @@ def least_linked(links: np.ndarray) -> np.ndarray:
     """Smallest index in the component of each node of a symmetric link matrix."""
     label = np.arange(len(links))
     while True:
-        new = np.minimum(label, np.where(links, label[None, :], len(links)).min(axis=1))
+        new = np.minimum(label, np.array([label[row].min(initial=len(links)) for row in links]))
         new = new[new]
         if (new == label).all():
             return label
         label = new
 
 
+def _ranges(blocks: DataFrame) -> DataFrame:
+    """(root, ranges): how many ranges of hashes the sets of a family are cut into, where it is more than one."""
+    grams = blocks.groupBy("root", "lo", "hi").agg(F.sum("n").alias("grams"))
+    ranges = grams.groupBy("root").agg(F.ceil(F.max("grams") / RANGE).cast("int").alias("ranges"))
+    return ranges.filter("ranges > 1")
+
+
+def cut_sets(h: np.ndarray, size: np.ndarray, ranges: np.ndarray) -> np.ndarray:
+    """Bounds in ``h`` of the parts of all sets: sets of ``size`` sorted hashes, one after the other, each cut into as
+    many equal ranges of hashes as ``ranges`` says. Parts may be empty."""
+    row = np.repeat(np.arange(len(size)), size)
+    at = ((h >> U64(32)) * ranges.astype(U64)[row]) >> U64(32)
+    first = np.cumsum(ranges) - ranges
+    return np.concatenate([[0], np.cumsum(np.bincount(first[row] + at.astype(np.int64), minlength=int(ranges.sum())))])
+
+
+def runs(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Table]:
+    """The rows of all batches, cut where the value of ``column`` changes."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        value = batch[column].to_numpy()
+        cuts = [0, *(np.flatnonzero(value[1:] != value[:-1]) + 1), len(value)]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            if held and a < b and held[0][column][0].as_py() != value[a]:
+                yield pa.Table.from_batches(held)
+                held = []
+            if a < b:
+                held.append(batch.slice(a, b - a))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def links_of_pair(batches: Iterator[pa.RecordBatch], percent: int) -> pa.RecordBatch:
+    """(a, b): each class of a block pair with the smallest one it is linked with, directly or through others.
+
+    ``batches``: cls, n, in_lo, in_hi, number, grams of all sets, one range of hashes (``number``) after the other;
+    only the rows of one range and of the batch that is read are held.
+    """
+    cls = None
+    for group in runs(batches, "number"):
+        found, first = np.unique(group["cls"].to_numpy(), return_index=True)
+        if cls is None:
+            cls, size = found, group["n"].to_numpy()[first]
+            lo, hi = (np.flatnonzero(group[x].to_numpy()[first]) for x in ("in_lo", "in_hi"))
+            total = np.zeros((len(lo), len(hi)), np.int32)
+        elif not np.array_equal(cls, found):
+            raise RuntimeError("the rows of a block pair do not come one range after the other")
+        data = group["grams"].combine_chunks()
+        flat, at = np.frombuffer(data.buffers()[2] or b"", np.uint8), np.frombuffer(data.buffers()[1], np.int32)[data.offset :]
+        overlaps([flat[at[i] : at[i + 1]].view(U64) for i in first], lo, hi, total)
+    links = np.zeros((len(cls), len(cls)), bool)
+    for i, shared in zip(lo, total, strict=True):
+        links[i, hi] = _enough(shared.astype(np.int64), size[i] + size[hi], percent)
+    links |= links.T
+    np.fill_diagonal(links, True)
+    label = least_linked(links)
+    some = label != np.arange(len(cls))
+    return pa.RecordBatch.from_arrays([pa.array(cls[some]), pa.array(cls[label[some]])], names=["a", "b"])
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, n: int, percent: int, id_col: str = "doc_id", text_col: str = "text", with_group: bool = False) -> DataFrame:
     """``id_col``, n_shingles (distinct word n-grams), component_id (smallest id reachable by links).
 
@@ -288,38 +352,32 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, n: int, percent: int,
     blocks = spark.read.parquet(f"{base}/blocks")
     # each class with its places in blocks, so that a set goes straight from its text to the blocks, in one exchange
     place = F.struct("root", F.struct("lo", "hi").cast("string").alias("pair"), "in_lo", "in_hi")
-    places = blocks.groupBy("cls", "n").agg(F.collect_list(place).alias("places"))
+    cut = blocks.join(_ranges(blocks), "root", "left").withColumn("ranges", F.coalesce("ranges", F.lit(1)))
+    places = cut.groupBy("cls", "n", "ranges").agg(F.collect_list(place).alias("places"))
     wanted = places.join(classes.select("cls", F.col("_id").alias("_w")), "cls")
     wanted.write.parquet(f"{base}/wanted")
     wanted = spark.read.parquet(f"{base}/wanted")
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, h, bounds in _sets(batches, 3, n):
-            own = np.flatnonzero(class_ids(h, bounds) == part.column(0).to_numpy())  # other texts of the same id go
-            kept = [part.column(k).take(pa.array(own)) for k in range(3)]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array([h[bounds[k] : bounds[k + 1]].tobytes() for k in own], pa.binary())], names=["cls", "n", "places", "grams"])
+        for part, h, bounds in _sets(batches, 4, n):
+            own = class_ids(h, bounds) == part.column(0).to_numpy()  # other texts of the same id go
+            size, ranges = np.diff(bounds), part.column(3).to_numpy().astype(np.int64)[own]
+            h, row = h[np.repeat(own, size)], np.repeat(np.flatnonzero(own), ranges)
+            at = pa.array(cut_sets(h, size[own], ranges) * 8, pa.int32())
+            grams = pa.Array.from_buffers(pa.binary(), len(row), [None, at.buffers()[1], pa.py_buffer(h)])
+            number = np.arange(len(row)) - np.repeat(np.cumsum(ranges) - ranges, ranges)
+            kept = [part.column(k).take(pa.array(row)) for k in range(3)]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(number, pa.int32()), grams], names=["cls", "n", "places", "number", "grams"])
 
     side = maybe_broadcast(wanted, PLACED_SIDE)
-    kind = f"cls long, n long, places {wanted.schema['places'].dataType.simpleString()}, grams binary"
-    grams = rows.join(side, rows["_id"].eqNullSafe(F.col("_w"))).select("cls", "n", "places", "_text").mapInArrow(sets, kind)
+    kind = f"cls long, n long, places {wanted.schema['places'].dataType.simpleString()}, number int, grams binary"
+    grams = rows.join(side, rows["_id"].eqNullSafe(F.col("_w"))).select("cls", "n", "places", "ranges", "_text").mapInArrow(sets, kind)
 
-    def verify(group: pa.Table) -> pa.Table:
-        cls = group["cls"].to_numpy()
-        _, first = np.unique(cls, return_index=True)
-        cls, size = cls[first], group["n"].to_numpy()[first]
-        data = group["grams"].combine_chunks()
-        flat, at = np.frombuffer(data.buffers()[2], np.uint8), np.frombuffer(data.buffers()[1], np.int32)[data.offset :]
-        g = [flat[at[i] : at[i + 1]].view(U64) for i in first]
-        lo, hi = (np.flatnonzero(group[x].to_numpy(zero_copy_only=False)[first]) for x in ("in_lo", "in_hi"))
-        links = np.zeros((len(cls), len(cls)), bool)
-        links[np.ix_(lo, hi)] = _enough(overlaps(g, lo, hi).astype(np.int64), size[lo][:, None] + size[hi][None, :], percent)
-        links |= links.T
-        np.fill_diagonal(links, True)
-        label = least_linked(links)
-        some = label != np.arange(len(cls))
-        return pa.table({"a": cls[some], "b": cls[label[some]]})
-
-    dealt = grams.select("cls", "n", "grams", F.explode("places").alias("p")).select("cls", "n", "grams", "p.*")
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield links_of_pair(batches, percent)
+
+    dealt = grams.select("cls", "n", "number", "grams", F.explode("places").alias("p")).select("cls", "n", "number", "grams", "p.*")
+    dealt = dealt.repartition("root", "pair").sortWithinPartitions("root", "pair", "number")
     links = dealt.groupBy("root", "pair").applyInArrow(verify, "a long, b long")
     found = connected_components(spark, links).withColumnsRenamed({"node": "cls", "root": "top"})
 

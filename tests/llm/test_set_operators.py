@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import random
 import re
+import tracemalloc
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -103,6 +105,59 @@ def test_partial_overlaps_sum_to_the_overlap():
             assert a == b or got[i, j] == len(np.intersect1d(grams[a], grams[b]))  # a set is not compared with itself
 
 
+@pytest.mark.parametrize("short", [64, 3])
+def test_jaccard_components_of_sets_cut_in_ranges(spark, monkeypatch, short):
+    """Sets that come to their block pairs in many ranges of hashes, with copies of ids and texts."""
+    monkeypatch.setattr(fragment_join, "RANGE", 100)
+    monkeypatch.setattr(fragment_join, "SHORT_LIST", short)
+    monkeypatch.setattr(fragment_join, "BLOCK", 1024 if short == 64 else 5)
+    texts = near_copies(7)
+    rows = [(k, t, len(t or "")) for k, t in enumerate([*texts, *texts[:20]])] + [(3, texts[3], 0), (3, texts[9], 0), (5, "only a few", 0)]
+    families = spark.createDataFrame([(k, k // 5, 60, 0, 0) for k in range(20)], "cls long, root long, n long, lo int, hi int")
+    assert sorted((r["root"], r["ranges"]) for r in fragment_join._ranges(families).collect()) == [(k, 3) for k in range(4)]
+    got = sorted(map(tuple, fragment_join.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string, x long"), 4, 85).collect()))
+    sets = [shingle_set(t, 4) for _, t, _ in rows]
+    links = [(a, b) for a, b in combinations(range(len(rows)), 2) if sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])]
+    root = closed(range(len(rows)), links)
+    least = {}
+    for k, r in root.items():
+        least[r] = min(least.get(r, 10**9), rows[k][0])
+    assert got == sorted((rows[k][0], len(sets[k]), least[root[k]]) for k in range(len(rows)))
+
+
+def test_a_block_pair_is_held_one_range_at_a_time():
+    """30 MB of n-grams in 60 ranges: what numpy and Arrow hold stays a few MB, and the links are right."""
+    classes, each, ranges = 200, 20_000, 60
+    rng = np.random.default_rng(5)
+    base = [np.sort(rng.integers(0, 2**63, each).astype(np.uint64) * np.uint64(2)) for _ in range(classes // 2)]
+    size = np.full(classes, each)
+
+    def batches():
+        parts = []
+        for k in range(classes):  # k + classes / 2 has nine tenths of k's n-grams
+            h = base[k % len(base)].copy()
+            h[::10] += np.uint64(k // len(base))
+            bounds = fragment_join.cut_sets(h, size[:1], np.array([ranges]))
+            assert bounds[0] == 0 and bounds[-1] == each and (np.diff(bounds) > 200).all()
+            parts.append((h, bounds))
+        nonlocal before
+        before = tracemalloc.get_traced_memory()[0]
+        tracemalloc.reset_peak()
+        for r in range(ranges):
+            for a in (0, classes // 2):  # a range comes in two batches
+                grams = [parts[k][0][parts[k][1][r] : parts[k][1][r + 1]].tobytes() for k in range(a, a + classes // 2)]
+                own = pa.array(range(a, a + classes // 2), pa.int64())
+                yield pa.record_batch({"cls": own, "n": pa.array([each] * len(own), pa.int64()), "in_lo": pa.array([True] * len(own)), "in_hi": pa.array([True] * len(own)), "number": pa.array([r] * len(own), pa.int32()), "grams": pa.array(grams, pa.binary())})
+
+    before, arrow = 0, pa.total_allocated_bytes()
+    tracemalloc.start()
+    out = fragment_join.links_of_pair(batches(), 80)
+    peak = tracemalloc.get_traced_memory()[1] - before
+    tracemalloc.stop()
+    assert sorted(zip(out["a"].to_pylist(), out["b"].to_pylist(), strict=True)) == [(k + classes // 2, k) for k in range(classes // 2)]
+    assert peak < 12e6 and pa.total_allocated_bytes() - arrow < 4e6
+
+
 def test_components(spark):
     rng = random.Random(4)
     edges = [(k, k + 1) for k in range(100, 160)] + [(rng.randrange(90), rng.randrange(90)) for _ in range(50)] + [(500, 500), (None, 3)]
