@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fareline.llm.components import connected_components
-from fareline.llm.text import LOWER, NONSPACE, U64, distinct_per_row, hashes, mix, shingles, slices, spans, utf8
+from fareline.llm.text import LOWER, NONSPACE, U64, distinct_per_row, give_back, hashes, mix, shingles, slices, spans, utf8
 from fareline.operators.lookups import maybe_broadcast
 from fareline.session import scratch_path
 
@@ -62,6 +62,7 @@ def _sets(batches: Iterator[pa.RecordBatch], column: int, n: int):
         buf, off = utf8(batch.column(column))
         for a, b in slices(off, SETS_BYTES):
             yield batch.slice(a, b - a), *gram_sets(buf[off[a] : off[b]], off[a : b + 1] - off[a], n)
+    give_back()
 
 
 class Order(NamedTuple):

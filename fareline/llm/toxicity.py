@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fareline.llm.text import ALNUM, LOWER, U64, hashes, mix, slices, spans, utf8
+from fareline.llm.text import ALNUM, LOWER, U64, give_back, hashes, mix, slices, spans, utf8
 
 SAMPLE = 6000  # labelled rows that the classifier is fitted on, at most; half of them of each class
 EPOCHS, ALPHA, BETA, L1, L2 = 6, 1.0, 1.0, 6.0, 0.1
@@ -137,6 +137,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                 f, _ = features(buf[off[k] : off[k + 1]], np.array([0, off[k + 1] - off[k]]))
                 coded.append((np.unique(f), int(y)))
         names, weights = train(coded) if coded else (np.zeros(0, U64), np.zeros(0))
+        coded.clear()
+        give_back()
         yield pa.RecordBatch.from_arrays([pa.array(names.view(np.int64)), pa.array(weights)], names=["name", "weight"])
 
     # one task: the sample is bounded
@@ -161,5 +163,6 @@ def score_documents(docs: DataFrame, model: tuple[np.ndarray, np.ndarray], text_
             buf, off = utf8(batch.column(len(keep)))
             s = [scorer.scores(buf[off[a] : off[b]], off[a : b + 1] - off[a]) for a, b in slices(off, SLICE)]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(np.concatenate(s) if s else np.zeros(0))], names=batch.schema.names)
+        give_back()
 
     return docs.mapInArrow(run, schema)
