@@ -229,10 +229,13 @@ def _blocks(families: DataFrame, percent: int) -> DataFrame:
 
 def overlaps(grams: list[np.ndarray], rows: np.ndarray, cols: np.ndarray, total: np.ndarray | None = None) -> np.ndarray:
     """Overlap of every set of ``rows`` with every one of ``cols``: partial counts of one fragment of the
-    n-grams after the other, summed (and added to ``total``). N-grams of a single set are left out first."""
+    n-grams after the other, summed (and added to ``total``). N-grams of a single set are left out first.
+    All sets may be empty."""
     total = np.zeros((len(rows), len(cols)), np.int32) if total is None else total
     size = np.array([len(g) for g in grams])
     h = np.concatenate(grams)
+    if not len(h):  # a range into which no n-gram of these sets falls
+        return total
     order = np.argsort(h)
     who = np.repeat(np.arange(len(grams), dtype=np.int32), size)[order]
     h = h[order]

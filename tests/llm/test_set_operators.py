@@ -158,6 +158,36 @@ def test_a_block_pair_is_held_one_range_at_a_time():
     assert peak < 12e6 and pa.total_allocated_bytes() - arrow < 4e6
 
 
+def test_ranges_without_ngrams_add_nothing():
+    """A block pair of short sets, in a family cut into as many ranges as its longest sets need: most ranges hold none of its n-grams."""
+    none = np.zeros(0, np.uint64)
+    assert fragment_join.overlaps([none, none], np.array([0, 1]), np.array([0, 1])).tolist() == [[0, 0], [0, 0]]
+    ranges, sets = 50, [np.array([5, 7 << 60], np.uint64)] * 2 + [np.array([1 << 62], np.uint64)]
+    bounds = [fragment_join.cut_sets(h, np.array([len(h)]), np.array([ranges])) for h in sets]
+
+    def batches():
+        for r in range(ranges):
+            grams = [h[b[r] : b[r + 1]].tobytes() for h, b in zip(sets, bounds, strict=True)]
+            yield pa.record_batch({"cls": pa.array([1, 2, 3]), "n": pa.array([2, 2, 1]), "in_lo": pa.array([True] * 3), "in_hi": pa.array([True] * 3), "number": pa.array([r] * 3, pa.int32()), "grams": pa.array(grams, pa.binary())})
+
+    assert fragment_join.links_of_pair(batches(), 85).to_pylist() == [{"a": 2, "b": 1}]
+
+
+def test_long_and_short_sets_of_one_family(spark, monkeypatch):
+    """Short and long texts tied by a common n-gram: the ranges follow the long ones, the short ones meet in blocks of their own."""
+    monkeypatch.setattr(fragment_join, "RANGE", 50)
+    monkeypatch.setattr(fragment_join, "SHORT_LIST", 2)
+    monkeypatch.setattr(fragment_join, "BLOCK", 3)
+    rng = random.Random(4)
+    long = [" ".join(rng.choices([f"l{k}" for k in range(5000)], k=600)) for _ in range(4)]
+    texts = [f"all of them have this {x}" for x in long + [x + " more" for x in long]] + [f"all of them have this end {k % 4}{' ' * k}" for k in range(8)]
+    sets = [shingle_set(t, 4) for t in texts]
+    links = [(a, b) for a, b in combinations(range(len(texts)), 2) if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["component_id"] for r in fragment_join.near_duplicates(spark, docs, 4, 85).collect()}
+    assert got == closed(range(len(texts)), links)
+
+
 def test_components(spark):
     rng = random.Random(4)
     edges = [(k, k + 1) for k in range(100, 160)] + [(rng.randrange(90), rng.randrange(90)) for _ in range(50)] + [(500, 500), (None, 3)]
