@@ -4,11 +4,13 @@ Every document becomes the set of its hashed word n-grams; equal sets form one c
 have one global order: rare ones first (by a fixed-size sketch that counts every n-gram of every
 document), then by hash. The order is cut into FRAGMENTS pieces, and each set is cut with it.
 
-1. Two sets that are similar enough share an n-gram among the first few of each (the prefix filter).
-   Classes that share such an n-gram become candidate pairs if their sizes and the places of the
-   shared n-gram allow it, and if the sum over the fragments of the smaller segment size does.
-   N-grams in the prefix of more than SHORT_LIST classes make no pairs: their classes are only tied
-   together.
+1. Two sets that are similar enough share n-grams among the first few of each (the prefix filter), and
+   the more of them the closer their sizes are. Classes become a candidate pair if they share as many
+   as their sizes ask for, and if the sum over the fragments of the smaller segment size allows it.
+   N-grams in the prefix of more than SHORT_LIST classes are common. They are not counted pair by pair:
+   a pair is taken to share as many of them as both have. Classes with more than FEW of them, or with
+   enough for a partner of their own size, are only tied together; the others are paired with those
+   of the few sizes for which so little is enough.
 2. The connected groups of candidates are dealt to tasks in blocks of at most BLOCK classes; large
    groups are cut by size band, and only blocks whose sizes can match meet.
 3. A task counts the overlaps of all its pairs fragment by fragment and sums them. The sets of a block
@@ -36,10 +38,12 @@ from fareline.llm.text import LOWER, NONSPACE, U64, distinct_per_row, give_back,
 from fareline.operators.lookups import maybe_broadcast
 from fareline.session import scratch_path
 
-SKETCH_BITS = 21  # counters of the order sketch: 2**21, of any corpus
+SKETCH_BITS = 23  # counters of the order sketch: 2**23, of any corpus
 SKETCH_PARTS, SLOTS = 64, 32
+LEVELS, STEPS = 64, 4  # levels of the order, so many for each doubling of a counter
 RARE_PARTS, COMMON_PARTS = 96, 32  # fragments of the rare and of the common n-grams
 SHORT_LIST = 64
+FEW = 8  # common n-grams of a prefix up to which a class is not tied to all others that have them
 BLOCK = 1024
 RANGE = 1 << 18  # n-grams of the sets of a block pair that a task holds at once, about
 COLUMNS = 512  # n-grams counted at once in a task
@@ -78,8 +82,21 @@ class Order(NamedTuple):
         return np.where(level == 0, low % U64(RARE_PARTS), U64(RARE_PARTS) + low % U64(COMMON_PARTS)).astype(np.int64)
 
 
+def _pack(counts: np.ndarray) -> bytes:
+    """Counters as bytes, compressed; the higher bytes of all counters come together, as most of them are zero."""
+    return pa.compress(np.ascontiguousarray(counts.view(np.uint8).reshape(-1, 4).T), codec="zstd", asbytes=True)
+
+
+def _unpack(data: bytes, size: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(data, 4 * size, codec="zstd"), np.uint8)
+    return np.ascontiguousarray(planes.reshape(4, size).T).view(np.uint32).ravel()
+
+
 def fit_order(docs: DataFrame, n: int) -> Order:
-    """Count every document's n-grams in a sketch of 2**SKETCH_BITS counters (8 MB), summed in Spark."""
+    """Count every document's n-grams in a sketch of 2**SKETCH_BITS counters (32 MB), summed in Spark.
+
+    The driver gets one byte of each counter: its binary logarithm, in eighths.
+    """
     size = (1 << SKETCH_BITS) // SKETCH_PARTS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -88,20 +105,28 @@ def fit_order(docs: DataFrame, n: int) -> Order:
             np.add.at(total, (h >> U64(64 - SKETCH_BITS)).astype(np.int64), np.uint32(1))
             rows += len(h)
         if rows:
-            data = [total[k * size : (k + 1) * size].tobytes() for k in range(SKETCH_PARTS)]
+            data = [_pack(total[k * size : (k + 1) * size]) for k in range(SKETCH_PARTS)]
             yield pa.RecordBatch.from_arrays([pa.array(range(SKETCH_PARTS), pa.int32()), pa.array([rows % SLOTS] * SKETCH_PARTS, pa.int32()), pa.array(data, pa.binary())], names=["part", "slot", "counts"])
 
-    def added(group: pa.Table) -> pa.Table:
+    def summed(group: pa.Table) -> np.ndarray:
         total = np.zeros(size, np.uint32)
         for x in group["counts"]:
-            total += np.frombuffer(x.as_py(), np.uint32)
-        return pa.table({"part": group["part"][:1], "slot": group["slot"][:1], "counts": pa.array([total.tobytes()], pa.binary())})
+            total += _unpack(x.as_py(), size)
+        return total
 
-    kind = "part int, slot int, counts binary"
-    sums = docs.select("_text").mapInArrow(count, kind).groupBy("part", "slot").applyInArrow(added, kind).groupBy("part").applyInArrow(added, kind).orderBy("part").collect()
-    counts = np.concatenate([np.frombuffer(r["counts"], np.uint32) for r in sums]).astype(np.float64) if sums else np.zeros(1 << SKETCH_BITS)
-    usual = max(16.0, counts.mean())
-    return Order(np.clip(np.floor(np.log2(np.maximum(counts, 1.0) / usual)), 0, 15).astype(np.uint8))
+    def added(group: pa.Table) -> pa.Table:
+        return pa.table({"part": group["part"][:1], "slot": group["slot"][:1], "counts": pa.array([_pack(summed(group))], pa.binary())})
+
+    def logs(group: pa.Table) -> pa.Table:
+        total = summed(group)
+        eighths = np.log2(np.maximum(total, 1)) * 8  # below 256
+        return pa.table({"part": group["part"][:1], "total": pa.array([int(total.sum(dtype=np.int64))]), "eighths": pa.array([eighths.astype(np.uint8).tobytes()], pa.binary())})
+
+    parts = docs.select("_text").mapInArrow(count, "part int, slot int, counts binary").groupBy("part", "slot").applyInArrow(added, "part int, slot int, counts binary")
+    sums = parts.groupBy("part").applyInArrow(logs, "part int, total long, eighths binary").orderBy("part").collect()  # SKETCH_PARTS rows
+    usual = max(16.0, sum(r["total"] for r in sums) / (1 << SKETCH_BITS))
+    of = np.clip((np.arange(256) - np.floor(np.log2(usual) * 8)) * STEPS // 8, 0, LEVELS - 1).astype(np.uint8)
+    return Order(np.concatenate([of[np.frombuffer(r["eighths"], np.uint8)] for r in sums]) if sums else np.zeros(1 << SKETCH_BITS, np.uint8))
 
 
 def _needed(n: np.ndarray, percent: int) -> np.ndarray:
@@ -136,7 +161,7 @@ def describe(docs: DataFrame, order: Order, n: int, percent: int) -> DataFrame:
             shape = (len(size), RARE_PARTS + COMMON_PARTS)
             sizes = np.bincount(row * shape[1] + order.fragment(h, level), minlength=shape[0] * shape[1])
             sizes = np.minimum(sizes, 255).astype(np.uint8).reshape(shape)
-            by = np.argsort(row * 16 + level, kind="stable")  # hashes are sorted already
+            by = np.argsort(row * LEVELS + level, kind="stable")  # hashes are sorted already
             place = np.arange(len(h)) - bounds[:-1][row]
             keep = place < (size - _needed(size, percent) + 1)[row]
             prefix = np.concatenate([[0], np.cumsum(np.bincount(row[keep], minlength=len(size)))])
@@ -175,27 +200,63 @@ def _segments_allow(pairs: DataFrame, classes: DataFrame, percent: int) -> DataF
     return sides.select("a", "b", "na", "nb", "pa", "pb").mapInArrow(run, "a long, b long")
 
 
+def shared_needed(x: Column, y: Column, percent: int) -> Column:
+    """How many n-grams the prefixes of two sets of x and y n-grams share at least, x >= y, if the sets are similar enough.
+
+    All shared n-grams up to the end of the prefix that ends first are in both prefixes; of the set with
+    that prefix, at most what follows its prefix can be shared beyond. That is least for the larger set.
+    """
+    overlap = F.floor((F.lit(percent) * (x + y) + (99 + percent)) / (100 + percent))
+    return (overlap - F.floor((F.lit(percent) * x + 99) / 100) + 1).cast("long")
+
+
+def _common_edges(spark: SparkSession, lists: DataFrame, hot: DataFrame, percent: int, base: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(cls, common) of the classes with common n-grams in their prefixes; edges (a, b) that tie classes; pairs (a, b) that may
+    be similar though their prefixes share common n-grams only. ``lists``: (cls, n, gram); ``hot``: (gram)."""
+    lists.join(hot, "gram").select("gram", "cls", F.col("n").cast("long").alias("n")).write.parquet(f"{base}/common")
+    rows = spark.read.parquet(f"{base}/common")
+    own = shared_needed(F.col("n"), F.col("n"), percent)
+    rows.groupBy("cls", "n").agg(F.count(F.lit(1)).alias("common")).withColumn("tied", (F.col("common") > FEW) | (F.col("common") >= own)).write.parquet(f"{base}/commons")
+    commons = spark.read.parquet(f"{base}/commons")
+    rows = rows.drop("n").join(maybe_broadcast(commons, SMALL_SIDE), "cls")
+    tied = rows.filter("tied").select("gram", "cls")
+    first = tied.groupBy("gram").agg(F.min("cls").alias("a"))
+    star = tied.join(first, "gram").select("a", F.col("cls").alias("b"))
+    # a class that is not tied: its few common n-grams are enough only for partners of nearly the smallest or the largest size
+    x, y, few = F.col("n"), F.col("s"), F.col("common")
+    least, most = F.ceil(x * percent / 100).cast("long"), F.floor(x * 100 / percent).cast("long")
+    reach = F.ceil(few * (100 + percent) / percent).cast("long") + 3  # sizes beyond the outermost one for which so few are enough
+    above = F.ceil(few * (100 * (100 + percent)) / (percent * percent)).cast("long") + 3
+    sizes = F.array_union(F.sequence(least, F.least(x, least + reach)), F.sequence(F.greatest(x, most - above), most))
+    asked = rows.filter("not tied").select("gram", "cls", "n", "common", F.explode(sizes).alias("s"))
+    asked = asked.filter(shared_needed(F.greatest(x, y), F.least(x, y), percent) <= few)
+    other = rows.select("gram", F.col("cls").alias("with"), F.col("n").alias("s"), F.col("common").alias("_few"))
+    met = asked.join(other, ["gram", "s"]).filter(F.col("cls") != F.col("with"))
+    met = met.filter(shared_needed(F.greatest(x, y), F.least(x, y), percent) <= F.col("_few"))
+    return commons.select("cls", "common"), star, met.select(F.least("cls", "with").alias("a"), F.greatest("cls", "with").alias("b")).distinct()
+
+
 def _candidate_edges(spark: SparkSession, classes: DataFrame, percent: int, base: str) -> DataFrame:
     """Edges between classes that may be similar, or between classes and a common n-gram of their prefixes."""
-    lists = classes.select("cls", "n", F.posexplode("grams").alias("at", "gram"))
+    lists = classes.select("cls", F.col("n").cast("int").alias("n"), F.explode("grams").alias("gram"))
     # a list longer than SHORT_LIST is cut there while it is gathered; its members are read again below
     ranked = lists.withColumn("r", F.row_number().over(Window.partitionBy("gram").orderBy("cls"))).filter(F.col("r") <= SHORT_LIST + 1)
-    short = ranked.groupBy("gram").agg(F.sort_array(F.collect_list(F.struct("n", "cls", "at"))).alias("l")).filter(F.size("l") > 1)
+    short = ranked.groupBy("gram").agg(F.sort_array(F.collect_list(F.struct("n", "cls"))).alias("l")).filter(F.size("l") > 1)
     short.write.parquet(f"{base}/lists")
     short = spark.read.parquet(f"{base}/lists")
     hot = maybe_broadcast(short.filter(F.size("l") > SHORT_LIST).select("gram"), SMALL_SIDE)
+    commons, star, few = _common_edges(spark, lists, hot, percent, base)
     x, y = F.col("x"), F.col("y")
     meet = short.filter(F.size("l") <= SHORT_LIST).select(F.posexplode("l").alias("k", "y"), "l")
-    meet = meet.select("y", F.explode(F.slice("l", F.lit(1), F.col("k"))).alias("x"))  # x is no larger than y
-    left = F.least(x["n"] - x["at"], y["n"] - y["at"])  # what they can share from here on
-    possible = (x["n"] * 100 >= y["n"] * percent) & _enough(left, x["n"] + y["n"], percent)
-    pairs = meet.filter(possible).select(F.least(x["cls"], y["cls"]).alias("a"), F.greatest(x["cls"], y["cls"]).alias("b")).distinct()
-    pairs = _segments_allow(pairs, classes, percent)
-    # long lists: every class hangs on the list's first class
-    lists.join(hot, "gram").select("gram", "cls").write.parquet(f"{base}/tied")
-    tied = spark.read.parquet(f"{base}/tied")
-    first = tied.groupBy("gram").agg(F.min("cls").alias("a"))
-    return pairs.unionByName(tied.join(first, "gram").select("a", F.col("cls").alias("b")))
+    meet = meet.select("y", F.explode(F.slice("l", F.lit(1), F.col("k"))).alias("x")).filter(x["n"].cast("long") * 100 >= y["n"].cast("long") * percent)  # x is no larger than y
+    needed = shared_needed(y["n"].cast("long"), x["n"].cast("long"), percent)
+    pairs = meet.groupBy(F.least(x["cls"], y["cls"]).alias("a"), F.greatest(x["cls"], y["cls"]).alias("b")).agg(F.count(F.lit(1)).alias("shared"), F.max(needed).alias("needed"))
+    for side in ("a", "b"):
+        more = maybe_broadcast(commons.select(F.col("cls").alias(side), F.col("common").alias(f"common_{side}")), SMALL_SIDE)
+        pairs = pairs.join(more, side, "left")
+    both = F.least(F.coalesce("common_a", F.lit(0)), F.coalesce("common_b", F.lit(0)))
+    pairs = pairs.filter(F.col("shared") + both >= F.col("needed")).select("a", "b")
+    return _segments_allow(pairs.unionByName(few), classes, percent).unionByName(star)
 
 
 def _blocks(families: DataFrame, percent: int) -> DataFrame:

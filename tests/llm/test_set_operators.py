@@ -188,6 +188,72 @@ def test_long_and_short_sets_of_one_family(spark, monkeypatch):
     assert got == closed(range(len(texts)), links)
 
 
+@pytest.mark.parametrize("percent", [60, 80, 85, 100])
+def test_similar_sets_share_what_their_sizes_ask_for(spark, percent):
+    """No similar pair shares fewer n-grams of its prefixes than ``shared_needed``, whatever the order is."""
+    rng, cases = random.Random(percent), []
+    for _ in range(4000):
+        both, x, y = rng.randint(1, 60), rng.randint(0, 25), rng.randint(0, 25)
+        if 100 * both >= percent * (both + x + y):
+            order = list(range(both + x + y))
+            rng.shuffle(order)
+            if rng.random() < 0.5:
+                order.sort(key=lambda g: g < both)  # what they share comes last
+            a, b = ({g for g in order if g < both or (g < both + x) == side} for side in (True, False))
+            first = [set(sorted(s, key=order.index)[: len(s) - (percent * len(s) + 99) // 100 + 1]) for s in (a, b)]
+            cases.append((max(len(a), len(b)), min(len(a), len(b)), len(first[0] & first[1])))
+    rows = spark.createDataFrame(sorted(set(cases)), "x long, y long, shared long")
+    found = rows.select("shared", fragment_join.shared_needed(F.col("x"), F.col("y"), percent).alias("needed")).collect()
+    assert len(found) > 5 and all(r["shared"] >= r["needed"] for r in found)
+    assert percent == 100 or any(r["shared"] == r["needed"] for r in found)
+
+
+@pytest.mark.parametrize("few", [0, 1, 3, 50])
+@pytest.mark.parametrize("percent", [80, 85])
+def test_sets_that_share_common_ngrams_only(spark, tmp_path, few, percent, monkeypatch):
+    """Every pair that shares enough common n-grams for its sizes is an edge or tied through one of them."""
+    monkeypatch.setattr(fragment_join, "FEW", few)
+    rng = random.Random(few + percent)
+    sets = {k: (rng.randint(1, 90), set(rng.sample(range(12), rng.choice([1, 1, 2, 4, 9])))) for k in range(250)}
+    sets = {k: (n, set(list(g)[: n - (percent * n + 99) // 100 + 1])) for k, (n, g) in sets.items()}
+    lists = spark.createDataFrame([(k, n, x) for k, (n, g) in sets.items() for x in g], "cls long, n int, gram long")
+    hot = spark.createDataFrame([(x,) for x in range(12)], "gram long")
+    commons, star, pairs = fragment_join._common_edges(spark, lists, hot, percent, str(tmp_path))
+    assert {r["cls"]: r["common"] for r in commons.collect()} == {k: len(g) for k, (n, g) in sets.items()}
+    needed = lambda x, y: -(-percent * (x + y) // (100 + percent)) - (percent * x + 99) // 100 + 1
+    tied = {k for k, (n, g) in sets.items() if len(g) > few or len(g) >= needed(n, n)}
+    found = {(r["a"], r["b"]) for r in pairs.collect()}
+    together = closed(tied, [(r["a"], r["b"]) for r in star.collect()])
+    want = set()
+    for a, b in combinations(sets, 2):
+        (x, g), (y, h) = sets[a], sets[b]
+        if g & h and 100 * min(x, y) >= percent * max(x, y) and needed(max(x, y), min(x, y)) <= min(len(g), len(h)):
+            if a in tied and b in tied:
+                assert together[a] == together[b]
+            else:
+                want.add((a, b))
+    assert found == want and (want or few in (0, 50))
+
+
+def test_unlike_sets_make_no_families(spark, tmp_path):
+    """Long texts that share some phrases, but far too few to be similar, are no candidates: a family of them all would grow with the square of the table."""
+    rng = random.Random(3)
+    phrases = [" ".join(rng.choices([f"p{k}" for k in range(900)], k=12)) for _ in range(150)]
+    texts = [" ".join(" ".join(rng.choices([f"w{j}" for j in range(3000)], k=80)) + " " + x for x in rng.sample(phrases, 4)) for _ in range(120)]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts + [x + " end" for x in texts[:3]])], "_id long, _text string")
+    order = fragment_join.fit_order(docs, 4)
+    classes = fragment_join.describe(docs, order, 4, 85)
+    edges = {(r["a"], r["b"]) for r in fragment_join._candidate_edges(spark, classes, 85, str(tmp_path)).collect()}
+    of = {r["_id"]: r["cls"] for r in classes.select("_id", "cls").collect()}
+    assert edges == {tuple(sorted((of[k], of[120 + k]))) for k in range(3)}
+
+
+def test_sketch_counts_come_back_as_they_were():
+    counts = np.random.default_rng(2).integers(0, 2**32, 4096, np.uint32)
+    counts[:3000] = np.arange(3000) % 3
+    assert np.array_equal(fragment_join._unpack(fragment_join._pack(counts), 4096), counts)
+
+
 def test_components(spark):
     rng = random.Random(4)
     edges = [(k, k + 1) for k in range(100, 160)] + [(rng.randrange(90), rng.randrange(90)) for _ in range(50)] + [(500, 500), (None, 3)]
