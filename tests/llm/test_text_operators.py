@@ -506,3 +506,24 @@ def test_language_model_gives_each_word_its_own_probability(spark, monkeypatch,
         want.append((str(i), len(token), pytest.approx(total, abs=1e-3)))
     assert sorted((str(r["doc_id"]), r["n_tokens"], r["log_prob"]) for r in got) == sorted(want, key=lambda x: x[0])
     assert {r["doc_id"]: r["perplexity"] for r in got}[3] is None
+
+
+def test_language_model_spreads_all_probability_over_all_words(spark):
+    """In one context, the probabilities of every word of the corpus and of one it does not hold sum to 1."""
+    rng = random.Random(21)
+    vocab = [f"w{k}" for k in range(260)]
+    docs = frame(spark, [" ".join(vocab)] + [" ".join(rng.choices(vocab[:150], k=50)) for _ in range(40)])
+    words = window_lm.word_counts(docs)
+    frequent, weights = window_lm.train(docs, words=words)
+    net, totals = window_lm.Network(weights), window_lm.class_totals(words, frequent)
+    left, right = (int(window_lm.tokens(*text.utf8(pa.array([w])), frequent)[0][0]) for w in ("w3", "w200"))
+    bounds = np.array([0, 3])
+    of_class = np.exp([net.log_probs(np.array([left, c, right]), bounds)[1] for c in range(window_lm.VOCAB)])
+    total, met = 0.0, set()
+    for r in words.collect():
+        c = int(window_lm.classes(np.array([r["h"]], np.int64).view(np.uint64), frequent)[0])
+        total += of_class[c] * (r["n"] / (totals[c - window_lm.FREQUENT] + 1) if c >= window_lm.FREQUENT else 1)
+        met.add(c)
+    assert len(met) == window_lm.VOCAB  # every class is in use
+    total += sum(of_class[c] / (totals[c - window_lm.FREQUENT] + 1) for c in range(window_lm.FREQUENT, window_lm.VOCAB))
+    assert total == pytest.approx(1, abs=1e-5)
